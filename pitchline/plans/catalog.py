@@ -1,157 +1,6 @@
-"""Registry of named queries: DataFrame job + independent SQL oracle.
-
-``QUERIES[name] = fn(spark, sf_dir) -> DataFrame``; ``ORACLE[name] = sql``.
-Every query reads the given tables (or frames Spark derives from them) in
-full: no id subsets, no row caps.
-"""
+"""All registered queries. Importing the query modules registers them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from pitchline.operators import marts
-from pitchline.operators.dimensions import cohort_dimension
-from pitchline.plans import contests as C
-from pitchline.plans import oracle as O
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-def current_cohort(spark: SparkSession, sf_dir: str):
-    """The latest order year, as a scalar subquery column."""
-    return C.table(spark, sf_dir, "orders").select(F.max(F.year("o_orderdate"))).scalar()
-
-
-def cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cohort_dimension(C.contests(spark, sf_dir))
-
-
-# ---------------------------------------------------------------- marts A1-A10
-
-@query("unpivot_roles", O.with_(O.CONTESTS, O.UNPIVOT) +
-       "SELECT cohort, role, team_id, goals_for, goals_against FROM team_matches")
-def q_unpivot_roles(spark, sf_dir):
-    return marts.unpivot_roles(C.contests(spark, sf_dir))
-
-
-@query("format_comparison", O.with_(O.CONTESTS, O.COHORTS) + f"""
-SELECT m.cohort AS tournament_year, c.team_count, c.format_label,
-       COUNT(*) AS match_count,
-       {O.rnd('AVG(m.home_score + m.away_score)', 2)} AS avg_goals_per_match,
-       {O.pct(O.count_if('ABS(m.home_score - m.away_score) = 1'), 'COUNT(*)')} AS pct_one_goal_margin,
-       {O.pct(O.count_if('m.home_score = m.away_score'), 'COUNT(*)')} AS pct_drawn_after_et,
-       {O.count_if('m.went_to_so')} AS shootout_decided_matches
-FROM contests m JOIN cohorts c ON c.cohort = m.cohort
-GROUP BY m.cohort, c.team_count, c.format_label""")
-def q_format_comparison(spark, sf_dir):
-    return marts.format_comparison(C.contests(spark, sf_dir), cohorts(spark, sf_dir))
-
-
-@query("competitive_balance", O.with_(O.CONTESTS, O.COHORTS) + f"""
-SELECT m.cohort AS tournament_year, c.team_count, c.format_label,
-       COUNT(*) AS match_count,
-       {O.rnd('AVG(ABS(m.home_score - m.away_score))', 2)} AS avg_abs_goal_diff,
-       {O.pct(O.count_if('ABS(m.home_score - m.away_score) >= 3'), 'COUNT(*)')} AS blowout_rate_pct
-FROM contests m JOIN cohorts c ON c.cohort = m.cohort
-GROUP BY m.cohort, c.team_count, c.format_label""")
-def q_competitive_balance(spark, sf_dir):
-    return marts.competitive_balance(C.contests(spark, sf_dir), cohorts(spark, sf_dir))
-
-
-@query("group_difficulty", O.with_(O.TEAMS, O.RANKING) + f"""
-SELECT t.group_id, t.group_letter,
-       COUNT(t.team_id) AS teams_in_group,
-       COUNT(r.fifa_ranking) AS teams_counted,
-       {O.rnd('AVG(r.fifa_ranking)', 1)} AS avg_fifa_ranking
-FROM teams t
-LEFT JOIN ranking r ON r.team_id = t.team_id AND r.cohort = {O.CURRENT}
-GROUP BY t.group_id, t.group_letter""")
-def q_group_difficulty(spark, sf_dir):
-    return marts.group_difficulty(C.teams(spark, sf_dir), C.ranking_bridge(spark, sf_dir),
-                                  current_cohort(spark, sf_dir))
-
-
-UPSET_CLASSIFIED = O.with_(O.CONTESTS, O.RANKING) + """
-, eligible AS (
-  SELECT m.*, hr.fifa_ranking AS home_ranking, ar.fifa_ranking AS away_ranking
-  FROM contests m
-  JOIN ranking hr ON hr.team_id = m.home_team_id AND hr.cohort = m.cohort
-  JOIN ranking ar ON ar.team_id = m.away_team_id AND ar.cohort = m.cohort
-  WHERE hr.fifa_ranking IS NOT NULL AND ar.fifa_ranking IS NOT NULL
-), classified AS (
-  SELECT *, home_score = away_score AS is_draw,
-         (home_score > away_score AND home_ranking > away_ranking)
-           OR (away_score > home_score AND away_ranking > home_ranking) AS is_upset
-  FROM eligible
-)"""
-
-
-@query("upset_rate", UPSET_CLASSIFIED + f"""
-SELECT cohort AS tournament_year,
-       COUNT(*) AS eligible_match_count,
-       {O.count_if('is_draw')} AS draw_count,
-       COUNT(*) - {O.count_if('is_draw')} AS decisive_match_count,
-       {O.count_if('NOT is_draw AND is_upset')} AS upset_count,
-       {O.pct(O.count_if('NOT is_draw AND is_upset'), 'COUNT(*) - ' + O.count_if('is_draw'))} AS upset_rate_pct,
-       {O.pct(O.count_if('is_draw'), 'COUNT(*)')} AS draw_rate_pct
-FROM classified GROUP BY cohort""")
-def q_upset_rate(spark, sf_dir):
-    return marts.upset_rate(C.contests(spark, sf_dir), C.ranking_bridge(spark, sf_dir))
-
-
-@query("confederation_performance", O.with_(O.CONTESTS, O.TEAMS, O.UNPIVOT) + f"""
-SELECT tm.cohort AS tournament_year, t.confederation_name,
-       COUNT(*) AS matches_played,
-       {O.rnd('SUM(CASE WHEN goals_for > goals_against THEN 1.0 WHEN goals_for = goals_against THEN 0.5 ELSE 0.0 END) / COUNT(*)', 3)} AS win_rate,
-       {O.rnd('CAST(SUM(goals_for - goals_against) AS DOUBLE) / COUNT(*)', 2)} AS avg_goal_diff
-FROM team_matches tm JOIN teams t ON t.team_id = tm.team_id
-GROUP BY tm.cohort, t.confederation_name""")
-def q_confederation_performance(spark, sf_dir):
-    return marts.confederation_performance(C.contests(spark, sf_dir), C.teams(spark, sf_dir))
-
-
-@query("expected_vs_actual", O.with_(O.CONTESTS, O.STAGES, O.TEAMS, O.RANKING) + f"""
-, staged AS (SELECT m.*, s.stage_order FROM contests m LEFT JOIN stages s ON s.stage_name = m.stage_name)
-, tm AS (SELECT cohort, home_team_id AS team_id, stage_order FROM staged
-         UNION ALL SELECT cohort, away_team_id, stage_order FROM staged)
-, finish AS (SELECT cohort, team_id, COUNT(*) AS matches_played, MAX(stage_order) AS furthest_stage_order
-             FROM tm GROUP BY cohort, team_id)
-SELECT f.cohort AS tournament_year, t.team_name, r.fifa_ranking, f.matches_played, f.furthest_stage_order,
-       CASE WHEN f.cohort = {O.CURRENT} THEN 'stage_order' ELSE 'match_count_proxy' END AS actual_finish_method
-FROM finish f
-JOIN ranking r ON r.team_id = f.team_id AND r.cohort = f.cohort
-JOIN teams t ON t.team_id = f.team_id
-WHERE r.fifa_ranking IS NOT NULL""")
-def q_expected_vs_actual(spark, sf_dir):
-    return marts.expected_vs_actual(C.contests_staged(spark, sf_dir), C.ranking_bridge(spark, sf_dir),
-                                    C.teams(spark, sf_dir), current_cohort(spark, sf_dir))
-
-
-@query("travel_rest", O.with_(O.VISITS, O.VENUES) + f"""
-, seq AS (
-  SELECT *, LAG(match_id) OVER w AS previous_match_id, LAG(match_date) OVER w AS previous_match_date,
-         LAG(venue_id) OVER w AS previous_venue_id
-  FROM visits WINDOW w AS (PARTITION BY team_id, cohort ORDER BY match_date, match_id)
-)
-SELECT s.team_id, s.match_id, s.match_date, s.venue_id, s.previous_match_id, s.previous_venue_id,
-       s.previous_match_date,
-       {O.rnd('CASE WHEN s.previous_venue_id IS NULL THEN NULL ELSE ' + O.haversine_km('v.latitude', 'v.longitude', 'pv.latitude', 'pv.longitude') + ' END', 3)} AS distance_km,
-       CAST(date_diff('day', s.previous_match_date, s.match_date) AS INTEGER) AS rest_days
-FROM seq s JOIN venues v ON v.venue_id = s.venue_id
-LEFT JOIN venues pv ON pv.venue_id = s.previous_venue_id""")
-def q_travel_rest(spark, sf_dir):
-    return marts.travel_rest(C.order_visits(spark, sf_dir), C.venues(spark, sf_dir))
+from pitchline.plans import q_marts, q_quality  # noqa: F401
+from pitchline.plans.registry import ORACLE, QUERIES  # noqa: F401
