@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import bounded_broadcast
-from pitchline.session import default_partitions
+from pitchline.session import default_partitions, shared_root
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
 
@@ -26,6 +26,19 @@ def _cols(cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def range_sorted(df: DataFrame, order_cols: Sequence[str | Column], num_partitions: int) -> DataFrame:
+    """Range-partition and sort each partition, materialised once in the shared folder.
+
+    Range bounds come from a sample of the input; two evaluations of the same
+    plan can sample differently (upstream shuffle order varies), so every
+    consumer must read one materialisation. A reliable checkpoint also
+    survives executor loss, unlike a cache.
+    """
+    order = _cols(order_cols)
+    shared_root(df.sparkSession)
+    return df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+
+
 def assign_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str = "id",
                 start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
     """K1: dense 1-based row numbers in the given (total) order.
@@ -34,10 +47,7 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str
     one-row frame already joined in).
     """
     n = num_partitions or default_partitions(df.sparkSession)
-    order = _cols(order_cols)
-    ranged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = range_sorted(df, order_cols, n).withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by the partition count
@@ -72,8 +82,7 @@ def running_total(hist: DataFrame, value_col: str, weight_col: str, by: Sequence
     """
     n = num_partitions or default_partitions(hist.sparkSession)
     by = list(by)
-    ranged = (hist.repartitionByRange(n, *[F.col(b) for b in by], F.col(value_col))
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = range_sorted(hist, [*by, value_col], n).withColumn("_pid", F.spark_partition_id())
     local_w = (Window.partitionBy("_pid", *by).orderBy(value_col)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_local", F.sum(weight_col).over(local_w))

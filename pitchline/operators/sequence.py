@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import bounded_broadcast
+from pitchline.operators.keys import range_sorted
 from pitchline.session import default_partitions
 
 
@@ -27,8 +28,7 @@ def lag_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequenc
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same key."""
     n = num_partitions or default_partitions(df.sparkSession)
     part, order, values = list(partition_cols), list(order_cols), list(value_cols)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in part + order])
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = range_sorted(df, part + order, n).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid", *part).orderBy(*order)
     lagged = ranged.select(
         "*",
