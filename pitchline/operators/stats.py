@@ -281,7 +281,10 @@ def spearman(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
     rx = rank_histogram(base, "_x", by).select(*by, "_x", F.col("rank").alias("rx"))
     ry = rank_histogram(base, "_y", by).select(*by, "_y", F.col("rank").alias("ry"))
     ranked = base.join(rx, [*by, "_x"]).join(ry, [*by, "_y"])
-    s = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.corr("rx", "ry").alias("rho"))
+    # Pearson correlation of the ranks; NULL (not an error) for a constant group
+    s = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.covar_pop("rx", "ry").alias("_cov"),
+                                F.var_pop("rx").alias("_vx"), F.var_pop("ry").alias("_vy"))
+    s = s.withColumn("rho", F.try_divide(F.col("_cov"), F.sqrt(F.col("_vx") * F.col("_vy"))))
     n = F.col("n").cast("double")
     rho = F.col("rho")
     t = rho * F.sqrt((n - 2) / F.greatest(F.lit(0.0), F.lit(1.0) - rho * rho))
