@@ -46,7 +46,9 @@ def geo_distance_m(lat1, lon1, lat2, lon2) -> Column:
     dphi = p2 - p1
     dlmb = F.radians(col_(lon2)) - F.radians(col_(lon1))
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    root = F.sqrt(a)
+    # clamp rounding overshoot; NULL stays NULL (LEAST would skip it)
+    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))
 
 
 def geo_distance_km(lat1, lon1, lat2, lon2) -> Column:

@@ -32,8 +32,8 @@ ACKLAM_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
             3.754408661907416e+00]
 ACKLAM_LOW = 0.02425
 
-# Stirling series for ln Gamma(z), z >= 8: 1/12, -1/360, 1/1260, -1/1680.
-STIRLING = [1.0 / 12, -1.0 / 360, 1.0 / 1260, -1.0 / 1680]
+# Stirling series for ln Gamma(z), z >= 8: 1/12, -1/360, 1/1260, -1/1680, 1/1188, -691/360360.
+STIRLING = [1.0 / 12, -1.0 / 360, 1.0 / 1260, -1.0 / 1680, 1.0 / 1188, -691.0 / 360360]
 LGAMMA_SHIFT = 8
 
 # Above this many degrees of freedom the t tail uses the A&S 26.7.8 normal
@@ -85,7 +85,7 @@ def lgamma(x) -> Column:
     z = x + F.lit(float(LGAMMA_SHIFT))
     inv = F.lit(1.0) / z
     inv2 = inv * inv
-    series = inv * (F.lit(STIRLING[0]) + inv2 * (F.lit(STIRLING[1]) + inv2 * (F.lit(STIRLING[2]) + inv2 * F.lit(STIRLING[3]))))
+    series = inv * _horner(inv2, STIRLING)
     st = (z - F.lit(0.5)) * F.log(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series
     shift = F.lit(0.0)
     for k in range(LGAMMA_SHIFT):

@@ -32,7 +32,7 @@ def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     dphi = f"({p2} - {p1})"
     dl = f"(radians({lon2}) - radians({lon1}))"
     a = f"(pow(sin({dphi} / 2), 2) + cos({p1}) * cos({p2}) * pow(sin({dl} / 2), 2))"
-    return f"((2 * 6371008.8) * asin(least(1.0, sqrt({a}))) / 1000.0)"
+    return f"((2 * 6371008.8) * asin(CASE WHEN sqrt({a}) > 1.0 THEN 1.0 ELSE sqrt({a}) END) / 1000.0)"
 
 
 CONTESTS = """

@@ -255,7 +255,10 @@ def _raw_matches(spark, sf_dir) -> DataFrame:
 
 
 NATURAL_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-FACT_ORDER = ["match_date", "home_team", "away_team", *NATURAL_KEY]
+# lineitem keys can repeat: the score joins the shootout key, and the order
+# ends with every remaining fact column (rows tied on all of them are identical)
+SHOOTOUT_KEY = [*NATURAL_KEY, "home_score"]
+FACT_ORDER = ["match_date", "home_team", "away_team", *NATURAL_KEY, "home_score", "away_score"]
 FACT_HIST_ORDER = ["tournament_year", *FACT_ORDER]
 
 
@@ -268,9 +271,10 @@ def _core_dims(spark, sf_dir):
 
 
 def _shootouts(raw: DataFrame) -> DataFrame:
+    """Shootout side table, one row per key (a left join to it cannot fan out)."""
     return raw.where("went_to_so").select(
-        *NATURAL_KEY, F.when(F.col("home_score") >= F.col("away_score"), F.col("home_team"))
-        .otherwise(F.col("away_team")).alias("winner"))
+        *SHOOTOUT_KEY, F.when(F.col("home_score") >= F.col("away_score"), F.col("home_team"))
+        .otherwise(F.col("away_team")).alias("winner")).distinct()
 
 
 def _fact_current(spark, sf_dir):
@@ -279,7 +283,7 @@ def _fact_current(spark, sf_dir):
     return D.build_fact(raw.where(F.col("tournament_year") == cur).drop("went_to_so"),
                         date_dim=dates, team_dim=C.teams(spark, sf_dir), tournament_dim=tours,
                         order_cols=FACT_ORDER, stage_dim=stage_dim, venue_dim=C.venues(spark, sf_dir),
-                        shootouts=_shootouts(raw), shootout_keys=NATURAL_KEY)
+                        shootouts=_shootouts(raw), shootout_keys=SHOOTOUT_KEY)
 
 
 def _fact_full(spark, sf_dir):
@@ -289,7 +293,7 @@ def _fact_full(spark, sf_dir):
     hist = D.build_fact(raw.where(F.col("tournament_year") < cur).drop("went_to_so", "stage", "venue_city",
                                                                          "venue_country"),
                         date_dim=dates, team_dim=C.teams(spark, sf_dir), tournament_dim=tours,
-                        order_cols=FACT_HIST_ORDER, shootouts=_shootouts(raw), shootout_keys=NATURAL_KEY,
+                        order_cols=FACT_HIST_ORDER, shootouts=_shootouts(raw), shootout_keys=SHOOTOUT_KEY,
                         existing=current)
     return current.unionByName(hist)
 
@@ -306,7 +310,7 @@ days AS (SELECT DISTINCT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS D
 date_dim AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY full_date) AS BIGINT) AS date_id, full_date FROM days),
 tours AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY cohort) AS BIGINT) AS tournament_id, cohort AS tournament_year FROM cohorts),
 cur AS (SELECT MAX(tournament_year) AS y FROM raw),
-so AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+so AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, home_score,
               CASE WHEN home_score >= away_score THEN home_team ELSE away_team END AS winner
        FROM raw WHERE went_to_so),
 resolved AS (
@@ -316,11 +320,11 @@ resolved AS (
   JOIN tours t ON t.tournament_year = r.tournament_year
   JOIN teams ht ON ht.team_name = r.home_team JOIN teams awt ON awt.team_name = r.away_team
   LEFT JOIN so ON so.l_orderkey = r.l_orderkey AND so.l_linenumber = r.l_linenumber
-              AND so.l_partkey = r.l_partkey AND so.l_suppkey = r.l_suppkey
+              AND so.l_partkey = r.l_partkey AND so.l_suppkey = r.l_suppkey AND so.home_score = r.home_score
   LEFT JOIN teams sw ON sw.team_name = so.winner
 ),
 fact_cur AS (
-  SELECT CAST(ROW_NUMBER() OVER (ORDER BY match_date, home_team, away_team, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS match_id,
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY match_date, home_team, away_team, l_orderkey, l_linenumber, l_partkey, l_suppkey, home_score, away_score) AS BIGINT) AS match_id,
          tournament_id, date_id, CAST(s.stage_order AS BIGINT) AS stage_id, v.venue_id, home_id AS home_team_id,
          away_id AS away_team_id, home_score, away_score, CAST(NULL AS BOOLEAN) AS went_to_et,
          winner IS NOT NULL AS went_to_so, so_winner_id, CAST(NULL AS BOOLEAN) AS neutral_site
@@ -330,7 +334,7 @@ fact_cur AS (
 ),
 fact_hist AS (
   SELECT CAST((SELECT COALESCE(MAX(match_id), 0) FROM fact_cur)
-              + ROW_NUMBER() OVER (ORDER BY tournament_year, match_date, home_team, away_team, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS BIGINT) AS match_id,
+              + ROW_NUMBER() OVER (ORDER BY tournament_year, match_date, home_team, away_team, l_orderkey, l_linenumber, l_partkey, l_suppkey, home_score, away_score) AS BIGINT) AS match_id,
          tournament_id, date_id, CAST(NULL AS BIGINT) AS stage_id, CAST(NULL AS BIGINT) AS venue_id,
          home_id AS home_team_id, away_id AS away_team_id, home_score, away_score, CAST(NULL AS BOOLEAN) AS went_to_et,
          winner IS NOT NULL AS went_to_so, so_winner_id, CAST(NULL AS BOOLEAN) AS neutral_site
