@@ -39,12 +39,22 @@ LGAMMA_SHIFT = 8
 # Above this many degrees of freedom the t tail uses the A&S 26.7.8 normal
 # transform (error O(1/df^2)) instead of the df/2-term exact sum.
 T_EXACT_MAX_DF = 100000
+CF_MAX_ITER = 5000
 
 
 def _c(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Keeps expression trees linear: without it every use of an argument
+    would copy the argument's whole expression.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _horner(x: Column, coeffs: list[float]) -> Column:
     """coeffs[0] + coeffs[1]*x + ... (ascending powers)."""
     acc = F.lit(coeffs[-1])
@@ -54,11 +64,12 @@ def _horner(x: Column, coeffs: list[float]) -> Column:
 
 
 def erfc(x) -> Column:
-    x = _c(x).cast("double")
-    z = F.abs(x)
-    t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
-    ans = t * F.exp(-z * z + _horner(t, ERFC_COEFFS))
-    return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)
+    def body(x):
+        z = F.abs(x)
+        t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
+        ans = t * F.exp(-z * z + _horner(t, ERFC_COEFFS))
+        return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)
+    return _let(_c(x).cast("double"), body)
 
 
 def norm_sf(z) -> Column:
@@ -68,7 +79,10 @@ def norm_sf(z) -> Column:
 
 def norm_ppf(p) -> Column:
     """Inverse standard normal CDF (Acklam)."""
-    p = _c(p).cast("double")
+    return _let(_c(p).cast("double"), _norm_ppf)
+
+
+def _norm_ppf(p: Column) -> Column:
     q_lo = F.sqrt(F.lit(-2.0) * F.log(p))
     lo = _horner(q_lo, ACKLAM_C[::-1]) / (F.lit(1.0) + q_lo * _horner(q_lo, ACKLAM_D[::-1]))
     q_hi = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - p))
@@ -81,7 +95,10 @@ def norm_ppf(p) -> Column:
 
 def lgamma(x) -> Column:
     """ln Gamma(x) for x > 0: Stirling series after shifting x up by 8."""
-    x = _c(x).cast("double")
+    return _let(_c(x).cast("double"), _lgamma)
+
+
+def _lgamma(x: Column) -> Column:
     z = x + F.lit(float(LGAMMA_SHIFT))
     inv = F.lit(1.0) / z
     inv2 = inv * inv
@@ -95,8 +112,11 @@ def lgamma(x) -> Column:
 
 def chi2_sf(x, df) -> Column:
     """Upper tail of chi-square with integer df >= 1 (finite series)."""
-    x = _c(x).cast("double")
-    df = _c(df).cast("int")
+    return _let(F.struct(_c(x).cast("double").alias("x"), _c(df).cast("int").alias("df")),
+                lambda v: _chi2_sf(v["x"], v["df"]))
+
+
+def _chi2_sf(x: Column, df: Column) -> Column:
     half = x / F.lit(2.0)
     # even df: exp(-x/2) * sum_{j<df/2} (x/2)^j / j!
     even = F.aggregate(
@@ -124,8 +144,11 @@ def chi2_sf(x, df) -> Column:
 
 def t_sf2(t, df) -> Column:
     """Two-sided tail P(|T| > |t|) for integer df >= 1 (A&S 26.7.3-4 finite sums)."""
-    t = F.abs(_c(t).cast("double"))
-    df = _c(df).cast("long")
+    return _let(F.struct(F.abs(_c(t).cast("double")).alias("t"), _c(df).cast("long").alias("df")),
+                lambda v: _t_sf2(v["t"], v["df"]))
+
+
+def _t_sf2(t: Column, df: Column) -> Column:
     nu = df.cast("double")
     theta = F.atan(t / F.sqrt(nu))
     c2 = nu / (nu + t * t)
@@ -157,52 +180,68 @@ def t_sf2(t, df) -> Column:
             .otherwise(F.lit(1.0) - a_odd))
 
 
-def inc_beta(x, a, b, iterations: Column | None = None) -> Column:
+def inc_beta(x, a, b) -> Column:
     """Regularised incomplete beta I_x(a, b) by Lentz's continued fraction.
 
     The fraction is evaluated on the side where it converges fast
     (x < (a+1)/(a+b+2), else the symmetry 1 - I_{1-x}(b, a)). The iteration
     count grows with sqrt(max(a, b)), as the convergence rate does.
     """
-    x, a, b = _c(x).cast("double"), _c(a).cast("double"), _c(b).cast("double")
+    args = F.struct(_c(x).cast("double").alias("x"), _c(a).cast("double").alias("a"),
+                    _c(b).cast("double").alias("b"))
+    return _let(args, lambda v: _inc_beta(v["x"], v["a"], v["b"]))
+
+
+def _inc_beta(x: Column, a: Column, b: Column) -> Column:
     swap = x >= (a + 1) / (a + b + 2)
-    xx = F.when(swap, F.lit(1.0) - x).otherwise(x)
-    aa = F.when(swap, b).otherwise(a)
-    bb = F.when(swap, a).otherwise(b)
-    n_it = iterations if iterations is not None else \
-        (F.lit(60) + F.lit(10) * F.sqrt(F.greatest(aa, bb))).cast("int")
+    side = F.struct(F.when(swap, F.lit(1.0) - x).otherwise(x).alias("x"),
+                    F.when(swap, b).otherwise(a).alias("a"), F.when(swap, a).otherwise(b).alias("b"),
+                    swap.alias("swap"))
+    res = _let(side, _beta_cf)
+    return (F.when(x.isNull() | a.isNull() | b.isNull(), F.lit(None).cast("double"))
+            .when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0)).otherwise(res))
+
+
+def _beta_cf(w: Column) -> Column:
+    xx, aa, bb = w["x"], w["a"], w["b"]
+    # Convergence takes O(sqrt(max(a, b))) steps in the worst case and far fewer
+    # when the evaluated x is small (the F tail with a huge denominator df);
+    # beyond the cap the fraction has long converged for every p that is not ~0.
+    n_it = F.least(F.lit(CF_MAX_ITER), (F.lit(60) + F.lit(10) * F.sqrt(F.greatest(aa, bb))).cast("int"))
     tiny = F.lit(1e-300)
 
     def guard(v):
         return F.when(F.abs(v) < 1e-300, tiny).otherwise(v)
 
-    d0 = guard(F.lit(1.0) - (aa + bb) * xx / (aa + F.lit(1.0)))
-    init = F.struct(F.lit(1.0).alias("c"), (F.lit(1.0) / d0).alias("d"), (F.lit(1.0) / d0).alias("h"))
+    d0 = F.lit(1.0) / guard(F.lit(1.0) - (aa + bb) * xx / (aa + F.lit(1.0)))
+    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"))
 
     def step(acc, m):
         m = m.cast("double")
         m2 = F.lit(2.0) * m
         num_e = m * (bb - m) * xx / ((aa + m2 - 1) * (aa + m2))
-        d1 = guard(F.lit(1.0) + num_e * acc["d"])
+        d1 = F.lit(1.0) / guard(F.lit(1.0) + num_e * acc["d"])
         c1 = guard(F.lit(1.0) + num_e / acc["c"])
-        d1 = F.lit(1.0) / d1
-        h1 = acc["h"] * d1 * c1
         num_o = -(aa + m) * (aa + bb + m) * xx / ((aa + m2) * (aa + m2 + 1))
-        d2 = guard(F.lit(1.0) + num_o * d1)
-        c2 = guard(F.lit(1.0) + num_o / c1)
-        d2 = F.lit(1.0) / d2
-        return F.struct(c2.alias("c"), d2.alias("d"), (h1 * d2 * c2).alias("h"))
+        return _let(F.struct(d1.alias("d1"), c1.alias("c1"), num_o.alias("no")), lambda u: F.struct(
+            guard(F.lit(1.0) + u["no"] / u["c1"]).alias("c"),
+            (F.lit(1.0) / guard(F.lit(1.0) + u["no"] * u["d1"])).alias("d"),
+            (acc["h"] * u["d1"] * u["c1"] * (F.lit(1.0) / guard(F.lit(1.0) + u["no"] * u["d1"]))
+             * guard(F.lit(1.0) + u["no"] / u["c1"])).alias("h")))
 
     cf = F.aggregate(F.sequence(F.lit(1), n_it), init, step, lambda acc: acc["h"])
     front = F.exp(lgamma(aa + bb) - lgamma(aa) - lgamma(bb) + aa * F.log(xx) + bb * F.log(F.lit(1.0) - xx)) / aa
     val = front * cf
-    res = F.when(swap, F.lit(1.0) - val).otherwise(val)
-    return (F.when(x.isNull() | a.isNull() | b.isNull(), F.lit(None).cast("double"))
-            .when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0)).otherwise(res))
+    return F.when(w["swap"], F.lit(1.0) - val).otherwise(val)
 
 
 def f_sf(f, d1, d2) -> Column:
     """Upper tail of the F distribution: I_{d2/(d2+d1 f)}(d2/2, d1/2)."""
-    f, d1, d2 = _c(f).cast("double"), _c(d1).cast("double"), _c(d2).cast("double")
-    return F.when(f <= 0, F.lit(1.0)).otherwise(
-        inc_beta(d2 / (d2 + d1 * f), d2 / F.lit(2.0), d1 / F.lit(2.0)))
+    args = F.struct(_c(f).cast("double").alias("f"), _c(d1).cast("double").alias("d1"),
+                    _c(d2).cast("double").alias("d2"))
+
+    def body(v):
+        f, d1, d2 = v["f"], v["d1"], v["d2"]
+        return F.when(f <= 0, F.lit(1.0)).otherwise(
+            inc_beta(d2 / (d2 + d1 * f), d2 / F.lit(2.0), d1 / F.lit(2.0)))
+    return _let(args, body)

@@ -92,13 +92,19 @@ def entity_dimension(role_sources: Sequence[tuple[DataFrame, str]], key_col: str
 
 
 def cohort_dimension(matches: DataFrame, cohort_col: str = "cohort", roles: Sequence[str] = ("home_team_id", "away_team_id"),
-                     key_col: str = "tournament_id", current: tuple[int, DataFrame] | None = None) -> DataFrame:
-    """Per cohort, distinct teams over both roles and a '<n>-team' label."""
+                     key_col: str | None = "tournament_id") -> DataFrame:
+    """Per cohort, distinct teams over both roles and a '<n>-team' label.
+
+    ``key_col=None`` skips the surrogate key (marts only need the label), so
+    the dimension stays in the same job as its consumer.
+    """
     teams = matches.select(cohort_col, F.explode(F.array(*[F.col(r) for r in roles])).alias("_team"))
     sized = teams.groupBy(cohort_col).agg(F.count_distinct("_team").alias("team_count"))
+    label = F.concat(F.col("team_count").cast("string"), F.lit("-team")).alias("format_label")
+    if key_col is None:
+        return sized.select(cohort_col, "team_count", label)
     keyed = assign_keys(sized, [cohort_col], key_col)
-    return keyed.select(key_col, cohort_col, "team_count",
-                        F.concat(F.col("team_count").cast("string"), F.lit("-team")).alias("format_label"))
+    return keyed.select(key_col, cohort_col, "team_count", label)
 
 
 def build_fact(raw: DataFrame, *, date_dim: DataFrame, team_dim: DataFrame, tournament_dim: DataFrame,

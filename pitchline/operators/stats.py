@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pitchline.functions import tails
 from pitchline.functions.columns import broadcast_if_small, count_if, magnitude_label, significance_phrase
 from pitchline.operators.keys import running_total
+from pitchline.session import cut_lineage
 
 # Cohen's conventional small / medium / large thresholds per effect metric.
 RANK_BISERIAL_THRESHOLDS = (0.1, 0.3, 0.5)
@@ -87,9 +88,9 @@ def mann_whitney(df: DataFrame, group: Column, value: str) -> DataFrame:
     n1, n2, n = F.col("n1").cast("double"), F.col("n2").cast("double"), F.col("_n")
     var = n1 * n2 / 12 * ((n + 1) - F.col("tie") / (n * (n - 1)))
     umax = F.greatest(F.col("u"), n1 * n2 - F.col("u"))
-    z = (umax - n1 * n2 / 2 - 0.5) / F.sqrt(var)
-    p = F.least(F.lit(1.0), F.lit(2.0) * tails.norm_sf(z))
-    return s.select("n1", "n2", "u", z.alias("z"), p.alias("p_value"),
+    s = s.withColumn("z", (umax - n1 * n2 / 2 - 0.5) / F.sqrt(var))
+    p = F.least(F.lit(1.0), F.lit(2.0) * tails.norm_sf(F.col("z")))
+    return s.select("n1", "n2", "u", "z", p.alias("p_value"),
                     (F.lit(1.0) - F.lit(2.0) * F.col("u") / (n1 * n2)).alias("rank_biserial"))
 
 
@@ -214,10 +215,18 @@ def cohens_h(p1, p2) -> Column:
 
 # R8 ---------------------------------------------------------------------------------
 
-def group_medians(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Exact median per group from the value histogram (no group held in one task)."""
-    h = df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("t"))
-    cum = running_total(h, value, "t", [group], out_col="cum")
+def group_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, value, c): one pass over the rows with map-side partial counts,
+    landed once in the shared folder so every later step reads the histogram,
+    not the rows."""
+    h = (df.where(F.col(value).isNotNull()).groupBy(group, value)
+         .agg(F.count(F.lit(1)).alias("c")))
+    return cut_lineage(h)
+
+
+def group_medians(hist: DataFrame, group: str, value: str, count: str = "c") -> DataFrame:
+    """Exact median per group from a (group, value, count) histogram (no group held in one task)."""
+    cum = running_total(hist.select(group, value, F.col(count).alias("t")), value, "t", [group], out_col="cum")
     n = cum.groupBy(group).agg(F.sum("t").alias("n"))
     lo_pos = F.floor((F.col("n") + 1) / 2)
     hi_pos = F.ceil((F.col("n") + 1) / 2)
@@ -230,13 +239,19 @@ def group_medians(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def levene(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Levene's test centred on the median (Brown-Forsythe); one row: k, n, f, p_value."""
-    x = df.select(group, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
-    med = group_medians(x, group, "v")
-    z = x.join(broadcast_if_small(med), group).select(group, F.abs(F.col("v") - F.col("median")).alias("z"))
-    gm = z.groupBy(group).agg(F.count(F.lit(1)).alias("ng"), F.avg("z").alias("zg"))
+    """Levene's test centred on the median (Brown-Forsythe); one row: k, n, f, p_value.
+
+    Runs on the (group, value) histogram: |x - median| depends only on the
+    pair, so every sum is a count-weighted sum over distinct pairs.
+    """
+    x = df.select(group, F.col(value).cast("double").alias("v"))
+    per = group_histogram(x, group, "v")
+    med = group_medians(per, group, "v")
+    z = (per.join(broadcast_if_small(med), group)
+         .select(group, "c", F.abs(F.col("v") - F.col("median")).alias("z")))
+    gm = z.groupBy(group).agg(F.sum("c").alias("ng"), (F.sum(F.col("c") * F.col("z")) / F.sum("c")).alias("zg"))
     within = (z.join(broadcast_if_small(gm), group)
-              .agg(F.sum((F.col("z") - F.col("zg")) ** 2).alias("ssw")))
+              .agg(F.sum(F.col("c") * (F.col("z") - F.col("zg")) ** 2).alias("ssw")))
     tot = gm.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
                  (F.sum(F.col("ng") * F.col("zg")) / F.sum("ng")).alias("zbar"))
     between = (gm.crossJoin(F.broadcast(tot))
@@ -244,19 +259,24 @@ def levene(df: DataFrame, group: str, value: str) -> DataFrame:
                     F.sum(F.col("ng") * (F.col("zg") - F.col("zbar")) ** 2).alias("ssb")))
     r = between.crossJoin(within)
     k, n = F.col("k").cast("double"), F.col("n").cast("double")
-    f = (n - k) / (k - 1) * F.col("ssb") / F.col("ssw")
-    return r.select(F.col("k").cast("long").alias("k"), F.col("n").cast("long").alias("n"), f.alias("f"),
-                    tails.f_sf(f, k - 1, n - k).alias("p_value"))
+    # the statistic is a column before the tail reads it (keeps the tail's expression small)
+    r = r.withColumn("f", (n - k) / (k - 1) * F.col("ssb") / F.col("ssw"))
+    return r.select(F.col("k").cast("long").alias("k"), F.col("n").cast("long").alias("n"), "f",
+                    tails.f_sf(F.col("f"), k - 1, n - k).alias("p_value"))
 
 
 # R9, R10 --------------------------------------------------------------------------------
 
 def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Kruskal-Wallis H (tie corrected), chi-square p with k-1 df, epsilon-squared."""
-    x = df.select(group, F.col(value).alias("v")).where(F.col("v").isNotNull())
-    per = x.groupBy(group, "v").agg(F.count(F.lit(1)).alias("c"))
-    ranks = rank_histogram(x, "v").select("v", "t", "rank")
-    j = per.join(broadcast_if_small(ranks), "v")
+    """Kruskal-Wallis H (tie corrected), chi-square p with k-1 df, epsilon-squared.
+
+    Rank sums come from the (group, value) histogram and the pooled mid-ranks.
+    """
+    per = group_histogram(df.select(group, F.col(value).alias("v")), group, "v")
+    pooled = per.groupBy("v").agg(F.sum("c").alias("t"))
+    ranks = running_total(pooled, "v", "t", out_col="cum").withColumn(
+        "rank", F.col("cum") - (F.col("t") - 1) / F.lit(2.0))
+    j = per.join(broadcast_if_small(ranks.select("v", "rank")), "v")
     rs = j.groupBy(group).agg(F.sum("c").alias("ng"), F.sum(F.col("c") * F.col("rank")).alias("rg"))
     s = rs.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
                F.sum(F.col("rg") ** 2 / F.col("ng")).alias("q"))
@@ -264,8 +284,9 @@ def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
     s = s.crossJoin(tie)
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
     h0 = F.lit(12.0) / (n * (n + 1)) * F.col("q") - 3 * (n + 1)
-    h = h0 / (F.lit(1.0) - F.col("tie") / (n * n * n - n))
-    return s.select(F.col("k").cast("long").alias("k"), F.col("n").cast("long").alias("n"), h.alias("h"),
+    s = s.withColumn("h", h0 / (F.lit(1.0) - F.col("tie") / (n * n * n - n)))
+    h = F.col("h")
+    return s.select(F.col("k").cast("long").alias("k"), F.col("n").cast("long").alias("n"), "h",
                     tails.chi2_sf(h, F.col("k") - 1).alias("p_value"),
                     ((h - k + 1) / (n - k)).alias("epsilon_squared"))
 
@@ -276,8 +297,9 @@ def spearman(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
     """Spearman rho per group = Pearson correlation of mid-ranks within the group;
     p from the t statistic with n - 2 df."""
     by = list(by)
-    base = df.select(*by, F.col(x).alias("_x"), F.col(y).alias("_y")).where(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    # three consumers (two rank histograms and the paired ranks): land the pairs once
+    base = cut_lineage(df.select(*by, F.col(x).alias("_x"), F.col(y).alias("_y")).where(
+        F.col("_x").isNotNull() & F.col("_y").isNotNull()))
     rx = rank_histogram(base, "_x", by).select(*by, "_x", F.col("rank").alias("rx"))
     ry = rank_histogram(base, "_y", by).select(*by, "_y", F.col("rank").alias("ry"))
     ranked = base.join(rx, [*by, "_x"]).join(ry, [*by, "_y"])
@@ -287,8 +309,8 @@ def spearman(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
     s = s.withColumn("rho", F.try_divide(F.col("_cov"), F.sqrt(F.col("_vx") * F.col("_vy"))))
     n = F.col("n").cast("double")
     rho = F.col("rho")
-    t = rho * F.sqrt((n - 2) / F.greatest(F.lit(0.0), F.lit(1.0) - rho * rho))
-    p = F.when(F.abs(rho) >= 1, F.lit(0.0)).otherwise(tails.t_sf2(t, F.col("n") - 2))
+    s = s.withColumn("_t", rho * F.sqrt((n - 2) / F.greatest(F.lit(0.0), F.lit(1.0) - rho * rho)))
+    p = F.when(F.abs(rho) >= 1, F.lit(0.0)).otherwise(tails.t_sf2(F.col("_t"), F.col("n") - 2))
     return s.select(*by, "n", "rho", F.when(F.col("n") > 2, p).alias("p_value"))
 
 

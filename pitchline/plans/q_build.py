@@ -12,7 +12,7 @@ from pitchline.operators.keys import append_keys, assign_keys
 from pitchline.plans import contests as C
 from pitchline.plans import oracle as O
 from pitchline.plans.registry import query
-from pitchline.session import scratch_path
+from pitchline.session import cut_lineage, scratch_path
 from pitchline.sources import files as S
 
 # Fixed parameters of the registered queries.
@@ -263,9 +263,11 @@ FACT_HIST_ORDER = ["tournament_year", *FACT_ORDER]
 
 
 def _core_dims(spark, sf_dir):
-    raw = _raw_matches(spark, sf_dir)
+    """The landing table (contests with names, written once to the shared folder)
+    and the dimensions built from it; every fact query builds them once."""
+    raw = cut_lineage(_raw_matches(spark, sf_dir))
     dates = D.date_dimension(_year_ranges(raw, "match_date", "tournament_year"))
-    tours = D.cohort_dimension(C.contests(spark, sf_dir)).withColumnRenamed("cohort", "tournament_year")
+    tours = D.cohort_dimension(raw, "tournament_year", roles=("home_team", "away_team"))
     stage_dim = D.ordered_dimension(raw, "stage", C.stages(spark), "stage_name", "stage_order", "match_date", "stage_id")
     return raw, dates, tours, stage_dim
 
@@ -277,8 +279,8 @@ def _shootouts(raw: DataFrame) -> DataFrame:
         .otherwise(F.col("away_team")).alias("winner")).distinct()
 
 
-def _fact_current(spark, sf_dir):
-    raw, dates, tours, stage_dim = _core_dims(spark, sf_dir)
+def _fact_current(spark, sf_dir, core):
+    raw, dates, tours, stage_dim = core
     cur = raw.select(F.max("tournament_year")).scalar()
     return D.build_fact(raw.where(F.col("tournament_year") == cur).drop("went_to_so"),
                         date_dim=dates, team_dim=C.teams(spark, sf_dir), tournament_dim=tours,
@@ -286,10 +288,10 @@ def _fact_current(spark, sf_dir):
                         shootouts=_shootouts(raw), shootout_keys=SHOOTOUT_KEY)
 
 
-def _fact_full(spark, sf_dir):
-    raw, dates, tours, _ = _core_dims(spark, sf_dir)
+def _fact_full(spark, sf_dir, core):
+    raw, dates, tours, _ = core
     cur = raw.select(F.max("tournament_year")).scalar()
-    current = _fact_current(spark, sf_dir)
+    current = _fact_current(spark, sf_dir, core)
     hist = D.build_fact(raw.where(F.col("tournament_year") < cur).drop("went_to_so", "stage", "venue_city",
                                                                          "venue_country"),
                         date_dim=dates, team_dim=C.teams(spark, sf_dir), tournament_dim=tours,
@@ -344,12 +346,12 @@ fact_hist AS (
 
 @query("fact_star_join", FACT_SQL + "\nSELECT * FROM fact_cur")
 def fact_star_join(spark, sf_dir):
-    return _fact_current(spark, sf_dir)
+    return _fact_current(spark, sf_dir, _core_dims(spark, sf_dir))
 
 
 @query("fact_append_history", FACT_SQL + "\nSELECT * FROM fact_cur UNION ALL SELECT * FROM fact_hist")
 def fact_append_history(spark, sf_dir):
-    return _fact_full(spark, sf_dir)
+    return _fact_full(spark, sf_dir, _core_dims(spark, sf_dir))
 
 
 @query("natural_view", O.with_(O.CONTESTS, O.TEAMS, O.VENUES) + """
@@ -363,8 +365,9 @@ SELECT m.cohort AS tournament_year, m.match_date, ht.team_name AS home_team, awt
 FROM contests m JOIN teams ht ON ht.team_id = m.home_team_id JOIN teams awt ON awt.team_id = m.away_team_id
 JOIN venues v ON v.venue_id = m.venue_id""")
 def natural_view(spark, sf_dir):
-    _, dates, tours, stage_dim = _core_dims(spark, sf_dir)
-    return D.natural_view(_fact_full(spark, sf_dir), dates, tours, C.teams(spark, sf_dir), stage_dim,
+    core = _core_dims(spark, sf_dir)
+    _, dates, tours, stage_dim = core
+    return D.natural_view(_fact_full(spark, sf_dir, core), dates, tours, C.teams(spark, sf_dir), stage_dim,
                           C.venues(spark, sf_dir))
 
 
@@ -412,13 +415,14 @@ UNION ALL SELECT 'dim_tournament', COUNT(*) FROM tours
 UNION ALL SELECT 'dim_team', COUNT(*) FROM teams
 UNION ALL SELECT 'fact_match', (SELECT COUNT(*) FROM fact_cur) + (SELECT COUNT(*) FROM fact_hist)""")
 def full_rebuild(spark, sf_dir):
-    raw, dates, tours, _ = _core_dims(spark, sf_dir)
+    core = _core_dims(spark, sf_dir)
+    raw, dates, tours, _ = core
     root = scratch_path(spark, "rebuild")
     steps = [
         ("dim_date", lambda t: dates),
         ("dim_tournament", lambda t: tours),
         ("dim_team", lambda t: C.teams(spark, sf_dir)),
-        ("fact_match", lambda t: _fact_full(spark, sf_dir)),
+        ("fact_match", lambda t: _fact_full(spark, sf_dir, core)),
     ]
 
     def checks(t):

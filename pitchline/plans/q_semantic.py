@@ -71,6 +71,11 @@ FROM (SELECT tournament_year, {_sql_measures(FORMAT_MEASURES)} FROM {_mart_sql('
 JOIN (SELECT tournament_year, {_sql_measures(UPSET_MEASURES)} FROM {_mart_sql('upset_rate')} m GROUP BY 1) u USING (tournament_year)
 JOIN (SELECT tournament_year, {_sql_measures(BALANCE_MEASURES)} FROM {_mart_sql('competitive_balance')} m GROUP BY 1) b USING (tournament_year)""")
 def measures_by_year(spark, sf_dir):
+    with C.landed_contests(spark, sf_dir):
+        return _measures_by_year(spark, sf_dir)
+
+
+def _measures_by_year(spark, sf_dir):
     f = _spark_measures(M.q_format_comparison(spark, sf_dir), FORMAT_MEASURES, ["tournament_year"])
     u = _spark_measures(M.q_upset_rate(spark, sf_dir), UPSET_MEASURES, ["tournament_year"])
     b = _spark_measures(M.q_competitive_balance(spark, sf_dir), BALANCE_MEASURES, ["tournament_year"])
@@ -82,6 +87,11 @@ SELECT * FROM (SELECT {_sql_measures(UPSET_MEASURES)} FROM {_mart_sql('upset_rat
 CROSS JOIN (SELECT {_sql_measures(GROUP_MEASURES)} FROM {_mart_sql('group_difficulty')} m)
 CROSS JOIN (SELECT {_sql_measures(TRAVEL_MEASURES)} FROM {_mart_sql('travel_rest')} m)""")
 def measures_total(spark, sf_dir):
+    with C.landed_contests(spark, sf_dir):
+        return _measures_total(spark, sf_dir)
+
+
+def _measures_total(spark, sf_dir):
     u = _spark_measures(M.q_upset_rate(spark, sf_dir), UPSET_MEASURES, [])
     g = _spark_measures(M.q_group_difficulty(spark, sf_dir), GROUP_MEASURES, [])
     t = _spark_measures(M.q_travel_rest(spark, sf_dir), TRAVEL_MEASURES, [])
@@ -183,7 +193,8 @@ def _publish(spark, sf_dir) -> str:
         "travel_rest": lambda: M.q_travel_rest(spark, sf_dir),
         "unpivot_roles": lambda: M.q_unpivot_roles(spark, sf_dir),  # not allow-listed: never written
     }
-    P.publish(marts, PUBLISHED, root)
+    with C.landed_contests(spark, sf_dir):
+        P.publish(marts, PUBLISHED, root)
     return root
 
 

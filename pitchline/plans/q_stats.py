@@ -272,6 +272,11 @@ def tail_probabilities(spark, sf_dir):
 
 def validation_results(spark, sf_dir) -> DataFrame:
     """One row per test, numbers and labels built from the row itself; written by S7."""
+    with C.landed_contests(spark, sf_dir):
+        return _validation_results(spark, sf_dir)
+
+
+def _validation_results(spark, sf_dir) -> DataFrame:
     mw = mann_whitney_frame(spark, sf_dir).select(
         F.lit("Competitive Balance").alias("metric_name"),
         F.lit("Mann-Whitney U (two-sided)").alias("test_used"),

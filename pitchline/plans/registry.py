@@ -32,4 +32,4 @@ def current_cohort(spark: SparkSession, sf_dir: str):
 
 
 def cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cohort_dimension(C.contests(spark, sf_dir))
+    return cohort_dimension(C.contests(spark, sf_dir), key_col=None)
