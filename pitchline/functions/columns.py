@@ -72,9 +72,10 @@ def magnitude_label(effect: str | Column, thresholds: tuple[float, float, float]
 
 
 def significance_phrase(p: str | Column, alpha: float = 0.05) -> Column:
-    """Strict p < alpha; p printed with 4 decimals."""
+    """Strict p < alpha on the exact p; p printed with 4 decimals (rounded half up first,
+    so every engine prints the same digits)."""
     pc = col_(p)
-    shown = F.format_string("%.4f", pc)
+    shown = F.format_string("%.4f", round_half_up(pc, 4))
     return (F.when(pc.isNull(), F.lit("p undefined"))
             .when(pc < alpha, F.concat(F.lit(f"statistically significant at alpha={alpha} (p="), shown, F.lit(")")))
             .otherwise(F.concat(F.lit(f"not statistically significant at alpha={alpha} (p="), shown, F.lit(")"))))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from pitchline.operators import marts
 from pitchline.plans import contests as C
 from pitchline.plans import oracle as O
@@ -122,3 +124,35 @@ FROM seq s JOIN venues v ON v.venue_id = s.venue_id
 LEFT JOIN venues pv ON pv.venue_id = s.previous_venue_id""")
 def q_travel_rest(spark, sf_dir):
     return marts.travel_rest(C.order_visits(spark, sf_dir), C.venues(spark, sf_dir))
+
+
+# V12 over the travel mart ----------------------------------------------------------
+
+def _invariants_sql() -> str:
+    from pitchline.plans.registry import ORACLE
+    t = f"({ORACLE['travel_rest']})"
+    return O.with_(O.VENUES) + f"""
+SELECT 'previous match without rest days' AS invariant,
+       CAST(COUNT(*) FILTER (WHERE previous_match_id IS NOT NULL AND rest_days IS NULL) AS BIGINT) AS violations,
+       COUNT(*) FILTER (WHERE previous_match_id IS NOT NULL AND rest_days IS NULL) = 0 AS passed FROM {t} a
+UNION ALL
+SELECT 'previous venue without distance',
+       CAST(COUNT(*) FILTER (WHERE previous_venue_id IS NOT NULL AND distance_km IS NULL) AS BIGINT),
+       COUNT(*) FILTER (WHERE previous_venue_id IS NOT NULL AND distance_km IS NULL) = 0 FROM {t} b
+UNION ALL
+SELECT 'venue without coordinates', CAST(COUNT(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL) AS BIGINT),
+       COUNT(*) FILTER (WHERE latitude IS NULL OR longitude IS NULL) = 0 FROM venues"""
+
+
+@query("post_build_invariants", _invariants_sql())
+def q_post_build_invariants(spark, sf_dir):
+    """A row with a previous match must have a rest gap, a row with a previous
+    venue must have a distance, and every venue must have coordinates."""
+    from pitchline.operators.quality import assert_zero
+    t = q_travel_rest(spark, sf_dir)
+    v = C.venues(spark, sf_dir)
+    return assert_zero([
+        ("previous match without rest days", t, F.col("previous_match_id").isNotNull() & F.col("rest_days").isNull()),
+        ("previous venue without distance", t, F.col("previous_venue_id").isNotNull() & F.col("distance_km").isNull()),
+        ("venue without coordinates", v, F.col("latitude").isNull() | F.col("longitude").isNull()),
+    ])

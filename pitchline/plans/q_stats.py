@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions import tails
-from pitchline.functions.columns import magnitude_label, safe_ratio
+from pitchline.functions.columns import magnitude_label, safe_ratio, significance_phrase
 from pitchline.operators import marts
 from pitchline.operators import stats as R
 from pitchline.plans import contests as C
@@ -316,10 +316,20 @@ def _validation_results(spark, sf_dir) -> DataFrame:
     out = allr.select(
         "metric_name", "test_used", "sample_sizes", rs("statistic", 6).alias("statistic"),
         rs("p_value", 6).alias("p_value"), rs("effect_size", 6).alias("effect_size"), "effect_size_metric",
-        mag.alias("magnitude"), (F.col("p_value") < R.SIGNIFICANCE_ALPHA).alias("significant"))
+        mag.alias("magnitude"), (F.col("p_value") < R.SIGNIFICANCE_ALPHA).alias("significant"),
+        significance_phrase("p_value", R.SIGNIFICANCE_ALPHA).alias("significance"))
     return S.write_results(out, scratch_path(spark, "statistical-validation"))
 
 
+def _sig(p: str) -> str:
+    """R13 phrase in SQL: strict p < alpha; p shown with 4 decimals after half-up rounding."""
+    shown = f"printf('%.4f', CAST(ROUND(CAST(({p}) AS DECIMAL(38,9)), 4) AS DOUBLE))"
+    a = R.SIGNIFICANCE_ALPHA
+    return (f"CASE WHEN ({p}) IS NULL THEN 'p undefined' "
+            f"WHEN ({p}) < {a} THEN 'statistically significant at alpha={a} (p=' || {shown} || ')' "
+            f"ELSE 'not statistically significant at alpha={a} (p=' || {shown} || ')' END")
+
+
 def _validation_sql() -> str:
     def mag(e: str, t3) -> str:
         return (f"CASE WHEN {e} IS NULL THEN NULL WHEN abs({e}) < {t3[0]} THEN 'negligible' "
@@ -332,21 +342,22 @@ def _validation_sql() -> str:
        {q('u', 6)} AS statistic, {q('least(1.0, 2.0 * ' + OS.norm_sf('z') + ')', 6)} AS p_value,
        {q('1.0 - 2.0 * u / (CAST(n1 AS DOUBLE) * n2)', 6)} AS effect_size, 'rank-biserial correlation' AS effect_size_metric,
        {mag('(1.0 - 2.0 * u / (CAST(n1 AS DOUBLE) * n2))', R.RANK_BISERIAL_THRESHOLDS)} AS magnitude,
-       least(1.0, 2.0 * {OS.norm_sf('z')}) < {R.SIGNIFICANCE_ALPHA} AS significant
+       least(1.0, 2.0 * {OS.norm_sf('z')}) < {R.SIGNIFICANCE_ALPHA} AS significant,
+       {_sig("least(1.0, 2.0 * " + OS.norm_sf('z') + ")")} AS significance
 FROM ({mw} SELECT * FROM z) mwq""",
         f"""SELECT 'Upset Rate', 'Fisher''s exact test (two-sided)',
        'decisive_current=' || CAST(a + b AS VARCHAR) || ', decisive_earlier=' || CAST(c + d AS VARCHAR),
        {q('odds_ratio', 6)}, {q('p_value', 6)}, {q('h', 6)}, 'Cohen''s h', {mag('h', R.COHENS_H_THRESHOLDS)},
-       p_value < {R.SIGNIFICANCE_ALPHA}
+       p_value < {R.SIGNIFICANCE_ALPHA}, {_sig("p_value")}
 FROM (SELECT fq.*, 2.0 * asin(sqrt(CAST(a AS DOUBLE) / (a + b))) - 2.0 * asin(sqrt(CAST(c AS DOUBLE) / (c + d))) AS h
       FROM ({_FISHER_RAW}) fq) fx""",
         f"""SELECT 'Confederation Performance', 'Kruskal-Wallis H',
        'k=' || CAST(k AS VARCHAR) || ', n=' || CAST(n AS VARCHAR), {q('h', 6)}, {q('p', 6)}, {q('e', 6)},
-       'epsilon-squared', {mag('e', R.EPSILON_SQUARED_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}
+       'epsilon-squared', {mag('e', R.EPSILON_SQUARED_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")}
 FROM ({KRUSKAL_SQL} SELECT k, n, h, {OS.chi2_sf('h', 'k - 1')} AS p, (h - k + 1) / (CAST(n AS DOUBLE) - k) AS e FROM hh) kq""",
         f"""SELECT 'Expected-vs-Actual Performance ' || CAST(y AS VARCHAR), 'Spearman rank correlation',
        'n=' || CAST(n AS VARCHAR), {q('rho', 6)}, {q('p', 6)}, {q('rho', 6)}, 'Spearman''s rho',
-       {mag('rho', R.SPEARMAN_RHO_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}
+       {mag('rho', R.SPEARMAN_RHO_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")}
 FROM ({SPEARMAN_SQL} SELECT y, n, rho, CASE WHEN n <= 2 THEN NULL WHEN abs(rho) >= 1 THEN 0.0 ELSE {OS.t_sf2('tt', 'n - 2')} END AS p FROM t) sq""",
     ]
     return "\nUNION ALL\n".join(parts)
