@@ -422,7 +422,7 @@ def full_rebuild(spark, sf_dir):
         ("dim_date", lambda t: dates),
         ("dim_tournament", lambda t: tours),
         ("dim_team", lambda t: C.teams(spark, sf_dir)),
-        ("fact_match", lambda t: _fact_full(spark, sf_dir, core)),
+        ("fact_match", lambda t: _fact_full(spark, sf_dir, core), ["tournament_id"]),
     ]
 
     def checks(t):

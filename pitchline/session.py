@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoint files of frames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

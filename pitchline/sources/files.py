@@ -7,6 +7,7 @@ re-running it gives the same table (idempotent). Row counts are taken with
 
 from __future__ import annotations
 
+import datetime
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -53,7 +54,7 @@ def load_with_log(df: DataFrame, target: str, target_table: str, source_file: st
     spark = df.sparkSession
     obs = Observation(f"load_{uuid.uuid4().hex}")
     started = time.time()
-    t0 = spark.sql("SELECT localtimestamp() AS t").first()[0]
+    t0 = datetime.datetime.now()
     loaded = load_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), target, partition_by)
     rows = int(obs.get["rows"])
     duration = time.time() - started
@@ -107,17 +108,21 @@ def write_results(df: DataFrame, path: str) -> DataFrame:
 
 
 def rebuild(spark: SparkSession, root: str,
-            steps: Sequence[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]],
+            steps: Sequence[tuple],
             checks: Callable[[dict[str, DataFrame]], DataFrame] | None = None) -> dict[str, DataFrame]:
     """Build tables in dependency order; each step sees the tables written
     before it (read back from storage, so lineage is cut at every table).
 
+    A step is ``(name, fn)`` or ``(name, fn, partition_by)``; a fact written
+    partitioned by its cohort key gets partition pruning on cohort filters.
     ``checks`` returns a frame with a boolean ``passed`` column; any false
     row raises after the build (the written tables stay for inspection).
     """
     tables: dict[str, DataFrame] = {}
-    for name, fn in steps:
-        tables[name] = load_table(fn(tables), f"{root}/{name}")
+    for step in steps:
+        name, fn = step[0], step[1]
+        part = step[2] if len(step) > 2 else ()
+        tables[name] = load_table(fn(tables), f"{root}/{name}", partition_by=part)
     if checks is not None:
         failed = checks(tables).where(~F.col("passed"))
         if not failed.isEmpty():
