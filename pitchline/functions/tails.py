@@ -94,8 +94,13 @@ def _norm_ppf(p: Column) -> Column:
 
 
 def lgamma(x) -> Column:
-    """ln Gamma(x) for x > 0: Stirling series after shifting x up by 8."""
-    return _let(_c(x).cast("double"), _lgamma)
+    """ln Gamma(x) for x > 0: Stirling series after shifting x up by 8.
+
+    Not let-bound: callers pass plain column arithmetic, and keeping the
+    expression first-order lets whole-stage codegen compile it (Fisher
+    evaluates it on every row of the exploded support).
+    """
+    return _lgamma(_c(x).cast("double"))
 
 
 def _lgamma(x: Column) -> Column:

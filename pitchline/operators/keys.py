@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchline.functions.columns import bounded_broadcast
+from pitchline.functions.columns import bounded_broadcast, broadcast_if_small
 from pitchline.session import default_partitions, shared_root
 
 _POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
@@ -91,6 +91,8 @@ def running_total(hist: DataFrame, value_col: str, weight_col: str, by: Sequence
               .rowsBetween(Window.unboundedPreceding, -1)) if by else \
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("_pid", *by, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    # without groups: one row per partition (bounded); with groups: size-checked
+    offsets = bounded_broadcast(offsets) if not by else broadcast_if_small(offsets)
     return (local.join(offsets, ["_pid", *by])
             .withColumn(out_col, F.col("_off") + F.col("_local"))
             .drop("_pid", "_local", "_off"))

@@ -266,9 +266,15 @@ def _core_dims(spark, sf_dir):
     """The landing table (contests with names, written once to the shared folder)
     and the dimensions built from it; every fact query builds them once."""
     raw = cut_lineage(_raw_matches(spark, sf_dir))
-    dates = D.date_dimension(_year_ranges(raw, "match_date", "tournament_year"))
-    tours = D.cohort_dimension(raw, "tournament_year", roles=("home_team", "away_team"))
-    stage_dim = D.ordered_dimension(raw, "stage", C.stages(spark), "stage_name", "stage_order", "match_date", "stage_id")
+    # dimensions are written as tables: their file sizes give the optimizer
+    # real statistics, so the fact joins broadcast them (size-checked)
+    # instead of shuffling the fact once per dimension
+    dates = S.load_table(D.date_dimension(_year_ranges(raw, "match_date", "tournament_year")),
+                         scratch_path(spark, "dim_date"))
+    tours = S.load_table(D.cohort_dimension(raw, "tournament_year", roles=("home_team", "away_team")),
+                         scratch_path(spark, "dim_tournament"))
+    stage_dim = S.load_table(D.ordered_dimension(raw, "stage", C.stages(spark), "stage_name", "stage_order",
+                                                 "match_date", "stage_id"), scratch_path(spark, "dim_stage"))
     return raw, dates, tours, stage_dim
 
 

@@ -12,12 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchline.functions.columns import broadcast_if_small
 from pitchline.operators import cdc as I
 from pitchline.operators.dimensions import distinct_dimension
 from pitchline.operators.keys import assign_keys
 from pitchline.plans import contests as C
 from pitchline.plans.registry import query
 from pitchline.session import scratch_path
+from pitchline.sources.files import load_table
 from pitchline.streaming import changes as ST
 
 # Fixed parameters of the derived second snapshot.
@@ -45,11 +47,13 @@ def new_snapshot(raw: DataFrame) -> DataFrame:
 
 
 def type_dim(raw: DataFrame) -> DataFrame:
-    return distinct_dimension(raw, ["event_type"], "type_id")
+    """Event-type dimension, written as a table (real size statistics for the joins)."""
+    spark = raw.sparkSession
+    return load_table(distinct_dimension(raw, ["event_type"], "type_id"), scratch_path(spark, "dim_event_type"))
 
 
 def build_events_fact(raw: DataFrame, types: DataFrame) -> DataFrame:
-    f = raw.join(F.broadcast(types), "event_type")  # one row per event type
+    f = raw.join(broadcast_if_small(types), "event_type")
     return assign_keys(f, ["ts", "event_id"], "event_sk").select(*FACT_COLS)
 
 
