@@ -36,6 +36,7 @@ SW_SMALL_SD = [1.3822, -0.77857, 0.062767, -0.0020322]
 SW_LARGE_MEAN = [-1.5861, -0.31082, -0.083751, 0.0038915]
 SW_LARGE_SD = [-0.4803, -0.082676, 0.0030302]
 SW_MIN_N, SW_MAX_N = 3, 5000
+FISHER_CHUNK = 1 << 16  # support values per task slice
 
 
 def _poly(x: Column, coeffs: list[float]) -> Column:
@@ -190,7 +191,14 @@ def fisher_exact(table: DataFrame) -> DataFrame:
     base = table.select("a", "b", "c", "d", (a + b).alias("r1"), (a + c).alias("c1"), (a + b + c + d).alias("nn"))
     lo = F.greatest(F.lit(0), F.col("r1") + F.col("c1") - F.col("nn"))
     hi = F.least(F.col("r1"), F.col("c1"))
-    sup = base.select("*", F.explode(F.sequence(lo, hi)).alias("k"))
+    # the support grows with the counts: explode chunk starts first and spread
+    # the chunks over tasks, so no task enumerates the whole support
+    starts = (base.withColumn("_hi", hi)
+              .select("*", F.explode(F.sequence(lo, hi, F.lit(FISHER_CHUNK).cast("long")))
+                      .alias("_k0"))
+              .repartition("_k0"))
+    sup = starts.select(*base.columns, F.explode(F.sequence(
+        F.col("_k0"), F.least(F.col("_k0") + FISHER_CHUNK - 1, F.col("_hi")))).alias("k"))
 
     def lchoose(n, k):
         return tails.lgamma(n + 1) - tails.lgamma(k + 1) - tails.lgamma(n - k + 1)

@@ -107,3 +107,11 @@ def test_labels_and_phrases(spark):
     assert got == ["small", "negligible", "large", "medium", None]
     ph = spark.createDataFrame([(0.05,), (0.0499,)], "p double").select(significance_phrase("p").alias("s")).collect()
     assert ph[0].s.startswith("not statistically significant") and "(p=0.0499)" in ph[1].s
+
+
+def test_fisher_support_split_across_chunks(spark, monkeypatch):
+    t = spark.createDataFrame([(90000, 70000, 60000, 40000)], "a long, b long, c long, d long")
+    chunked = R.fisher_exact(t).first()
+    monkeypatch.setattr(R, "FISHER_CHUNK", 1 << 22)
+    whole = R.fisher_exact(t).first()
+    assert abs(chunked.p_value - whole.p_value) < 1e-12 and chunked.odds_ratio == whole.odds_ratio
