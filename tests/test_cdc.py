@@ -95,3 +95,22 @@ def test_clean_start_guard(spark):
     raw = _raw(spark, [(1, "A", "B", 1, 0), (1000001, "A", "B", 1, 0)])
     st = I.assert_clean(raw.limit(0), raw, F.col("match_id") > 1000000).first()
     assert not st.clean and st.marker_rows == 1
+
+
+def test_scheduled_trigger_runs_and_stops(spark):
+    src, root, ckpt = (scratch_path(spark, n) for n in ("src", "root", "ckpt"))
+    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"))
+    schema = "k long, v double, change_type string"
+    spark.createDataFrame([(1, 3.0, "UPDATE")], schema).write.mode("append").parquet(src)
+
+    def apply(state, ch):
+        return I.apply_updates(state, ch, ["k"], ["v"]), ch.limit(0).select("k", "change_type",
+                                                                             F.lit("").alias("reason"))
+
+    # a short interval: processAllAvailable returns after a trigger finds no new data
+    q = ST.run_incremental(spark, src, schema, ckpt, root, apply, every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert ST.read_current(spark, root).first().v == 3.0
