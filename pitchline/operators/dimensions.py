@@ -24,7 +24,8 @@ def date_dimension(ranges: DataFrame, min_col: str = "min_date", max_col: str =
     """
     days = (ranges.select(F.explode(F.sequence(F.to_date(min_col), F.to_date(max_col))).alias("full_date"))
             .distinct())
-    keyed = assign_keys(days, ["full_date"], key_col)
+    # one row per calendar day of the covered span: bounded by the span, not the data
+    keyed = assign_keys(days, ["full_date"], key_col, bounded=True)
     d = F.col("full_date")
     return keyed.select(key_col, "full_date", F.year(d).alias("year"), F.month(d).alias("month"),
                         F.dayofmonth(d).alias("day"), F.dayname(d).alias("day_of_week"))
@@ -103,7 +104,7 @@ def cohort_dimension(matches: DataFrame, cohort_col: str = "cohort", roles: Sequ
     label = F.concat(F.col("team_count").cast("string"), F.lit("-team")).alias("format_label")
     if key_col is None:
         return sized.select(cohort_col, "team_count", label)
-    keyed = assign_keys(sized, [cohort_col], key_col)
+    keyed = assign_keys(sized, [cohort_col], key_col, bounded=True)  # one row per cohort (year)
     return keyed.select(key_col, cohort_col, "team_count", label)
 
 

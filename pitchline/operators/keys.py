@@ -40,12 +40,18 @@ def range_sorted(df: DataFrame, order_cols: Sequence[str | Column], num_partitio
 
 
 def assign_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str = "id",
-                start: int | Column = 1, num_partitions: int | None = None) -> DataFrame:
+                start: int | Column = 1, num_partitions: int | None = None, bounded: bool = False) -> DataFrame:
     """K1: dense 1-based row numbers in the given (total) order.
 
     ``start`` may be a literal or a column (K2 passes max+1 as a column of a
-    one-row frame already joined in).
+    one-row frame already joined in). ``bounded=True`` is for inputs whose
+    size cannot grow with the data (days of a calendar span, years): a plain
+    ``row_number`` window, no range partitioning and no checkpoint.
     """
+    if bounded:
+        start_c = start if isinstance(start, Column) else F.lit(start)
+        w = Window.orderBy(*_cols(order_cols))
+        return df.withColumn(key_col, (F.row_number().over(w) - 1 + start_c).cast("long"))
     n = num_partitions or default_partitions(df.sparkSession)
     ranged = range_sorted(df, order_cols, n).withColumn("_mid", F.monotonically_increasing_id())
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
