@@ -92,3 +92,19 @@ def test_publish_only_allowlisted(spark):
     assert {r.view_name for r in P.publish_report(spark, root, ["a", "b"]).collect()} == {"a", "b"}
     with pytest.raises(KeyError):
         P.publish({"a": mart("a")}, ["zzz"], root)
+
+
+def test_bucketed_partners_join_without_shuffle(spark):
+    orders = spark.range(0, 2000).select(F.col("id").alias("ok"), (F.col("id") % 7).alias("cust"))
+    lines = spark.range(0, 8000).select((F.col("id") % 2000).alias("ok"), F.col("id").alias("ln"))
+    o = S.load_bucketed(orders, "bk_orders", ["ok"], 4, scratch_path(spark, "bk_orders"))
+    li = S.load_bucketed(lines, "bk_lines", ["ok"], 4, scratch_path(spark, "bk_lines"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the plan shape at scale
+    try:
+        j = li.join(o, "ok")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == 8000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
