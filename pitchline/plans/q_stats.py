@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions import tails
-from pitchline.functions.columns import magnitude_label, safe_ratio, significance_phrase
+from pitchline.functions.columns import magnitude_label, round_half_up, safe_ratio, significance_phrase
 from pitchline.operators import marts
 from pitchline.operators import stats as R
 from pitchline.plans import contests as C
@@ -170,7 +170,7 @@ REGION_DIFF_SQL = O.with_(O.CONTESTS, O.TEAMS, O.UNPIVOT) + f"""
         FROM team_matches tm JOIN teams t ON t.team_id = tm.team_id WHERE tm.cohort = {O.CURRENT})"""
 
 
-@query("levene", REGION_DIFF_SQL + f"""
+LEVENE_SQL = REGION_DIFF_SQL + """
 , med AS (SELECT g, median(v) AS md FROM x GROUP BY g),
 z AS (SELECT x.g, abs(v - md) AS z FROM x JOIN med USING (g)),
 gm AS (SELECT g, COUNT(*) AS ng, AVG(z) AS zg FROM z GROUP BY g),
@@ -178,7 +178,10 @@ tot AS (SELECT COUNT(*) AS k, SUM(ng) AS n, SUM(ng * zg) / SUM(ng) AS zbar FROM
 ssb AS (SELECT SUM(ng * (zg - zbar) * (zg - zbar)) AS ssb FROM gm, tot),
 ssw AS (SELECT SUM((z - zg) * (z - zg)) AS ssw FROM z JOIN gm USING (g)),
 f AS (SELECT CAST(k AS BIGINT) AS k, CAST(n AS BIGINT) AS n,
-             (CAST(n AS DOUBLE) - k) / (CAST(k AS DOUBLE) - 1) * ssb / ssw AS f FROM tot, ssb, ssw)
+             (CAST(n AS DOUBLE) - k) / (CAST(k AS DOUBLE) - 1) * ssb / ssw AS f FROM tot, ssb, ssw)"""
+
+
+@query("levene", LEVENE_SQL + f"""
 SELECT k, n, {q('f')} AS f, {q(OS.f_sf_even_d1('f', 'k - 1', 'n - k'))} AS p_value FROM f""")
 def levene(spark, sf_dir):
     r = R.levene(region_goal_diff(spark, sf_dir), "confederation_name", "goal_diff")
@@ -276,8 +279,22 @@ def validation_results(spark, sf_dir) -> DataFrame:
         return _validation_results(spark, sf_dir)
 
 
+def _fmt4(c: str) -> Column:
+    """p printed with 4 decimals after half-up rounding (identical text in every engine)."""
+    return F.format_string("%.4f", round_half_up(c, 4))
+
+
 def _validation_results(spark, sf_dir) -> DataFrame:
-    mw = mann_whitney_frame(spark, sf_dir).select(
+    cur = current_cohort(spark, sf_dir)
+    jb = R.jarque_bera(_abs_diff(spark, sf_dir).withColumn("g", F.col("cohort") == cur), "abs_diff", ["g"])
+    jb = jb.agg(F.max(F.when(F.col("g"), F.col("p_value"))).alias("jb_cur"),
+                F.max(F.when(~F.col("g"), F.col("p_value"))).alias("jb_old"))
+    mw_check = F.concat(F.lit("Jarque-Bera p current="), _fmt4("jb_cur"), F.lit(", earlier="), _fmt4("jb_old"),
+                        F.when(F.least("jb_cur", "jb_old") < R.SIGNIFICANCE_ALPHA,
+                               F.lit(" - normality rejected, rank test used"))
+                        .otherwise(F.lit(" - normality not rejected, rank test used regardless")))
+    mw = mann_whitney_frame(spark, sf_dir).crossJoin(jb).select(
+        mw_check.alias("assumption_check"),
         F.lit("Competitive Balance").alias("metric_name"),
         F.lit("Mann-Whitney U (two-sided)").alias("test_used"),
         F.concat(F.lit("n_current="), F.col("n1").cast("string"), F.lit(", n_earlier="),
@@ -286,20 +303,29 @@ def _validation_results(spark, sf_dir) -> DataFrame:
         F.lit("rank-biserial correlation").alias("effect_size_metric"),
         F.lit(R.RANK_BISERIAL_THRESHOLDS[0]).alias("_t0"))
     t = upset_table(spark, sf_dir)
-    fe = R.fisher_exact(t)
+    fe = R.fisher_exact(t).crossJoin(t.select("min_expected"))
     p1, p2 = safe_ratio("a", F.col("a") + F.col("b")), safe_ratio("c", F.col("c") + F.col("d"))
+    fi_check = F.concat(F.lit("minimum expected cell count = "),
+                        F.format_string("%.1f", round_half_up("min_expected", 1)),
+                        F.when(F.col("min_expected") < 5, F.lit(" - below 5, exact test required"))
+                        .otherwise(F.lit(" - at or above 5, chi-square would also be valid")))
     fi = fe.select(
+        fi_check.alias("assumption_check"),
         F.lit("Upset Rate").alias("metric_name"), F.lit("Fisher's exact test (two-sided)").alias("test_used"),
         F.concat(F.lit("decisive_current="), (F.col("a") + F.col("b")).cast("string"), F.lit(", decisive_earlier="),
                  (F.col("c") + F.col("d")).cast("string")).alias("sample_sizes"),
         F.col("odds_ratio").alias("statistic"), "p_value", R.cohens_h(p1, p2).alias("effect_size"),
         F.lit("Cohen's h").alias("effect_size_metric"), F.lit(R.COHENS_H_THRESHOLDS[0]).alias("_t0"))
-    kw = R.kruskal(region_goal_diff(spark, sf_dir), "confederation_name", "goal_diff").select(
+    lev = R.levene(region_goal_diff(spark, sf_dir), "confederation_name", "goal_diff").select(
+        F.col("p_value").alias("levene_p"))
+    kw = R.kruskal(region_goal_diff(spark, sf_dir), "confederation_name", "goal_diff").crossJoin(lev).select(
+        F.concat(F.lit("Levene p="), _fmt4("levene_p"), F.lit(" - reported as context")).alias("assumption_check"),
         F.lit("Confederation Performance").alias("metric_name"), F.lit("Kruskal-Wallis H").alias("test_used"),
         F.concat(F.lit("k="), F.col("k").cast("string"), F.lit(", n="), F.col("n").cast("string")).alias("sample_sizes"),
         F.col("h").alias("statistic"), "p_value", F.col("epsilon_squared").alias("effect_size"),
         F.lit("epsilon-squared").alias("effect_size_metric"), F.lit(R.EPSILON_SQUARED_THRESHOLDS[0]).alias("_t0"))
     sp = spearman_frame(spark, sf_dir).select(
+        F.lit("rank-based, no distribution assumed").alias("assumption_check"),
         F.concat(F.lit("Expected-vs-Actual Performance "), F.col("tournament_year").cast("string")).alias("metric_name"),
         F.lit("Spearman rank correlation").alias("test_used"),
         F.concat(F.lit("n="), F.col("n").cast("string")).alias("sample_sizes"),
@@ -314,13 +340,27 @@ def _validation_results(spark, sf_dir) -> DataFrame:
         mag = F.when(F.col("effect_size_metric") == metric, lab) if mag is None else \
             mag.when(F.col("effect_size_metric") == metric, lab)
     out = allr.select(
-        "metric_name", "test_used", "sample_sizes", rs("statistic", 6).alias("statistic"),
+        "metric_name", "test_used", "assumption_check", "sample_sizes", rs("statistic", 6).alias("statistic"),
         rs("p_value", 6).alias("p_value"), rs("effect_size", 6).alias("effect_size"), "effect_size_metric",
         mag.alias("magnitude"), (F.col("p_value") < R.SIGNIFICANCE_ALPHA).alias("significant"),
         significance_phrase("p_value", R.SIGNIFICANCE_ALPHA).alias("significance"))
     return S.write_results(out, scratch_path(spark, "statistical-validation"))
 
 
+def _f(p: str, d: int = 4) -> str:
+    return f"printf('%.{d}f', CAST(ROUND(CAST(({p}) AS DECIMAL(38,9)), {d}) AS DOUBLE))"
+
+
+JB_ABS_SQL = O.with_(O.CONTESTS) + f"""
+, x AS (SELECT CAST(ABS(home_score - away_score) AS DOUBLE) AS v, cohort = {O.CURRENT} AS g FROM contests),
+m AS (SELECT g, AVG(v) AS mu FROM x GROUP BY g),
+mo AS (SELECT x.g, COUNT(*) AS n, AVG(pow(v - mu, 2)) AS m2, AVG(pow(v - mu, 3)) AS m3, AVG(pow(v - mu, 4)) AS m4
+       FROM x JOIN m USING (g) GROUP BY 1),
+s AS (SELECT g, n, m3 / pow(m2, 1.5) AS sk, m4 / (m2 * m2) - 3.0 AS ku FROM mo),
+jp AS (SELECT g, exp(-(n / 6.0 * (sk * sk + ku * ku / 4.0)) / 2.0) AS p FROM s)
+SELECT MAX(CASE WHEN g THEN p END) AS jb_cur, MAX(CASE WHEN NOT g THEN p END) AS jb_old FROM jp"""
+
+
 def _sig(p: str) -> str:
     """R13 phrase in SQL: strict p < alpha; p shown with 4 decimals after half-up rounding."""
     shown = f"printf('%.4f', CAST(ROUND(CAST(({p}) AS DECIMAL(38,9)), 4) AS DOUBLE))"
@@ -343,21 +383,31 @@ def _validation_sql() -> str:
        {q('1.0 - 2.0 * u / (CAST(n1 AS DOUBLE) * n2)', 6)} AS effect_size, 'rank-biserial correlation' AS effect_size_metric,
        {mag('(1.0 - 2.0 * u / (CAST(n1 AS DOUBLE) * n2))', R.RANK_BISERIAL_THRESHOLDS)} AS magnitude,
        least(1.0, 2.0 * {OS.norm_sf('z')}) < {R.SIGNIFICANCE_ALPHA} AS significant,
-       {_sig("least(1.0, 2.0 * " + OS.norm_sf('z') + ")")} AS significance
-FROM ({mw} SELECT * FROM z) mwq""",
+       {_sig("least(1.0, 2.0 * " + OS.norm_sf('z') + ")")} AS significance,
+       'Jarque-Bera p current=' || {_f('jb_cur')} || ', earlier=' || {_f('jb_old')}
+       || CASE WHEN least(jb_cur, jb_old) < {R.SIGNIFICANCE_ALPHA} THEN ' - normality rejected, rank test used'
+               ELSE ' - normality not rejected, rank test used regardless' END AS assumption_check
+FROM ({mw} SELECT * FROM z) mwq CROSS JOIN ({JB_ABS_SQL}) jbq""",
         f"""SELECT 'Upset Rate', 'Fisher''s exact test (two-sided)',
        'decisive_current=' || CAST(a + b AS VARCHAR) || ', decisive_earlier=' || CAST(c + d AS VARCHAR),
        {q('odds_ratio', 6)}, {q('p_value', 6)}, {q('h', 6)}, 'Cohen''s h', {mag('h', R.COHENS_H_THRESHOLDS)},
-       p_value < {R.SIGNIFICANCE_ALPHA}, {_sig("p_value")}
-FROM (SELECT fq.*, 2.0 * asin(sqrt(CAST(a AS DOUBLE) / (a + b))) - 2.0 * asin(sqrt(CAST(c AS DOUBLE) / (c + d))) AS h
+       p_value < {R.SIGNIFICANCE_ALPHA}, {_sig("p_value")},
+       'minimum expected cell count = ' || {_f('me', 1)}
+       || CASE WHEN me < 5 THEN ' - below 5, exact test required'
+               ELSE ' - at or above 5, chi-square would also be valid' END
+FROM (SELECT fq.*, least(CAST(a + b AS DOUBLE) * (a + c) / (a + b + c + d), CAST(a + b AS DOUBLE) * (b + d) / (a + b + c + d),
+                         CAST(c + d AS DOUBLE) * (a + c) / (a + b + c + d), CAST(c + d AS DOUBLE) * (b + d) / (a + b + c + d)) AS me, 2.0 * asin(sqrt(CAST(a AS DOUBLE) / (a + b))) - 2.0 * asin(sqrt(CAST(c AS DOUBLE) / (c + d))) AS h
       FROM ({_FISHER_RAW}) fq) fx""",
         f"""SELECT 'Confederation Performance', 'Kruskal-Wallis H',
        'k=' || CAST(k AS VARCHAR) || ', n=' || CAST(n AS VARCHAR), {q('h', 6)}, {q('p', 6)}, {q('e', 6)},
-       'epsilon-squared', {mag('e', R.EPSILON_SQUARED_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")}
-FROM ({KRUSKAL_SQL} SELECT k, n, h, {OS.chi2_sf('h', 'k - 1')} AS p, (h - k + 1) / (CAST(n AS DOUBLE) - k) AS e FROM hh) kq""",
+       'epsilon-squared', {mag('e', R.EPSILON_SQUARED_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")},
+       'Levene p=' || {_f('levene_p')} || ' - reported as context'
+FROM ({KRUSKAL_SQL} SELECT k, n, h, {OS.chi2_sf('h', 'k - 1')} AS p, (h - k + 1) / (CAST(n AS DOUBLE) - k) AS e FROM hh) kq
+CROSS JOIN ({LEVENE_SQL} SELECT {OS.f_sf_even_d1('f', 'k - 1', 'n - k')} AS levene_p FROM f) lq""",
         f"""SELECT 'Expected-vs-Actual Performance ' || CAST(y AS VARCHAR), 'Spearman rank correlation',
        'n=' || CAST(n AS VARCHAR), {q('rho', 6)}, {q('p', 6)}, {q('rho', 6)}, 'Spearman''s rho',
-       {mag('rho', R.SPEARMAN_RHO_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")}
+       {mag('rho', R.SPEARMAN_RHO_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")},
+       'rank-based, no distribution assumed'
 FROM ({SPEARMAN_SQL} SELECT y, n, rho, CASE WHEN n <= 2 THEN NULL WHEN abs(rho) >= 1 THEN 0.0 ELSE {OS.t_sf2('tt', 'n - 2')} END AS p FROM t) sq""",
     ]
     return "\nUNION ALL\n".join(parts)
