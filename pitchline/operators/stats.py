@@ -246,14 +246,18 @@ def group_medians(hist: DataFrame, group: str, value: str, count: str = "c") ->
           + F.max(F.when(covers(hi_pos), F.col(value).cast("double")))) / 2).alias("median"))
 
 
-def levene(df: DataFrame, group: str, value: str) -> DataFrame:
+def value_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
+    """The (group, v, c) histogram Levene and Kruskal read; build once to share it."""
+    return group_histogram(df.select(group, F.col(value).cast("double").alias("v")), group, "v")
+
+
+def levene(df: DataFrame, group: str, value: str, hist: DataFrame | None = None) -> DataFrame:
     """Levene's test centred on the median (Brown-Forsythe); one row: k, n, f, p_value.
 
     Runs on the (group, value) histogram: |x - median| depends only on the
     pair, so every sum is a count-weighted sum over distinct pairs.
     """
-    x = df.select(group, F.col(value).cast("double").alias("v"))
-    per = group_histogram(x, group, "v")
+    per = hist if hist is not None else value_histogram(df, group, value)
     med = group_medians(per, group, "v")
     z = (per.join(broadcast_if_small(med), group)
          .select(group, "c", F.abs(F.col("v") - F.col("median")).alias("z")))
@@ -275,12 +279,12 @@ def levene(df: DataFrame, group: str, value: str) -> DataFrame:
 
 # R9, R10 --------------------------------------------------------------------------------
 
-def kruskal(df: DataFrame, group: str, value: str) -> DataFrame:
+def kruskal(df: DataFrame, group: str, value: str, hist: DataFrame | None = None) -> DataFrame:
     """Kruskal-Wallis H (tie corrected), chi-square p with k-1 df, epsilon-squared.
 
     Rank sums come from the (group, value) histogram and the pooled mid-ranks.
     """
-    per = group_histogram(df.select(group, F.col(value).alias("v")), group, "v")
+    per = hist if hist is not None else value_histogram(df, group, value)
     pooled = per.groupBy("v").agg(F.sum("c").alias("t"))
     ranks = running_total(pooled, "v", "t", out_col="cum").withColumn(
         "rank", F.col("cum") - (F.col("t") - 1) / F.lit(2.0))

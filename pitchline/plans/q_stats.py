@@ -316,9 +316,10 @@ def _validation_results(spark, sf_dir) -> DataFrame:
                  (F.col("c") + F.col("d")).cast("string")).alias("sample_sizes"),
         F.col("odds_ratio").alias("statistic"), "p_value", R.cohens_h(p1, p2).alias("effect_size"),
         F.lit("Cohen's h").alias("effect_size_metric"), F.lit(R.COHENS_H_THRESHOLDS[0]).alias("_t0"))
-    lev = R.levene(region_goal_diff(spark, sf_dir), "confederation_name", "goal_diff").select(
-        F.col("p_value").alias("levene_p"))
-    kw = R.kruskal(region_goal_diff(spark, sf_dir), "confederation_name", "goal_diff").crossJoin(lev).select(
+    diffs = region_goal_diff(spark, sf_dir)
+    hist = R.value_histogram(diffs, "confederation_name", "goal_diff")  # one histogram for both tests
+    lev = R.levene(diffs, "confederation_name", "goal_diff", hist=hist).select(F.col("p_value").alias("levene_p"))
+    kw = R.kruskal(diffs, "confederation_name", "goal_diff", hist=hist).crossJoin(lev).select(
         F.concat(F.lit("Levene p="), _fmt4("levene_p"), F.lit(" - reported as context")).alias("assumption_check"),
         F.lit("Confederation Performance").alias("metric_name"), F.lit("Kruskal-Wallis H").alias("test_used"),
         F.concat(F.lit("k="), F.col("k").cast("string"), F.lit(", n="), F.col("n").cast("string")).alias("sample_sizes"),
