@@ -54,10 +54,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that exact dedup keeps, with their columns unchanged.
 
-    A document goes only if its id is listed as a dropped member, so the texts
-    themselves are not shuffled again: the losers' ids are the narrow side.
-    Ids are expected to be unique here; a repeated id goes if any row with it goes.
+    The dropped members' (id, content hash) pairs are the narrow side of an
+    anti join, so a repeated id with another text stays.
     """
     losers = (exact_dedup(docs, id_col, text_col).where(~F.col("kept"))
-              .select(F.col(id_col).alias("__loser")).distinct())
-    return docs.join(losers, F.col(id_col).eqNullSafe(F.col("__loser")), "left_anti")
+              .select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).distinct())
+    here = F.sha2(normalised(text_col), 256)
+    return docs.join(losers, F.col(id_col).eqNullSafe(F.col("__id")) & (here == F.col("__sha")), "left_anti")
