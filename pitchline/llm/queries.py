@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import common, exact_dedup
+from pitchline.llm import common, exact_dedup, simhash, url_rules
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -23,6 +23,35 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_simhash_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_dedup(common.table(spark, sf_dir, "documents"))
+
+
+_SPAM = "|".join(p.name for p in url_rules.SPAM_PATTERNS)
+
+
+@query("op2_url_filter", f"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                  regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+     r AS (SELECT *, '.' || host AS dotted FROM p),
+     m AS (SELECT page_id, host, path,
+                  CASE WHEN ends_with(dotted, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                       WHEN ends_with(dotted, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+                       WHEN ends_with(dotted, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+                       WHEN ends_with(dotted, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+                       WHEN ends_with(dotted, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule,
+                  regexp_matches(host, '(^|[^a-z0-9])({_SPAM})([^a-z0-9]|$)') AS spam FROM r)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN spam THEN 'block' ELSE 'allow' END AS verdict
+FROM m
+""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(common.table(spark, sf_dir, "pages")).drop("matched_pattern")
+
+
 @query("op7_exact_dedup", """
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS norm FROM documents),
      g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
