@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import common, exact_dedup, simhash, url_rules
+from pitchline.llm import bpe, common, exact_dedup, simhash, url_rules
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -52,6 +52,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(common.table(spark, sf_dir, "pages")).drop("matched_pattern")
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op6_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path()
+    back = bpe.decode(bpe.encode(common.table(spark, sf_dir, "documents"), path), path)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"))
+
+
 @query("op7_exact_dedup", """
 WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS norm FROM documents),
      g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
