@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import bpe, common, exact_dedup, simhash, url_rules
+from pitchline.llm import bpe, common, exact_dedup, secrets, simhash, toxicity, url_rules
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -52,6 +52,22 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(common.table(spark, sf_dir, "pages")).drop("matched_pattern")
 
 
+@query("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return secrets.scan(common.table(spark, sf_dir, "documents")).select(
+        "doc_id", *[secrets.count_kind(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (common.crc32_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")
