@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import bpe, common, exact_dedup, secrets, simhash, toxicity, url_rules
+from pitchline.llm import bpe, common, exact_dedup, pu_quality, secrets, simhash, toxicity, url_rules
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -90,3 +90,11 @@ FROM d JOIN g ON d.norm = g.norm
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(common.table(spark, sf_dir, "documents"))
+
+
+@query("op10_pu_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    model = pu_quality.train(docs, common.table(spark, sf_dir, "labels"))
+    return pu_quality.score(docs, model).select(
+        "doc_id", (common.crc32_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")

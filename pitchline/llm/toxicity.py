@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import broadcast_if_small
-from pitchline.llm.common import crc32_fold, row_slices, text_or_empty
+from pitchline.llm.common import crc32_fold, land, row_slices, text_or_empty
 
 TERM = re.compile(r"[^\W_]+")
 
@@ -70,7 +70,7 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, buckets: int, base_rate: float, k: int = 8,
-        rounds: int = 60, step: float = 0.1, l2: float = 1e-3, min_rows: int = 3, seed: int = 7) -> FactorizationMachine:
+        rounds: int = 40, step: float = 0.1, l2: float = 10.0, min_rows: int = 5, seed: int = 7) -> FactorizationMachine:
     """Full-batch Adam on the logistic loss; the bias is moved to ``base_rate`` after training on balanced classes.
 
     Terms of fewer than ``min_rows`` sample rows keep weight and factors zero.
@@ -101,7 +101,7 @@ def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, buckets: int, b
         g = balance * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / n
         per = g[row]
         dv = np.stack([np.bincount(col, per * (s[row, f] - v[:, f]), m) for f in range(k)], axis=1)
-        grads = [np.array([g.sum()]), np.bincount(col, per, m) + l2 * p[1] / n, dv + 10 * l2 * p[2] / n]
+        grads = [np.array([g.sum()]), np.bincount(col, per, m) + l2 * p[1] / n, dv + l2 * p[2] / n]
         for x, d, a, b in zip(p, grads, first, second):
             a += 0.1 * (d - a)
             b += 0.01 * (d * d - b)
@@ -136,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     if not seen:
         return fit(np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0), buckets, 0.5)
     pick = [known.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(per_class) for c in (0, 1)]
-    sample = broadcast_if_small(pick[0].unionByName(pick[1]))  # 2 * per_class rows at most
+    sample = broadcast_if_small(land(pick[0].unionByName(pick[1]), "toxicity-sample"))  # 2 * per_class rows at most
     texts = (docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
              .join(sample, "id").select("label", "text"))
     rows = _hashed(texts, buckets).toArrow()
