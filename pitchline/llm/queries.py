@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import bpe, common, exact_dedup, pu_quality, secrets, simhash, toxicity, url_rules
+from pitchline.llm import bpe, common, exact_dedup, mixing, pu_quality, quality_rules, secrets, simhash, toxicity, url_rules
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -92,6 +92,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(common.table(spark, sf_dir, "documents"))
 
 
+@query("op8_mix_to_targets")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", "mix.*")
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(common.table(spark, sf_dir, "documents")).drop("word_distance", "class_distance")
+
+
 @query("op10_pu_quality")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
