@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import bpe, common, exact_dedup, mixing, pu_quality, quality_rules, secrets, simhash, toxicity, url_rules
+from pitchline.llm import bpe, common, exact_dedup, mixing, pu_quality, quality_rules, secrets, simhash, toxicity, url_rules, wrapper
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -52,6 +52,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(common.table(spark, sf_dir, "pages")).drop("matched_pattern")
 
 
+@query("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper.extract_main_text(common.table(spark, sf_dir, "pages"))
+
+
 @query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] != "novel")
