@@ -363,3 +363,10 @@ def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
     rows = encoded.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), empty).alias("ids"))
     return (rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, text string")
             .withColumnRenamed("id", id_col))
+
+
+def digests(decoded: DataFrame, *more: str, id_col: str = "doc_id") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) and the columns ``more`` of a decoded frame."""
+    return decoded.select(id_col, *more, F.size("ids").cast("long").alias("n_tokens"),
+                          F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                          F.sha2("text", 256).alias("decoded_sha256"))

@@ -60,4 +60,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     losers = (exact_dedup(docs, id_col, text_col).where(~F.col("kept"))
               .select(F.col(id_col).alias("__id"), F.col("text_sha256").alias("__sha")).distinct())
     here = F.sha2(normalised(text_col), 256)
-    return docs.join(losers, F.col(id_col).eqNullSafe(F.col("__id")) & (here == F.col("__sha")), "left_anti")
+    return docs.join(losers, docs[id_col].eqNullSafe(losers["__id"]) & (here == losers["__sha"]), "left_anti")

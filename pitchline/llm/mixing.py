@@ -45,12 +45,12 @@ def count_tokens(text: Column) -> Column:
 
 def described(docs: DataFrame, text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
               topic: Column | None = None) -> DataFrame:
-    """``docs`` plus the struct ``mix``(source, lang, topic, n_tokens); NULL dimensions become ''."""
+    """``docs`` plus the struct ``__mix``(source, lang, topic, n_tokens); NULL dimensions become ''."""
     text = text_or_empty(text_col)
     tokens = count_tokens(text)
     kind = topic if topic is not None else topic_of(text, tokens)
     named = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    return docs.withColumn("mix", F.struct(named(F.col(source_col)).alias("source"),
+    return docs.withColumn("__mix", F.struct(named(F.col(source_col)).alias("source"),
                                            named(F.col(lang_col)).alias("lang"),
                                            named(kind).alias("topic"), tokens.alias("n_tokens")))
 
@@ -93,10 +93,11 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     raise ValueError(f"raking did not reach the target marginals in {max_rounds} rounds (gap {gap:g})")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        lang_col: str = "lang", topic: Column | None = None, targets: Mapping[str, Mapping[str, float]] | None = None,
-        power: float = 0.8, keep_share: float = 1.0, seed: int = 8, tolerance: float = 1e-6) -> DataFrame:
-    """``docs`` plus ``mix`` (its cell, n_tokens, ratio, probability, kept).
+def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+            lang_col: str = "lang", topic: Column | None = None,
+            targets: Mapping[str, Mapping[str, float]] | None = None, power: float = 0.9, keep_share: float = 1.0,
+            seed: int = 8, tolerance: float = 1e-6) -> DataFrame:
+    """``docs`` plus the struct ``__mix`` (source, lang, topic, n_tokens, ratio, probability, kept).
 
     ``targets`` maps a dimension to {value: share}; a dimension without one
     gets its own token shares to the ``power``. Values missing in a given
@@ -107,8 +108,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     gives an empty result.
     """
     spark, rows = docs.sparkSession, described(docs, text_col, source_col, lang_col, topic)
-    cells = land(rows.groupBy(*[F.col(f"mix.{d}").alias(d) for d in DIMENSIONS])
-                 .agg(F.sum("mix.n_tokens").alias("tokens")), "mix-cells")
+    cells = land(rows.groupBy(*[F.col(f"__mix.{d}").alias(d) for d in DIMENSIONS])
+                 .agg(F.sum("__mix.n_tokens").alias("tokens")), "mix-cells")
     given = targets or {}
     shares = {d: (spark.createDataFrame([(k, float(v)) for k, v in given[d].items()], f"{d} string, share double")
                   if d in given else tempered(cells, d, power)) for d in DIMENSIONS}
@@ -120,11 +121,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     empty = cells.where("tokens = 0").select(*DIMENSIONS, F.lit(largest).alias("ratio"))
     plan = land(raked.select(*DIMENSIONS, "ratio").unionByName(empty), "mix-plan").select(
         *[F.col(d).alias(f"__{d}") for d in DIMENSIONS], F.col("ratio").alias("__ratio"))
-    same = [F.col(f"mix.{d}") == F.col(f"__{d}") for d in DIMENSIONS]
+    same = [F.col(f"__mix.{d}") == F.col(f"__{d}") for d in DIMENSIONS]
     # 53 leading bits of the hash as a number in [0, 1)
     draw = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11).cast("double") / float(1 << 53)
     p = F.coalesce(F.col("__ratio"), F.lit(0.0)) * (keep_share / largest)
     return (rows.join(broadcast_if_small(plan), same, "left")
-            .withColumn("mix", F.col("mix").withField("ratio", F.col("__ratio")).withField("probability", p)
+            .withColumn("__mix", F.col("__mix").withField("ratio", F.col("__ratio")).withField("probability", p)
                         .withField("kept", draw < p))
             .drop("__ratio", *[f"__{d}" for d in DIMENSIONS]))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
+    """(id, source, lang, topic, n_tokens, ratio, probability, kept) of every row; see ``decided``."""
+    return decided(docs, id_col, **params).select(id_col, "__mix.*")
+
+
+def sample(docs: DataFrame, **params) -> DataFrame:
+    """The rows of ``docs`` that the mixture keeps, with their columns unchanged; see ``decided``."""
+    return decided(docs, **params).where("__mix.kept").drop("__mix")

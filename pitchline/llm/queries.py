@@ -81,10 +81,7 @@ def vocabulary_path() -> str:
 @query("op6_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path()
-    back = bpe.decode(bpe.encode(common.table(spark, sf_dir, "documents"), path), path)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                       F.sha2("text", 256).alias("decoded_sha256"))
+    return bpe.digests(bpe.decode(bpe.encode(common.table(spark, sf_dir, "documents"), path), path))
 
 
 @query("op7_exact_dedup", """
@@ -99,7 +96,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_mix_to_targets")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(common.table(spark, sf_dir, "documents")).select("doc_id", "mix.*")
+    return mixing.mix(common.table(spark, sf_dir, "documents"))
 
 
 @query("op9_quality_rules")

@@ -226,8 +226,21 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                max_bits: int = 4, blocks: int = 6, chunk: int = 1024) -> DataFrame:
+    """(id, text_hash, fp, component_id) of every row; see ``near_dedup``."""
+    marked = land(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
+                              fingerprint_column(text_col, shingle).alias("fp")), "simhash-fingerprints")
+    fps = marked.groupBy("fp").agg(F.min("id").alias("first_id"))
+    found = components(links(fps.select("fp"), max_bits, blocks, chunk))
+    rooted = (fps.join(found, fps["fp"] == found["node"], "left")
+              .select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
+    return marked.join(classes, "fp")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """One row per input row: id, fingerprint (16 hex digits), component_id.
 
     Rows whose fingerprints are linked directly or over others share the
@@ -238,25 +251,18 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (component_id NULL). Other columns are ignored; an empty table gives an
     empty result.
     """
-    marked = land(docs.select(F.col(id_col).alias("id"), fingerprint_column(text_col, shingle).alias("fp")),
-                  "simhash-fingerprints")
-    fps = marked.groupBy("fp").agg(F.min("id").alias("first_id"))
-    found = components(links(fps.select("fp"), max_bits, blocks, chunk))
-    rooted = (fps.join(found, fps["fp"] == found["node"], "left")
-              .select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return (marked.join(classes, "fp")
-            .select(F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                    "component_id"))
+    return classified(docs, id_col, text_col, **params).select(
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group, columns unchanged.
 
-    Rows with a NULL id stay: they cannot be told apart.
+    Dropped rows are named by (id, text hash), so a repeated id with another
+    text is judged by itself. Rows with a NULL id stay: they cannot be told
+    apart.
     """
-    losers = (near_dedup(docs, id_col, text_col, **params)
-              .where(F.col(id_col) != F.col("component_id"))
-              .select(F.col(id_col).alias("__id"), F.col("fingerprint").alias("__fp")).distinct())
-    return docs.join(losers.select("__id").distinct(), F.col(id_col) == F.col("__id"), "left_anti")
+    losers = (classified(docs, id_col, text_col, **params).where("id != component_id")
+              .select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    same = (docs[id_col] == losers["__id"]) & (F.xxhash64(text_or_empty(text_col)) == losers["__hash"])
+    return docs.join(losers, same, "left_anti")
