@@ -5,7 +5,8 @@ corpus as it is. With class prior p and logistic loss l, training minimises
 
     p * E_P[l(f)] + max(0, E_U[l(-f)] - p * E_P[l(-f)])
 
-(the non-negative unbiased risk). The prior is estimated from the same two
+(the non-negative unbiased risk); the bias then moves to the cut with the least
+unbiased error. The prior is estimated from the same two
 samples: a plain positive-versus-unlabelled model ranks texts, and p is the
 smallest ratio of the unlabelled to the positive share above any threshold,
 with a confidence margin on both shares. Labels of bad documents are not used.
@@ -105,8 +106,22 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, confidence: float = 0.5) ->
     return float(np.clip(u[best] / max(p[best], 1e-9), 0.02, 0.98))
 
 
+def best_cut(pos: np.ndarray, unl: np.ndarray, prior: float, slack: float = 0.3) -> float:
+    """The cut with the least unbiased error: p * P(below) + U(above) - p * P(above).
+
+    It lies where the densities cross, so it hardly moves with the prior. Of
+    cuts whose error is within the noise of the positive sample (``slack`` /
+    sqrt of its size) of the least, the lowest is taken: in doubt a document
+    stays.
+    """
+    cuts = np.unique(np.concatenate([pos, unl]))
+    above = [1 - np.searchsorted(np.sort(s), cuts, "left") / len(s) for s in (pos, unl)]
+    error = above[1] - 2 * prior * above[0]
+    return float(cuts[error <= error.min() + slack / np.sqrt(len(pos))][0])
+
+
 def fit(pos: np.ndarray, unl: np.ndarray, bins: int = 12, rounds: int = 400, step: float = 0.05,
-        l2: float = 1e-4, prior: float | None = None) -> AdditiveModel:
+        l2: float = 1e-3, prior: float | None = None) -> AdditiveModel:
     """Fewer than two positives or unlabelled rows give the constant score 0.5."""
     k = N_FEATURES
     if len(pos) < 2 or len(unl) < 2:
@@ -142,7 +157,8 @@ def fit(pos: np.ndarray, unl: np.ndarray, bins: int = 12, rounds: int = 400, ste
         return on_p - sign * prior * _sigmoid(fp) / n, on_u + sign * _sigmoid(fu) / m
 
     w, b = _descend(p, u, (k, bins), non_negative, rounds, step, l2)
-    return AdditiveModel(edges, w, b, prior)
+    rank = lambda x: w[np.arange(k), x].sum(axis=1) + b
+    return AdditiveModel(edges, w, b - best_cut(rank(p), rank(u), prior), prior)
 
 
 def _described(rows: DataFrame) -> DataFrame:

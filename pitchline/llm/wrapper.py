@@ -41,16 +41,16 @@ from pitchline.llm.url_rules import url_host
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                     r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][^\s=/>]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-#: Elements whose content is not markup.
+#: Elements whose content is not markup; none of it is article text.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 CONTAINERS = frozenset("html body div main article section center table tbody thead tfoot tr ul ol dl figure "
                        "details hgroup fieldset nav header footer aside form menu dialog noscript template head "
                        "search".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption caption address summary td th "
                         "legend option select button label".split())
-BLOCKS = CONTAINERS | TEXT_BLOCKS | RAW
+BLOCKS = CONTAINERS | TEXT_BLOCKS
 #: Elements that are never article text.
-APART = frozenset("head nav footer aside form menu dialog noscript template select button search".split()) | RAW
+APART = frozenset("head nav footer aside form menu dialog noscript template select button search".split())
 #: Words in class, id or role that mark a block as apart from the article.
 MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar nav navbar "
                   "navigation menu menubar breadcrumb breadcrumbs footer cookie cookies consent notice alert popup "
@@ -124,6 +124,11 @@ def parse(text: str) -> Page:
         if not tag:
             continue
         closing = bool(m[1] or m[4])
+        if tag in RAW:  # skipped with its content; the text around it stays one run
+            if not closing:
+                close = re.compile(rf"</{tag}[\s/>]", re.I).search(text, pos)
+                pos = close.start() if close else end
+            continue
         if tag not in BLOCKS:
             if tag == "a":
                 link_depth = 0 if closing else 1
@@ -155,11 +160,7 @@ def parse(text: str) -> Page:
         tags.append(tag)
         labels.append(xxhash.xxh32_intdigest(f"{tag} {name}" if name else tag))
         apart.append(apart[up] or tag in APART or marked or (tag == "header" and not inside))
-        if tag in RAW:
-            close = re.compile(rf"</{tag}[\s/>]", re.I).search(text, pos)
-            pos = close.start() if close else end
-            stack.append(len(tags) - 1)
-        elif len(stack) < MAX_DEPTH:
+        if len(stack) < MAX_DEPTH:
             stack.append(len(tags) - 1)
     border()
     return page

@@ -1,0 +1,235 @@
+"""URL filters (2), HTML extraction (3), secret scans (4) and BPE (6)."""
+
+import hashlib
+import re
+import string
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from pitchline.llm import bpe, common, queries, secrets, url_rules, wrapper
+
+# --- URL filters -------------------------------------------------------------------------------------------------
+
+URLS = ["http://www.example.com/en/1", "https://a.example.com/en/x?y", "https://example.com/EN/x", "https://example.com",
+        "http://x.net/es/1", "http://x.net/es", "http://casino-win.example.org/a", "http://casinos.example.org/", None, "",
+        "no scheme", "HTTP://WWW.EXAMPLE.COM/en/#a", "http://mycom/", "http://com/", "http://b.org/casino",
+        "http://a.b\nc.com/", "ftp://u:p@free-bets.example.org:80/x://y"]
+
+
+def brute_judge(url):
+    m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in m[1]) if m else ""
+    path = m[2] if m else ""
+    best = None
+    for h, p, v in (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+                    ("net", "/es/", "block"), ("net", "/fr/", "block")):
+        if (host == h or host.endswith("." + h)) and path.startswith(p) and (best is None or len(h + p) > len(best[0])):
+            best = (h + p, v)
+    spam = set(re.split(r"[^a-z0-9]+", host)) & {p.name for p in url_rules.SPAM_PATTERNS}
+    return host, path, best and best[0], best[1] if best else ("block" if spam else "allow")
+
+
+def test_url_rules_on_odd_urls(spark):
+    rows = [(k, u, "x") for k, u in enumerate(URLS + URLS[:3])] + [(None, URLS[0], "x")]
+    got = url_rules.judge(spark.createDataFrame(rows, "page_id long, url string, host string")).collect()
+    assert sorted(((r.page_id, r.host, r.path, r.rule, r.verdict) for r in got), key=repr) == sorted(
+        ((i, *brute_judge(u)) for i, u, _ in rows), key=repr)
+    assert url_rules.judge(spark.createDataFrame([], "page_id long, url string")).collect() == []
+
+
+def test_patterns_are_indexed_by_their_rarest_whole_token(spark):
+    rule = url_rules.pattern_rule("shop-*.example.org")
+    assert rule.tokens == ("shop", "example", "org")
+    urls = spark.createDataFrame([(["shop", "example", "org"],), (["example", "org"],)], "tokens array<string>")
+    assert url_rules.rule_index(urls, (rule,)).first().token == "shop"
+    pages = spark.createDataFrame([(1, "http://a.shop-x1.example.org/"), (2, "http://shop-.other.org/")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages, (rule,)).collect()}
+    assert got == {1: "block", 2: "allow"}
+    with pytest.raises(ValueError):
+        url_rules.pattern_rule("*a*")
+
+
+# --- HTML extraction ---------------------------------------------------------------------------------------------
+
+def page(article, host="h", menu="Home News", foot="&copy; all"):
+    return (f"<html><head><title>t</title><style>p{{}}</style></head><body><div class=top><p>Welcome to {host}</p></div>"
+            f"<nav><ul><li><a href=/>{menu}</a></ul></nav><div id=main>{article}</div>"
+            f"<div class='comments'><p>first!</p></div><div class=ad>buy</div><footer>{foot}</footer>")
+
+
+def test_wrapper_learns_template_and_main_slot(spark):
+    arts = [f"<h2>Title {k}</h2><p>Text {k} &amp; more{' word' * k}\n here<br>and<p>second <b>bold {k * 7}</b>"
+            "<p>Share this page" for k in range(12)]
+    rows = [(k, f"http://h.org/{k}", page(a)) for k, a in enumerate(arts)]
+    got = {r.page_id: r for r in wrapper.extract_main_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    for k in range(12):
+        expect = f"Title {k}\nText {k} & more{' word' * k} here and\nsecond bold {k * 7}"
+        assert got[k].text == expect and got[k].n_chars == len(expect)
+
+
+def test_copies_of_an_article_never_become_template(spark):
+    art = "".join(f"<p>Paragraph {k} of a text that many pages of this host repeat.</p>" for k in range(5))
+    rows = [(k, "http://h.org/", page(art)) for k in range(20)] + [(99, "http://h.org/", page("<p>alone"))]
+    got = wrapper.extract_main_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
+    assert {r.text.count("\n") for r in got if r.page_id < 99} == {4}
+
+
+def test_odd_pages(spark):
+    rows = [(1, None, None, "x"), (2, "http://a.org/", "", "x"), (3, None, "plain text &lt;b&gt; &amp x &#233;", "x"),
+            (4, "http://b.org/", "<article><p>one<script>var t='</p>';</script> two<p>three <a href='>'>x</a></article><p>no", "x"),
+            (4, "http://b.org/", "<article><p>one<script>var t='</p>';</script> two<p>three <a href='>'>x</a></article><p>no", "x"),
+            (None, "u", "<div>" * 3000 + "deep <p>text" + "</div>" * 3000, "x"), (5, "u", "a < b <!-- c --> d <!-- never", "x")]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string, text string")
+    got = sorted(((r.page_id, r.text, r.n_chars) for r in wrapper.extract_main_text(df).collect()), key=repr)
+    expect = [(1, ""), (2, ""), (3, "plain text <b> & x é"), (4, "one two\nthree x"), (4, "one two\nthree x"),
+              (None, "deep\ntext"), (5, "a < b d")]
+    assert got == sorted(((i, t, len(t)) for i, t in expect), key=repr)
+    assert wrapper.extract_main_text(df.limit(0)).collect() == []
+
+
+def test_simple_tree_matching_equals_plain_recursion():
+    rng = np.random.default_rng(5)
+
+    def tree(n):
+        return [-1] + [int(rng.integers(0, k)) for k in range(1, n)], [0] + [int(x) for x in rng.integers(0, 3, n - 1)]
+
+    def plain(a, b, x, y):
+        if a[1][x] != b[1][y]:
+            return 0
+        cx = [k for k, p in enumerate(a[0]) if p == x and k]
+        cy = [k for k, p in enumerate(b[0]) if p == y and k]
+        m = np.zeros((len(cx) + 1, len(cy) + 1), int)
+        for i, c in enumerate(cx):
+            for j, d in enumerate(cy):
+                m[i + 1, j + 1] = max(m[i, j + 1], m[i + 1, j], m[i, j] + plain(a, b, c, d))
+        return m[-1, -1] + 1
+
+    for _ in range(40):
+        a, b = tree(int(rng.integers(1, 12))), tree(int(rng.integers(1, 12)))
+        pairs = wrapper.align(*a, *b)
+        assert len(pairs) == plain(a, b, 0, 0)
+        assert all(a[1][x] == b[1][y] for x, y in pairs.items()) and len(set(pairs.values())) == len(pairs)
+
+
+def test_op3_against_the_article_element(spark, sf_dir):
+    import html
+    pages = {r.page_id: r.html for r in common.table(spark, sf_dir, "pages").collect()}
+    got = {r.page_id: r.text for r in queries.QUERIES["op3_html_extraction"](spark, sf_dir).collect()}
+    for i, h in pages.items():
+        blocks = re.split(r"</?(?:h1|p)>", h[h.index("<article>") + 9:h.index("</article>")])
+        texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in blocks]
+        assert got[i] == "\n".join(t for t in texts if t)
+
+
+# --- Secret scans ------------------------------------------------------------------------------------------------
+
+def brute_base(text):
+    found = []
+    for m in re.finditer(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"""
+                         r"""[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[2]) >= 6:
+            found.append(("assign", *m.span()))
+    found += [("access", *m.span()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [("hex", *m.span()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["token", "Secret", "API_KEY", "apikey", "ſecret", "toKen", "=", ":", " ", "'", '"', "abc", "123456",
+                                 "AKIA", "ABCDEFGH12345678", "deadbeef" * 3, "é", "\n", "x.y=z"]), max_size=25).map("".join))
+def test_base_spans(text):
+    assert sorted(secrets.base_spans(text), key=lambda s: (s[1], secrets.KINDS.index(s[0]))) == brute_base(text)
+
+
+def test_novelty_reports_incompressible_strings_in_sensitive_context_only():
+    novelty = secrets.Novelty(b"configuration identifier version release application " * 20)
+    key = "x9Qz7Lk2Vb4Tn8Rw1Yp6"
+    code = "release2 = 1\nrelease3 = 2\n" * 5
+    spans = secrets.scan_text(f"{code} my private value {key} end", novelty)
+    assert [(k, b - a) for k, a, b in spans] == [("novel", len(key))]
+    assert secrets.scan_text(f"{code} my plain value {key} end", novelty) == []  # no sensitive word
+    assert secrets.scan_text(f"{key} {key} {code} session {key} end", novelty) == []  # seen around it: compressible
+    assert secrets.scan_text("auth application_version_release_identifier2 end", novelty) == []
+
+
+def test_scan_odd_rows(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (3, "é token=abcdef", "x"), (3, "é token=abcdef", "x"), (None, "p" * 300_000 + " token: abcdefg", "x")]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, spans string")).collect()
+    assert sorted(((r.doc_id, [tuple(s) for s in r.spans]) for r in got), key=repr) == sorted(
+        [(1, []), (2, []), (3, [("assign", 2, 14)]), (3, [("assign", 2, 14)]), (None, [("assign", 300_001, 300_015)])], key=repr)
+    assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_op4_base_against_brute_force(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in common.table(spark, sf_dir, "documents").collect()}
+    for r in queries.QUERIES["op4_secret_scan"](spark, sf_dir).collect():
+        base = brute_base(docs[r.doc_id])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in base) for k in secrets.KINDS[:3])
+        assert set(joined.split(",")) - {""} <= set(r.spans.split(","))
+
+
+# --- BPE ---------------------------------------------------------------------------------------------------------
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Encoder(bpe.Vocabulary(bpe.vocabulary_source(PATH)))
+
+
+PIECES = st.sampled_from([*"aabcth ,.'!0é漢😀\n\t\r\x0b\x1c\x85\xa0\u200b\ufeff", " the", "'s", "  ", "aaaa", "<|endoftext|>", "ing",
+                          "123", " \n ", string.ascii_uppercase])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=30).map("".join), max_size=6))
+def test_bpe_equals_the_library(encoder, library, texts):
+    ids, offsets = encoder.encode(texts)
+    got = [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])]
+    expect = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert got == expect
+    decoded = bpe.decode_flat(bpe.vocabulary_source(PATH), ids, offsets)
+    assert decoded == [library.decode(e, skip_special_tokens=False) for e in expect] == texts
+
+
+def test_bpe_bulk_and_single_steps_agree_and_a_full_store_starts_anew(encoder, monkeypatch):
+    texts = ["aaaaaaa" * 50, "the thing in the theatre " * 9, "x"]
+    expect = encoder.encode(texts)[0].tolist()
+    monkeypatch.setattr(bpe, "BULK_RANKS", 0)
+    monkeypatch.setattr(bpe, "STORE_PIECES", 1)
+    assert encoder.encode(texts)[0].tolist() == expect
+
+
+def test_bpe_odd_rows(spark, library):
+    texts = [None, "", "x<|endoftext|>y", "a " * 200_000, "x<|endoftext|>y"]
+    df = spark.createDataFrame([(k if k != 1 else None, t, "c") for k, t in enumerate(texts)], "doc_id long, text string, ids string")
+    rows = bpe.decode(bpe.encode(df, PATH), PATH).collect()
+    assert sorted((r.text for r in rows)) == sorted(t or "" for t in texts)
+    assert all(r.ids == library.encode(r.text, add_special_tokens=False).ids for r in rows)
+    assert bpe.decode(bpe.encode(df.limit(0), PATH), PATH).collect() == []
+    nulls = spark.createDataFrame([(1, None), (2, []), (3, [50256, 262])], "doc_id int, ids array<int>")
+    assert {r.doc_id: r.text for r in bpe.decode(nulls, PATH).collect()} == {1: "", 2: "", 3: "<|endoftext|> the"}
+
+
+def test_op6_against_the_library(spark, sf_dir, library):
+    docs = {r.doc_id: r.text for r in common.table(spark, sf_dir, "documents").collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    got = queries.QUERIES["op6_bpe"](spark, sf_dir).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        ids = library.encode(docs[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
