@@ -24,15 +24,18 @@ from pitchline.llm.common import BLANKS, land, text_or_empty
 
 DIMENSIONS = ("source", "lang", "topic")
 #: Notices that make a text a licence or a legal page.
-NOTICES = "Licensed under|All rights reserved|Terms of (?:use|service)"
+NOTICES = ("Licensed under", "All rights reserved", "Terms of use", "Terms of service")
 
 
 def topic_of(text: Column, n_tokens: Column) -> Column:
     """Coarse content type of a text, the default topic."""
-    bars = F.length(text) - F.length(F.translate(text, "|", ""))
+    bars = F.length(text) - F.length(F.replace(text, F.lit("|"), F.lit("")))
+    notice = F.lit(False)
+    for words in NOTICES:
+        notice = notice | text.contains(words)
     return (F.when(n_tokens == 0, "empty")
             .when(bars * 10 > n_tokens, "table")
-            .when(text.rlike(NOTICES), "notice")
+            .when(notice, "notice")
             .when(n_tokens < 100, "short")
             .when(n_tokens >= 1000, "long")
             .otherwise("article"))
@@ -47,12 +50,13 @@ def described(docs: DataFrame, text_col: str = "text", source_col: str = "source
               topic: Column | None = None) -> DataFrame:
     """``docs`` plus the struct ``__mix``(source, lang, topic, n_tokens); NULL dimensions become ''."""
     text = text_or_empty(text_col)
-    tokens = count_tokens(text)
+    tokens = F.col("__tokens")  # a column of its own, so it is counted once and not in every branch that asks for it
     kind = topic if topic is not None else topic_of(text, tokens)
     named = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    return docs.withColumn("__mix", F.struct(named(F.col(source_col)).alias("source"),
-                                           named(F.col(lang_col)).alias("lang"),
-                                           named(kind).alias("topic"), tokens.alias("n_tokens")))
+    return (docs.withColumn("__tokens", count_tokens(text))
+            .withColumn("__mix", F.struct(named(F.col(source_col)).alias("source"), named(F.col(lang_col)).alias("lang"),
+                                          named(kind).alias("topic"), tokens.alias("n_tokens")))
+            .drop("__tokens"))
 
 
 def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
