@@ -36,10 +36,8 @@ ACKLAM_LOW = 0.02425
 STIRLING = [1.0 / 12, -1.0 / 360, 1.0 / 1260, -1.0 / 1680, 1.0 / 1188, -691.0 / 360360]
 LGAMMA_SHIFT = 8
 
-# Above this many degrees of freedom the t tail uses the A&S 26.7.8 normal
-# transform (error O(1/df^2)) instead of the df/2-term exact sum.
-T_EXACT_MAX_DF = 100000
-CF_MAX_ITER = 5000
+# The continued fraction has converged when one more step moves it by less than this.
+CF_TOLERANCE = 1e-10
 
 
 def _c(x) -> Column:
@@ -148,78 +146,53 @@ def _chi2_sf(x: Column, df: Column) -> Column:
 
 
 def t_sf2(t, df) -> Column:
-    """Two-sided tail P(|T| > |t|) for integer df >= 1 (A&S 26.7.3-4 finite sums)."""
-    return _let(F.struct(F.abs(_c(t).cast("double")).alias("t"), _c(df).cast("long").alias("df")),
-                lambda v: _t_sf2(v["t"], v["df"]))
-
-
-def _t_sf2(t: Column, df: Column) -> Column:
-    nu = df.cast("double")
-    theta = F.atan(t / F.sqrt(nu))
-    c2 = nu / (nu + t * t)
-    s = F.sin(theta)
-    # even df: A = sin(theta) * (1 + sum_{j=1}^{df/2-1} prod_{i<=j}(2i-1)/(2i) c^j)
-    even_sum = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), (df / 2).cast("int") - 1)),
-        F.struct(F.lit(1.0).alias("s"), F.lit(1.0).alias("r")),
-        lambda acc, j: F.struct(
-            (acc["s"] + acc["r"] * (F.lit(2.0) * j - 1) / (F.lit(2.0) * j) * c2).alias("s"),
-            (acc["r"] * (F.lit(2.0) * j - 1) / (F.lit(2.0) * j) * c2).alias("r")),
-        lambda acc: acc["s"])
-    a_even = s * F.when(df == 2, F.lit(1.0)).otherwise(even_sum)
-    # odd df > 1: A = 2/pi (theta + sin cos (1 + sum_{j=1}^{(df-3)/2} prod_{i<=j} (2i)/(2i+1) c^j))
-    odd_sum = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), ((df - 3) / 2).cast("int"))),
-        F.struct(F.lit(1.0).alias("s"), F.lit(1.0).alias("r")),
-        lambda acc, j: F.struct(
-            (acc["s"] + acc["r"] * (F.lit(2.0) * j) / (F.lit(2.0) * j + 1) * c2).alias("s"),
-            (acc["r"] * (F.lit(2.0) * j) / (F.lit(2.0) * j + 1) * c2).alias("r")),
-        lambda acc: acc["s"])
-    a_odd = F.lit(2.0 / math.pi) * (theta + s * F.cos(theta) * F.when(df == 3, F.lit(1.0)).otherwise(odd_sum))
-    a_one = F.lit(2.0 / math.pi) * theta
-    z = t * (F.lit(1.0) - F.lit(1.0) / (F.lit(4.0) * nu)) / F.sqrt(F.lit(1.0) + t * t / (F.lit(2.0) * nu))
-    return (F.when(t.isNull() | df.isNull() | (df < 1), F.lit(None).cast("double"))
-            .when(df > T_EXACT_MAX_DF, F.lit(2.0) * norm_sf(z))
-            .when(df == 1, F.lit(1.0) - a_one)
-            .when(df % 2 == 0, F.lit(1.0) - a_even)
-            .otherwise(F.lit(1.0) - a_odd))
+    """Two-sided tail P(|T| > |t|) for df > 0: I_x(df/2, 1/2) at x = df / (df + t^2).
+
+    The upper tail itself, for every df: it stays positive for all finite t.
+    """
+    args = F.struct(_c(t).cast("double").alias("t"), _c(df).cast("double").alias("df"))
 
+    def body(v):
+        t, df = v["t"], v["df"]
+        return F.when(df > 0, inc_beta(df / (df + t * t), df / F.lit(2.0), F.lit(0.5), t * t / (df + t * t)))
+    return _let(args, body)
 
-def inc_beta(x, a, b) -> Column:
+
+def inc_beta(x, a, b, rest=None) -> Column:
     """Regularised incomplete beta I_x(a, b) by Lentz's continued fraction.
 
-    The fraction is evaluated on the side where it converges fast
-    (x < (a+1)/(a+b+2), else the symmetry 1 - I_{1-x}(b, a)). The iteration
-    count grows with sqrt(max(a, b)), as the convergence rate does.
+    ``rest`` is 1 - x where the caller knows it more exactly. The fraction is
+    evaluated on the side where it converges fast (x < (a+1)/(a+b+2), else the
+    symmetry 1 - I_{1-x}(b, a)). The number of steps grows with
+    sqrt(max(a, b)), as the convergence does; a fraction that has not settled
+    by then raises instead of returning a wrong tail.
     """
-    args = F.struct(_c(x).cast("double").alias("x"), _c(a).cast("double").alias("a"),
-                    _c(b).cast("double").alias("b"))
-    return _let(args, lambda v: _inc_beta(v["x"], v["a"], v["b"]))
+    x = _c(x).cast("double")
+    args = F.struct(x.alias("x"), (F.lit(1.0) - x if rest is None else _c(rest).cast("double")).alias("y"),
+                    _c(a).cast("double").alias("a"), _c(b).cast("double").alias("b"))
+    return _let(args, lambda v: _inc_beta(v["x"], v["y"], v["a"], v["b"]))
 
 
-def _inc_beta(x: Column, a: Column, b: Column) -> Column:
+def _inc_beta(x: Column, y: Column, a: Column, b: Column) -> Column:
     swap = x >= (a + 1) / (a + b + 2)
-    side = F.struct(F.when(swap, F.lit(1.0) - x).otherwise(x).alias("x"),
+    side = F.struct(F.when(swap, y).otherwise(x).alias("x"), F.when(swap, x).otherwise(y).alias("y"),
                     F.when(swap, b).otherwise(a).alias("a"), F.when(swap, a).otherwise(b).alias("b"),
                     swap.alias("swap"))
     res = _let(side, _beta_cf)
     return (F.when(x.isNull() | a.isNull() | b.isNull(), F.lit(None).cast("double"))
-            .when(x <= 0, F.lit(0.0)).when(x >= 1, F.lit(1.0)).otherwise(res))
+            .when(x <= 0, F.lit(0.0)).when(y <= 0, F.lit(1.0)).otherwise(res))
 
 
 def _beta_cf(w: Column) -> Column:
     xx, aa, bb = w["x"], w["a"], w["b"]
-    # Convergence takes O(sqrt(max(a, b))) steps in the worst case and far fewer
-    # when the evaluated x is small (the F tail with a huge denominator df);
-    # beyond the cap the fraction has long converged for every p that is not ~0.
-    n_it = F.least(F.lit(CF_MAX_ITER), (F.lit(60) + F.lit(10) * F.sqrt(F.greatest(aa, bb))).cast("int"))
+    n_it = (F.lit(60) + F.lit(10) * F.sqrt(F.greatest(aa, bb))).cast("int")
     tiny = F.lit(1e-300)
 
     def guard(v):
         return F.when(F.abs(v) < 1e-300, tiny).otherwise(v)
 
     d0 = F.lit(1.0) / guard(F.lit(1.0) - (aa + bb) * xx / (aa + F.lit(1.0)))
-    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"))
+    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"), F.lit(1.0).alias("step"))
 
     def step(acc, m):
         m = m.cast("double")
@@ -228,16 +201,19 @@ def _beta_cf(w: Column) -> Column:
         d1 = F.lit(1.0) / guard(F.lit(1.0) + num_e * acc["d"])
         c1 = guard(F.lit(1.0) + num_e / acc["c"])
         num_o = -(aa + m) * (aa + bb + m) * xx / ((aa + m2) * (aa + m2 + 1))
-        return _let(F.struct(d1.alias("d1"), c1.alias("c1"), num_o.alias("no")), lambda u: F.struct(
-            guard(F.lit(1.0) + u["no"] / u["c1"]).alias("c"),
-            (F.lit(1.0) / guard(F.lit(1.0) + u["no"] * u["d1"])).alias("d"),
-            (acc["h"] * u["d1"] * u["c1"] * (F.lit(1.0) / guard(F.lit(1.0) + u["no"] * u["d1"]))
-             * guard(F.lit(1.0) + u["no"] / u["c1"])).alias("h")))
+        return _let(F.struct(d1.alias("d1"), c1.alias("c1"), num_o.alias("no"), (acc["h"] * d1 * c1).alias("h1")),
+                    lambda u: _let(F.struct(guard(F.lit(1.0) + u["no"] / u["c1"]).alias("c"),
+                                            (F.lit(1.0) / guard(F.lit(1.0) + u["no"] * u["d1"])).alias("d"),
+                                            u["h1"].alias("h1")),
+                                   lambda z: F.struct(z["c"].alias("c"), z["d"].alias("d"),
+                                                      (z["h1"] * z["d"] * z["c"]).alias("h"),
+                                                      (z["d"] * z["c"]).alias("step"))))
 
-    cf = F.aggregate(F.sequence(F.lit(1), n_it), init, step, lambda acc: acc["h"])
-    front = F.exp(lgamma(aa + bb) - lgamma(aa) - lgamma(bb) + aa * F.log(xx) + bb * F.log(F.lit(1.0) - xx)) / aa
-    val = front * cf
-    return F.when(w["swap"], F.lit(1.0) - val).otherwise(val)
+    cf = F.aggregate(F.sequence(F.lit(1), n_it), init, step)
+    front = F.exp(lgamma(aa + bb) - lgamma(aa) - lgamma(bb) + aa * F.log(xx) + bb * F.log(w["y"])) / aa
+    settled = _let(cf, lambda r: F.when(F.abs(r["step"] - 1) <= CF_TOLERANCE, front * r["h"]).otherwise(
+        F.raise_error(F.lit("incomplete beta fraction has not converged")).cast("double")))
+    return _let(settled, lambda v: F.when(w["swap"], F.lit(1.0) - v).otherwise(v))
 
 
 def f_sf(f, d1, d2) -> Column:
@@ -248,5 +224,48 @@ def f_sf(f, d1, d2) -> Column:
     def body(v):
         f, d1, d2 = v["f"], v["d1"], v["d2"]
         return F.when(f <= 0, F.lit(1.0)).otherwise(
-            inc_beta(d2 / (d2 + d1 * f), d2 / F.lit(2.0), d1 / F.lit(2.0)))
+            inc_beta(d2 / (d2 + d1 * f), d2 / F.lit(2.0), d1 / F.lit(2.0), d1 * f / (d2 + d1 * f)))
     return _let(args, body)
+
+
+# ln n! minus Stirling's formula for n = 0 .. 15 (0 stands for itself: its terms cancel).
+STIRLING_ERROR = [0.0] + [math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi)
+                          for n in range(1, 16)]
+
+
+def _stirling_error(n: Column) -> Column:
+    """ln n! minus Stirling's formula for whole n >= 0 (no difference of large numbers)."""
+    inv = F.lit(1.0) / F.greatest(n, F.lit(1.0))
+    table = F.array(*[F.lit(v) for v in STIRLING_ERROR])
+    return F.when(n >= 16, inv * _horner(inv * inv, STIRLING)).otherwise(F.get(table, n.cast("int")))
+
+
+def _deviance(x: Column, mean: Column) -> Column:
+    """x ln(x / mean) + mean - x, by its series where x is near the mean."""
+    def body(d):
+        x, mean, v = d["x"], d["mean"], d["v"]
+        series = (x - mean) * v + F.lit(2.0) * x * v * v * v * _horner(v * v, [1.0 / (2 * j + 3) for j in range(9)])
+        return F.when(x <= 0, mean).when(F.abs(v) < 0.1, series).otherwise(x * F.log(x / mean) + mean - x)
+    return _let(F.struct(x.alias("x"), mean.alias("mean"), ((x - mean) / (x + mean)).alias("v")), body)
+
+
+def _log_binomial(k: Column, n: Column, p: Column, q: Column) -> Column:
+    """ln of the binomial probability of k in n (saddle-point form; 0 < p < 1, q = 1 - p)."""
+    inner = (_stirling_error(n) - _stirling_error(k) - _stirling_error(n - k) - _deviance(k, n * p)
+             - _deviance(n - k, n * q) + F.lit(0.5) * F.log(n / (F.lit(2 * math.pi) * k * (n - k))))
+    return F.when(k == 0, n * F.log(q)).when(k == n, n * F.log(p)).otherwise(inner)
+
+
+def log_hypergeometric(k, good, bad, drawn) -> Column:
+    """ln P(k of ``good`` in ``drawn`` draws without replacement from good + bad), any size of the counts."""
+    k, good, bad, drawn = (_c(c).cast("double") for c in (k, good, bad, drawn))
+    total = good + bad
+
+    def body(d):
+        k, good, bad, drawn, p, q = (d[c] for c in ("k", "good", "bad", "drawn", "p", "q"))
+        return F.when((p <= 0) | (q <= 0), F.lit(0.0)).otherwise(
+            F.when(good > 0, _log_binomial(k, good, p, q)).otherwise(0.0)
+            + F.when(bad > 0, _log_binomial(drawn - k, bad, p, q)).otherwise(0.0)
+            - _log_binomial(drawn, good + bad, p, q))
+    return _let(F.struct(k.alias("k"), good.alias("good"), bad.alias("bad"), drawn.alias("drawn"),
+                         (drawn / total).alias("p"), ((total - drawn) / total).alias("q")), body)

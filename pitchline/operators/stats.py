@@ -11,15 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions import tails
-from pitchline.functions.columns import broadcast_if_small, count_if, magnitude_label, significance_phrase
+from pitchline.functions.columns import broadcast_if_small, count_if
 from pitchline.operators.keys import running_total
 from pitchline.session import cut_lineage
 
-# Cohen's conventional small / medium / large thresholds per effect metric.
 RANK_BISERIAL_THRESHOLDS = (0.1, 0.3, 0.5)
 COHENS_H_THRESHOLDS = (0.2, 0.5, 0.8)
 EPSILON_SQUARED_THRESHOLDS = (0.01, 0.06, 0.14)
@@ -35,8 +34,9 @@ SW_SMALL_MEAN = [0.5440, -0.39978, 0.025054, -0.0006714]
 SW_SMALL_SD = [1.3822, -0.77857, 0.062767, -0.0020322]
 SW_LARGE_MEAN = [-1.5861, -0.31082, -0.083751, 0.0038915]
 SW_LARGE_SD = [-0.4803, -0.082676, 0.0030302]
-SW_MIN_N, SW_MAX_N = 3, 5000
+SW_MIN_N, SW_MAX_N = 3, 5000  # W needs SW_MIN_N values; the p transform is published up to SW_MAX_N
 FISHER_CHUNK = 1 << 16  # support values per task slice
+ORDER_CHUNK = 1 << 16  # order indices of one value per task slice
 
 
 def _poly(x: Column, coeffs: list[float]) -> Column:
@@ -98,57 +98,69 @@ def mann_whitney(df: DataFrame, group: Column, value: str) -> DataFrame:
 # R3, R4 -----------------------------------------------------------------------------
 
 def shapiro_wilk(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
-    """Shapiro-Wilk W and p per group (Royston 1995), for 3 <= n <= 5000.
+    """Shapiro-Wilk W and p per group (Royston 1995), with R4's p beside it.
 
-    Groups outside that range get W and p NULL (see ``jarque_bera``). Only
-    bounded groups (n <= 5000) are ordered, so no task holds more than 5000
-    rows of one group.
+    W is computed for every n >= 3: the order index comes from the distributed
+    running count over the value histogram, so no task orders a group. p is
+    NULL above the published range (``SW_MAX_N``); ``jb_p_value`` (R4) is
+    there for any n. W is NULL for n < 3 and for constant groups.
     """
     by = list(by)
     x = df.select(*by, F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull())
-    sizes = x.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("xbar"))
-    ok = sizes.where(F.col("n").between(SW_MIN_N, SW_MAX_N))
-    rows = x.join(broadcast_if_small(ok), by)
-    w_all = Window.partitionBy(*by)
-    i = F.row_number().over(Window.partitionBy(*by).orderBy("x"))
-    n = F.col("n").cast("double")
-    rows = rows.withColumn("i", i).withColumn("m", tails.norm_ppf((F.col("i") - 0.375) / (n + 0.25)))
-    rows = rows.withColumn("msq", F.sum(F.col("m") * F.col("m")).over(w_all))
-    # the two largest expected order statistics sit at i = n and i = n - 1 (symmetric to 1, 2)
-    rows = (rows.withColumn("m_n", F.max(F.when(F.col("i") == F.col("n"), F.col("m"))).over(w_all))
-            .withColumn("m_n1", F.max(F.when(F.col("i") == F.col("n") - 1, F.col("m"))).over(w_all)))
-    u = F.lit(1.0) / F.sqrt(n)
-    a_n = F.col("m_n") / F.sqrt("msq") + _poly(u, SW_AN)
-    a_n1 = F.col("m_n1") / F.sqrt("msq") + _poly(u, SW_AN1)
+    # the histogram has every moment that is needed, so the rows are read once
+    hist = cut_lineage(rank_histogram(x, "x", by).select(*by, "x", "t", "cum"))
+    mean = hist.groupBy(*by).agg(F.sum("t").alias("n"), (F.sum(F.col("x") * F.col("t")) / F.sum("t")).alias("xbar"))
+    rows = hist.join(broadcast_if_small(mean), by)
+    away = F.col("x") - F.col("xbar")
+    moments = rows.groupBy(*by, "n").agg(*[F.sum(F.col("t") * F.pow(away, F.lit(k))).alias(f"_s{k}") for k in (2, 3, 4)])
+    # one row per order index; a hot value is cut into chunks that are spread over the tasks
+    first = F.col("cum") - F.col("t") + 1
+    chunks = (rows.where(F.col("n") >= SW_MIN_N).select(*by, "n", "x", "cum", F.explode(F.sequence(first, F.col("cum"), F.lit(ORDER_CHUNK).cast("long")))
+                          .alias("_from")).repartition(*by, "_from"))
+    i = F.col("i")
+    scores = (chunks.select(*by, "n", "x", F.explode(F.sequence(
+        F.col("_from"), F.least(F.col("_from") + ORDER_CHUNK - 1, F.col("cum")))).alias("i"))
+        .withColumn("m", tails.norm_ppf((i - 0.375) / (F.col("n") + 0.25))))
+    at = lambda c, k: F.max(F.when(i == k, F.col(c)))
+    inner = (i > 2) & (i < F.col("n") - 1)
+    g = scores.groupBy(*by, "n").agg(
+        F.sum(F.col("m") * F.col("m")).alias("msq"),
+        F.sum(F.when(inner, F.col("m") * F.col("x")).otherwise(0.0)).alias("_mid"),
+        at("x", F.lit(1)).alias("x1"), at("x", F.lit(2)).alias("x2"), at("x", F.col("n") - 1).alias("xp"),
+        at("x", F.col("n")).alias("xn"), at("m", F.col("n")).alias("m_n"), at("m", F.col("n") - 1).alias("m_n1"))
+    nd = F.col("n").cast("double")
+    u = F.lit(1.0) / F.sqrt(nd)
+    # the two largest weights (symmetric to the two smallest); the rest are the scores over sqrt(phi)
+    g = (g.withColumn("a_n", F.when(F.col("n") == 3, F.lit(0.5 ** 0.5))
+                      .otherwise(F.col("m_n") / F.sqrt("msq") + _poly(u, SW_AN)))
+         .withColumn("a_n1", F.col("m_n1") / F.sqrt("msq") + _poly(u, SW_AN1)))
     big = F.col("n") > 5
     phi = F.when(big, (F.col("msq") - 2 * F.col("m_n") ** 2 - 2 * F.col("m_n1") ** 2)
-                 / (1 - 2 * a_n ** 2 - 2 * a_n1 ** 2)).otherwise(
-        (F.col("msq") - 2 * F.col("m_n") ** 2) / (1 - 2 * a_n ** 2))
-    ii, nn = F.col("i"), F.col("n")
-    a_i = (F.when(nn == 3, F.when(ii == 1, -F.lit(0.5 ** 0.5)).when(ii == 3, F.lit(0.5 ** 0.5)).otherwise(0.0))
-           .when(ii == nn, a_n).when(ii == 1, -a_n)
-           .when(big & (ii == nn - 1), a_n1).when(big & (ii == 2), -a_n1)
-           .otherwise(F.col("m") / F.sqrt(phi)))
-    agg = rows.groupBy(*by, "n").agg(F.sum(a_i * F.col("x")).alias("_ax"),
-                                     F.sum((F.col("x") - F.col("xbar")) ** 2).alias("_ss"))
-    w = F.least(F.lit(1.0), F.col("_ax") ** 2 / F.col("_ss"))
-    out = agg.withColumn("w", F.when(F.col("_ss") > 0, w))
+                 / (1 - 2 * F.col("a_n") ** 2 - 2 * F.col("a_n1") ** 2)).otherwise(
+        (F.col("msq") - 2 * F.col("m_n") ** 2) / (1 - 2 * F.col("a_n") ** 2))
+    ends = F.col("a_n") * (F.col("xn") - F.col("x1"))
+    second = F.when(big, F.col("a_n1")).otherwise(F.col("m_n1") / F.sqrt(phi)) * (F.col("xp") - F.col("x2"))
+    ax = (F.when(F.col("n") == 3, ends)
+          .when(F.col("n") == 4, ends + second)
+          .otherwise(ends + second + F.col("_mid") / F.sqrt(phi)))
+    g = g.select(*by, ax.alias("_ax"))
+    out = moments.join(g, by, "left").withColumn(
+        "w", F.least(F.lit(1.0), F.try_divide(F.col("_ax") * F.col("_ax"), F.col("_s2"))))
+    out = out.withColumn("w", F.when((F.col("_s2") > 0) & F.col("_ax").isNotNull(), F.col("w")))
     y = F.log(F.lit(1.0) - F.col("w"))
-    nd = F.col("n").cast("double")
     gamma = _poly(nd, SW_SMALL_GAMMA)
     z_small = (-F.log(gamma - y) - _poly(nd, SW_SMALL_MEAN)) / F.exp(_poly(nd, SW_SMALL_SD))
     ln_n = F.log(nd)
     z_large = (y - _poly(ln_n, SW_LARGE_MEAN)) / F.exp(_poly(ln_n, SW_LARGE_SD))
     p3 = F.greatest(F.lit(0.0), F.lit(6.0 / 3.141592653589793) * (F.asin(F.sqrt("w")) - F.asin(F.sqrt(F.lit(0.75)))))
-    p = (F.when(F.col("w").isNull(), F.lit(None).cast("double"))
+    p = (F.when(F.col("w").isNull() | (F.col("n") > SW_MAX_N), F.lit(None).cast("double"))
          .when(F.col("w") >= 1, F.lit(1.0))
          .when(F.col("n") == 3, p3)
          .when(F.col("n") <= 11, F.when(y >= gamma, F.lit(0.0)).otherwise(tails.norm_sf(z_small)))
          .otherwise(tails.norm_sf(z_large)))
-    tested = out.select(*by, "n", "w", p.alias("p_value"))
-    untested = sizes.where(~F.col("n").between(SW_MIN_N, SW_MAX_N)).select(
-        *by, "n", F.lit(None).cast("double").alias("w"), F.lit(None).cast("double").alias("p_value"))
-    return tested.unionByName(untested)
+    m2, m3, m4 = (F.col(f"_s{k}") / nd for k in (2, 3, 4))
+    jb = nd / 6.0 * (F.try_divide(m3 * m3, m2 * m2 * m2) + F.pow(F.try_divide(m4, m2 * m2) - 3, F.lit(2)) / 4.0)
+    return out.select(*by, "n", "w", p.alias("p_value"), F.exp(-jb / 2.0).alias("jb_p_value"))
 
 
 def jarque_bera(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
@@ -185,10 +197,16 @@ def fisher_exact(table: DataFrame) -> DataFrame:
     """Two-sided Fisher exact test on one 2x2 row (a, b, c, d).
 
     The hypergeometric support is exploded into rows (distributed) and every
-    pmf is a closed form in log space; p sums pmf <= pmf(observed)*(1+1e-7).
+    pmf is a saddle-point form in log space (exact to ~1e-13 for counts of any
+    size); p sums pmf <= pmf(observed)*(1+1e-7).
     """
     a, b, c, d = (F.col(k) for k in "abcd")
     base = table.select("a", "b", "c", "d", (a + b).alias("r1"), (a + c).alias("c1"), (a + b + c + d).alias("nn"))
+
+    def log_pmf(k):
+        return tails.log_hypergeometric(k, F.col("r1"), F.col("nn") - F.col("r1"), F.col("c1"))
+
+    base = base.withColumn("lobs", log_pmf(a))  # once, not per support value
     lo = F.greatest(F.lit(0), F.col("r1") + F.col("c1") - F.col("nn"))
     hi = F.least(F.col("r1"), F.col("c1"))
     # the support grows with the counts: explode chunk starts first and spread
@@ -200,14 +218,7 @@ def fisher_exact(table: DataFrame) -> DataFrame:
     sup = starts.select(*base.columns, F.explode(F.sequence(
         F.col("_k0"), F.least(F.col("_k0") + FISHER_CHUNK - 1, F.col("_hi")))).alias("k"))
 
-    def lchoose(n, k):
-        return tails.lgamma(n + 1) - tails.lgamma(k + 1) - tails.lgamma(n - k + 1)
-
-    logp = (lchoose(F.col("r1"), F.col("k")) + lchoose(F.col("nn") - F.col("r1"), F.col("c1") - F.col("k"))
-            - lchoose(F.col("nn"), F.col("c1")))
-    obs = (lchoose(F.col("r1"), F.col("a")) + lchoose(F.col("nn") - F.col("r1"), F.col("c1") - F.col("a"))
-           - lchoose(F.col("nn"), F.col("c1")))
-    sup = sup.withColumn("lp", logp).withColumn("lobs", obs)
+    sup = sup.withColumn("lp", log_pmf(F.col("k")))
     p = F.sum(F.when(F.col("lp") <= F.col("lobs") + F.log1p(F.lit(1e-7)), F.exp("lp")).otherwise(0.0))
     res = sup.groupBy("a", "b", "c", "d").agg(F.least(F.lit(1.0), p).alias("p_value"))
     odds = F.try_divide((F.col("a") * F.col("d")).cast("double"), (F.col("b") * F.col("c")).cast("double"))
@@ -290,12 +301,14 @@ def kruskal(df: DataFrame, group: str, value: str, hist: DataFrame | None = None
         "rank", F.col("cum") - (F.col("t") - 1) / F.lit(2.0))
     j = per.join(broadcast_if_small(ranks.select("v", "rank")), "v")
     rs = j.groupBy(group).agg(F.sum("c").alias("ng"), F.sum(F.col("c") * F.col("rank")).alias("rg"))
-    s = rs.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"),
-               F.sum(F.col("rg") ** 2 / F.col("ng")).alias("q"))
+    # distances of the groups' mean ranks from the overall mean rank: no difference of sums of size n^3
+    size = rs.agg(F.count(F.lit(1)).alias("k"), F.sum("ng").alias("n"))
+    off = F.col("rg") / F.col("ng") - (F.col("n") + 1) / F.lit(2.0)
+    s = rs.crossJoin(F.broadcast(size)).groupBy("k", "n").agg(F.sum(F.col("ng") * off * off).alias("q"))
     tie = ranks.agg(F.sum(F.pow(F.col("t").cast("double"), 3) - F.col("t")).alias("tie"))
     s = s.crossJoin(tie)
     n, k = F.col("n").cast("double"), F.col("k").cast("double")
-    h0 = F.lit(12.0) / (n * (n + 1)) * F.col("q") - 3 * (n + 1)
+    h0 = F.lit(12.0) / (n * (n + 1)) * F.col("q")
     s = s.withColumn("h", h0 / (F.lit(1.0) - F.col("tie") / (n * n * n - n)))
     h = F.col("h")
     return s.select(F.col("k").cast("long").alias("k"), F.col("n").cast("long").alias("n"), "h",
@@ -324,12 +337,3 @@ def spearman(df: DataFrame, by: Sequence[str], x: str, y: str) -> DataFrame:
     s = s.withColumn("_t", rho * F.sqrt((n - 2) / F.greatest(F.lit(0.0), F.lit(1.0) - rho * rho)))
     p = F.when(F.abs(rho) >= 1, F.lit(0.0)).otherwise(tails.t_sf2(F.col("_t"), F.col("n") - 2))
     return s.select(*by, "n", "rho", F.when(F.col("n") > 2, p).alias("p_value"))
-
-
-# R12-R14 ----------------------------------------------------------------------------------
-
-def describe_result(df: DataFrame, thresholds: tuple[float, float, float], effect: str = "effect_size",
-                    p: str = "p_value") -> DataFrame:
-    """Attach magnitude (R12) and significance phrase (R13) columns built from the row itself."""
-    return df.withColumn("magnitude", magnitude_label(effect, thresholds)).withColumn(
-        "significance", significance_phrase(p, SIGNIFICANCE_ALPHA))

@@ -5,15 +5,13 @@ One contest = one lineitem row with its order, customer, supplier and part.
 * cohort (tournament)   = year(o_orderdate)
 * match_date            = o_orderdate as a date
 * home team / away team = customer nation / supplier nation (role-playing
-  ``nation``; contests between a nation and itself are dropped)
+  ``nation``; a nation may meet itself, so every lineitem is a contest)
 * home / away score     = l_quantity / p_size
 * stage                 = o_orderpriority (five ordered values)
 * venue                 = supplier nation, with synthetic coordinates
 * confederation         = region of the nation; group = nationkey % 6
 * shootout flag         = l_returnflag = 'R'
-* ranking               = rank of the nation by order spend within the year;
-                          rank ``EXCLUDED_RANK`` is set to NULL so that the
-                          "unranked team" paths are exercised.
+* ranking               = rank of the nation by order spend within the year
 
 Dimension frames derived from ``nation``/``region`` are bounded by those
 tables (25 and 5 rows at every scale factor), so they are broadcast.
@@ -31,7 +29,6 @@ from pitchline.functions.columns import bounded_broadcast
 from pitchline.session import cut_lineage
 
 # Fixed values of the adapter.
-EXCLUDED_RANK = 13
 GROUP_COUNT = 6
 LAT_BASE, LAT_STEP = -60.0, 5.0
 LON_BASE, LON_STEP = -170.0, 14.0
@@ -137,7 +134,6 @@ def _contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     oc = orders_customers(spark, sf_dir)
     m = (l.join(oc, l.l_orderkey == oc.o_orderkey)
          .join(s, l.l_suppkey == s.s_suppkey)
-         .where(F.col("c_nationkey") != F.col("s_nationkey"))
          .join(p, l.l_partkey == p.p_partkey))
     return m.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
@@ -170,7 +166,7 @@ def ranking_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("cohort").orderBy(F.desc("spend"))
     return bounded_broadcast(spend.select(
         "team_id", "cohort",
-        F.nullif(F.rank().over(w), F.lit(EXCLUDED_RANK)).cast("int").alias("fifa_ranking"),
+        F.rank().over(w).cast("int").alias("fifa_ranking"),
         F.make_date("cohort", F.lit(1), F.lit(1)).alias("ranking_as_of_date"),
     ))
 

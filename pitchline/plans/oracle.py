@@ -6,9 +6,6 @@ the same parquet tables, so the two can be compared value by value.
 
 from __future__ import annotations
 
-# Fixed adapter values (must equal pitchline.plans.contests).
-EXCLUDED_RANK = 13
-
 
 def rnd(expr: str, scale: int) -> str:
     """Half-away-from-zero rounding through DECIMAL(38,9), as double."""
@@ -52,7 +49,6 @@ contests AS (
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE c.c_nationkey <> s.s_nationkey
 )"""
 
 STAGES = """
@@ -78,7 +74,7 @@ venues AS (
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
-RANKING = f"""
+RANKING = """
 spend AS (
   SELECT CAST(year(o.o_orderdate) AS INTEGER) AS cohort, CAST(c.c_nationkey AS BIGINT) AS team_id,
          SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS spend
@@ -87,7 +83,7 @@ spend AS (
 ),
 ranking AS (
   SELECT team_id, cohort,
-         CAST(NULLIF(rank() OVER (PARTITION BY cohort ORDER BY spend DESC), {EXCLUDED_RANK}) AS INTEGER) AS fifa_ranking,
+         CAST(rank() OVER (PARTITION BY cohort ORDER BY spend DESC) AS INTEGER) AS fifa_ranking,
          make_date(cohort, 1, 1) AS ranking_as_of_date
   FROM spend
 )"""

@@ -58,17 +58,28 @@ def chi2_sf(x: str, df: str) -> str:
 
 
 def t_sf2(t: str, df: str) -> str:
+    """Two-sided t tail: the trigonometric sums for |t| < 1, the power series of the upper tail beyond.
+
+    The series x^(df/2) sqrt(1 - x) / (df/2 B(df/2, 1/2)) * sum_j prod_i<=j (df/2 + i - 1/2) / (df/2 + i) x^j at
+    x = df / (df + t^2) has only positive terms, so small tails keep their digits.
+    """
     at = f"abs({t})"
     nu = f"CAST({df} AS DOUBLE)"
     theta = f"atan({at} / sqrt({nu}))"
-    c2 = f"({nu} / ({nu} + {at} * {at}))"
+    x = f"({nu} / ({nu} + {at} * {at}))"
+    y = f"({at} * {at} / ({nu} + {at} * {at}))"
     even_sum = (f"coalesce(list_sum(list_transform(range(1, CAST({df} AS BIGINT) // 2), "
-                f"lambda j: exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1) + j * ln({c2})))), 0.0)")
+                f"lambda j: exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1) + j * ln({x})))), 0.0)")
     odd_sum = (f"coalesce(list_sum(list_transform(range(1, (CAST({df} AS BIGINT) - 3) // 2 + 1), "
-               f"lambda j: exp(lgamma(j + 1) + lgamma(1.5) - lgamma(j + 1.5) + j * ln({c2})))), 0.0)")
+               f"lambda j: exp(lgamma(j + 1) + lgamma(1.5) - lgamma(j + 1.5) + j * ln({x})))), 0.0)")
     a_even = f"(sin({theta}) * (1.0 + {even_sum}))"
     a_odd = f"((2.0 / pi()) * ({theta} + sin({theta}) * cos({theta}) * (1.0 + {odd_sum})))"
-    return (f"(CASE WHEN CAST({df} AS BIGINT) = 1 THEN 1.0 - (2.0 / pi()) * {theta} "
+    h = f"({nu} / 2.0)"
+    terms = (f"list_sum(list_transform(range(0, CAST(ceil(45.0 / {y}) AS BIGINT)), lambda j: "
+             f"exp(lgamma({h} + j + 0.5) - lgamma({h} + 0.5) - lgamma({h} + j + 1) + lgamma({h} + 1) + j * ln({x}))))")
+    upper = (f"exp({h} * ln({x}) + 0.5 * ln({y}) + lgamma({h} + 0.5) - lgamma({h} + 1) - lgamma(0.5)) * {terms}")
+    return (f"(CASE WHEN {at} >= 1 THEN {upper} "
+            f"WHEN CAST({df} AS BIGINT) = 1 THEN 1.0 - (2.0 / pi()) * {theta} "
             f"WHEN CAST({df} AS BIGINT) % 2 = 0 THEN 1.0 - {a_even} ELSE 1.0 - {a_odd} END)")
 
 
@@ -90,7 +101,7 @@ def poly(x: str, coeffs: list[float]) -> str:
 
 
 def shapiro_sql(source: str, group: str, value: str) -> str:
-    """Shapiro-Wilk per group (3 <= n <= 5000), the same formulas as ``stats.shapiro_wilk``."""
+    """Shapiro-Wilk per group for n >= 3 (p up to n = 5000) with the moment test's p, ordered by a window."""
     u = "(1.0 / sqrt(CAST(n AS DOUBLE)))"
     a_n = f"(m_n / sqrt(msq) + {poly(u, SW_AN)})"
     a_n1 = f"(m_n1 / sqrt(msq) + {poly(u, SW_AN1)})"
@@ -104,7 +115,7 @@ def shapiro_sql(source: str, group: str, value: str) -> str:
 sw_x AS (SELECT {group} AS g, CAST({value} AS DOUBLE) AS x FROM {source} WHERE {value} IS NOT NULL),
 sw_sizes AS (SELECT g, COUNT(*) AS n, AVG(x) AS xbar FROM sw_x GROUP BY g),
 sw_r AS (SELECT x.g, x.x, s.n, s.xbar, ROW_NUMBER() OVER (PARTITION BY x.g ORDER BY x.x) AS i
-         FROM sw_x x JOIN sw_sizes s ON s.g = x.g WHERE s.n BETWEEN 3 AND 5000),
+         FROM sw_x x JOIN sw_sizes s ON s.g = x.g WHERE s.n >= 3),
 sw_m AS (SELECT *, {norm_ppf('(i - 0.375) / (CAST(n AS DOUBLE) + 0.25)')} AS m FROM sw_r),
 sw_w AS (SELECT *, SUM(m * m) OVER (PARTITION BY g) AS msq,
                 MAX(CASE WHEN i = n THEN m END) OVER (PARTITION BY g) AS m_n,
@@ -116,13 +127,16 @@ sw_a AS (SELECT *, CASE WHEN n = 3 THEN CASE WHEN i = 1 THEN -sqrt(0.5) WHEN i =
                         WHEN n > 5 AND i = n - 1 THEN {a_n1} WHEN n > 5 AND i = 2 THEN -{a_n1}
                         ELSE m / sqrt(phi) END AS a FROM sw_phi),
 sw_agg AS (SELECT g, n, SUM(a * x) AS ax, SUM((x - xbar) * (x - xbar)) AS ss FROM sw_a GROUP BY g, n),
+sw_mo AS (SELECT x.g, AVG(pow(x - xbar, 2)) AS m2, AVG(pow(x - xbar, 3)) AS m3, AVG(pow(x - xbar, 4)) AS m4
+          FROM sw_x x JOIN sw_sizes s ON s.g = x.g GROUP BY x.g),
+sw_jb AS (SELECT s.g, s.n, CASE WHEN m2 > 0 THEN exp(-n / 12.0 * (m3 * m3 / (m2 * m2 * m2) + pow(m4 / (m2 * m2) - 3, 2) / 4.0)) END
+                 AS jb_p_value FROM sw_sizes s JOIN sw_mo mo ON mo.g = s.g),
 sw_res AS (SELECT g, n, CASE WHEN ss > 0 THEN least(1.0, ax * ax / ss) END AS w FROM sw_agg),
-sw AS (
-  SELECT g, n, w,
-         CASE WHEN w IS NULL THEN NULL WHEN w >= 1 THEN 1.0 WHEN n = 3 THEN {p3}
+sw_p AS (
+  SELECT g, w,
+         CASE WHEN w IS NULL OR n > 5000 THEN NULL WHEN w >= 1 THEN 1.0 WHEN n = 3 THEN {p3}
               WHEN n <= 11 THEN CASE WHEN {y} >= {gamma} THEN 0.0 ELSE {norm_sf(z_small)} END
               ELSE {norm_sf(z_large)} END AS p_value
   FROM sw_res
-  UNION ALL
-  SELECT g, n, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM sw_sizes WHERE n < 3 OR n > 5000
-)"""
+),
+sw AS (SELECT j.g, j.n, p.w, p.p_value, j.jb_p_value FROM sw_jb j LEFT JOIN sw_p p ON p.g = j.g)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.functions import tails
@@ -17,17 +17,18 @@ from pitchline.plans.registry import current_cohort, query
 from pitchline.session import scratch_path
 from pitchline.sources import files as S
 
-STAT_SCALE = 8
+DIGITS = 8
 
 
-def rs(c: Column | str, scale: int = STAT_SCALE) -> Column:
-    """Round a statistic through DECIMAL(38,18) (same rule as the SQL oracle)."""
+def rs(c: Column | str, digits: int = DIGITS) -> Column:
+    """Round to significant digits (same rule as the SQL oracle): neither large statistics nor small p-values get lost."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.try_cast("decimal(38,18)"), scale).cast("double")
+    c = c.cast("double")
+    return F.when(c.isNotNull(), F.format_string(f"%.{digits - 1}e", c).cast("double"))
 
 
-def q(expr: str, scale: int = STAT_SCALE) -> str:
-    return f"CAST(ROUND(TRY_CAST(({expr}) AS DECIMAL(38,18)), {scale}) AS DOUBLE)"
+def q(expr: str, digits: int = DIGITS) -> str:
+    return f"CAST(printf('%.{digits - 1}e', CAST(({expr}) AS DOUBLE)) AS DOUBLE)"
 
 
 # R0 ------------------------------------------------------------------------------
@@ -78,10 +79,11 @@ def mann_whitney(spark, sf_dir):
 # R3, R4 ------------------------------------------------------------------------------
 
 @query("normality", "WITH " + OS.shapiro_sql("part", "p_brand", "p_retailprice") + f"""
-SELECT g AS p_brand, n, {q('w')} AS w, {q('p_value')} AS p_value FROM sw""")
+SELECT g AS p_brand, n, {q('w')} AS w, {q('p_value')} AS p_value, {q('jb_p_value')} AS jb_p_value FROM sw""")
 def normality(spark, sf_dir):
     r = R.shapiro_wilk(C.table(spark, sf_dir, "part"), "p_retailprice", ["p_brand"])
-    return r.select("p_brand", "n", rs("w").alias("w"), rs("p_value").alias("p_value"))
+    return r.select("p_brand", "n", rs("w").alias("w"), rs("p_value").alias("p_value"),
+                    rs("jb_p_value").alias("jb_p_value"))
 
 
 @query("normality_fallback", f"""
@@ -193,10 +195,11 @@ KRUSKAL_SQL = REGION_DIFF_SQL + f"""
 r AS (SELECT v, t, CAST(SUM(t) OVER (ORDER BY v) AS DOUBLE) - (t - 1) / 2.0 AS rank FROM h),
 per AS (SELECT g, v, COUNT(*) AS c FROM x GROUP BY g, v),
 rs AS (SELECT g, SUM(c) AS ng, SUM(c * rank) AS rg FROM per JOIN r USING (v) GROUP BY g),
-s AS (SELECT COUNT(*) AS k, SUM(ng) AS n, SUM(rg * rg / ng) AS q FROM rs),
+sz AS (SELECT COUNT(*) AS k, SUM(ng) AS n FROM rs),
+s AS (SELECT k, n, SUM(ng * pow(rg / ng - (CAST(n AS DOUBLE) + 1) / 2, 2)) AS q FROM rs, sz GROUP BY k, n),
 tie AS (SELECT SUM(pow(CAST(t AS DOUBLE), 3) - t) AS tie FROM r),
 hh AS (SELECT CAST(k AS BIGINT) AS k, CAST(n AS BIGINT) AS n,
-              (12.0 / (CAST(n AS DOUBLE) * (n + 1)) * q - 3 * (CAST(n AS DOUBLE) + 1))
+              (12.0 / (CAST(n AS DOUBLE) * (n + 1)) * q)
               / (1.0 - tie / (CAST(n AS DOUBLE) * n * n - n)) AS h FROM s, tie)"""
 
 
@@ -260,15 +263,15 @@ def _grid(spark, sf_dir) -> DataFrame:
 @query("tail_probabilities", f"""
 WITH g AS (SELECT DISTINCT CAST(l_quantity AS INTEGER) AS qty FROM lineitem),
 a AS (SELECT qty, qty / 5.0 AS x, qty % 7 + 1 AS df, 2 * (qty % 3 + 1) AS d1, qty + 1 AS d2 FROM g)
-SELECT qty, {q(OS.norm_sf('x'), 10)} AS norm_sf, {q(OS.chi2_sf('x', 'df'), 10)} AS chi2_sf,
-       {q(OS.t_sf2('x', 'df'), 10)} AS t_sf2, {q(OS.f_sf_even_d1('x', 'd1', 'd2'), 10)} AS f_sf
+SELECT qty, {q(OS.norm_sf('x'))} AS norm_sf, {q(OS.chi2_sf('x', 'df'))} AS chi2_sf,
+       {q(OS.t_sf2('x', 'df'))} AS t_sf2, {q(OS.f_sf_even_d1('x', 'd1', 'd2'))} AS f_sf
 FROM a""")
 def tail_probabilities(spark, sf_dir):
     g = _grid(spark, sf_dir)
-    return g.select("qty", rs(tails.norm_sf(F.col("x")), 10).alias("norm_sf"),
-                    rs(tails.chi2_sf(F.col("x"), F.col("df")), 10).alias("chi2_sf"),
-                    rs(tails.t_sf2(F.col("x"), F.col("df")), 10).alias("t_sf2"),
-                    rs(tails.f_sf(F.col("x"), F.col("d1"), F.col("d2")), 10).alias("f_sf"))
+    return g.select("qty", rs(tails.norm_sf(F.col("x"))).alias("norm_sf"),
+                    rs(tails.chi2_sf(F.col("x"), F.col("df"))).alias("chi2_sf"),
+                    rs(tails.t_sf2(F.col("x"), F.col("df"))).alias("t_sf2"),
+                    rs(tails.f_sf(F.col("x"), F.col("d1"), F.col("d2"))).alias("f_sf"))
 
 
 # R12-R14, S7 --------------------------------------------------------------------------------
@@ -284,82 +287,115 @@ def _fmt4(c: str) -> Column:
     return F.format_string("%.4f", round_half_up(c, 4))
 
 
+def _shown(c: str) -> Column:
+    return F.when(F.col(c).isNull(), "none").otherwise(_fmt4(c))
+
+
 def _validation_results(spark, sf_dir) -> DataFrame:
     cur = current_cohort(spark, sf_dir)
-    jb = R.jarque_bera(_abs_diff(spark, sf_dir).withColumn("g", F.col("cohort") == cur), "abs_diff", ["g"])
-    jb = jb.agg(F.max(F.when(F.col("g"), F.col("p_value"))).alias("jb_cur"),
-                F.max(F.when(~F.col("g"), F.col("p_value"))).alias("jb_old"))
-    mw_check = F.concat(F.lit("Jarque-Bera p current="), _fmt4("jb_cur"), F.lit(", earlier="), _fmt4("jb_old"),
-                        F.when(F.least("jb_cur", "jb_old") < R.SIGNIFICANCE_ALPHA,
-                               F.lit(" - normality rejected, rank test used"))
-                        .otherwise(F.lit(" - normality not rejected, rank test used regardless")))
-    mw = mann_whitney_frame(spark, sf_dir).crossJoin(jb).select(
-        mw_check.alias("assumption_check"),
-        F.lit("Competitive Balance").alias("metric_name"),
-        F.lit("Mann-Whitney U (two-sided)").alias("test_used"),
+    normal = R.shapiro_wilk(_abs_diff(spark, sf_dir).withColumn("g", F.col("cohort") == cur), "abs_diff", ["g"])
+    pick = [F.max(F.when(F.col("g") == side, F.col(c))).alias(f"{c}_{name}")
+            for side, name in ((True, "cur"), (False, "old")) for c in ("w", "p_value", "jb_p_value")]
+    rejected = F.least(*[F.coalesce(f"p_value_{g}", f"jb_p_value_{g}") for g in ("cur", "old")]) < R.SIGNIFICANCE_ALPHA
+    mw_check = F.concat(
+        F.lit("Shapiro-Wilk W "), _shown("w_cur"), F.lit(" and "), _shown("w_old"), F.lit(", p "), _shown("p_value_cur"),
+        F.lit(" and "), _shown("p_value_old"), F.lit("; moment test p "), _shown("jb_p_value_cur"), F.lit(" and "),
+        _shown("jb_p_value_old"), F.when(rejected, F.lit("; not normal")).otherwise(F.lit("; normality not rejected")))
+    mw = mann_whitney_frame(spark, sf_dir).crossJoin(normal.agg(*pick)).select(
+        F.lit(1).alias("row_id"), mw_check.alias("assumption_check"), *_names("balance"),
         F.concat(F.lit("n_current="), F.col("n1").cast("string"), F.lit(", n_earlier="),
                  F.col("n2").cast("string")).alias("sample_sizes"),
-        F.col("u").alias("statistic"), "p_value", F.col("rank_biserial").alias("effect_size"),
-        F.lit("rank-biserial correlation").alias("effect_size_metric"),
-        F.lit(R.RANK_BISERIAL_THRESHOLDS[0]).alias("_t0"))
+        F.col("u").alias("statistic"), "p_value", F.col("rank_biserial").alias("effect_size"))
     t = upset_table(spark, sf_dir)
     fe = R.fisher_exact(t).crossJoin(t.select("min_expected"))
     p1, p2 = safe_ratio("a", F.col("a") + F.col("b")), safe_ratio("c", F.col("c") + F.col("d"))
-    fi_check = F.concat(F.lit("minimum expected cell count = "),
-                        F.format_string("%.1f", round_half_up("min_expected", 1)),
-                        F.when(F.col("min_expected") < 5, F.lit(" - below 5, exact test required"))
-                        .otherwise(F.lit(" - at or above 5, chi-square would also be valid")))
+    fi_check = F.concat(F.lit("smallest expected cell "), F.format_string("%.1f", round_half_up("min_expected", 1)),
+                        F.when(F.col("min_expected") < 5, F.lit("; too small for chi-square"))
+                        .otherwise(F.lit("; large enough for chi-square")))
     fi = fe.select(
-        fi_check.alias("assumption_check"),
-        F.lit("Upset Rate").alias("metric_name"), F.lit("Fisher's exact test (two-sided)").alias("test_used"),
+        F.lit(2).alias("row_id"), fi_check.alias("assumption_check"), *_names("upsets"),
         F.concat(F.lit("decisive_current="), (F.col("a") + F.col("b")).cast("string"), F.lit(", decisive_earlier="),
                  (F.col("c") + F.col("d")).cast("string")).alias("sample_sizes"),
-        F.col("odds_ratio").alias("statistic"), "p_value", R.cohens_h(p1, p2).alias("effect_size"),
-        F.lit("Cohen's h").alias("effect_size_metric"), F.lit(R.COHENS_H_THRESHOLDS[0]).alias("_t0"))
+        F.col("odds_ratio").alias("statistic"), "p_value", R.cohens_h(p1, p2).alias("effect_size"))
     diffs = region_goal_diff(spark, sf_dir)
     hist = R.value_histogram(diffs, "confederation_name", "goal_diff")  # one histogram for both tests
     lev = R.levene(diffs, "confederation_name", "goal_diff", hist=hist).select(F.col("p_value").alias("levene_p"))
     kw = R.kruskal(diffs, "confederation_name", "goal_diff", hist=hist).crossJoin(lev).select(
-        F.concat(F.lit("Levene p="), _fmt4("levene_p"), F.lit(" - reported as context")).alias("assumption_check"),
-        F.lit("Confederation Performance").alias("metric_name"), F.lit("Kruskal-Wallis H").alias("test_used"),
+        F.lit(3).alias("row_id"), F.concat(F.lit("equal spread: Levene p "), _shown("levene_p")).alias("assumption_check"),
+        *_names("regions"),
         F.concat(F.lit("k="), F.col("k").cast("string"), F.lit(", n="), F.col("n").cast("string")).alias("sample_sizes"),
-        F.col("h").alias("statistic"), "p_value", F.col("epsilon_squared").alias("effect_size"),
-        F.lit("epsilon-squared").alias("effect_size_metric"), F.lit(R.EPSILON_SQUARED_THRESHOLDS[0]).alias("_t0"))
+        F.col("h").alias("statistic"), "p_value", F.col("epsilon_squared").alias("effect_size"))
+    year = F.col("tournament_year").cast("string")
+    # one row per year: a window over results, not over data
     sp = spearman_frame(spark, sf_dir).select(
-        F.lit("rank-based, no distribution assumed").alias("assumption_check"),
-        F.concat(F.lit("Expected-vs-Actual Performance "), F.col("tournament_year").cast("string")).alias("metric_name"),
-        F.lit("Spearman rank correlation").alias("test_used"),
+        (F.lit(3) + F.row_number().over(Window.orderBy("tournament_year"))).cast("int").alias("row_id"),
+        F.lit("ranks only, nothing assumed").alias("assumption_check"), *_names("finish", year),
         F.concat(F.lit("n="), F.col("n").cast("string")).alias("sample_sizes"),
-        F.col("rho").alias("statistic"), "p_value", F.col("rho").alias("effect_size"),
-        F.lit("Spearman's rho").alias("effect_size_metric"), F.lit(R.SPEARMAN_RHO_THRESHOLDS[0]).alias("_t0"))
+        F.col("rho").alias("statistic"), "p_value", F.col("rho").alias("effect_size"))
     allr = mw.unionByName(fi).unionByName(kw).unionByName(sp)
-    th = {"rank-biserial correlation": R.RANK_BISERIAL_THRESHOLDS, "Cohen's h": R.COHENS_H_THRESHOLDS,
-          "epsilon-squared": R.EPSILON_SQUARED_THRESHOLDS, "Spearman's rho": R.SPEARMAN_RHO_THRESHOLDS}
     mag = None
-    for metric, t3 in th.items():
-        lab = magnitude_label("effect_size", t3)
-        mag = F.when(F.col("effect_size_metric") == metric, lab) if mag is None else \
-            mag.when(F.col("effect_size_metric") == metric, lab)
+    for t3 in TESTS.values():
+        here = F.col("effect_size_metric") == t3["metric"]
+        lab = magnitude_label("effect_size", t3["thresholds"])
+        mag = F.when(here, lab) if mag is None else mag.when(here, lab)
+    effect = F.concat(mag, F.lit(" effect ("), F.col("effect_size_metric"), F.lit(" "),
+                      F.format_string("%.3f", round_half_up("effect_size", 3)), F.lit("), "))
+    phrase = significance_phrase("p_value", R.SIGNIFICANCE_ALPHA)
     out = allr.select(
-        "metric_name", "test_used", "assumption_check", "sample_sizes", rs("statistic", 6).alias("statistic"),
-        rs("p_value", 6).alias("p_value"), rs("effect_size", 6).alias("effect_size"), "effect_size_metric",
-        mag.alias("magnitude"), (F.col("p_value") < R.SIGNIFICANCE_ALPHA).alias("significant"),
-        significance_phrase("p_value", R.SIGNIFICANCE_ALPHA).alias("significance"))
+        "row_id", "metric_name", "hypothesis", "comparison", "test_used", "assumption_check", "sample_sizes",
+        rs("statistic", 6).alias("statistic"), rs("p_value", 6).alias("p_value"),
+        rs("effect_size", 6).alias("effect_size"), "effect_size_metric", mag.alias("magnitude"),
+        (F.col("p_value") < R.SIGNIFICANCE_ALPHA).alias("significant"), phrase.alias("significance"),
+        F.concat(F.coalesce(effect, F.lit("effect undefined, ")), phrase).alias("interpretation"))
     return S.write_results(out, scratch_path(spark, "statistical-validation"))
 
 
+# One entry per test: the texts of the result table (R14) and the bounds of the effect labels.
+TESTS = {
+    "balance": {"name": "Competitive Balance", "test": "Mann-Whitney U (two-sided)",
+                "hypothesis": "score gaps have one distribution in the current and the earlier cohorts",
+                "comparison": "absolute score gap, current cohort against all earlier ones",
+                "metric": "rank-biserial correlation", "thresholds": R.RANK_BISERIAL_THRESHOLDS},
+    "upsets": {"name": "Upset Rate", "test": "Fisher's exact test (two-sided)",
+               "hypothesis": "a decisive contest is as likely to be an upset in the current cohort as before",
+               "comparison": "upsets among decisive contests, current cohort against all earlier ones",
+               "metric": "Cohen's h", "thresholds": R.COHENS_H_THRESHOLDS},
+    "regions": {"name": "Confederation Performance", "test": "Kruskal-Wallis H",
+                "hypothesis": "score differences have one distribution in all confederations",
+                "comparison": "score difference per team and contest between confederations, current cohort",
+                "metric": "epsilon-squared", "thresholds": R.EPSILON_SQUARED_THRESHOLDS},
+    "finish": {"name": "Expected-vs-Actual Performance", "test": "Spearman rank correlation",
+               "hypothesis": "ranking and finish are unrelated",
+               "comparison": "ranking before against finish in the cohort",
+               "metric": "Spearman's rho", "thresholds": R.SPEARMAN_RHO_THRESHOLDS},
+}
+
+
+def _names(key: str, suffix: Column | None = None) -> list[Column]:
+    t = TESTS[key]
+    name = F.lit(t["name"]) if suffix is None else F.concat(F.lit(t["name"] + " "), suffix)
+    return [name.alias("metric_name"), F.lit(t["hypothesis"]).alias("hypothesis"),
+            F.lit(t["comparison"]).alias("comparison"), F.lit(t["test"]).alias("test_used"),
+            F.lit(t["metric"]).alias("effect_size_metric")]
+
+
+def _names_sql(key: str, suffix: str = "") -> str:
+    t = {k: str(v).replace("'", "''") for k, v in TESTS[key].items()}
+    name = f"'{t['name']}'" if not suffix else f"'{t['name']} ' || {suffix}"
+    return (f"{name} AS metric_name, '{t['hypothesis']}' AS hypothesis, '{t['comparison']}' AS comparison, "
+            f"'{t['test']}' AS test_used, '{t['metric']}' AS effect_size_metric")
+
+
 def _f(p: str, d: int = 4) -> str:
     return f"printf('%.{d}f', CAST(ROUND(CAST(({p}) AS DECIMAL(38,9)), {d}) AS DOUBLE))"
 
 
-JB_ABS_SQL = O.with_(O.CONTESTS) + f"""
-, x AS (SELECT CAST(ABS(home_score - away_score) AS DOUBLE) AS v, cohort = {O.CURRENT} AS g FROM contests),
-m AS (SELECT g, AVG(v) AS mu FROM x GROUP BY g),
-mo AS (SELECT x.g, COUNT(*) AS n, AVG(pow(v - mu, 2)) AS m2, AVG(pow(v - mu, 3)) AS m3, AVG(pow(v - mu, 4)) AS m4
-       FROM x JOIN m USING (g) GROUP BY 1),
-s AS (SELECT g, n, m3 / pow(m2, 1.5) AS sk, m4 / (m2 * m2) - 3.0 AS ku FROM mo),
-jp AS (SELECT g, exp(-(n / 6.0 * (sk * sk + ku * ku / 4.0)) / 2.0) AS p FROM s)
-SELECT MAX(CASE WHEN g THEN p END) AS jb_cur, MAX(CASE WHEN NOT g THEN p END) AS jb_old FROM jp"""
+GAP_NORMALITY_SQL = (O.with_(O.CONTESTS) + f"""
+, gaps AS (SELECT ABS(home_score - away_score) AS v, cohort = {O.CURRENT} AS side FROM contests),
+""" + OS.shapiro_sql("gaps", "side", "v") + """
+SELECT MAX(CASE WHEN g THEN w END) AS w_cur, MAX(CASE WHEN NOT g THEN w END) AS w_old,
+       MAX(CASE WHEN g THEN p_value END) AS p_cur, MAX(CASE WHEN NOT g THEN p_value END) AS p_old,
+       MAX(CASE WHEN g THEN jb_p_value END) AS jb_cur, MAX(CASE WHEN NOT g THEN jb_p_value END) AS jb_old FROM sw""")
 
 
 def _sig(p: str) -> str:
@@ -372,46 +408,48 @@ def _sig(p: str) -> str:
 
 
 def _validation_sql() -> str:
-    def mag(e: str, t3) -> str:
-        return (f"CASE WHEN {e} IS NULL THEN NULL WHEN abs({e}) < {t3[0]} THEN 'negligible' "
-                f"WHEN abs({e}) < {t3[1]} THEN 'small' WHEN abs({e}) < {t3[2]} THEN 'medium' ELSE 'large' END")
-
-    mw = MWU_SQL
-    parts = [
-        f"""SELECT 'Competitive Balance' AS metric_name, 'Mann-Whitney U (two-sided)' AS test_used,
+    """The five tests as (row_id, texts, raw numbers); labels and phrases are then built once, over all rows."""
+    shown = lambda c: f"coalesce({_f(c)}, 'none')"
+    rows = [
+        f"""SELECT 1 AS row_id, {_names_sql('balance')},
        'n_current=' || CAST(n1 AS VARCHAR) || ', n_earlier=' || CAST(n2 AS VARCHAR) AS sample_sizes,
-       {q('u', 6)} AS statistic, {q('least(1.0, 2.0 * ' + OS.norm_sf('z') + ')', 6)} AS p_value,
-       {q('1.0 - 2.0 * u / (CAST(n1 AS DOUBLE) * n2)', 6)} AS effect_size, 'rank-biserial correlation' AS effect_size_metric,
-       {mag('(1.0 - 2.0 * u / (CAST(n1 AS DOUBLE) * n2))', R.RANK_BISERIAL_THRESHOLDS)} AS magnitude,
-       least(1.0, 2.0 * {OS.norm_sf('z')}) < {R.SIGNIFICANCE_ALPHA} AS significant,
-       {_sig("least(1.0, 2.0 * " + OS.norm_sf('z') + ")")} AS significance,
-       'Jarque-Bera p current=' || {_f('jb_cur')} || ', earlier=' || {_f('jb_old')}
-       || CASE WHEN least(jb_cur, jb_old) < {R.SIGNIFICANCE_ALPHA} THEN ' - normality rejected, rank test used'
-               ELSE ' - normality not rejected, rank test used regardless' END AS assumption_check
-FROM ({mw} SELECT * FROM z) mwq CROSS JOIN ({JB_ABS_SQL}) jbq""",
-        f"""SELECT 'Upset Rate', 'Fisher''s exact test (two-sided)',
+       u AS st, least(1.0, 2.0 * {OS.norm_sf('z')}) AS p, 1.0 - 2.0 * u / (CAST(n1 AS DOUBLE) * n2) AS e,
+       'Shapiro-Wilk W ' || {shown('w_cur')} || ' and ' || {shown('w_old')} || ', p ' || {shown('p_cur')} || ' and '
+       || {shown('p_old')} || '; moment test p ' || {shown('jb_cur')} || ' and ' || {shown('jb_old')}
+       || CASE WHEN least(coalesce(p_cur, jb_cur), coalesce(p_old, jb_old)) < {R.SIGNIFICANCE_ALPHA}
+               THEN '; not normal' ELSE '; normality not rejected' END AS assumption_check
+FROM ({MWU_SQL} SELECT * FROM z) mwq CROSS JOIN ({GAP_NORMALITY_SQL}) nq""",
+        f"""SELECT 2, {_names_sql('upsets')},
        'decisive_current=' || CAST(a + b AS VARCHAR) || ', decisive_earlier=' || CAST(c + d AS VARCHAR),
-       {q('odds_ratio', 6)}, {q('p_value', 6)}, {q('h', 6)}, 'Cohen''s h', {mag('h', R.COHENS_H_THRESHOLDS)},
-       p_value < {R.SIGNIFICANCE_ALPHA}, {_sig("p_value")},
-       'minimum expected cell count = ' || {_f('me', 1)}
-       || CASE WHEN me < 5 THEN ' - below 5, exact test required'
-               ELSE ' - at or above 5, chi-square would also be valid' END
-FROM (SELECT fq.*, least(CAST(a + b AS DOUBLE) * (a + c) / (a + b + c + d), CAST(a + b AS DOUBLE) * (b + d) / (a + b + c + d),
-                         CAST(c + d AS DOUBLE) * (a + c) / (a + b + c + d), CAST(c + d AS DOUBLE) * (b + d) / (a + b + c + d)) AS me, 2.0 * asin(sqrt(CAST(a AS DOUBLE) / (a + b))) - 2.0 * asin(sqrt(CAST(c AS DOUBLE) / (c + d))) AS h
-      FROM ({_FISHER_RAW}) fq) fx""",
-        f"""SELECT 'Confederation Performance', 'Kruskal-Wallis H',
-       'k=' || CAST(k AS VARCHAR) || ', n=' || CAST(n AS VARCHAR), {q('h', 6)}, {q('p', 6)}, {q('e', 6)},
-       'epsilon-squared', {mag('e', R.EPSILON_SQUARED_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")},
-       'Levene p=' || {_f('levene_p')} || ' - reported as context'
-FROM ({KRUSKAL_SQL} SELECT k, n, h, {OS.chi2_sf('h', 'k - 1')} AS p, (h - k + 1) / (CAST(n AS DOUBLE) - k) AS e FROM hh) kq
+       odds_ratio, p_value,
+       2.0 * asin(sqrt(CAST(a AS DOUBLE) / (a + b))) - 2.0 * asin(sqrt(CAST(c AS DOUBLE) / (c + d))),
+       'smallest expected cell ' || {_f('least(a + b, c + d) * CAST(least(a + c, b + d) AS DOUBLE) / (a + b + c + d)', 1)}
+       || CASE WHEN least(a + b, c + d) * CAST(least(a + c, b + d) AS DOUBLE) / (a + b + c + d) < 5
+               THEN '; too small for chi-square' ELSE '; large enough for chi-square' END
+FROM ({_FISHER_RAW}) fq""",
+        f"""SELECT 3, {_names_sql('regions')}, 'k=' || CAST(k AS VARCHAR) || ', n=' || CAST(n AS VARCHAR), h,
+       {OS.chi2_sf('h', 'k - 1')}, (h - k + 1) / (CAST(n AS DOUBLE) - k), 'equal spread: Levene p ' || {shown('levene_p')}
+FROM ({KRUSKAL_SQL} SELECT k, n, h FROM hh) kq
 CROSS JOIN ({LEVENE_SQL} SELECT {OS.f_sf_even_d1('f', 'k - 1', 'n - k')} AS levene_p FROM f) lq""",
-        f"""SELECT 'Expected-vs-Actual Performance ' || CAST(y AS VARCHAR), 'Spearman rank correlation',
-       'n=' || CAST(n AS VARCHAR), {q('rho', 6)}, {q('p', 6)}, {q('rho', 6)}, 'Spearman''s rho',
-       {mag('rho', R.SPEARMAN_RHO_THRESHOLDS)}, p < {R.SIGNIFICANCE_ALPHA}, {_sig("p")},
-       'rank-based, no distribution assumed'
-FROM ({SPEARMAN_SQL} SELECT y, n, rho, CASE WHEN n <= 2 THEN NULL WHEN abs(rho) >= 1 THEN 0.0 ELSE {OS.t_sf2('tt', 'n - 2')} END AS p FROM t) sq""",
-    ]
-    return "\nUNION ALL\n".join(parts)
+        f"""SELECT CAST(3 + ROW_NUMBER() OVER (ORDER BY y) AS INTEGER), {_names_sql('finish', 'CAST(y AS VARCHAR)')},
+       'n=' || CAST(n AS VARCHAR), rho,
+       CASE WHEN n <= 2 THEN NULL WHEN abs(rho) >= 1 THEN 0.0 ELSE {OS.t_sf2('tt', 'n - 2')} END, rho,
+       'ranks only, nothing assumed'
+FROM ({SPEARMAN_SQL} SELECT y, n, rho, tt FROM t) sq"""]
+    bounds = " ".join(f"WHEN effect_size_metric = '{t['metric'].replace(chr(39), chr(39) * 2)}' THEN "
+                      f"[{', '.join(map(str, t['thresholds']))}]" for t in TESTS.values())
+    union = "\nUNION ALL\n".join(rows)
+    return f"""
+WITH results AS ({union}),
+labelled AS (SELECT *, CASE WHEN e IS NULL THEN NULL
+                            ELSE ['negligible', 'small', 'medium', 'large'][1 + len(list_filter(CASE {bounds} END, lambda b: abs(e) >= b))]
+                       END AS label, {_sig('p')} AS phrase FROM results)
+SELECT row_id, metric_name, hypothesis, comparison, test_used, assumption_check, sample_sizes, {q('st', 6)} AS statistic,
+       {q('p', 6)} AS p_value, {q('e', 6)} AS effect_size, effect_size_metric, label AS magnitude,
+       p < {R.SIGNIFICANCE_ALPHA} AS significant, phrase AS significance,
+       coalesce(label || ' effect (' || effect_size_metric || ' ' || {_f('e', 3)} || '), ', 'effect undefined, ')
+       || phrase AS interpretation
+FROM labelled"""
 
 
 _FISHER_RAW = UPSET_TABLE_SQL + f"""

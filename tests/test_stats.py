@@ -30,10 +30,66 @@ def test_tails_match_constants(spark, col, expected, tol):
     assert abs(_one(spark, col()) - expected) < tol
 
 
-def test_t_tail_large_df_switch_is_continuous(spark):
-    a = _one(spark, T.t_sf2(F.lit(2.5), F.lit(T.T_EXACT_MAX_DF)))
-    b = _one(spark, T.t_sf2(F.lit(2.5), F.lit(T.T_EXACT_MAX_DF + 2)))
-    assert abs(a - b) < 1e-7
+@pytest.mark.parametrize("t,df,expected", [
+    (12.0, 200, 2.43e-25), (20.0, 60, 3.16e-28),  # to the digits printed in the round-1 review
+])
+def test_small_t_tails_are_positive_and_of_the_right_size(spark, t, df, expected):
+    assert _one(spark, T.t_sf2(F.lit(t), F.lit(df))) == pytest.approx(expected, rel=0.05)
+
+
+@pytest.mark.parametrize("t", [0.0, 1e-3, 0.5, 1.0, 2.5, 9.0, 60.0])
+def test_t_tail_equals_its_closed_forms(spark, t):
+    one = 1 - 2 / math.pi * math.atan(t) if t < 1 else 2 / math.pi * math.atan(1 / t)
+    root = math.sqrt(2 + t * t)
+    two = 2 / (root * (root + t))  # 1 - t / sqrt(2 + t^2) without cancellation
+    assert _one(spark, T.t_sf2(F.lit(t), F.lit(1))) == pytest.approx(one, rel=1e-8)
+    assert _one(spark, T.t_sf2(F.lit(t), F.lit(2))) == pytest.approx(two, rel=1e-8)
+
+
+def test_t_tail_goes_to_the_normal_tail_without_a_step(spark):
+    for df in (99_999, 100_000, 100_001, 10_000_000_000):
+        assert _one(spark, T.t_sf2(F.lit(2.5), F.lit(df))) == pytest.approx(math.erfc(2.5 / math.sqrt(2)), rel=1e-3)
+
+
+def test_hypergeometric_log_probability_is_exact_for_large_counts(spark):
+    from fractions import Fraction
+    for k, good, bad, drawn in ((13, 80, 90, 37), (0, 5, 7, 3), (3, 3, 9, 3), (5_100, 10_000, 12_000, 11_000)):
+        exact = Fraction(math.comb(good, k) * math.comb(bad, drawn - k), math.comb(good + bad, drawn))
+        got = _one(spark, T.log_hypergeometric(F.lit(k), F.lit(good), F.lit(bad), F.lit(drawn)))
+        log = math.log(exact.numerator) - math.log(exact.denominator) if exact.numerator.bit_length() < 900 else (
+            math.log(exact.numerator >> 2000) + 2000 * math.log(2) - math.log(exact.denominator >> 2000) - 2000 * math.log(2))
+        assert got == pytest.approx(log, abs=1e-9)
+    # symmetric cells of huge tables have one probability
+    n = 10 ** 11
+    a = _one(spark, T.log_hypergeometric(F.lit(n // 2 + 1), F.lit(n), F.lit(n), F.lit(n)))
+    b = _one(spark, T.log_hypergeometric(F.lit(n // 2 - 1), F.lit(n), F.lit(n), F.lit(n)))
+    assert abs(a - b) < 1e-9
+
+
+def test_kruskal_keeps_its_digits_for_large_counts(spark):
+    """Two groups whose mean ranks differ by a hair: H from the counts in exact arithmetic."""
+    from fractions import Fraction
+    c = 10 ** 7
+    hist = spark.createDataFrame([("a", 1.0, c), ("a", 2.0, c + 1), ("b", 1.0, c), ("b", 2.0, c - 1)], "g string, v double, c long")
+    ties = [2 * c, 2 * c]
+    n = 4 * c
+    rank = [Fraction(2 * c + 1, 2), 2 * c + Fraction(2 * c + 1, 2)]
+    mean = Fraction(n + 1, 2)
+    q = sum(size * (Fraction(lo * rank[0] + hi * rank[1], size) - mean) ** 2
+            for lo, hi, size in ((c, c + 1, 2 * c + 1), (c, c - 1, 2 * c - 1)))
+    h = Fraction(12, n * (n + 1)) * q / (1 - Fraction(sum(t ** 3 - t for t in ties), n ** 3 - n))
+    assert R.kruskal(None, "g", "v", hist=hist).first().h == pytest.approx(float(h), rel=1e-6)
+
+
+def test_shapiro_wilk_above_the_published_range_has_w_and_the_moment_p(spark):
+    from statistics import NormalDist
+    n = 6_000
+    scores = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    df = spark.createDataFrame([(1, v) for v in scores] + [(2, v ** 3) for v in scores], "g int, v double")
+    r = {x.g: x for x in R.shapiro_wilk(df, "v", ["g"]).collect()}
+    assert r[1].w > 0.9995 and r[2].w < 0.8 and r[1].n == n
+    assert r[1].p_value is None and r[2].p_value is None
+    assert r[1].jb_p_value > 0.5 and r[2].jb_p_value < 1e-12
 
 
 def test_shapiro_wilk_reference_sample(spark):
