@@ -3,8 +3,9 @@
 The events table plays the landing table; the events fact carries a
 surrogate key, the event-type key (D2) and the measures. A second snapshot is
 derived from the whole table: values changed where event_id % 7 = 0, rows
-removed where event_id % 10 = 0, and new rows (event_id + 1,000,000) where
-event_id % 13 = 0, a few with an event type the dimension does not know.
+removed where event_id % 10 = 0, and new rows (the highest event_id +
+event_id, so no key is used twice at any size) where event_id % 13 = 0, a few
+with an event type the dimension does not know.
 """
 
 from __future__ import annotations
@@ -24,24 +25,29 @@ from pitchline.streaming import changes as ST
 
 # Fixed parameters of the derived second snapshot.
 UPDATE_MOD, DELETE_MOD, INSERT_MOD, UNKNOWN_MOD = 7, 10, 13, 39
-NEW_KEY_OFFSET = 1_000_000
 KEYS = ["event_id"]
 TRACKED = ["ts", "user_id", "event_type", "value"]
 FACT_COLS = ["event_sk", "event_id", "ts", "user_id", "type_id", "value"]
 BUSINESS = ["event_id", "ts", "user_id", "type_id", "value"]
-CHANGE_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, change_type string"
+CHANGE_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, change_type string, "
+                 "seq long")
 
 
 def raw_events(spark, sf_dir) -> DataFrame:
     return C.table(spark, sf_dir, "events").select("event_id", *TRACKED)
 
 
+def top_key(raw: DataFrame):
+    """The highest event_id, as a scalar subquery column."""
+    return raw.select(F.max("event_id")).scalar()
+
+
 def new_snapshot(raw: DataFrame) -> DataFrame:
     e = F.col("event_id")
     kept = raw.where(e % DELETE_MOD != 0).withColumn(
         "value", F.when(e % UPDATE_MOD == 0, F.col("value") + 1).otherwise(F.col("value")))
     added = raw.where(e % INSERT_MOD == 0).select(
-        (e + NEW_KEY_OFFSET).alias("event_id"), "ts", "user_id",
+        (e + top_key(raw)).alias("event_id"), "ts", "user_id",
         F.when(e % UNKNOWN_MOD == 0, F.lit("unknown")).otherwise(F.col("event_type")).alias("event_type"), "value")
     return kept.unionByName(added)
 
@@ -57,11 +63,12 @@ def build_events_fact(raw: DataFrame, types: DataFrame) -> DataFrame:
     return assign_keys(f, ["ts", "event_id"], "event_sk").select(*FACT_COLS)
 
 
-def apply_changes(fact: DataFrame, changes: DataFrame, types: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """I2 + I3 with rejects: the body of one incremental run."""
+def apply_changes(fact: DataFrame, changes: DataFrame, types: DataFrame,
+                  numbered: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """I2 + I3 with rejects: the body of one incremental run over net changes."""
     updated = I.apply_updates(fact, changes, KEYS, ["value"])
     resolved, unresolved = I.resolve_inserts(changes, [(types, "event_type", "event_type", "type_id")])
-    out = I.apply_inserts(updated, resolved, "event_sk", ["ts", "event_id"])
+    out = I.apply_inserts(updated, resolved, "event_sk", ["ts", "event_id"], KEYS, numbered)
     rejects = I.reject_changes(fact, changes, KEYS, unresolved)
     return out, rejects
 
@@ -80,7 +87,7 @@ new AS (
          CASE WHEN event_id % {UPDATE_MOD} = 0 THEN value + 1 ELSE value END AS value
   FROM events WHERE event_id % {DELETE_MOD} <> 0
   UNION ALL
-  SELECT event_id + {NEW_KEY_OFFSET}, ts, user_id,
+  SELECT event_id + (SELECT MAX(event_id) FROM events), ts, user_id,
          CASE WHEN event_id % {UNKNOWN_MOD} = 0 THEN 'unknown' ELSE event_type END, value
   FROM events WHERE event_id % {INSERT_MOD} = 0
 ),
@@ -149,40 +156,132 @@ def q_apply_rejects(spark, sf_dir):
     return apply_changes(fact, changes, types)[1]
 
 
+# net changes ---------------------------------------------------------------------------
+
+def change_log(raw: DataFrame) -> DataFrame:
+    """Several changes per key: two updates, insert then update, update then delete, insert then delete."""
+    e = F.col("event_id")
+    cols = ["ts", "user_id", "event_type"]
+
+    def changes(where, kind, seq, key=e, value=F.col("value")):
+        return raw.where(where).select(key.alias("event_id"), *cols, value.alias("value"),
+                                       F.lit(kind).alias("change_type"), F.lit(seq).cast("long").alias("seq"))
+
+    v, new = F.col("value"), e + top_key(raw)
+    parts = [changes(e % 7 == 0, "UPDATE", 1, value=v + 1), changes(e % 14 == 0, "UPDATE", 2, value=v + 2),
+             changes(e % 21 == 0, "DELETE", 3), changes(e % 13 == 0, "INSERT", 1, new),
+             changes(e % 26 == 0, "UPDATE", 2, new, v + 3), changes(e % 39 == 0, "DELETE", 3, new)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+LOG_SQL = """
+tops AS (SELECT MAX(event_id) AS top FROM events),
+log AS (
+  SELECT event_id, ts, user_id, event_type, value + 1 AS value, 'UPDATE' AS change_type, 1 AS seq FROM events WHERE event_id % 7 = 0
+  UNION ALL SELECT event_id, ts, user_id, event_type, value + 2, 'UPDATE', 2 FROM events WHERE event_id % 14 = 0
+  UNION ALL SELECT event_id, ts, user_id, event_type, value, 'DELETE', 3 FROM events WHERE event_id % 21 = 0
+  UNION ALL SELECT event_id + top, ts, user_id, event_type, value, 'INSERT', 1 FROM events, tops WHERE event_id % 13 = 0
+  UNION ALL SELECT event_id + top, ts, user_id, event_type, value + 3, 'UPDATE', 2 FROM events, tops WHERE event_id % 26 = 0
+  UNION ALL SELECT event_id + top, ts, user_id, event_type, value, 'DELETE', 3 FROM events, tops WHERE event_id % 39 = 0
+),
+ordered AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY seq DESC) AS back,
+                   FIRST_VALUE(change_type) OVER (PARTITION BY event_id ORDER BY seq) AS opened FROM log),
+net AS (SELECT event_id, ts, user_id, event_type, value,
+               CASE WHEN change_type = 'DELETE' THEN 'DELETE' WHEN opened = 'INSERT' THEN 'INSERT' ELSE 'UPDATE' END AS change_type
+        FROM ordered WHERE back = 1 AND NOT (opened = 'INSERT' AND change_type = 'DELETE'))"""
+
+
+@query("net_changes", "WITH " + LOG_SQL + "\nSELECT * FROM net")
+def q_net_changes(spark, sf_dir):
+    return I.net_changes(change_log(raw_events(spark, sf_dir)), KEYS, "seq")
+
+
+@query("apply_net_updates", "WITH " + LOG_SQL + """
+SELECT e.event_id, e.ts, e.user_id, e.event_type, CASE WHEN n.event_id IS NULL THEN e.value ELSE n.value END AS value
+FROM events e LEFT JOIN (SELECT * FROM net WHERE change_type = 'UPDATE') n ON n.event_id = e.event_id""")
+def q_apply_net_updates(spark, sf_dir):
+    raw = raw_events(spark, sf_dir)
+    return I.apply_updates(raw, change_log(raw), KEYS, ["value"], sequence="seq")
+
+
 # I4-I6 -------------------------------------------------------------------------------
 
 def _write_change_files(changes: DataFrame, path: str) -> None:
-    """Two change sets, appended one after the other (as two loads would land)."""
+    """Two change files, one landed after the other (two micro-batches with one file a trigger)."""
     e = F.col("event_id")
-    changes.where(e % 2 == 0).write.mode("append").parquet(path)
-    changes.where(e % 2 == 1).write.mode("append").parquet(path)
+    sequenced = changes.withColumn("seq", F.lit(1).cast("long"))
+    sequenced.where(e % 2 == 0).coalesce(1).write.mode("append").parquet(path)
+    sequenced.where(e % 2 == 1).coalesce(1).write.mode("append").parquet(path)
 
 
-@query("stream_apply", "WITH " + NEW_SQL + "\nSELECT event_id, ts, user_id, type_id, value FROM applied")
-def stream_apply(spark, sf_dir):
+def _net(batch: DataFrame) -> DataFrame:
+    return I.net_changes(batch, KEYS, "seq")
+
+
+def _stream(spark, sf_dir, drain: bool = False):
     _, types, fact, changes = _setup(spark, sf_dir)
     src, root, ckpt = (scratch_path(spark, n) for n in ("changes", "events-fact", "stream-ckpt"))
     _write_change_files(changes, src)
-    ST.bootstrap(root, fact)
-    ST.consume_changes(spark, src, CHANGE_SCHEMA, ckpt, root, lambda s, c: apply_changes(s, c, types))
+    ST.bootstrap(root, fact, KEYS)
+    if drain:
+        ST.drain_changes(spark, src, CHANGE_SCHEMA, ckpt)
+
+    def run(checkpoint: str = ckpt) -> None:
+        ST.run_incremental(spark, src, CHANGE_SCHEMA, checkpoint, root,
+                           lambda part, whole, net: apply_changes(part, net, types, whole), KEYS, _net,
+                           max_files_per_trigger=1)
+    run()
+    return root, run
+
+
+@query("stream_apply", "WITH " + NEW_SQL + "\nSELECT event_id, ts, user_id, type_id, value FROM applied")
+def stream_apply(spark, sf_dir):
+    root, _ = _stream(spark, sf_dir)
     return ST.read_current(spark, root).select(*BUSINESS)
 
 
+@query("stream_replay", "WITH " + NEW_SQL + "\nSELECT event_id, ts, user_id, type_id, value FROM applied")
+def stream_replay(spark, sf_dir):
+    """The stream loses its checkpoint after both batches: every batch comes again and changes nothing."""
+    root, run = _stream(spark, sf_dir)
+    run(scratch_path(spark, "stream-ckpt"))
+    return ST.read_current(spark, root).select(*BUSINESS)
+
+
+@query("stream_counts", "WITH " + NEW_SQL + """
+, c AS (SELECT CASE WHEN event_id % 2 = 0 THEN 0 ELSE 1 END AS version, change_type,
+               event_type IN (SELECT event_type FROM types) AS known FROM changed)
+SELECT CAST(version AS BIGINT) AS version, COUNT(*) AS changes,
+       CAST(SUM(CASE WHEN change_type = 'UPDATE' THEN 1 ELSE 0 END) AS BIGINT) AS corrected,
+       CAST(SUM(CASE WHEN change_type = 'INSERT' AND known THEN 1 ELSE 0 END) AS BIGINT) AS inserted,
+       CAST(SUM(CASE WHEN change_type = 'DELETE' OR (change_type = 'INSERT' AND NOT known) THEN 1 ELSE 0 END) AS BIGINT) AS rejected
+FROM c GROUP BY version""")
+def stream_counts(spark, sf_dir):
+    root, _ = _stream(spark, sf_dir)
+    return ST.commits(spark, root).where("version >= 0").select("version", "changes", "corrected", "inserted", "rejected")
+
+
 @query("stream_drain", "WITH " + NEW_SQL + "\nSELECT event_id, ts, user_id, type_id, value FROM fact")
 def stream_drain(spark, sf_dir):
-    _, types, fact, changes = _setup(spark, sf_dir)
-    src, root, ckpt = (scratch_path(spark, n) for n in ("changes", "events-fact", "stream-ckpt"))
-    _write_change_files(changes, src)
-    ST.bootstrap(root, fact)
-    ST.drain_changes(spark, src, CHANGE_SCHEMA, ckpt)
     # same checkpoint: the drained backlog is not applied again
-    ST.run_incremental(spark, src, CHANGE_SCHEMA, ckpt, root, lambda s, c: apply_changes(s, c, types))
+    root, _ = _stream(spark, sf_dir, drain=True)
     return ST.read_current(spark, root).select(*BUSINESS)
 
 
 # I7-I9 ----------------------------------------------------------------------------------
 
-@query("content_hash")
+_ROW_TEXT = "|| '|' ||".join(f"coalesce('=' || {t}, '~')" for t in (
+    "CAST(event_id AS VARCHAR)", "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')", "CAST(user_id AS VARCHAR)",
+    "CAST(type_id AS VARCHAR)", "printf('%.14e', value)"))
+
+
+@query("content_hash", "WITH " + NEW_SQL + f"""
+, d AS (SELECT sha256({_ROW_TEXT}) AS d FROM fact)
+SELECT COUNT(*) AS rows, """ + ", ".join(
+    f"CAST(SUM(CAST('0x' || substr(d, {15 * k + 1}, 15) AS HUGEINT)) AS DECIMAL(38,0)) AS h{k}" for k in range(4)) + " FROM d")
 def q_content_hash(spark, sf_dir):
     _, _, fact, _ = _setup(spark, sf_dir)
     return I.content_hash(fact, BUSINESS)
@@ -196,43 +295,69 @@ def _marker_row(raw: DataFrame) -> DataFrame:
 
 
 @query("incremental_equals_rebuild", "WITH " + NEW_SQL + """
-SELECT 'new row' AS scenario, CAST(COUNT(*) + 1 AS BIGINT) AS rows_incremental, CAST(COUNT(*) + 1 AS BIGINT) AS rows_rebuild,
-       TRUE AS equal, CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b FROM events
-UNION ALL SELECT 'correction', COUNT(*), COUNT(*), TRUE, 0, 0 FROM events
-UNION ALL SELECT 'no-op rerun', COUNT(*), COUNT(*), TRUE, 0, 0 FROM events
-UNION ALL SELECT 'snapshot', (SELECT COUNT(*) FROM applied), (SELECT COUNT(*) FROM applied), TRUE, 0, 0""")
+, sizes AS (SELECT (SELECT COUNT(*) FROM events) AS n, (SELECT COUNT(*) FROM applied) AS a,
+                   (SELECT COUNT(*) FROM events WHERE event_id % 7 = 0) AS u)
+SELECT 'new row' AS scenario, n + 1 AS rows_incremental, n + 1 AS rows_rebuild, TRUE AS equal, CAST(0 AS BIGINT) AS only_a,
+       CAST(0 AS BIGINT) AS only_b FROM sizes
+UNION ALL SELECT 'correction', n, n, TRUE, 0, 0 FROM sizes
+UNION ALL SELECT 'rerun over the applied state', n, n, TRUE, 0, 0 FROM sizes
+UNION ALL SELECT 'cleanup restores the baseline', n, n, TRUE, 0, 0 FROM sizes
+UNION ALL SELECT 'snapshot', a, a, TRUE, 0, 0 FROM sizes
+UNION ALL SELECT 'correction against the old rebuild', n, n, FALSE, u, u FROM sizes""")
 def incremental_equals_rebuild(spark, sf_dir):
+    """I8: incremental runs against rebuilds, and one comparison that must fail."""
     raw, types, fact, _ = _setup(spark, sf_dir)
+    fact = load_table(fact, scratch_path(spark, "events-fact"))
+
+    def run(state, old_raw, new_raw):
+        return apply_changes(state, I.diff_snapshots(old_raw, new_raw, KEYS, TRACKED), types)[0]
 
-    def scenario(label, new_raw):
-        changes = I.diff_snapshots(raw, new_raw, KEYS, TRACKED)
-        inc, _ = apply_changes(fact, changes, types)
-        rebuilt = build_events_fact(new_raw, types)
-        return I.assert_same(inc, rebuilt, BUSINESS, label)
+    def same(label, incremental, new_raw):
+        return I.assert_same(incremental, build_events_fact(new_raw, types), BUSINESS, label)
 
     with_new = raw.unionByName(_marker_row(raw))
-    corrected = raw.withColumn("value", F.when(F.col("event_id") % UPDATE_MOD == 0, F.col("value") * 2)
+    corrected = raw.withColumn("value", F.when(F.col("event_id") % UPDATE_MOD == 0, F.col("value") * 2 + 1)
                                .otherwise(F.col("value")))
     snap = new_snapshot(raw)
     # deletes and unknown types are rejected by the apply, so the rebuild side
     # uses the snapshot restricted the same way (kept rows + resolvable inserts)
     snap_applied = (raw.join(snap.select("event_id"), "event_id", "left_anti")
                     .unionByName(snap.join(types.select("event_type"), "event_type", "left_semi")))
-    return (scenario("new row", with_new).unionByName(scenario("correction", corrected))
-            .unionByName(scenario("no-op rerun", raw)).unionByName(scenario("snapshot", snap_applied)))
+    fixed = load_table(run(fact, raw, corrected), scratch_path(spark, "events-corrected"))
+    # cleanup: the corrections are taken back, and the synthetic row is deleted by its key
+    added = run(run(fact, raw, with_new), raw, corrected)
+    back = run(added, corrected, raw)
+    cleaned = I.delete_where(back, F.col("event_id") > top_key(raw))
+    checks = [same("new row", run(fact, raw, with_new), with_new), same("correction", fixed, corrected),
+              same("rerun over the applied state", run(fixed, corrected, corrected), corrected),
+              same("cleanup restores the baseline", cleaned, raw),
+              same("snapshot", run(fact, raw, snap_applied), snap_applied),
+              same("correction against the old rebuild", fixed, raw)]
+    out = checks[0]
+    for check in checks[1:]:
+        out = out.unionByName(check)
+    return out
 
 
 @query("clean_start", """
-SELECT (SELECT CAST(COUNT(*) AS BIGINT) FROM (
-          SELECT event_id, ts, user_id, event_type, value FROM events
-          EXCEPT ALL SELECT event_id, ts, user_id, event_type, value FROM events) x) AS pending_changes,
-       CAST(COUNT(*) FILTER (WHERE event_id >= 1000000) AS BIGINT) AS marker_rows,
-       COUNT(*) FILTER (WHERE event_id >= 1000000) = 0 AS clean
+SELECT 'clean' AS state, CAST(0 AS BIGINT) AS pending_changes, CAST(0 AS BIGINT) AS marker_rows, TRUE AS clean
+UNION ALL SELECT 'marker left', 0, 1, FALSE
+UNION ALL SELECT 'changes pending', COUNT(*) FILTER (WHERE event_id % 7 = 0), 0, COUNT(*) FILTER (WHERE event_id % 7 = 0) = 0
 FROM events""")
 def clean_start(spark, sf_dir):
-    raw = raw_events(spark, sf_dir)
-    pending = I.diff_snapshots(raw, raw, KEYS, TRACKED)
-    return I.assert_clean(pending, raw, F.col("event_id") >= NEW_KEY_OFFSET)
+    """I9 on a clean start, with a synthetic row left over, and with corrections pending."""
+    raw = raw_events(spark, sf_dir).withColumn("synthetic", F.lit(False))
+    left = raw.unionByName(_marker_row(raw.drop("synthetic")).withColumn("synthetic", F.lit(True)))
+    corrected = raw.withColumn("value", F.when(F.col("event_id") % UPDATE_MOD == 0, F.col("value") * 2 + 1)
+                               .otherwise(F.col("value")))
+    marker = F.col("synthetic")
+
+    def state(label, new, table):
+        return I.assert_clean(I.diff_snapshots(raw, new, KEYS, TRACKED), table, marker).select(
+            F.lit(label).alias("state"), "*")
+
+    return (state("clean", raw, raw).unionByName(state("marker left", raw, left))
+            .unionByName(state("changes pending", corrected, raw)))
 
 
 # I10, I11 --------------------------------------------------------------------------------

@@ -1,68 +1,128 @@
 """Incremental consumption of change files with Structured Streaming.
 
-A file stream of change rows feeds ``foreachBatch``. Each micro-batch reads
-the committed version of the target, applies the changes with the batch
-operators, writes the result as ``version=<batch_id>`` (a replay of the same
-batch id overwrites its own version) and then appends a commit row. Readers
-follow the newest commit, so a half-written version is never visible, and
-the stream checkpoint advances the offset once per batch: exactly-once on
-plain Parquet.
+A file stream of change rows feeds ``foreachBatch``. The target is a set of
+Parquet folders, one per slice of the key space, and a commit row per batch
+that names the folder of every slice and the batch's folder of rejects:
+
+* a batch starts from the newest commit *below* its own id, so a replay after
+  a crash never reads what it wrote itself;
+* a batch whose commit exists is skipped, so committed state is never
+  overwritten or applied twice;
+* slices and rejects are written to fresh folders that nothing names until the
+  commit row is there, so a failed attempt leaves nothing visible;
+* only the slices that hold a changed key are rewritten.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 COMMITS = "_commits"
-DATA = "data"
+COMMIT_SCHEMA = ("version long, slices map<int,string>, rejects string, changes long, corrected long, inserted long, "
+                 "rejected long")
 
-ApplyFn = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+#: (state of the touched slices, whole state, net changes) -> (new state of those slices, rejects)
+ApplyFn = Callable[[DataFrame, DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def bootstrap(target_root: str, initial: DataFrame) -> None:
-    """Write the initial state as version -1 and commit it."""
-    _write_version(initial.sparkSession, target_root, initial, -1, None)
+def slice_of(keys: Sequence[str], slices: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int")
 
 
-def _write_version(spark: SparkSession, root: str, state: DataFrame, version: int, counts: DataFrame | None) -> None:
-    (state.write.mode("overwrite").parquet(f"{root}/{DATA}/version={version}"))
-    commit = counts if counts is not None else spark.range(1).select(
-        F.lit(0).cast("long").alias("changes"), F.lit(0).cast("long").alias("rejected"))
-    commit.select(F.lit(version).cast("long").alias("version"), "*").write.mode("append").parquet(f"{root}/{COMMITS}")
+def _write_slices(root: str, state: DataFrame, keys: Sequence[str], slices: int) -> str:
+    """Write ``state`` by slice into a fresh folder; returns the folder."""
+    folder = f"{root}/data/{uuid.uuid4().hex}"
+    state.withColumn("_slice", slice_of(keys, slices)).write.partitionBy("_slice").parquet(folder)
+    return folder
+
+
+def _commit(spark: SparkSession, root: str, row: tuple) -> None:
+    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{COMMITS}")
+
+
+def bootstrap(target_root: str, initial: DataFrame, keys: Sequence[str], slices: int = 16) -> None:
+    """Write the initial state and commit it as version -1."""
+    folder = _write_slices(target_root, initial, keys, slices)
+    _commit(initial.sparkSession, target_root, (-1, {k: folder for k in range(slices)}, None, 0, 0, 0, 0))
+
+
+def commits(spark: SparkSession, root: str) -> DataFrame:
+    """One row per committed batch: version, changes, corrected, inserted, rejected (I4's result counts)."""
+    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/{COMMITS}")
+
+
+def _newest(spark: SparkSession, root: str, below: int | None = None):
+    rows = commits(spark, root)
+    rows = rows if below is None else rows.where(F.col("version") < below)
+    return rows.orderBy(F.desc("version")).limit(1).collect()[0]  # one commit row
+
+
+def _read_slices(spark: SparkSession, slices: dict[int, str]) -> DataFrame:
+    """State of the given slices: one scan per distinct folder, pruned to the slices it still owns."""
+    owned: dict[str, list[int]] = {}
+    for k, folder in slices.items():
+        owned.setdefault(folder, []).append(k)
+    parts = [spark.read.parquet(folder).where(F.col("_slice").isin(ks)) for folder, ks in sorted(owned.items())]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.drop("_slice")
 
 
 def current_version(spark: SparkSession, root: str) -> int:
-    """Newest committed version (a one-value metadata read)."""
-    return int(spark.read.parquet(f"{root}/{COMMITS}").agg(F.max("version")).first()[0])
+    return int(_newest(spark, root)["version"])
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{DATA}/version={current_version(spark, root)}")
+    return _read_slices(spark, _newest(spark, root)["slices"])
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rejects of every committed batch, with its id; None before the first batch."""
+    folders = [r["rejects"] for r in commits(spark, root).where("rejects IS NOT NULL").select("rejects").collect()]
+    return spark.read.parquet(*folders) if folders else None
 
 
 def consume_changes(spark: SparkSession, source_dir: str, schema: StructType | str, checkpoint: str,
-                    target_root: str, apply: ApplyFn, trigger: str = "availableNow",
+                    target_root: str, apply: ApplyFn, keys: Sequence[str],
+                    net: Callable[[DataFrame], DataFrame], trigger: str = "availableNow",
                     max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
-    """Apply every new change file once; ``apply(state, changes) -> (new state, rejects)``.
+    """Apply every new change file once; ``apply(touched state, whole state, net changes)``.
 
-    ``trigger``: "availableNow" (drain what is there, then stop) or a
-    processing-time interval such as "60 minutes".
+    ``net`` reduces a batch to one change per key. ``trigger``: "availableNow"
+    (drain what is there, then stop) or a processing-time interval such as
+    "60 minutes".
     """
     def process(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        session = batch.sparkSession
+        if commits(session, target_root).where(F.col("version") == batch_id).limit(1).count():
+            return  # replayed after its commit
+        base = _newest(session, target_root, below=batch_id)
+        slices = len(base["slices"])
+        landed = f"{target_root}/changes/{uuid.uuid4().hex}"  # net changes, computed once
+        net(batch).withColumn("_slice", slice_of(keys, slices)).write.parquet(landed)
+        changes = session.read.parquet(landed)
+        touched = [r["_slice"] for r in changes.select("_slice").distinct().collect()]  # at most one per slice
+        if not touched:
             return
-        state = read_current(spark, target_root)
-        new_state, rejects = apply(state, batch)
-        (rejects.withColumn("batch_id", F.lit(batch_id).cast("long"))
-         .write.mode("overwrite").parquet(f"{target_root}/_rejects/batch_id={batch_id}"))
-        counts = batch.agg(F.count(F.lit(1)).alias("changes")).crossJoin(
-            rejects.agg(F.count(F.lit(1)).alias("rejected")))
-        _write_version(spark, target_root, new_state, batch_id, counts)
+        state = _read_slices(session, {k: base["slices"][k] for k in touched})
+        new_state, rejects = apply(state, _read_slices(session, base["slices"]), changes.drop("_slice"))
+        folder = _write_slices(target_root, new_state, keys, slices)
+        refused = f"{target_root}/rejects/{uuid.uuid4().hex}"
+        rejects.withColumn("batch_id", F.lit(batch_id).cast("long")).write.parquet(refused)
+        lost = {r["change_type"]: r["n"] for r in session.read.parquet(refused).groupBy("change_type")
+                .agg(F.count(F.lit(1)).alias("n")).collect()}
+        seen = {r["change_type"]: r["n"] for r in changes.groupBy("change_type")
+                .agg(F.count(F.lit(1)).alias("n")).collect()}
+        done = {k: seen.get(k, 0) - lost.get(k, 0) for k in ("UPDATE", "INSERT")}
+        _commit(session, target_root, (batch_id, {**base["slices"], **{k: folder for k in touched}}, refused,
+                                       sum(seen.values()), done["UPDATE"], done["INSERT"], sum(lost.values())))
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -85,7 +145,8 @@ def drain_changes(spark: SparkSession, source_dir: str, schema: StructType | str
 
 
 def run_incremental(spark: SparkSession, source_dir: str, schema: StructType | str, checkpoint: str,
-                    target_root: str, apply: ApplyFn, every: str | None = None) -> StreamingQuery:
+                    target_root: str, apply: ApplyFn, keys: Sequence[str], net: Callable[[DataFrame], DataFrame],
+                    every: str | None = None, **options) -> StreamingQuery:
     """On demand (availableNow) by default, or on a schedule such as "60 minutes"."""
-    return consume_changes(spark, source_dir, schema, checkpoint, target_root, apply,
-                           trigger=every or "availableNow")
+    return consume_changes(spark, source_dir, schema, checkpoint, target_root, apply, keys, net,
+                           trigger=every or "availableNow", **options)

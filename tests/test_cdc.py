@@ -67,28 +67,99 @@ def test_point_mutations_and_first_without_match(spark):
     assert sorted((r.k, r.d.month) for r in df.collect()) == [(2, 1), (3, 1), (4, 2)]
 
 
-def test_stream_versions_replay_safe(spark):
+STREAM = "k long, v double, change_type string, seq long"
+
+
+def _apply(part, whole, net):
+    return I.apply_updates(part, net, ["k"], ["v"]), I.reject_changes(part, net, ["k"], net.limit(0).withColumn(
+        "reason", F.lit("")))
+
+
+def _consume(spark, src, ckpt, root, **kw):
+    return ST.run_incremental(spark, src, STREAM, ckpt, root, _apply, ["k"],
+                              lambda b: I.net_changes(b, ["k"], "seq"), **kw)
+
+
+def _state(spark, root):
+    return sorted(tuple(r) for r in ST.read_current(spark, root).collect())
+
+
+def test_stream_replay_after_a_lost_stream_commit(spark):
+    import os
+    import shutil
+    src, root, ckpt, again = (scratch_path(spark, n) for n in ("src", "root", "ckpt", "ckpt"))
+    ST.bootstrap(root, spark.createDataFrame([(k, 1.0) for k in range(40)], "k long, v double"), ["k"], slices=8)
+    for rows in ([(1, 5.0, "UPDATE", 1), (1, 6.0, "UPDATE", 2), (99, 0.0, "UPDATE", 1)], [(2, 7.0, "UPDATE", 1), (3, 0.0, "DELETE", 1)]):
+        spark.createDataFrame(rows, STREAM).coalesce(1).write.mode("append").parquet(src)
+    _consume(spark, src, ckpt, root, max_files_per_trigger=1)
+    expect = sorted((k, {1: 6.0, 2: 7.0}.get(k, 1.0)) for k in range(40))
+    assert _state(spark, root) == expect
+    rows = {r.version: r for r in ST.commits(spark, root).collect()}
+    assert [(rows[v].changes, rows[v].corrected, rows[v].inserted, rows[v].rejected) for v in (0, 1)] == [(2, 1, 0, 1), (2, 1, 0, 1)]
+    untouched = sum(rows[1].slices[k] == rows[-1].slices[k] for k in range(8))
+    assert untouched >= 4  # only the slices of the changed keys were rewritten
+    # the state after a crash between the target's commit and the stream's own: offsets there, its commits gone
+    shutil.copytree(ckpt, again, ignore=shutil.ignore_patterns("commits"))
+    os.makedirs(os.path.join(again, "commits"))
+    _consume(spark, src, again, root, max_files_per_trigger=1)
+    assert _state(spark, root) == expect and ST.commits(spark, root).count() == 3
+    assert sorted((r.k, r.reason) for r in ST.read_rejects(spark, root).collect()) == [
+        (3, "delete not applied"), (99, "update key not found")]
+
+
+def test_stream_attempt_that_failed_leaves_nothing_visible(spark):
     src, root, ckpt = (scratch_path(spark, n) for n in ("src", "root", "ckpt"))
-    base = spark.createDataFrame([(1, 1.0)], "k long, v double")
-    ST.bootstrap(root, base)
-    schema = "k long, v double, change_type string"
-    spark.createDataFrame([(1, 5.0, "UPDATE")], schema).write.mode("append").parquet(src)
-
-    def apply(state, ch):
-        return I.apply_updates(state, ch, ["k"], ["v"]), ch.limit(0).select("k", "change_type",
-                                                                             F.lit("").alias("reason"))
-
-    ST.consume_changes(spark, src, schema, ckpt, root, apply)
-    assert ST.read_current(spark, root).first().v == 5.0
-    # a replay of batch 0 (e.g. after a crash before the commit) rewrites its own version only
-    state = spark.read.parquet(f"{root}/data/version=-1")
-    ST._write_version(spark, root, apply(state, spark.read.parquet(src))[0], 0, None)
-    assert ST.read_current(spark, root).first().v == 5.0
-    # a drained backlog is not applied again on the same checkpoint
-    spark.createDataFrame([(1, 9.0, "UPDATE")], schema).write.mode("append").parquet(src)
-    ST.drain_changes(spark, src, schema, ckpt)
-    ST.consume_changes(spark, src, schema, ckpt, root, apply)
-    assert ST.read_current(spark, root).first().v == 5.0
+    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"], slices=2)
+    spark.createDataFrame([(1, 5.0, "UPDATE", 1)], STREAM).write.mode("append").parquet(src)
+
+    def failing(part, whole, net):
+        state, rejects = _apply(part, whole, net)
+        return state, rejects.withColumn("reason", F.raise_error(F.lit("late failure")).cast("string")).unionByName(
+            net.select("k", "change_type", F.raise_error(F.lit("late failure")).cast("string").alias("reason")))
+
+    q = None
+    try:
+        q = ST.consume_changes(spark, src, STREAM, ckpt, root, failing, ["k"], lambda b: I.net_changes(b, ["k"], "seq"))
+        failed = q.exception() is not None
+    except Exception:  # noqa: BLE001  awaitTermination raises what the batch raised
+        failed = True
+    assert failed and _state(spark, root) == [(1, 1.0)] and ST.read_rejects(spark, root) is None
+    _consume(spark, src, ckpt, root)
+    assert _state(spark, root) == [(1, 5.0)]
+
+
+def test_drained_backlog_is_not_applied_again(spark):
+    src, root, ckpt = (scratch_path(spark, n) for n in ("src", "root", "ckpt"))
+    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"], slices=2)
+    spark.createDataFrame([(1, 9.0, "UPDATE", 1)], STREAM).write.mode("append").parquet(src)
+    ST.drain_changes(spark, src, STREAM, ckpt)
+    _consume(spark, src, ckpt, root)
+    assert _state(spark, root) == [(1, 1.0)]
+
+
+def test_net_changes_and_key_guards(spark):
+    log = [(1, 1.0, "UPDATE", 1), (1, 2.0, "UPDATE", 2), (2, 1.0, "INSERT", 1), (2, 3.0, "UPDATE", 2), (3, 1.0, "UPDATE", 1),
+           (3, 1.0, "DELETE", 2), (4, 1.0, "INSERT", 1), (4, 1.0, "DELETE", 2), (5, 1.0, "DELETE", 1), (5, 8.0, "INSERT", 2)]
+    changes = spark.createDataFrame(log, STREAM)
+    net = sorted((r.k, r.v, r.change_type) for r in I.net_changes(changes, ["k"], "seq").collect())
+    assert net == [(1, 2.0, "UPDATE"), (2, 3.0, "INSERT"), (3, 1.0, "DELETE"), (5, 8.0, "UPDATE")]
+    fact = spark.createDataFrame([(10, 1, 0.0), (11, 3, 0.0), (12, 5, 0.0)], "sk long, k long, v double")
+    upd = I.apply_updates(fact, changes, ["k"], ["v"], sequence="seq")
+    assert sorted((r.k, r.v) for r in upd.collect()) == [(1, 2.0), (3, 0.0), (5, 8.0)]
+    ins = I.net_changes(changes, ["k"], "seq").where("change_type = 'INSERT'")
+    once = I.apply_inserts(upd, ins, "sk", ["k"], ["k"])
+    twice = I.apply_inserts(once, ins, "sk", ["k"], ["k"])  # a replayed insert adds nothing
+    assert sorted(r.sk for r in twice.collect()) == sorted(r.sk for r in once.collect()) == [10, 11, 12, 13]
+    again = I.reject_changes(once, ins, ["k"], ins.limit(0).withColumn("reason", F.lit("")))
+    assert [(r.k, r.reason) for r in again.collect()] == [(2, "insert key already there")]
+
+
+def test_new_keys_collide_with_no_id_above_a_million(spark):
+    from pitchline.plans import q_cdc
+    raw = spark.createDataFrame([(i, dt.datetime(2024, 1, 1), 1, "a", 1.0) for i in (39, 1000039, 26, 999987)],
+                                "event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    new = q_cdc.new_snapshot(raw)
+    assert new.count() == new.select("event_id").distinct().count()
 
 
 def test_clean_start_guard(spark):
@@ -99,18 +170,12 @@ def test_clean_start_guard(spark):
 
 def test_scheduled_trigger_runs_and_stops(spark):
     src, root, ckpt = (scratch_path(spark, n) for n in ("src", "root", "ckpt"))
-    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"))
-    schema = "k long, v double, change_type string"
-    spark.createDataFrame([(1, 3.0, "UPDATE")], schema).write.mode("append").parquet(src)
-
-    def apply(state, ch):
-        return I.apply_updates(state, ch, ["k"], ["v"]), ch.limit(0).select("k", "change_type",
-                                                                             F.lit("").alias("reason"))
-
+    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"], slices=2)
+    spark.createDataFrame([(1, 3.0, "UPDATE", 1)], STREAM).write.mode("append").parquet(src)
     # a short interval: processAllAvailable returns after a trigger finds no new data
-    q = ST.run_incremental(spark, src, schema, ckpt, root, apply, every="1 second")
+    q = _consume(spark, src, ckpt, root, every="1 second")
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    assert ST.read_current(spark, root).first().v == 3.0
+    assert _state(spark, root) == [(1, 3.0)]
