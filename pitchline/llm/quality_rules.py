@@ -54,7 +54,10 @@ def _with_classes(rows: DataFrame) -> DataFrame:
 
 def language_references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text",
                         min_share: float = 0.002) -> DataFrame:
-    """(lang, class_share, word_share, n_words): one row per language, counted over all of its documents."""
+    """(lang, class_share, word_share, known, n_words): one row per language, counted over all of its documents.
+
+    ``known[n - 1]`` lists the common words of n code points.
+    """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                        text_or_empty(text_col).alias("text"))
     totals = (_with_classes(rows).select("lang", "classes.*")
@@ -71,7 +74,9 @@ def language_references(docs: DataFrame, lang_col: str = "lang", text_col: str =
              .groupBy("lang", "n_words")
              .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("w", F.col("n") / F.col("n_words")))))
                   .alias("word_share")))
-    return classes.join(words, "lang")
+    by_length = F.transform(F.sequence(F.lit(1), F.lit(COMMON_LENGTH)),
+                            lambda n: F.filter(F.map_keys("word_share"), lambda w: F.length(w) == n))
+    return classes.join(words.withColumn("known", by_length), "lang")
 
 
 def _js_terms(p: Column, q: Column) -> Column:
@@ -85,24 +90,19 @@ def _sum(terms: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
 
 
-def _repeat_words() -> Column:
-    """Words in three-word windows that occur twice or more in the text.
-
-    Sorting one long per window (the leading bits of its hash, then its
-    position) brings equal windows together; windows that meet another hash
-    are then compared as strings, so the count is exact.
-    """
-    near = F.expr("""
-        transform(filter(sorted, (x, k) ->
-            (k > 0 AND shiftright(x, bits) = shiftright(sorted[k - 1], bits))
-            OR (k < size(sorted) - 1 AND shiftright(x, bits) = shiftright(sorted[k + 1], bits))),
-          x -> CAST(x & (shiftleft(1L, bits) - 1) AS INT))""")
-    return near.alias("near")
-
-
+#: Repeated windows. One long per window, the leading bits of its hash and then its position, is sorted, which brings
+#: equal windows together; windows that meet an equal hash are compared again as strings, so the count is exact.
 _SORTED = """
     CASE WHEN n_words < 4 THEN CAST(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, n_words - 3),
-        i -> (shiftleft(shiftright(xxhash64(words[i], words[i + 1], words[i + 2]), bits), bits) | i))) END"""
+        i -> (xxhash64(words[i], words[i + 1], words[i + 2]) & shiftleft(-1L, bits)) | i)) END"""
+_MEETS = """
+    zip_with(slice(sorted, 1, greatest(size(sorted) - 1, 0)), slice(sorted, 2, greatest(size(sorted) - 1, 0)),
+             (a, b) -> shiftrightunsigned(a ^ b, bits) = 0)"""
+_NEAR = """
+    CASE WHEN array_contains(meets, true) THEN
+        transform(filter(sequence(0, size(meets)), k -> get(meets, k - 1) OR get(meets, k)),
+                  k -> CAST(sorted[k] & ~shiftleft(-1L, bits) AS INT))
+    ELSE CAST(array() AS array<int>) END"""
 _EXACT = """
     array_sort(transform(near, i -> struct(concat_ws(' ', words[i], words[i + 1], words[i + 2]) AS g, i AS i)))"""
 _COVERED = """
@@ -121,7 +121,8 @@ def measures(rows: DataFrame) -> DataFrame:
            .withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"))
            .drop("lines"))
     return (out.withColumn("bits", F.length(F.bin(F.col("n_words").cast("long"))))
-            .withColumn("sorted", F.expr(_SORTED)).withColumn("near", _repeat_words()).drop("sorted", "bits")
+            .withColumn("sorted", F.expr(_SORTED)).withColumn("meets", F.expr(_MEETS))
+            .withColumn("near", F.expr(_NEAR)).drop("sorted", "meets", "bits")
             .withColumn("exact", F.expr(_EXACT)).drop("near")
             .withColumn("n_repeat_words", F.expr(_COVERED).cast("long")).drop("exact"))
 
@@ -132,9 +133,8 @@ def _word_divergence() -> list[tuple[str, Column]]:
     A reference word that is missing in the text adds half its share; so only
     the words that are there are visited.
     """
-    common = F.expr(f"""
-        CASE WHEN word_share IS NULL THEN NULL ELSE sort_array(filter(words, w -> length(w) <= {COMMON_LENGTH}
-            AND array_contains(known, w))) END""")
+    common = F.expr("sort_array(filter(words, w -> array_contains(get(known, length(w) - 1), w)))")
+    common = F.when(F.col("word_share").isNotNull(), common)
     starts = F.expr("filter(sequence(0, size(common)), k -> k = size(common) OR k = 0 OR common[k] <> common[k - 1])")
     runs = F.expr("""
         transform(slice(starts, 1, size(starts) - 1), (s, j) ->
@@ -142,7 +142,7 @@ def _word_divergence() -> list[tuple[str, Column]]:
     present = _sum(F.transform("runs", lambda r: _js_terms(r["p"], r["q"])))
     missing = (_sum(F.map_values("word_share")) - _sum(F.transform("runs", lambda r: r["q"]))) / 2
     others = _js_terms(1 - F.size("common") / F.col("n_words"), 1 - _sum(F.map_values("word_share")))
-    return [("known", F.map_keys("word_share")), ("common", common),
+    return [("common", common),
             ("starts", F.when(F.size("common") > 0, starts).otherwise(F.array(F.lit(0)))),
             ("runs", runs), ("word_distance", F.sqrt(F.greatest(present + missing + others, F.lit(0.0))))]
 
@@ -164,7 +164,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     references = (land(language_references(docs, lang_col, text_col, min_share), "language-references")
                   .where(F.col("n_words") >= min_reference)
-                  .select(F.col("lang").alias("ref_lang"), "class_share", "word_share"))
+                  .select(F.col("lang").alias("ref_lang"), "class_share", "word_share", "known"))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                        text_or_empty(text_col).alias("text"))
     out = rows.join(broadcast_if_small(references), F.col("lang") == F.col("ref_lang"), "left")
