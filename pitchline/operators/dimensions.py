@@ -43,7 +43,7 @@ def ordered_dimension(df: DataFrame, col: str, order: DataFrame, name_col: str,
 
     ``order`` is the (name, order) list; the key is the order value.
     """
-    return (df.join(F.broadcast(order), df[col] == order[name_col])
+    return (df.join(broadcast_if_small(order), df[col] == order[name_col])
             .groupBy(order[order_col].alias(order_col), df[col].alias(name_col))
             .agg(F.min(F.to_date(date_col)).alias("date_window_start"),
                  F.max(F.to_date(date_col)).alias("date_window_end"))
@@ -160,21 +160,31 @@ def build_fact(raw: DataFrame, *, date_dim: DataFrame, team_dim: DataFrame, tour
                     "neutral_site")
 
 
+def _agreed(source: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """One row per source key: its values and whether all of its rows agree on them (NULL is a value)."""
+    values = F.struct(*cols)
+    return source.groupBy(*keys).agg(F.min(values).alias("_src"), (F.min(values) == F.max(values)).alias("_agreed"))
+
+
 def backfill(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """UPDATE target SET cols FROM source on keys; idempotent, unmatched rows unchanged.
 
-    A source key that occurs more than once is ambiguous and is not applied.
+    Repeated source rows that agree are one update. A key whose source rows
+    differ is not applied; ``backfill_conflicts`` reports it.
     """
     keys, cols = list(keys), list(cols)
-    uniq = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"),
-                                     *[F.first(c).alias(f"_src_{c}") for c in cols])
-            .where(F.col("_c") == 1).drop("_c").withColumn("_hit", F.lit(True)))
-    j = target.join(uniq, keys, "left")
+    j = target.join(broadcast_if_small(_agreed(source, keys, cols).where("_agreed")), keys, "left")
     for c in cols:
-        j = j.withColumn(c, F.when(F.col("_hit"), F.col(f"_src_{c}")).otherwise(F.col(c)))
+        j = j.withColumn(c, F.when(F.col("_agreed"), F.col(f"_src.{c}")).otherwise(F.col(c)))
     return j.select(*target.columns)
 
 
+def backfill_conflicts(source: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """D9 rejects: source keys whose rows disagree, with the reason."""
+    return _agreed(source, list(keys), list(cols)).where("NOT _agreed").select(
+        *keys, F.lit("source rows disagree").alias("reason"))
+
+
 def snapshot_bridge(snap: DataFrame, team_dim: DataFrame, tournament_dim: DataFrame,
                     name_col: str = "team", year_col: str = "tournament_year") -> DataFrame:
     """(name, year, value, as-of) -> (team_id, tournament_id, value, as-of)."""

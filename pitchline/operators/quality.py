@@ -7,12 +7,15 @@ rows to the driver; counts come from aggregates.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import broadcast_if_small, count_if
+from pitchline.sources.files import utc_now
 
 
 def _keys(keys: Sequence[str]) -> list[Column]:
@@ -53,9 +56,8 @@ def find_mismatches(df: DataFrame, lookup: DataFrame, k1: str, k2: str, lookup_k
     ha, aa, ra = F.col("_ha"), F.col("_aa"), F.col(row_attr)
     same = (ha.eqNullSafe(aa) & aa.eqNullSafe(ra)) if null_safe else ((ha == aa) & (aa == ra))
     bad = ~same if cond is None else (cond & ~same)
-    detail = F.concat(F.lit(f"{label} mismatch: home_{label}="), F.coalesce(ha, F.lit("NULL")),
-                      F.lit(f" away_{label}="), F.coalesce(aa, F.lit("NULL")),
-                      F.lit(f" row.{label}="), F.coalesce(ra, F.lit("NULL")))
+    shown = lambda c: F.coalesce(c, F.lit("none"))
+    detail = F.concat(F.lit(f"{label}: expected "), shown(ra), F.lit(", found "), shown(ha), F.lit(" / "), shown(aa))
     return j.where(bad).select(*keys, detail.alias("detail"))
 
 
@@ -135,10 +137,13 @@ def assert_absent(spark: SparkSession, df: DataFrame, names: Sequence[str], tabl
 
 
 def collect_rejects(checks: Sequence[tuple[str, str, DataFrame, Sequence[str]]],
-                    run_id: str | None = None, stamp: bool = True) -> DataFrame:
+                    run_id: str | None = None, stamp: bool = True, at: datetime | None = None,
+                    sink: str | None = None) -> DataFrame:
     """V8: every failing row of every check, one shape, one distributed write.
 
-    ``checks``: (check_name, table_name, failing rows, key columns).
+    ``checks``: (check_name, table_name, failing rows, key columns). ``at`` is
+    the time of the run (now, taken once, if not given). With ``sink`` the rows
+    are appended to that table and the rows of this run are read back from it.
     """
     out = None
     for name, table, rows, keys in checks:
@@ -147,19 +152,35 @@ def collect_rejects(checks: Sequence[tuple[str, str, DataFrame, Sequence[str]]],
                            key.alias("record_key"), F.col("detail"))
         out = part if out is None else out.unionByName(part)
     if stamp:
-        out = out.withColumn("run_id", F.lit(run_id)).withColumn("rejected_at", F.localtimestamp())
-    return out
+        run_id = run_id or uuid.uuid4().hex
+        out = _stamped(out, run_id, "rejected_at", at)
+    return _appended(out, sink, run_id) if sink else out
+
+
+def _stamped(df: DataFrame, run_id: str, time_col: str, at: datetime | None) -> DataFrame:
+    return df.withColumn("run_id", F.lit(run_id)).withColumn(
+        time_col, F.lit(at or utc_now()).cast("timestamp_ntz"))
+
+
+def _appended(df: DataFrame, sink: str, run_id: str | None) -> DataFrame:
+    df.write.mode("append").parquet(sink)
+    written = df.sparkSession.read.schema(df.schema).parquet(sink)
+    return written.where(F.col("run_id") == run_id) if "run_id" in df.columns else written
 
 
 def summarize_checks(checks: Sequence[tuple[str, str, DataFrame, DataFrame]],
-                     run_id: str | None = None, stamp: bool = True) -> DataFrame:
+                     run_id: str | None = None, stamp: bool = True, at: datetime | None = None,
+                     sink: str | None = None) -> DataFrame:
     """V9: one row per check: rows checked, rows failed, passed, notes.
 
-    ``checks``: (check_name, table_name, checked table, failing rows).
+    ``checks``: (check_name, table_name, checked table, failing rows). Each
+    table is counted once, whatever number of checks read it. ``at`` and
+    ``sink`` as in ``collect_rejects``.
     """
+    sizes: dict[str, DataFrame] = {}
     out = None
     for name, table, src, rows in checks:
-        checked = src.agg(F.count(F.lit(1)).alias("rows_checked"))
+        checked = sizes.setdefault(table, src.agg(F.count(F.lit(1)).alias("rows_checked")))
         failed = rows.agg(F.count(F.lit(1)).alias("rows_failed"))
         part = checked.crossJoin(failed).select(
             F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
@@ -168,8 +189,9 @@ def summarize_checks(checks: Sequence[tuple[str, str, DataFrame, DataFrame]],
             .alias("notes"))
         out = part if out is None else out.unionByName(part)
     if stamp:
-        out = out.withColumn("run_id", F.lit(run_id)).withColumn("checked_at", F.localtimestamp())
-    return out
+        run_id = run_id or uuid.uuid4().hex
+        out = _stamped(out, run_id, "checked_at", at)
+    return _appended(out, sink, run_id) if sink else out
 
 
 def reconcile(pairs: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
@@ -226,21 +248,27 @@ def fact_loss(raw: DataFrame, fact: DataFrame, label: str = "star join") -> Data
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: type, null count, distinct count, an example (the minimum).
 
-    One aggregate pass; ``exact=False`` uses HyperLogLog distinct counts.
+    Exact distinct counts come from one map-side combined group per column
+    (value, rows), so no row is multiplied; ``exact=False`` uses
+    HyperLogLog counts.
     """
-    aggs = []
-    for i, f in enumerate(df.schema.fields):
+    out = None
+    for f in df.schema.fields:
         c = F.col(f.name)
-        dc = F.count_distinct(c) if exact else F.approx_count_distinct(c)
-        aggs += [F.count_if(c.isNull()).alias(f"n{i}"), dc.alias(f"d{i}"), F.min(c).cast("string").alias(f"e{i}")]
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-    structs = [F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                        F.col(f"n{i}").cast("long").alias("null_count"), F.col(f"d{i}").cast("long").alias("distinct_count"),
-                        F.col(f"e{i}").alias("example"))
-               for i, f in enumerate(df.schema.fields)]
-    return wide.select("_rows", F.inline(F.array(*structs))).select(
-        "column_name", "data_type", "null_count", "distinct_count", "example",
-        (F.col("distinct_count") == F.col("_rows")).alias("is_unique"))
+        if exact:
+            groups = df.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+            part = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"),
+                              F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+                              F.count("v").alias("distinct_count"), F.min("v").cast("string").alias("example"))
+        else:
+            part = df.agg(F.count(F.lit(1)).alias("_rows"), F.count_if(c.isNull()).alias("null_count"),
+                          F.approx_count_distinct(c).alias("distinct_count"), F.min(c).cast("string").alias("example"))
+        part = part.select(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                           F.col("null_count").cast("long").alias("null_count"),
+                           F.col("distinct_count").cast("long").alias("distinct_count"), "example",
+                           (F.col("distinct_count") == F.col("_rows")).alias("is_unique"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def cross_check(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.functions.columns import bounded_broadcast, broadcast_if_small
+from pitchline.functions.columns import broadcast_if_small
 
 
 def filter_years(df: DataFrame, pred: Column | None, date_col: str, years: Iterable[int]) -> DataFrame:
@@ -27,18 +27,19 @@ def interval_lookup(df: DataFrame, value_col: str, windows: DataFrame, out_col:
                     strict: bool = True) -> DataFrame:
     """Attach the name of the inclusive [lo, hi] window holding ``value_col`` (a date).
 
-    Windows do not overlap, so one row out per row in. ``windows`` is a
-    short list (broadcast, range join); with ``strict`` an unmatched value
-    raises at run time instead of passing silently.
+    Windows do not overlap, so one row out per row in. Each window is spread
+    over its days and joined by equality on the day (a hash join, no range
+    comparison of every row with every window); with ``strict`` an unmatched
+    value raises at run time instead of passing silently.
     """
     v = F.to_date(F.col(value_col))
-    w = bounded_broadcast(windows.select(F.col(name).alias("_wname"), F.col(lo).alias("_lo"), F.col(hi).alias("_hi")))
-    j = df.join(w, v.between(F.col("_lo"), F.col("_hi")), "left")
+    days = windows.select(F.col(name).alias("_wname"), F.explode(F.sequence(F.col(lo), F.col(hi))).alias("_day"))
+    j = df.join(broadcast_if_small(days), v == F.col("_day"), "left")
     label = F.col("_wname")
     if strict:
         label = F.when(label.isNull(), F.raise_error(F.concat(F.lit("no window holds "), v.cast("string")))) \
             .otherwise(label)
-    return j.withColumn(out_col, label).drop("_wname", "_lo", "_hi")
+    return j.withColumn(out_col, label).drop("_wname", "_day")
 
 
 def lookup_when(df: DataFrame, cond: Column, map_df: DataFrame, key: str, map_key: str, map_val: str,

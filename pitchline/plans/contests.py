@@ -13,8 +13,8 @@ One contest = one lineitem row with its order, customer, supplier and part.
 * shootout flag         = l_returnflag = 'R'
 * ranking               = rank of the nation by order spend within the year
 
-Dimension frames derived from ``nation``/``region`` are bounded by those
-tables (25 and 5 rows at every scale factor), so they are broadcast.
+Dimension frames derived from ``nation``/``region`` are broadcast after a
+check of their size.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitchline.functions.columns import bounded_broadcast
+from pitchline.functions.columns import broadcast_if_small
 from pitchline.session import cut_lineage
 
 # Fixed values of the adapter.
@@ -51,7 +51,7 @@ def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
-    return bounded_broadcast(
+    return broadcast_if_small(
         n.join(r, n.n_regionkey == r.r_regionkey).select(
             key.cast("long").alias("team_id"),
             F.col("n_name").alias("team_name"),
@@ -68,7 +68,7 @@ def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     key = F.col("n_nationkey")
-    return bounded_broadcast(
+    return broadcast_if_small(
         n.join(r, n.n_regionkey == r.r_regionkey).select(
             key.cast("long").alias("venue_id"),
             F.col("n_name").alias("city"),
@@ -80,7 +80,7 @@ def venues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stages(spark: SparkSession) -> DataFrame:
-    return bounded_broadcast(
+    return broadcast_if_small(
         spark.createDataFrame(STAGE_ORDER, "stage_name string, stage_order int"))
 
 
@@ -164,7 +164,7 @@ def ranking_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("c_nationkey").cast("long").alias("team_id"))
              .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("spend")))
     w = Window.partitionBy("cohort").orderBy(F.desc("spend"))
-    return bounded_broadcast(spend.select(
+    return broadcast_if_small(spend.select(
         "team_id", "cohort",
         F.rank().over(w).cast("int").alias("fifa_ranking"),
         F.make_date("cohort", F.lit(1), F.lit(1)).alias("ranking_as_of_date"),

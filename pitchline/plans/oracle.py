@@ -114,10 +114,11 @@ visits AS (
 
 UNPIVOT = """
 team_matches AS (
-  SELECT cohort, 'home' AS role, home_team_id AS team_id, home_score AS goals_for, away_score AS goals_against
-  FROM contests
-  UNION ALL
-  SELECT cohort, 'away', away_team_id, away_score, home_score FROM contests
+  SELECT cohort, side.role AS role, side.team_id AS team_id, side.own AS goals_for, side.other AS goals_against
+  FROM (SELECT cohort, unnest([
+          {'role': 'home', 'team_id': home_team_id, 'own': home_score, 'other': away_score},
+          {'role': 'away', 'team_id': away_team_id, 'own': away_score, 'other': home_score}]) AS side
+        FROM contests) both_sides
 )"""
 
 

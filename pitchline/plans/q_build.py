@@ -60,10 +60,16 @@ def align_schema_union(spark, sf_dir):
 
 
 @query("source_contract", """
-SELECT 'region' AS source, TRUE AS header_ok, COUNT(*) AS row_count, 5 AS min_rows, COUNT(*) >= 5 AS passed
-FROM region""")
+SELECT 'region' AS source, TRUE AS header_ok, (SELECT COUNT(*) FROM region) AS row_count,
+       5 AS min_rows, (SELECT COUNT(*) FROM region) >= 5 AS passed
+UNION ALL SELECT 'nation, wrong header', FALSE, (SELECT COUNT(*) FROM nation), 5, FALSE
+UNION ALL SELECT 'nation, too few rows', TRUE, (SELECT COUNT(*) FROM nation), 1000, (SELECT COUNT(*) FROM nation) >= 1000""")
 def source_contract(spark, sf_dir):
-    return S.assert_source(C.table(spark, sf_dir, "region"), "region", ["r_regionkey", "r_name"], 5)
+    """S5 on a source that fulfils its contract, one with another header and one with too few rows."""
+    nation = C.table(spark, sf_dir, "nation")
+    return (S.assert_source(C.table(spark, sf_dir, "region"), "region", ["r_regionkey", "r_name"], 5)
+            .unionByName(S.assert_source(nation, "nation, wrong header", nation.columns[::-1], 5))
+            .unionByName(S.assert_source(nation, "nation, too few rows", nation.columns, 1000)))
 
 
 # T1, T2, T6 -------------------------------------------------------------------
@@ -398,10 +404,10 @@ WITH src AS (
          CAST(-60.0 AS DOUBLE) + CAST(5.0 AS DOUBLE) * s_nationkey AS latitude,
          CAST(-170.0 AS DOUBLE) + CAST(14.0 AS DOUBLE) * s_nationkey AS longitude
   FROM supplier
-), uniq AS (SELECT venue_id, MIN(latitude) AS latitude, MIN(longitude) AS longitude FROM src
-            GROUP BY venue_id HAVING COUNT(*) = 1)
+), agreed AS (SELECT venue_id, MIN(latitude) AS latitude, MIN(longitude) AS longitude FROM src
+              GROUP BY venue_id HAVING COUNT(DISTINCT latitude) = 1 AND COUNT(DISTINCT longitude) = 1)
 SELECT CAST(n.n_nationkey AS BIGINT) AS venue_id, n.n_name AS city, u.latitude, u.longitude
-FROM nation n LEFT JOIN uniq u ON u.venue_id = n.n_nationkey""")
+FROM nation n LEFT JOIN agreed u ON u.venue_id = n.n_nationkey""")
 def backfill_update(spark, sf_dir):
     target = C.venues(spark, sf_dir).select(
         "venue_id", "city", F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"))
@@ -409,10 +415,20 @@ def backfill_update(spark, sf_dir):
     source = C.table(spark, sf_dir, "supplier").select(
         k.cast("long").alias("venue_id"), (F.lit(C.LAT_BASE) + F.lit(C.LAT_STEP) * k).alias("latitude"),
         (F.lit(C.LON_BASE) + F.lit(C.LON_STEP) * k).alias("longitude"))
-    # every supplier is a second source for its nation: ambiguous keys are not applied
+    # every supplier is a source for its nation; they agree, so all nations are filled
     return D.backfill(target, source, ["venue_id"], ["latitude", "longitude"])
 
 
+@query("backfill_conflicts", """
+SELECT CAST(s_nationkey AS BIGINT) AS venue_id, 'source rows disagree' AS reason
+FROM supplier GROUP BY s_nationkey HAVING COUNT(DISTINCT s_suppkey % 2) > 1""")
+def backfill_conflicts(spark, sf_dir):
+    """Sources that differ within a nation (by the parity of the supplier) are reported, not applied."""
+    source = C.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("long").alias("venue_id"),
+                                                       (F.col("s_suppkey") % 2).alias("latitude"))
+    return D.backfill_conflicts(source, ["venue_id"], ["latitude"])
+
+
 # S8 ---------------------------------------------------------------------------
 
 @query("full_rebuild", FACT_SQL + """
@@ -439,7 +455,8 @@ def full_rebuild(spark, sf_dir):
             ("away_team_id", "dim_team", t["dim_team"], "team_id", False),
             ("so_winner_id", "dim_team", t["dim_team"], "team_id", True)])
         loss = Q.fact_loss(raw, t["fact_match"], "fact rows in = rows out")
-        return orphans.select("passed").unionByName(loss.select("passed"))
+        return (orphans.select(F.concat(F.lit("orphans in "), "fk_column").alias("check"), "passed")
+                .unionByName(loss.select(F.col("invariant").alias("check"), "passed")))
 
     tables = S.rebuild(spark, root, steps, checks)
     out = None

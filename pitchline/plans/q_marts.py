@@ -54,29 +54,22 @@ def q_group_difficulty(spark, sf_dir):
                                   current_cohort(spark, sf_dir))
 
 
+# A contest between ranked teams is an upset if the score margin and the gap in rank point the same way (the winner
+# had the larger rank number).
 UPSET_CLASSIFIED = O.with_(O.CONTESTS, O.RANKING) + """
-, eligible AS (
-  SELECT m.*, hr.fifa_ranking AS home_ranking, ar.fifa_ranking AS away_ranking
-  FROM contests m
-  JOIN ranking hr ON hr.team_id = m.home_team_id AND hr.cohort = m.cohort
-  JOIN ranking ar ON ar.team_id = m.away_team_id AND ar.cohort = m.cohort
-  WHERE hr.fifa_ranking IS NOT NULL AND ar.fifa_ranking IS NOT NULL
-), classified AS (
-  SELECT *, home_score = away_score AS is_draw,
-         (home_score > away_score AND home_ranking > away_ranking)
-           OR (away_score > home_score AND away_ranking > home_ranking) AS is_upset
-  FROM eligible
-)"""
+, duels AS (
+  SELECT c.cohort, c.home_score - c.away_score AS margin,
+         (SELECT fifa_ranking FROM ranking r WHERE r.team_id = c.home_team_id AND r.cohort = c.cohort)
+         - (SELECT fifa_ranking FROM ranking r WHERE r.team_id = c.away_team_id AND r.cohort = c.cohort) AS gap
+  FROM contests c
+), classified AS (SELECT cohort, margin = 0 AS is_draw, margin * gap > 0 AS is_upset FROM duels WHERE gap IS NOT NULL)"""
 
 
 @query("upset_rate", UPSET_CLASSIFIED + f"""
-SELECT cohort AS tournament_year,
-       COUNT(*) AS eligible_match_count,
-       {O.count_if('is_draw')} AS draw_count,
-       COUNT(*) - {O.count_if('is_draw')} AS decisive_match_count,
-       {O.count_if('NOT is_draw AND is_upset')} AS upset_count,
-       {O.pct(O.count_if('NOT is_draw AND is_upset'), 'COUNT(*) - ' + O.count_if('is_draw'))} AS upset_rate_pct,
-       {O.pct(O.count_if('is_draw'), 'COUNT(*)')} AS draw_rate_pct
+SELECT cohort AS tournament_year, COUNT(*) AS eligible_match_count, COUNT(*) FILTER (WHERE is_draw) AS draw_count,
+       COUNT(*) FILTER (WHERE NOT is_draw) AS decisive_match_count, COUNT(*) FILTER (WHERE is_upset) AS upset_count,
+       {O.pct('COUNT(*) FILTER (WHERE is_upset)', 'COUNT(*) FILTER (WHERE NOT is_draw)')} AS upset_rate_pct,
+       {O.pct('COUNT(*) FILTER (WHERE is_draw)', 'COUNT(*)')} AS draw_rate_pct
 FROM classified GROUP BY cohort""")
 def q_upset_rate(spark, sf_dir):
     return marts.upset_rate(C.contests(spark, sf_dir), C.ranking_bridge(spark, sf_dir))

@@ -8,6 +8,7 @@ Only when it is unset (local tests) do we create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,10 +49,14 @@ def get_spark(master: str | None = None, app: str = "pitchline",
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set only when unset (local runs): then a fresh temp folder is used.
+    Where it is unset, a local master gets a fresh temp folder; on a cluster a
+    folder of one machine would be lost to the others, so that raises.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="pitchline-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -21,6 +21,11 @@ LOAD_LOG_SCHEMA = ("load_id string, target_table string, source_file string, row
                    "duration_seconds double, credits_used double")
 
 
+def utc_now() -> datetime.datetime:
+    """The time now, taken once on the driver (UTC, as the session's zone): a column of it never moves on a reread."""
+    return datetime.datetime.now(datetime.UTC).replace(tzinfo=None)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
              mode: str = "FAILFAST") -> DataFrame:
     """Typed CSV scan. Header names are checked against the schema (a
@@ -67,13 +72,13 @@ def load_with_log(df: DataFrame, target: str, target_table: str, source_file: st
     spark = df.sparkSession
     obs = Observation(f"load_{uuid.uuid4().hex}")
     started = time.time()
-    t0 = datetime.datetime.now()
+    t0 = utc_now()
     loaded = load_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), target, partition_by)
     rows = int(obs.get["rows"])
-    duration = time.time() - started
+    duration, ended = time.time() - started, utc_now()
     log = spark.createDataFrame(
-        [(uuid.uuid4().hex, target_table, source_file, rows, spark.sparkContext.appName, t0, None, duration, None)],
-        LOAD_LOG_SCHEMA).withColumn("load_ended_at", F.localtimestamp())
+        [(uuid.uuid4().hex, target_table, source_file, rows, spark.sparkContext.appName, t0, ended, duration, None)],
+        LOAD_LOG_SCHEMA)
     if log_path:
         log.write.mode("append").parquet(log_path)
     return loaded, log
@@ -128,8 +133,9 @@ def rebuild(spark: SparkSession, root: str,
 
     A step is ``(name, fn)`` or ``(name, fn, partition_by)``; a fact written
     partitioned by its cohort key gets partition pruning on cohort filters.
-    ``checks`` returns a frame with a boolean ``passed`` column; any false
-    row raises after the build (the written tables stay for inspection).
+    ``checks`` returns a frame with a boolean ``passed`` column. Its failing
+    rows are all written, with their labels, to ``root/_failed_checks``; any of
+    them raises after the build (the written tables stay for inspection).
     """
     tables: dict[str, DataFrame] = {}
     for step in steps:
@@ -137,7 +143,7 @@ def rebuild(spark: SparkSession, root: str,
         part = step[2] if len(step) > 2 else ()
         tables[name] = load_table(fn(tables), f"{root}/{name}", partition_by=part)
     if checks is not None:
-        failed = checks(tables).where(~F.col("passed"))
+        failed = load_table(checks(tables).where(~F.col("passed")), f"{root}/_failed_checks")
         if not failed.isEmpty():
-            raise AssertionError(f"integrity checks failed: {failed.limit(20).collect()}")
+            raise AssertionError(f"integrity checks failed, see {root}/_failed_checks")
     return tables
