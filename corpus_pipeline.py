@@ -39,7 +39,7 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and the digests of the ids and of the decoded text."""
     path = vocabulary_path()
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path), "ids")
+    return bpe.digests(bpe.round_trip(docs, path), "ids")
 
 
 STAGES = [

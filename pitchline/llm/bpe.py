@@ -26,12 +26,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import row_slices, text_or_empty
+from pitchline.llm.common import bounded_batches, row_slices, text_or_empty
 
 #: Pre-tokenizer pattern of byte-level BPE vocabularies. Fixed value.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces kept encoded per worker before the store starts anew.
-STORE_PIECES = 400_000
+STORE_PIECES = 200_000
+#: Bytes of text encoded at a time and ids decoded at a time: what a worker needs beside its store grows with them.
+SLICE_BYTES, DECODE_BLOCK = 1 << 19, 1 << 16
 #: Pairs ranked before this are merged by array steps; the rest, whose lists are short, position by position.
 BULK_RANKS = 4000
 _GAP, _DEAD = -1, -2
@@ -307,11 +309,14 @@ def _decoder(source: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def decode_flat(source: str, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
     """Texts of the id runs ``ids[offsets[k]:offsets[k + 1]]``; broken UTF-8 becomes U+FFFD."""
     data, lens, starts = _decoder(source)
-    counts = lens[ids]
-    ends = np.cumsum(counts)
-    total = int(ends[-1]) if len(ends) else 0
-    spelled = data[np.repeat(starts[ids] - (ends - counts), counts) + np.arange(total)].tobytes()
-    cut = np.concatenate([[0], ends])[offsets].tolist()
+    blocks = []
+    for at in range(0, len(ids), DECODE_BLOCK):
+        part = ids[at:at + DECODE_BLOCK]
+        counts = lens[part]
+        ends = np.cumsum(counts)
+        blocks.append(data[np.repeat(starts[part] - (ends - counts), counts) + np.arange(ends[-1])].tobytes())
+    spelled = b"".join(blocks)
+    cut = np.concatenate([[0], np.cumsum(lens[ids])])[offsets].tolist()
     return [spelled[a:b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:])]
 
 
@@ -337,12 +342,30 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(source.value)
-        for batch in row_slices(batches, 4 << 20):
+        for batch in row_slices(batches, SLICE_BYTES):
             ids, offsets = encoder.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), _list_array(ids, offsets)], ["id", "ids"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return (rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
+    return (bounded_batches(rows).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>")
+            .withColumnRenamed("id", id_col))
+
+
+def round_trip(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids, text): ``decode(encode(docs))`` in one pass over the rows, the text decoded from the ids."""
+    source = docs.sparkSession.sparkContext.broadcast(vocabulary_source(vocabulary))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(source.value)
+        for batch in row_slices(batches, SLICE_BYTES):
+            ids, offsets = encoder.encode(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), _list_array(ids, offsets), pa.array(decode_flat(source.value, ids, offsets), pa.string())],
+                ["id", "ids", "text"])
+
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    return (bounded_batches(rows)
+            .mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, text string")
             .withColumnRenamed("id", id_col))
 
 
@@ -351,7 +374,7 @@ def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
     source = encoded.sparkSession.sparkContext.broadcast(vocabulary_source(vocabulary))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in row_slices(batches, 4 << 20):
+        for batch in row_slices(batches, SLICE_BYTES):
             lists = batch.column(1)
             offsets = lists.offsets.to_numpy().astype(np.int64)
             ids = lists.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64)
@@ -361,7 +384,7 @@ def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col:
 
     empty = F.array().cast("array<int>")
     rows = encoded.select(F.col(id_col).alias("id"), F.coalesce(F.col(ids_col), empty).alias("ids"))
-    return (rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, text string")
+    return (bounded_batches(rows).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, ids array<int>, text string")
             .withColumnRenamed("id", id_col))
 
 

@@ -25,6 +25,18 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame, max_bytes: int = 4 << 20) -> DataFrame:
+    """``df``, with Arrow batches of its session held to ``max_bytes`` (a row at least).
+
+    Spark's own bound of 64 MB counts twice in the JVM and again, as Python
+    strings, in every worker; whole texts make batches of that size.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key, str(64 << 20)).rstrip("b")) > max_bytes:
+        conf.set(key, str(max_bytes))
+    return df
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import broadcast_if_small
-from pitchline.llm.common import crc32_fold, land, row_slices, text_or_empty
+from pitchline.llm.common import bounded_batches, crc32_fold, land, row_slices, text_or_empty
 
 #: Byte classes of the character statistics.
 _CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\r\x0b\x0c", b".,;:'\"?()-", b"!",
@@ -168,7 +168,7 @@ def _described(rows: DataFrame) -> DataFrame:
             x = [statistics(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))],
                                              ["trusted", "unlabelled", "x"])
-    return rows.mapInArrow(run, "trusted boolean, unlabelled boolean, x array<double>")
+    return bounded_batches(rows).mapInArrow(run, "trusted boolean, unlabelled boolean, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
@@ -200,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
 
 def score_column(docs: DataFrame, model: AdditiveModel, text_col: str = "text") -> Column:
     """The model's score of every whole text, as a column of ``docs``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = bounded_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(texts: pd.Series) -> pd.Series:

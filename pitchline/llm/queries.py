@@ -81,7 +81,7 @@ def vocabulary_path() -> str:
 @query("op6_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary_path()
-    return bpe.digests(bpe.decode(bpe.encode(common.table(spark, sf_dir, "documents"), path), path))
+    return bpe.digests(bpe.round_trip(common.table(spark, sf_dir, "documents"), path))
 
 
 @query("op7_exact_dedup", """

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import row_slices, text_or_empty
+from pitchline.llm.common import bounded_batches, row_slices, text_or_empty
 
 #: Kinds in the order that breaks ties of equal starts. Fixed values.
 KINDS = ("assign", "access", "hex", "novel")
@@ -124,7 +124,7 @@ def scan(docs: DataFrame, novelty: Novelty | None = None, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, shape)], ["id", "spans"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return (rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, spans {SPANS}")
+    return (bounded_batches(rows).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, spans {SPANS}")
             .withColumnRenamed("id", id_col))
 
 

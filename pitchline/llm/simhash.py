@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import land, text_or_empty
+from pitchline.llm.common import bounded_batches, land, text_or_empty
 
 SEED = 42
 #: Shingles hashed and counted at a time, so a very long text needs little memory beside itself.
@@ -229,7 +229,7 @@ def components(edges: DataFrame) -> DataFrame:
 def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                max_bits: int = 4, blocks: int = 6, chunk: int = 1024) -> DataFrame:
     """(id, text_hash, fp, component_id) of every row; see ``near_dedup``."""
-    marked = land(docs.select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
+    marked = land(bounded_batches(docs).select(F.col(id_col).alias("id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
                               fingerprint_column(text_col, shingle).alias("fp")), "simhash-fingerprints")
     fps = marked.groupBy("fp").agg(F.min("id").alias("first_id"))
     found = components(links(fps.select("fp"), max_bits, blocks, chunk))

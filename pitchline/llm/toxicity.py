@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import broadcast_if_small
-from pitchline.llm.common import crc32_fold, land, row_slices, text_or_empty
+from pitchline.llm.common import bounded_batches, crc32_fold, land, row_slices, text_or_empty
 
 TERM = re.compile(r"[^\W_]+")
 
@@ -119,7 +119,7 @@ def _hashed(rows: DataFrame, buckets: int) -> DataFrame:
             lists = [terms.of(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.list_(pa.int32()))],
                                              ["label", "terms"])
-    return rows.mapInArrow(run, "label int, terms array<int>")
+    return bounded_batches(rows).mapInArrow(run, "label int, terms array<int>")
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
@@ -186,5 +186,5 @@ def score(docs: DataFrame, model: FactorizationMachine, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], ["id", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return (rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    return (bounded_batches(rows).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
             .select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))

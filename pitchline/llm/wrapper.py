@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import broadcast_if_small
-from pitchline.llm.common import land, row_slices, text_or_empty
+from pitchline.llm.common import bounded_batches, land, row_slices, text_or_empty
 from pitchline.llm.url_rules import url_host
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -366,7 +366,7 @@ def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(host, pivot, sums): the wrapper of every host with at least two pages, from all of its pages."""
     rows = pages.select(url_host(F.col(url_col).cast("string")).alias("host"), text_or_empty(html_col).alias("html"))
-    trees = land(rows.where("host != ''").mapInArrow(_skeletons, "host string, tree binary, kinds int, blocks int"),
+    trees = land(bounded_batches(rows).where("host != ''").mapInArrow(_skeletons, "host string, tree binary, kinds int, blocks int"),
                  "wrapper-skeletons")
     rank = F.struct((-F.col("kinds")).alias("kinds"), "blocks", F.xxhash64("tree").alias("h"))
     best = trees.groupBy("host").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -410,7 +410,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
                                              ["id", "url", "text"])
 
     kinds = rows.schema
-    out = joined.mapInArrow(run, f"id {kinds['id'].dataType.simpleString()}, "
+    out = bounded_batches(joined).mapInArrow(run, f"id {kinds['id'].dataType.simpleString()}, "
                                  f"url {kinds['url'].dataType.simpleString()}, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text",
                       F.length("text").cast("long").alias("n_chars"))
