@@ -159,14 +159,14 @@ def expected_vs_actual(matches: DataFrame, ranking: DataFrame, teams: DataFrame,
                     .otherwise("match_count_proxy").alias("actual_finish_method")))
 
 
-def travel_rest(visits: DataFrame, venues: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def travel_rest(visits: DataFrame, venues: DataFrame) -> DataFrame:
     """Previous match per (team, cohort) by (date, match id); distance and rest.
 
     The LAG sees every match; rows without a venue are dropped afterwards;
     the first match of a team in a cohort has NULL previous columns.
     """
     seq = lag_within(visits, ["team_id", "cohort"], ["match_date", "match_id"],
-                     ["match_id", "match_date", "venue_id"], num_partitions=num_partitions)
+                     ["match_id", "match_date", "venue_id"])
     v = venues.select("venue_id", "latitude", "longitude")
     pv = venues.select(F.col("venue_id").alias("previous_venue_id"),
                        F.col("latitude").alias("_plat"), F.col("longitude").alias("_plon"))

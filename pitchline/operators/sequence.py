@@ -2,55 +2,48 @@
 
 ``lag(...) OVER (PARTITION BY team, cohort ORDER BY date, id)`` sends every
 row of one team to one task. If one team holds a third of the data, that task
-holds a third of the data. Here the rows are range-partitioned on
-(partition keys, order keys), so a hot key spans several partitions; LAG runs
-inside each (partition, key) slice; then the first row of each partition
-takes its predecessor from the last row of the nearest earlier non-empty
-partition when that row has the same key. The boundary table has at most one
-row per partition, so broadcasting it is bounded.
+holds a third of the data. Here the window runs on (key, bucket), where the
+bucket is a fixed monotone function of the first order column (the month of a
+date), so a hot key spans many tasks. The last row of each bucket is carried
+into the key's next bucket as one extra row that sorts first and is dropped
+afterwards. The rows are shuffled once, without sampling or a checkpoint; the
+carried rows come from a map-side combined maximum, one per (key, bucket).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pitchline.functions.columns import bounded_broadcast
-from pitchline.operators.keys import range_sorted
-from pitchline.session import default_partitions
+
+def monotone_bucket(df: DataFrame, col: str) -> Column:
+    """Fixed buckets that never reorder ``col``: months, 1,024 whole numbers, or two leading characters."""
+    kind = df.schema[col].dataType
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.trunc(F.col(col).cast("date"), "month")
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(col).cast("double") / 1024)
+    return F.substring(F.col(col).cast("string"), 1, 2)
 
 
 def lag_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-               value_cols: Sequence[str], prefix: str = "previous_",
-               num_partitions: int | None = None) -> DataFrame:
-    """Add ``prefix + v`` = value of ``v`` on the previous row of the same key."""
-    n = num_partitions or default_partitions(df.sparkSession)
+               value_cols: Sequence[str], prefix: str = "previous_", bucket: Column | None = None) -> DataFrame:
+    """Add ``prefix + v`` = value of ``v`` on the previous row of the same key.
+
+    NULL keys are a key of their own, NULL order values come first. ``bucket``
+    replaces the default ``monotone_bucket`` of the first order column.
+    """
     part, order, values = list(partition_cols), list(order_cols), list(value_cols)
-    ranged = range_sorted(df, part + order, n).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid", *part).orderBy(*order)
-    lagged = ranged.select(
-        "*",
-        *[F.lag(v).over(w).alias(prefix + v) for v in values],
-        F.row_number().over(w).alias("_rn"),
-    )
-    sort_key = F.struct(*[F.col(c) for c in part + order])
-    edges = ranged.groupBy("_pid").agg(
-        F.min_by(F.struct(*[F.col(c) for c in part]), sort_key).alias("_first_key"),
-        F.max_by(F.struct(*[F.col(c) for c in part]), sort_key).alias("_last_key"),
-        F.max_by(F.struct(*[F.col(v) for v in values]), sort_key).alias("_last_vals"),
-    )
-    # one row per non-empty partition: bounded by the partition count
-    ew = Window.orderBy("_pid")
-    fix = (edges
-           .select("_pid", "_first_key",
-                   F.lag("_last_key").over(ew).alias("_prev_key"),
-                   F.lag("_last_vals").over(ew).alias("_prev_vals"))
-           .where(F.col("_prev_key").eqNullSafe(F.col("_first_key")))
-           .select("_pid", F.col("_first_key").alias("_fix_key"), "_prev_vals"))
-    out = lagged.join(bounded_broadcast(fix), "_pid", "left")
-    is_cont = (F.col("_rn") == 1) & F.struct(*[F.col(c) for c in part]).eqNullSafe(F.col("_fix_key"))
-    for v in values:
-        out = out.withColumn(prefix + v, F.when(is_cont, F.col("_prev_vals")[v]).otherwise(F.col(prefix + v)))
-    return out.drop("_pid", "_rn", "_fix_key", "_prev_vals")
+    bucket = bucket if bucket is not None else monotone_bucket(df, order[0])
+    rows = df.withColumn("_bucket", bucket).withColumn("_vals", F.struct(*values))
+    last = rows.groupBy(*part, "_bucket").agg(F.max_by("_vals", F.struct(*order)).alias("_vals"))
+    before = F.lag("_vals").over(Window.partitionBy(*part).orderBy("_bucket"))
+    carried = (last.select(*part, "_bucket", before.alias("_vals")).where(F.col("_vals").isNotNull())
+               .withColumn("_carried", F.lit(True)))
+    both = rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    w = Window.partitionBy(*part, "_bucket").orderBy(F.desc("_carried"), *order)
+    return (both.withColumn("_prev", F.lag("_vals").over(w)).where(~F.col("_carried"))
+            .select(*df.columns, *[F.col(f"_prev.{v}").alias(prefix + v) for v in values]))

@@ -263,7 +263,8 @@ def _raw_matches(spark, sf_dir) -> DataFrame:
 NATURAL_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 # lineitem keys can repeat: the score joins the shootout key, and the order
 # ends with every remaining fact column (rows tied on all of them are identical)
-SHOOTOUT_KEY = [*NATURAL_KEY, "home_score"]
+# (with the cohort, so a filter on it prunes both sides of the join)
+SHOOTOUT_KEY = ["tournament_year", *NATURAL_KEY, "home_score"]
 FACT_ORDER = ["match_date", "home_team", "away_team", *NATURAL_KEY, "home_score", "away_score"]
 FACT_HIST_ORDER = ["tournament_year", *FACT_ORDER]
 
@@ -297,7 +298,7 @@ def _fact_current(spark, sf_dir, core):
     return D.build_fact(raw.where(F.col("tournament_year") == cur).drop("went_to_so"),
                         date_dim=dates, team_dim=C.teams(spark, sf_dir), tournament_dim=tours,
                         order_cols=FACT_ORDER, stage_dim=stage_dim, venue_dim=C.venues(spark, sf_dir),
-                        shootouts=_shootouts(raw), shootout_keys=SHOOTOUT_KEY)
+                        shootouts=_shootouts(raw.where(F.col("tournament_year") == cur)), shootout_keys=SHOOTOUT_KEY)
 
 
 def _fact_full(spark, sf_dir, core):
@@ -307,7 +308,8 @@ def _fact_full(spark, sf_dir, core):
     hist = D.build_fact(raw.where(F.col("tournament_year") < cur).drop("went_to_so", "stage", "venue_city",
                                                                          "venue_country"),
                         date_dim=dates, team_dim=C.teams(spark, sf_dir), tournament_dim=tours,
-                        order_cols=FACT_HIST_ORDER, shootouts=_shootouts(raw), shootout_keys=SHOOTOUT_KEY,
+                        order_cols=FACT_HIST_ORDER,
+                        shootouts=_shootouts(raw.where(F.col("tournament_year") < cur)), shootout_keys=SHOOTOUT_KEY,
                         existing=current)
     return current.unionByName(hist)
 

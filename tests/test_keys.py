@@ -34,12 +34,12 @@ def test_append_keys_continue(spark):
 
 
 def test_lag_within_hot_key_spans_partitions(spark):
-    # one key holds most rows: it must be split across range partitions and still chain correctly
+    # one key holds most rows: it must be split across buckets and still chain correctly
     hot = spark.range(0, 3000).select(F.lit(1).alias("team"), F.lit(2026).alias("cohort"), F.col("id").alias("t"))
     cold = spark.range(0, 300).select((F.col("id") % 5 + 2).alias("team"), F.lit(2026).alias("cohort"),
                                       F.col("id").alias("t"))
     df = hot.unionByName(cold).withColumn("val", F.col("t") * 10)
-    out = lag_within(df, ["team", "cohort"], ["t"], ["t", "val"], num_partitions=6)
+    out = lag_within(df, ["team", "cohort"], ["t"], ["t", "val"])
     w = Window.partitionBy("team", "cohort").orderBy("t")
     ref = df.select("team", "cohort", "t", F.lag("t").over(w).alias("rt"), F.lag("val").over(w).alias("rv"))
     j = out.join(ref, ["team", "cohort", "t"])
@@ -47,6 +47,16 @@ def test_lag_within_hot_key_spans_partitions(spark):
     assert j.where(~F.col("previous_t").eqNullSafe(F.col("rt")) | ~F.col("previous_val").eqNullSafe(F.col("rv"))).count() == 0
 
 
+def test_lag_within_shuffles_the_rows_once(spark):
+    df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.lit("payload").alias("p"))
+    plan = lag_within(df, ["k"], ["t"], ["t"])._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange" in line and "Reused" not in line]
+    assert len(wide) == 3 and "rangepartitioning" not in plan  # rows and carried rows; bucket maxima; their lag
+    nulls = spark.createDataFrame([(None, 5, 1), (None, 2000, 2), (1, None, 3), (1, 4, 4)], "k int, t int, v int")
+    got = {r.v: r.previous_v for r in lag_within(nulls, ["k"], ["t"], ["v"]).collect()}
+    assert got == {1: None, 2: 1, 3: None, 4: 3}
+
+
 def test_running_total_groups(spark):
     h = spark.createDataFrame([(g, v, 1) for g in ("a", "b") for v in range(50)], "g string, v int, w int")
     out = running_total(h, "v", "w", ["g"], num_partitions=4)

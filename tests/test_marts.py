@@ -51,7 +51,7 @@ def test_travel_rest_lag_scoped_tiebreak_and_venue_gap(spark):
     ]
     visits = spark.createDataFrame(rows, "team_id long, match_id long, cohort int, match_date date, venue_id long")
     venues = spark.createDataFrame([(1, 10.0, 20.0), (2, 10.0, 20.0)], "venue_id long, latitude double, longitude double")
-    out = {r.match_id: r for r in A.travel_rest(visits, venues, num_partitions=3).collect()}
+    out = {r.match_id: r for r in A.travel_rest(visits, venues).collect()}
     assert 11 not in out                       # no venue: dropped after the LAG
     assert out[10].previous_match_id is None and out[5].previous_match_id is None
     assert out[12].previous_match_id == 11 and out[12].distance_km is None and out[12].rest_days == 4

@@ -28,7 +28,7 @@ def test_keys_equal_row_number(spark, rows, parts):
 def test_lag_equals_window_lag(spark, rows, parts):
     df = spark.createDataFrame([(g, t, v, i) for i, (g, t, v) in enumerate(rows)], "g int, t int, v int, i int")
     got = {r.i: (r.previous_v, r.previous_i) for r in
-           lag_within(df, ["g"], ["t", "i"], ["v", "i"], num_partitions=parts).collect()}
+           lag_within(df, ["g"], ["t", "i"], ["v", "i"]).collect()}
     w = Window.partitionBy("g").orderBy("t", "i")
     want = {r.i: (r.pv, r.pi) for r in df.select("i", F.lag("v").over(w).alias("pv"), F.lag("i").over(w).alias("pi")).collect()}
     assert got == want
