@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -32,7 +33,9 @@ def bounded_batches(df: DataFrame, max_bytes: int = 4 << 20) -> DataFrame:
     strings, in every worker; whole texts make batches of that size.
     """
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(conf.get(key, str(64 << 20)).rstrip("b")) > max_bytes:
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", conf.get(key, "64m").lower()).groups()
+    size = int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+    if size > max_bytes:
         conf.set(key, str(max_bytes))
     return df
 

@@ -23,6 +23,9 @@ from pitchline.functions.columns import broadcast_if_small
 from pitchline.llm.common import BLANKS, land, text_or_empty
 
 DIMENSIONS = ("source", "lang", "topic")
+#: Default targets: token shares to these powers. Sources and languages are evened out a little, topics stay as they
+#: are, so that most documents can stay: the sample holds about the smallest over the largest lift of all tokens.
+POWERS = {"source": 0.9, "lang": 0.9, "topic": 1.0}
 #: Notices that make a text a licence or a legal page.
 NOTICES = ("Licensed under", "All rights reserved", "Terms of use", "Terms of service")
 
@@ -99,12 +102,12 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
 
 def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
             lang_col: str = "lang", topic: Column | None = None,
-            targets: Mapping[str, Mapping[str, float]] | None = None, power: float = 0.9, keep_share: float = 1.0,
-            seed: int = 8, tolerance: float = 1e-6) -> DataFrame:
+            targets: Mapping[str, Mapping[str, float]] | None = None,
+            powers: Mapping[str, float] = POWERS, keep_share: float = 1.0, seed: int = 8, tolerance: float = 1e-6) -> DataFrame:
     """``docs`` plus the struct ``__mix`` (source, lang, topic, n_tokens, ratio, probability, kept).
 
     ``targets`` maps a dimension to {value: share}; a dimension without one
-    gets its own token shares to the ``power``. Values missing in a given
+    gets its own token shares to the power in ``powers``. Values missing in a given
     target are not wanted: their documents get probability 0. Documents
     without tokens carry no weight and take the probability of their cell, 1
     where the cell has no tokens at all. NULL source or language is the value
@@ -116,7 +119,7 @@ def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
                  .agg(F.sum("__mix.n_tokens").alias("tokens")), "mix-cells")
     given = targets or {}
     shares = {d: (spark.createDataFrame([(k, float(v)) for k, v in given[d].items()], f"{d} string, share double")
-                  if d in given else tempered(cells, d, power)) for d in DIMENSIONS}
+                  if d in given else tempered(cells, d, powers[d])) for d in DIMENSIONS}
     wanted = cells.where("tokens > 0")
     for d in given:
         wanted = wanted.join(shares[d].where("share > 0").select(d), d, "left_semi")

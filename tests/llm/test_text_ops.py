@@ -234,3 +234,15 @@ def test_op6_against_the_library(spark, sf_dir, library):
         ids = library.encode(docs[r.doc_id], add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
             len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+
+
+def test_arrow_batches_are_bounded_whatever_the_session_says(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for setting, expect in (("64m", 4 << 20), ("67108864b", 4 << 20), ("1m", "1m")):
+            spark.conf.set(key, setting)
+            common.bounded_batches(spark.range(1))
+            assert spark.conf.get(key) in (str(expect), f"{expect}b", "1048576b" if expect == "1m" else "")
+    finally:
+        spark.conf.set(key, before)
