@@ -99,8 +99,12 @@ def consume_changes(spark: SparkSession, source_dir: str, schema: StructType | s
     (drain what is there, then stop) or a processing-time interval such as
     "60 minutes".
     """
+    description = spark.sparkContext.getLocalProperty("spark.job.description")
+
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        if description:  # the batch's jobs belong to the job that started the stream
+            session.sparkContext.setJobDescription(description)
         if commits(session, target_root).where(F.col("version") == batch_id).limit(1).count():
             return  # replayed after its commit
         base = _newest(session, target_root, below=batch_id)

@@ -108,3 +108,54 @@ def test_bucketed_partners_join_without_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_load_log_end_time_does_not_move(spark, tmp_path):
+    import time
+    _, log = S.load_with_log(spark.range(3), str(tmp_path / "t"), "t", "f")
+    first = log.first()
+    time.sleep(1.1)
+    assert log.first() == first and first.load_started_at <= first.load_ended_at
+
+
+def test_failed_integrity_checks_are_all_written(spark, tmp_path):
+    root = str(tmp_path / "build")
+
+    def checks(tables):
+        return tables["t"].select(F.concat(F.lit("check "), F.col("id").cast("string")).alias("check"),
+                                  (F.col("id") < 3).alias("passed"))
+
+    with pytest.raises(AssertionError, match="_failed_checks"):
+        S.rebuild(spark, root, [("t", lambda t: spark.range(50))], checks)
+    assert spark.read.parquet(f"{root}/_failed_checks").count() == 47
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark, monkeypatch):
+    from pitchline import session as PS
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        PS.shared_root(Session())
+
+
+def test_rejects_and_summaries_are_appended_with_one_time_per_run(spark, tmp_path):
+    from pitchline.operators import quality as Q
+    src = spark.range(10).withColumn("detail", F.lit("bad"))
+    for run in ("r1", "r2"):
+        out = Q.collect_rejects([("c", "t", src.where("id > 6"), ["id"])], run_id=run, sink=str(tmp_path / "rejects"))
+        assert out.count() == 3 and out.select("rejected_at").distinct().count() == 1
+        s = Q.summarize_checks([("c", "t", src, src.where("id > 6")), ("d", "t", src, src.limit(0))], run_id=run,
+                               sink=str(tmp_path / "summary"))
+        assert sorted((r.check_name, r.rows_checked, r.rows_failed, r.passed) for r in s.collect()) == [
+            ("c", 10, 3, False), ("d", 10, 0, True)]
+    assert spark.read.parquet(str(tmp_path / "rejects")).count() == 6
+    assert spark.read.parquet(str(tmp_path / "summary")).count() == 4
