@@ -11,6 +11,7 @@ from pitchline.operators.marts import consumer_query
 from pitchline.plans import contests as C
 from pitchline.plans import oracle as O
 from pitchline.plans import q_marts as M
+from pitchline.plans import q_stats as QS
 from pitchline.plans.registry import ORACLE, query
 from pitchline.session import scratch_path
 from pitchline.sources import publish as P
@@ -18,11 +19,13 @@ from pitchline.sources import publish as P
 MEASURE_SCALE = 6
 # Published marts (allow-list): the BI layer sees these names and nothing else.
 PUBLISHED = ["format_comparison", "competitive_balance", "group_difficulty", "upset_rate",
-             "confederation_performance", "expected_vs_actual", "travel_rest"]
+             "confederation_performance", "expected_vs_actual", "travel_rest", "statistical_validation"]
+# Query whose oracle states a mart, where the names differ.
+MART_QUERY = {"statistical_validation": "validation_results"}
 
 
 def _mart_sql(name: str) -> str:
-    return f"({ORACLE[name]})"
+    return f"({ORACLE[MART_QUERY.get(name, name)]})"
 
 
 def _rounded(df: DataFrame, names: list[str]) -> DataFrame:
@@ -191,6 +194,7 @@ def _publish(spark, sf_dir) -> str:
         "confederation_performance": lambda: M.q_confederation_performance(spark, sf_dir),
         "expected_vs_actual": lambda: M.q_expected_vs_actual(spark, sf_dir),
         "travel_rest": lambda: M.q_travel_rest(spark, sf_dir),
+        "statistical_validation": lambda: QS.validation_results(spark, sf_dir),
         "unpivot_roles": lambda: M.q_unpivot_roles(spark, sf_dir),  # not allow-listed: never written
     }
     with C.landed_contests(spark, sf_dir):
