@@ -31,9 +31,9 @@ from pitchline.llm.common import bounded_batches, row_slices, text_or_empty
 #: Pre-tokenizer pattern of byte-level BPE vocabularies. Fixed value.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces kept encoded per worker before the store starts anew.
-STORE_PIECES = 200_000
+STORE_PIECES = 400_000
 #: Bytes of text encoded at a time and ids decoded at a time: what a worker needs beside its store grows with them.
-SLICE_BYTES, DECODE_BLOCK = 1 << 19, 1 << 16
+SLICE_BYTES, DECODE_BLOCK = 1 << 21, 1 << 16
 #: Pairs ranked before this are merged by array steps; the rest, whose lists are short, position by position.
 BULK_RANKS = 4000
 _GAP, _DEAD = -1, -2
