@@ -99,7 +99,59 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(common.table(spark, sf_dir, "documents"))
 
 
-@query("op9_quality_rules")
+def _half(p: str, q: str) -> str:
+    return f"CASE WHEN {p} > 0 THEN {p} * log2({p} / (({p} + {q}) / 2)) / 2 ELSE 0 END"
+
+
+def _term(p: str, q: str) -> str:
+    """What one bin adds to the Jensen-Shannon divergence."""
+    return f"({_half(p, q)} + {_half(q, p)})"
+
+
+_GONE = {"letters": "\\p{L}", "capitals": "\\p{Lu}", "digits": "\\p{Nd}", "blanks": "[\\x20\\x09-\\x0D]",
+         "symbols": "[#*$%&|<>]"}
+_CLASS_SQL = ", ".join(f"length(text) - length(regexp_replace(text, '{p}', '', 'g')) AS all_{c}" for c, p in _GONE.items())
+_BINS = ("all_letters - all_capitals", "all_capitals", "all_digits", "all_blanks", "all_symbols",
+         "length(text) - all_letters - all_digits - all_blanks - all_symbols")
+
+
+@query("op9_quality_rules", f"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+           FROM documents),
+c AS (SELECT *, len(words) AS n, {_CLASS_SQL} FROM d),
+windows AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+            FROM (SELECT doc_id, words, unnest(range(1, n - 1)) AS i FROM c) x),
+again AS (SELECT doc_id, i FROM (SELECT *, COUNT(*) OVER (PARTITION BY doc_id, g) AS k FROM windows) y WHERE k > 1),
+covered AS (SELECT doc_id, COUNT(DISTINCT p) AS repeated FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) z
+            GROUP BY doc_id),
+spoken AS (SELECT doc_id, lang, unnest(words) AS w FROM c),
+sizes AS (SELECT lang, SUM(n) AS total FROM c GROUP BY lang HAVING SUM(n) >= 1000),
+ref AS (SELECT s.lang, s.w, COUNT(*) / CAST(any_value(z.total) AS DOUBLE) AS q FROM spoken s JOIN sizes z ON z.lang = s.lang
+        WHERE length(s.w) <= 6 GROUP BY s.lang, s.w HAVING COUNT(*) >= 0.002 * any_value(z.total)),
+own AS (SELECT s.doc_id, s.w, COUNT(*) AS k FROM spoken s JOIN ref r ON r.lang = s.lang AND r.w = s.w GROUP BY s.doc_id, s.w),
+pairs AS (SELECT c.doc_id, c.n, coalesce(o.k, 0) AS k, coalesce(o.k, 0) / CAST(c.n AS DOUBLE) AS p, r.q
+          FROM c JOIN ref r ON r.lang = c.lang LEFT JOIN own o ON o.doc_id = c.doc_id AND o.w = r.w WHERE c.n >= 50),
+rest AS (SELECT doc_id, SUM({_term('p', 'q')}) AS s, 1 - SUM(k) / CAST(any_value(n) AS DOUBLE) AS p, 1 - SUM(q) AS q
+         FROM pairs GROUP BY doc_id),
+far AS (SELECT doc_id, sqrt(greatest(0.0, s + {_term('p', 'q')})) AS word_distance FROM rest),
+shares AS (SELECT c.lang, {', '.join(f'SUM({b}) / CAST(SUM(length(text)) AS DOUBLE) AS q{k}' for k, b in enumerate(_BINS))}
+           FROM c JOIN sizes z ON z.lang = c.lang GROUP BY c.lang),
+mine AS (SELECT c.doc_id, {', '.join(f'({b}) / CAST(length(text) AS DOUBLE) AS p{k}, q{k}' for k, b in enumerate(_BINS))}
+         FROM c JOIN shares s ON s.lang = c.lang WHERE c.n >= 50),
+apart AS (SELECT doc_id, sqrt(greatest(0.0, {' + '.join(_term(f'p{k}', f'q{k}') for k in range(len(_BINS)))})) AS class_distance
+          FROM mine),
+judged AS (SELECT c.doc_id, c.n AS n_words, len(array_to_string(c.words, '')) AS word_chars, c.all_symbols AS n_symbols,
+                  len(c.lines) - len(list_distinct(c.lines)) AS n_dup_lines, coalesce(v.repeated, 0) AS n_repeat_words,
+                  coalesce(f.word_distance > 0.36 + 1 / sqrt(c.n), FALSE)
+                  OR coalesce(a.class_distance > 0.30 + 0.5 / sqrt(c.n), FALSE) AS diverges
+           FROM c LEFT JOIN covered v ON v.doc_id = c.doc_id LEFT JOIN far f ON f.doc_id = c.doc_id
+           LEFT JOIN apart a ON a.doc_id = c.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT diverges AS kept
+FROM judged""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(common.table(spark, sf_dir, "documents")).drop("word_distance", "class_distance")
 
