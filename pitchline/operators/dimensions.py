@@ -139,6 +139,14 @@ def build_fact(raw: DataFrame, *, date_dim: DataFrame, team_dim: DataFrame, tour
         f = f.join(broadcast_if_small(v), ["venue_city", "venue_country"])
     else:
         f = f.withColumn("venue_id", F.lit(None).cast("long"))
+    neutral = F.col("neutral_site") if "neutral_site" in raw.columns else F.lit(None).cast("boolean")
+    f = f.withColumn("neutral_site", neutral)
+    # keys first: they need the input twice (range bounds are sampled), and the shootout join, which shuffles,
+    # neither drops nor adds rows, so it runs once and after them
+    if existing is None:
+        f = assign_keys(f, list(order_cols), key_col)
+    else:
+        f = append_keys(f, existing, list(order_cols), key_col)
     if shootouts is not None:
         keys = list(shootout_keys)
         so = shootouts.select(*keys, F.lit(True).alias("_so"), F.col("winner").alias("_winner"))
@@ -148,12 +156,6 @@ def build_fact(raw: DataFrame, *, date_dim: DataFrame, team_dim: DataFrame, tour
              .withColumn("went_to_so", F.col("_so").isNotNull()))
     else:
         f = f.withColumn("went_to_so", F.lit(False)).withColumn("so_winner_id", F.lit(None).cast("long"))
-    neutral = F.col("neutral_site") if "neutral_site" in raw.columns else F.lit(None).cast("boolean")
-    f = f.withColumn("neutral_site", neutral)
-    if existing is None:
-        f = assign_keys(f, list(order_cols), key_col)
-    else:
-        f = append_keys(f, existing, list(order_cols), key_col)
     return f.select(key_col, "tournament_id", "date_id", "stage_id", "venue_id", "home_team_id", "away_team_id",
                     F.col("home_score").cast("int"), F.col("away_score").cast("int"),
                     F.lit(None).cast("boolean").alias("went_to_et"), "went_to_so", "so_winner_id",
