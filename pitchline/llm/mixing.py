@@ -69,14 +69,14 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     return sums.select(dimension, (F.pow(F.col("t").cast("double"), F.lit(power)) / total).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = 1e-6,
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = 1e-5,
          max_rounds: int = 100) -> DataFrame:
     """``cells`` plus ``weight``: tokens raked until each marginal has its target share.
 
     Target values without cells are left out and the others share their part.
     Raises if the marginals cannot be met within ``max_rounds``.
     """
-    now = land(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-weights")
+    now = cells.withColumn("weight", F.col("tokens").cast("double"))
     total = now.agg(F.sum("weight")).first()[0] or 0.0
     goals = {}
     for d in targets:
@@ -103,7 +103,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
 def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
             lang_col: str = "lang", topic: Column | None = None,
             targets: Mapping[str, Mapping[str, float]] | None = None,
-            powers: Mapping[str, float] = POWERS, keep_share: float = 1.0, seed: int = 8, tolerance: float = 1e-6) -> DataFrame:
+            powers: Mapping[str, float] = POWERS, keep_share: float = 1.0, seed: int = 8, tolerance: float = 1e-5) -> DataFrame:
     """``docs`` plus the struct ``__mix`` (source, lang, topic, n_tokens, ratio, probability, kept).
 
     ``targets`` maps a dimension to {value: share}; a dimension without one

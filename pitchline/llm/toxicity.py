@@ -69,24 +69,35 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(total[np.concatenate([[0], ends])], axis=0)
 
 
+def telling(terms: np.ndarray, rows_of: np.ndarray, labels: np.ndarray, buckets: int, min_z: float) -> np.ndarray:
+    """Whether each hashed term's share of rows differs between the classes by ``min_z`` standard errors."""
+    n1, n0 = labels.sum(), len(labels) - labels.sum()
+    c1 = np.bincount(terms, labels[rows_of], buckets)
+    c0 = np.bincount(terms, 1 - labels[rows_of], buckets)
+    share = (c1 + c0 + 1) / (len(labels) + 2)
+    return np.abs(c1 / n1 - c0 / n0) >= min_z * np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+
+
 def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, buckets: int, base_rate: float, k: int = 8,
-        rounds: int = 40, step: float = 0.1, l2: float = 10.0, min_rows: int = 5, seed: int = 7) -> FactorizationMachine:
-    """Full-batch Adam on the logistic loss; the bias is moved to ``base_rate`` after training on balanced classes.
+        rounds: int = 60, step: float = 0.1, l2: float = 1.0, min_z: float = 4.0, seed: int = 7) -> FactorizationMachine:
+    """Full-batch Adam on the logistic loss, the classes weighted equally.
 
-    Terms of fewer than ``min_rows`` sample rows keep weight and factors zero.
-    No rows, or rows of one class only, give a constant score.
+    Only ``telling`` terms get weights and factors: the rare words of long
+    texts, each with a little noise, would add up to false alarms. A term must
+    tell by itself to join in pairs, unless ``min_z`` is 0. No rows, or rows of
+    one class only, give a constant score: ``base_rate``, or 0.5 without rows.
     """
     model = FactorizationMachine(0.0, np.zeros(buckets, np.float32), np.zeros((buckets, k), np.float32))
     rate = min(max(base_rate, 1e-4), 1 - 1e-4)
     if not len(labels) or labels.min() == labels.max():
         model.bias = float(np.log(rate / (1 - rate))) if len(labels) else 0.0
         return model
-    used, compact, rows_of = np.unique(terms, return_inverse=True, return_counts=True)
-    often = rows_of >= min_rows
-    place = np.where(often, np.cumsum(often) - 1, -1)[compact]
     row = np.repeat(np.arange(len(labels)), np.diff(np.concatenate([[0], ends])))
+    often = telling(terms, row, labels, buckets, min_z) & (np.bincount(terms, minlength=buckets) > 0)
+    used = np.flatnonzero(often)
+    place = np.where(often, np.cumsum(often) - 1, -1)[terms]
     row, col = row[place >= 0], place[place >= 0]
-    n, m = len(labels), int(often.sum())
+    n, m = len(labels), len(used)
     ends = np.cumsum(np.bincount(row, minlength=n))
     rng = np.random.default_rng(seed)
     p = [np.zeros(1), np.zeros(m), rng.normal(0, 0.02, (m, k))]
@@ -106,8 +117,8 @@ def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, buckets: int, b
             a += 0.1 * (d - a)
             b += 0.01 * (d * d - b)
             x -= step * (a / (1 - 0.9 ** t)) / (np.sqrt(b / (1 - 0.99 ** t)) + 1e-8)
-    model.bias = float(p[0][0] + np.log(rate / (1 - rate)))
-    model.weight[used[often]], model.factor[used[often]] = p[1], p[2]
+    model.bias = float(p[0][0])
+    model.weight[used], model.factor[used] = p[1], p[2]
     return model
 
 
