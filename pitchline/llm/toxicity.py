@@ -69,23 +69,32 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(total[np.concatenate([[0], ends])], axis=0)
 
 
-def telling(terms: np.ndarray, rows_of: np.ndarray, labels: np.ndarray, buckets: int, min_z: float) -> np.ndarray:
-    """Whether each hashed term's share of rows differs between the classes by ``min_z`` standard errors."""
+def learnable(terms: np.ndarray, rows_of: np.ndarray, labels: np.ndarray, buckets: int, min_z: float,
+              common_share: float, common_rows: int) -> np.ndarray:
+    """Terms that may get a weight and factors.
+
+    Those that tell by themselves (their share of rows differs between the
+    classes by ``min_z`` standard errors), and those of at least
+    ``common_share`` of all and ``common_rows`` rows: a term such as a group's
+    name tells nothing alone, but there are rows enough to learn its pairs.
+    """
     n1, n0 = labels.sum(), len(labels) - labels.sum()
     c1 = np.bincount(terms, labels[rows_of], buckets)
     c0 = np.bincount(terms, 1 - labels[rows_of], buckets)
     share = (c1 + c0 + 1) / (len(labels) + 2)
-    return np.abs(c1 / n1 - c0 / n0) >= min_z * np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    telling = np.abs(c1 / n1 - c0 / n0) >= min_z * np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    return (telling & (c1 + c0 > 0)) | (c1 + c0 >= max(common_rows, common_share * len(labels)))
 
 
 def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, buckets: int, base_rate: float, k: int = 8,
-        rounds: int = 60, step: float = 0.1, l2: float = 1.0, min_z: float = 4.0, seed: int = 7) -> FactorizationMachine:
+        rounds: int = 60, step: float = 0.1, l2: float = 1.0, min_z: float = 4.0, common_share: float = 0.05,
+        common_rows: int = 250, seed: int = 7) -> FactorizationMachine:
     """Full-batch Adam on the logistic loss, the classes weighted equally.
 
-    Only ``telling`` terms get weights and factors: the rare words of long
-    texts, each with a little noise, would add up to false alarms. A term must
-    tell by itself to join in pairs, unless ``min_z`` is 0. No rows, or rows of
-    one class only, give a constant score: ``base_rate``, or 0.5 without rows.
+    Only ``learnable`` terms get weights and factors: the rare words of long
+    texts, each with a little noise, would add up to false alarms. No rows, or
+    rows of one class only, give a constant score: ``base_rate``, or 0.5
+    without rows.
     """
     model = FactorizationMachine(0.0, np.zeros(buckets, np.float32), np.zeros((buckets, k), np.float32))
     rate = min(max(base_rate, 1e-4), 1 - 1e-4)
@@ -93,9 +102,9 @@ def fit(terms: np.ndarray, ends: np.ndarray, labels: np.ndarray, buckets: int, b
         model.bias = float(np.log(rate / (1 - rate))) if len(labels) else 0.0
         return model
     row = np.repeat(np.arange(len(labels)), np.diff(np.concatenate([[0], ends])))
-    often = telling(terms, row, labels, buckets, min_z) & (np.bincount(terms, minlength=buckets) > 0)
-    used = np.flatnonzero(often)
-    place = np.where(often, np.cumsum(often) - 1, -1)[terms]
+    keep = learnable(terms, row, labels, buckets, min_z, common_share, common_rows)
+    used = np.flatnonzero(keep)
+    place = np.where(keep, np.cumsum(keep) - 1, -1)[terms]
     row, col = row[place >= 0], place[place >= 0]
     n, m = len(labels), len(used)
     ends = np.cumsum(np.bincount(row, minlength=n))
