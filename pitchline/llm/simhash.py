@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitchline.functions.columns import broadcast_if_small
 from pitchline.llm.common import bounded_batches, land, text_or_empty
 
 SEED = 42
@@ -201,6 +202,16 @@ def links(fps: DataFrame, max_bits: int = 4, blocks: int = 6, chunk: int = 1024)
     return cells.mapInArrow(lambda it: _search(it, max_bits), "a long, b long")
 
 
+def _landed_side(least: DataFrame) -> DataFrame:
+    """One row per key, written and read again before it is joined to the rows it came from.
+
+    Joined directly, both sides would share the aggregate's partitioning and
+    Spark could not split a hub with many rows; a table is broadcast where its
+    size allows it, and otherwise shuffled for the join alone, which it can.
+    """
+    return broadcast_if_small(land(least, "simhash-least"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the smallest node reachable over ``edges(a, b)``; only nodes with edges."""
     pairs = F.col("a") != F.col("b")
@@ -210,11 +221,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # large-star: every larger neighbour moves to the smallest neighbour
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = _landed_side(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = (both.where("v > u").join(low, "u").where("v != m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small-star: every smaller neighbour and the node itself move to the smallest neighbour
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = _landed_side(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(least, "u")
                  .select(F.inline(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                           F.struct(F.col("v").alias("u"), F.col("m").alias("v")))))
@@ -235,7 +246,7 @@ def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = components(links(fps.select("fp"), max_bits, blocks, chunk))
     rooted = (fps.join(found, fps["fp"] == found["node"], "left")
               .select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    least = _landed_side(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
     classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return marked.join(classes, "fp")
 
