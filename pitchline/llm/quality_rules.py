@@ -26,8 +26,8 @@ from pitchline.llm.common import BLANKS, land, text_or_empty
 SYMBOLS = r"[#*$%&|<>]+"
 _BLANK_CHARS = " \t\n\x0b\f\r"
 CLASSES = ("letters", "capitals", "digits", "blanks", "symbols", "others")
-#: Common words are searched among words of at most this many code points.
-COMMON_LENGTH = 6
+#: Common words are looked up by length; those of this many code points or more share the last list.
+LONGEST_LIST = 16
 
 
 def _words(text: str) -> Column:
@@ -56,7 +56,8 @@ def language_references(docs: DataFrame, lang_col: str = "lang", text_col: str =
                         min_share: float = 0.002) -> DataFrame:
     """(lang, class_share, word_share, known, n_words): one row per language, counted over all of its documents.
 
-    ``known[n - 1]`` lists the common words of n code points.
+    ``known[n - 1]`` lists the common words of n code points, the last one also all longer ones. Words of every
+    length are counted; a language without common words keeps its classes and has one bin of words, the others.
     """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
                        text_or_empty(text_col).alias("text"))
@@ -65,17 +66,18 @@ def language_references(docs: DataFrame, lang_col: str = "lang", text_col: str =
     all_chars = sum(F.col(c) for c in CLASSES)
     classes = totals.select("lang", F.array(*[F.col(c) / F.greatest(all_chars, F.lit(1)) for c in CLASSES])
                             .alias("class_share"))
-    short = (rows.select("lang", F.explode(_words("text")).alias("w"))
-             .select("lang", F.when(F.length("w") <= COMMON_LENGTH, F.col("w")).alias("w"))
-             .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
-    short = land(short, "language-words")
-    sizes = short.groupBy("lang").agg(F.sum("n").alias("n_words"))
-    words = (short.where("w IS NOT NULL").join(sizes, "lang").where(F.col("n") >= min_share * F.col("n_words"))
-             .groupBy("lang", "n_words")
-             .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("w", F.col("n") / F.col("n_words")))))
-                  .alias("word_share")))
-    by_length = F.transform(F.sequence(F.lit(1), F.lit(COMMON_LENGTH)),
-                            lambda n: F.filter(F.map_keys("word_share"), lambda w: F.length(w) == n))
+    spoken = (rows.select("lang", F.explode(_words("text")).alias("w"))
+              .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
+    spoken = land(spoken, "language-words")
+    sizes = land(spoken.groupBy("lang").agg(F.sum("n").alias("n_words")), "language-sizes")
+    common = (spoken.join(broadcast_if_small(sizes), "lang").where(F.col("n") >= min_share * F.col("n_words"))
+              .groupBy("lang")
+              .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("w", F.col("n") / F.col("n_words")))))
+                   .alias("word_share")))
+    none = F.create_map().cast("map<string,double>")
+    words = sizes.join(common, "lang", "left").withColumn("word_share", F.coalesce("word_share", none))
+    by_length = F.transform(F.sequence(F.lit(1), F.lit(LONGEST_LIST)), lambda n: F.filter(
+        F.map_keys("word_share"), lambda w: F.least(F.length(w), F.lit(LONGEST_LIST)) == n))
     return classes.join(words.withColumn("known", by_length), "lang")
 
 
@@ -133,7 +135,7 @@ def _word_divergence() -> list[tuple[str, Column]]:
     A reference word that is missing in the text adds half its share; so only
     the words that are there are visited.
     """
-    common = F.expr("sort_array(filter(words, w -> array_contains(get(known, length(w) - 1), w)))")
+    common = F.expr(f"sort_array(filter(words, w -> array_contains(get(known, least(length(w), {LONGEST_LIST}) - 1), w)))")
     common = F.when(F.col("word_share").isNotNull(), common)
     starts = F.expr("filter(sequence(0, size(common)), k -> k = size(common) OR k = 0 OR common[k] <> common[k - 1])")
     runs = F.expr("""

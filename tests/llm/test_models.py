@@ -181,6 +181,27 @@ def test_quality_rules_odd_rows(spark):
     assert quality_rules.judge(spark.createDataFrame([], schema)).collect() == []
 
 
+def test_common_words_of_any_length_are_in_the_reference(spark):
+    usual = "zwischen because function eine und verantwortungsbewusstsein " * 20
+    rows = [(k, usual, "de") for k in range(20)] + [(99, "zwischen " * 3 + " ".join(f"neuwort{k}" for k in range(117)), "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    share = quality_rules.language_references(docs).first().word_share
+    assert set(share) == set(usual.split())
+    assert share["zwischen"] == pytest.approx(403 / 2520)
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    own = [3 / 120] + [0.0] * 5 + [117 / 120]
+    ref = [403 / 2520] + [400 / 2520] * 5 + [117 / 2520]
+    assert got[99].word_distance == pytest.approx(distance(own, ref))
+    assert not got[99].kept
+
+
+def test_a_language_without_common_words_keeps_its_class_distance(spark):
+    rows = [(k, " ".join(f"seltenwort{k}x{j}" for j in range(60)), "xx") for k in range(40)]
+    rows.append((99, " ".join(f"{j}{j}###{j}" for j in range(60)), "xx"))
+    got = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[99].class_distance > 0.5 and not got[99].kept and not got[99].base_failed
+
+
 def test_native_operators_use_no_python(spark):
     for name in ("op8_mix_to_targets", "op9_quality_rules"):
         plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
