@@ -5,6 +5,9 @@ that iterates works on cells and not on documents. Each round rakes the cells'
 token weights to the source, then the language, then the topic marginal:
 one map-side combined sum per marginal and a join with its targets. A round is
 a written table; rounds end when every marginal lies within ``tolerance``.
+Marginals that conflict (a source that is the only one of its language, with
+another share there) cannot all be met: rounds then end when the weights have
+settled, and a warning names the gap that remains in each marginal.
 
 A cell's ratio is its raked weight over its tokens. Documents are kept with
 probability ratio / largest ratio (times ``keep_share`` of what that yields),
@@ -14,6 +17,8 @@ hash of the id decides, so a rerun keeps the same documents.
 
 from __future__ import annotations
 
+import itertools
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -26,6 +31,8 @@ DIMENSIONS = ("source", "lang", "topic")
 #: Default targets: token shares to these powers. Sources and languages are evened out a little, topics stay as they
 #: are, so that most documents can stay: the sample holds about the smallest over the largest lift of all tokens.
 POWERS = {"source": 0.9, "lang": 0.9, "topic": 1.0}
+#: Raking has settled if a round's factors differ from those of the round before by this part of the gap at most.
+SETTLED = 1e-3
 #: Notices that make a text a licence or a legal page.
 NOTICES = ("Licensed under", "All rights reserved", "Terms of use", "Terms of service")
 
@@ -70,11 +77,13 @@ def tempered(cells: DataFrame, dimension: str, power: float) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = 1e-5,
-         max_rounds: int = 100) -> DataFrame:
+         max_rounds: int | None = 100) -> DataFrame:
     """``cells`` plus ``weight``: tokens raked until each marginal has its target share.
 
     Target values without cells are left out and the others share their part.
-    Raises if the marginals cannot be met within ``max_rounds``.
+    Raises if the marginals cannot be met within ``max_rounds``. With None
+    there is no such bound: marginals that conflict end with the weights that
+    further rounds no longer change, and a warning with the remaining gaps.
     """
     now = cells.withColumn("weight", F.col("tokens").cast("double"))
     total = now.agg(F.sum("weight")).first()[0] or 0.0
@@ -83,21 +92,37 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
         there = targets[d].join(now.select(d).distinct(), d)
         share = there.agg(F.sum("share")).first()[0] or 1.0
         goals[d] = land(there.select(d, (F.col("share") * (total / share)).alias("goal")), "mix-targets")
-    for _ in range(max_rounds):
-        off = F.lit(0.0)
+    now = now.select("*", *[F.lit(1.0).alias(f"f_{d}") for d in goals])
+    for n in itertools.count(1):
+        now = now.withColumn("last", F.col("weight")).withColumnsRenamed({f"f_{d}": f"last_{d}" for d in goals})
+        off = change = F.lit(0.0)
         for d, goal in goals.items():
             factor = (now.groupBy(d).agg(F.sum("weight").alias("have")).join(goal, d)
-                      .select(d, F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(1.0).alias("f")))
-            now = now.join(factor, d).withColumn("weight", F.col("weight") * F.col("f"))
+                      .select(d, F.when(F.col("have") > 0, F.col("goal") / F.col("have")).otherwise(1.0).alias(f"f_{d}")))
+            now = now.join(factor, d).withColumn("weight", F.col("weight") * F.col(f"f_{d}"))
             off = F.greatest(off, F.abs(F.col(f"f_{d}") - 1))
-            now = now.withColumnRenamed("f", f"f_{d}")
-        worst = F.max(off)
+            change = F.greatest(change, F.abs(F.col(f"f_{d}") - F.col(f"last_{d}")))
+        measured = [F.max(off), F.max(change), F.sum(F.abs(F.col("weight") - F.col("last")))]
         now = land(now, "mix-weights")
-        gap = now.agg(worst).first()[0] or 0.0
-        now = now.drop(*[f"f_{d}" for d in goals])
+        gap, changed, moved = (x or 0.0 for x in now.agg(*measured).first())
+        now = now.drop("last", *[f"last_{d}" for d in goals])
         if gap <= tolerance:
-            return now
-    raise ValueError(f"raking did not reach the target marginals in {max_rounds} rounds (gap {gap:g})")
+            break
+        if max_rounds is None and changed <= SETTLED * gap and moved <= tolerance * total:
+            left = remaining_gaps(now, goals)
+            warnings.warn("the target marginals conflict; the remaining relative gaps are "
+                          + ", ".join(f"{d} {x:.3g}" for d, x in left.items()), stacklevel=2)
+            break
+        if n == max_rounds:
+            raise ValueError(f"raking did not reach the target marginals in {max_rounds} rounds (gap {gap:g})")
+    return now.drop(*[f"f_{d}" for d in goals])
+
+
+def remaining_gaps(weights: DataFrame, goals: Mapping[str, DataFrame]) -> dict[str, float]:
+    """The largest relative distance of each marginal of ``weights`` from its ``goal`` column."""
+    far = F.when(F.col("goal") > 0, F.abs(F.col("have") / F.col("goal") - 1)).otherwise(F.lit(0.0))
+    return {d: weights.groupBy(d).agg(F.sum("weight").alias("have")).join(goal, d).agg(F.max(far)).first()[0] or 0.0
+            for d, goal in goals.items()}
 
 
 def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -107,7 +132,8 @@ def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     """``docs`` plus the struct ``__mix`` (source, lang, topic, n_tokens, ratio, probability, kept).
 
     ``targets`` maps a dimension to {value: share}; a dimension without one
-    gets its own token shares to the power in ``powers``. Values missing in a given
+    gets its own token shares to the power in ``powers``. Targets that conflict
+    are met as far as raking settles, with a warning. Values missing in a given
     target are not wanted: their documents get probability 0. Documents
     without tokens carry no weight and take the probability of their cell, 1
     where the cell has no tokens at all. NULL source or language is the value
@@ -123,7 +149,7 @@ def decided(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     wanted = cells.where("tokens > 0")
     for d in given:
         wanted = wanted.join(shares[d].where("share > 0").select(d), d, "left_semi")
-    raked = rake(wanted, shares, tolerance).withColumn("ratio", F.col("weight") / F.col("tokens"))
+    raked = rake(wanted, shares, tolerance, max_rounds=None).withColumn("ratio", F.col("weight") / F.col("tokens"))
     largest = raked.agg(F.max("ratio")).first()[0] or 1.0
     empty = cells.where("tokens = 0").select(*DIMENSIONS, F.lit(largest).alias("ratio"))
     plan = land(raked.select(*DIMENSIONS, "ratio").unionByName(empty), "mix-plan").select(

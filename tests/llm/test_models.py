@@ -273,6 +273,23 @@ def test_raking_that_cannot_meet_its_marginals_says_so(spark):
         mixing.rake(cells, goals, max_rounds=5)
 
 
+def test_conflicting_default_targets_give_the_settled_mixture(spark):
+    words = " ".join(["w"] * 10)
+    rows = [(k, words, "abc"[k % 3], "x" if k % 3 == 0 else "y" if k // 3 % 5 else "z") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    with pytest.warns(UserWarning, match="source 0.0"):
+        got = mixing.mix(docs).collect()
+    assert len(got) == 300
+    weight = collections.Counter()
+    for r in got:
+        assert 0 < r.probability <= 1
+        weight[r.lang] += r.n_tokens * r.ratio
+    # a is the only source of x, a third as a source and 0.337 as a language; languages are raked after the sources
+    powered = {v: t ** 0.9 for v, t in {"x": 1000, "y": 1600, "z": 400}.items()}
+    for v, t in weight.items():
+        assert t / sum(weight.values()) == pytest.approx(powered[v] / sum(powered.values()), rel=1e-4)
+
+
 # --- Pipeline ------------------------------------------------------------------------------------------------------
 
 
