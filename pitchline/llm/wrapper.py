@@ -14,8 +14,9 @@
    block that holds most of the varying text.
 4. Every page is aligned once more with its wrapper; the text of its main slot
    without template blocks, menus, forms and the like is the result. Pages
-   that do not fit their wrapper, and pages of hosts seen once, choose the main
-   slot from their own sums.
+   that do not fit their wrapper (its slot holds less than half of their text
+   that is neither template nor apart), and pages of hosts seen once, choose
+   the main slot from their own sums.
 
 Pages that share half of their text or more with the pivot (copies) say
 nothing about what is template, so copies of an article never turn it into one.
@@ -298,30 +299,43 @@ def read_wrapper(pivot: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def extract(page: Page, pivot: np.ndarray | None, sums: np.ndarray | None) -> str:
-    """Main text of a page under its host's wrapper, or under its own where that does not fit."""
-    parent = page.parent
+    """Main text of a page under its host's wrapper, or under its own where that does not fit.
+
+    A wrapper does not fit if its slot holds less than half of the page's text that is neither template nor apart.
+    """
+    parent, own = page.parent, skeleton(page)
     drop, main = set(), None
     if pivot is not None:
         constant, slot = read_wrapper(pivot, sums)
         pairs = align(parent, page.label, pivot[:, 0].tolist(), pivot[:, 1].tolist())
         back = {d: c for c, d in pairs.items()}
         main = back.get(slot)
-        if constant.any():
-            own = skeleton(page)
-            drop = {c for c, d in pairs.items() if constant[d] and (own[c, 2] == pivot[d, 2] or sums[d, 4] > 0)}
+        drop = {c for c, d in pairs.items() if constant[d] and (
+            own[c, 2] == pivot[d, 2] or own[c, 4] >= LINK_SHARE * own[c, 3])}
     inside = [False] * len(parent)
 
-    def collect(slot: int) -> list[str]:
+    def enter(slot: int) -> None:
         for k in range(len(parent)):
             inside[k] = k == slot or (k > 0 and inside[parent[k]])
+
+    fits = False
+    if main is not None:
+        enter(main)
+        varying = [0 if page.apart[k] or k in drop else int(own[k, 3] - own[k, 4]) for k in range(len(parent))]
+        held = sum(x for x, there in zip(varying, inside) if there)
+        fits = held * 2 >= sum(varying)
+
+    def collect() -> list[str]:
         return [text for block, text, _ in page.texts()
                 if inside[block] and not page.apart[block] and block not in drop]
 
-    blocks = collect(main) if main is not None else []
+    blocks = collect() if fits else []
     if not blocks:
-        own = skeleton(page)
-        _, slot = read_wrapper(own, observe(own, own))
-        blocks = collect(slot)
+        mine = observe(own, own)
+        mine[list(drop), 3:] = 0
+        _, slot = read_wrapper(own, mine)
+        enter(slot)
+        blocks = collect()
     return "\n".join(blocks)
 
 

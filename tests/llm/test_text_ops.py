@@ -79,6 +79,25 @@ def test_copies_of_an_article_never_become_template(spark):
     assert {r.text.count("\n") for r in got if r.page_id < 99} == {4}
 
 
+def test_a_minority_layout_keeps_its_article(spark):
+    story = lambda k: "".join(f"<p>Story {k} paragraph {j} with words of its own {k * j}.</p>" for j in range(6))
+    rows = [(k, "http://h.org/", f"<body><div id=main><h2>T {k}</h2>{story(k)}</div></body>") for k in range(12)]
+    rows += [(k, "http://h.org/", f"<body><div id=main><p>Teaser {k}</p></div><div class=story>{story(k)}</div></body>") for k in (50, 51)]
+    got = {r.page_id: r.text for r in wrapper.extract_main_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    for k in (50, 51):
+        assert all(f"Story {k} paragraph {j} " in got[k] for j in range(6))
+    assert all(got[k].startswith(f"T {k}\nStory {k} ") for k in range(12))
+
+
+def test_own_text_in_a_menu_slot_stays():
+    menu = "<body><div id=main><h2><a href=/>Home of all</a></h2><p>Text {} {}</p></div></body>"
+    trees = [wrapper.skeleton(wrapper.parse(menu.format(k, "word " * 9 * k))) for k in range(12)]
+    sums = sum(wrapper.observe(t, trees[0]) for t in trees)
+    odd = wrapper.parse("<body><div id=main><h2>A title without a link</h2><p>Text x y</p></div></body>")
+    assert wrapper.extract(odd, trees[0], sums) == "A title without a link\nText x y"
+    assert wrapper.extract(wrapper.parse(menu.format(3, "a")), trees[0], sums) == "Text 3 a"
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None, "x"), (2, "http://a.org/", "", "x"), (3, None, "plain text &lt;b&gt; &amp x &#233;", "x"),
             (4, "http://b.org/", "<article><p>one<script>var t='</p>';</script> two<p>three <a href='>'>x</a></article><p>no", "x"),
