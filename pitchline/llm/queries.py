@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm import bpe, common, exact_dedup, mixing, pu_quality, quality_rules, secrets, simhash, toxicity, url_rules, wrapper
+from pitchline.llm import (bpe, collocations, common, exact_dedup, lang_id, mixing, pu_quality, quality_rules, secrets, simhash,
+                           spelling, toxicity, url_rules, wrapper)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -162,3 +163,44 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pu_quality.train(docs, common.table(spark, sf_dir, "labels"))
     return pu_quality.score(docs, model).select(
         "doc_id", (common.crc32_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return lang_id.predict(docs, lang_id.train(docs)).select(
+        "doc_id", (common.crc32_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(common.table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op13_collocations", """WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM pieces),
+grams AS (SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase
+          FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i
+                FROM (SELECT lang, words, unnest([1, 2, 3, 4]) AS m FROM w) x) y),
+total AS (SELECT lang, CAST(SUM(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, m, phrase, COUNT(*) AS a FROM grams GROUP BY lang, m, phrase HAVING COUNT(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE m >= 2),
+cuts AS (SELECT lang, phrase, m, a, words, unnest(range(1, m)) AS k FROM c),
+scored AS (SELECT u.lang, u.phrase, u.a, u.k, l.a AS l, r.a AS r,
+                  CAST(CAST(2000000 AS HUGEINT) * u.a // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+           FROM cuts u JOIN f l ON l.lang = u.lang AND l.phrase = array_to_string(u.words[1:u.k], ' ')
+                JOIN f r ON r.lang = u.lang AND r.phrase = array_to_string(u.words[u.k + 1:u.m], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, a, array_to_string(words[i:i + s - 1], ' ') AS phrase
+           FROM (SELECT lang, a, words, s, unnest(range(1, m - s + 2)) AS i
+                 FROM (SELECT lang, a, words, m, unnest(range(2, m)) AS s FROM c) x) y),
+longer AS (SELECT lang, phrase, MAX(a) AS a FROM inside GROUP BY lang, phrase),
+kept AS (SELECT w.* FROM lowest w LEFT JOIN longer g ON g.lang = w.lang AND g.phrase = w.phrase
+         WHERE g.a IS NULL OR CAST(100 AS HUGEINT) * g.a < CAST(80 AS HUGEINT) * w.a),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, t.n, k.score FROM ranked k JOIN total t ON t.lang = k.lang WHERE k.rank <= 2000
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(common.table(spark, sf_dir, "documents"))
