@@ -1,26 +1,28 @@
 """Distribution tails and special functions as native Column expressions.
 
 Spark has no ``erf``, ``lgamma`` or distribution functions, and SciPy is not
-used: every function here is a closed form or a bounded series evaluated by
-the ``aggregate`` higher-order function, so it runs inside the JVM on the
-one-row-per-test results. ``pitchline.plans.oracle_stats`` states the same
-formulas in SQL.
-
-Fixed values below are published numerical constants (Numerical Recipes'
-Chebyshev erfc fit, Acklam's inverse-normal rational fit, Stirling series).
+used. Every tail here is one integral: in the logarithm (gamma), the logit
+(beta) or the plain variable (normal) the density is log-concave, so from the
+observed point away from the mode it falls faster and faster. The exponent of
+that fall is written without differences of large numbers, the span in which
+it matters is found by doubling, and a fixed Gauss-Legendre rule sums it, for
+any degrees of freedom alike. The density at the point itself is a
+saddle-point form (Stirling errors and deviances). All of it runs inside the
+JVM on the one-row-per-test results. ``pitchline.plans.oracle_stats`` states
+the same tails in SQL by other formulas.
+
+Fixed values below are published numerical constants (Acklam's inverse-normal
+rational fit, Stirling series).
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# erfc(x) ~ t*exp(-x^2 + P(t)), t = 1/(1+|x|/2): fractional error < 1.2e-7 everywhere.
-ERFC_COEFFS = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-               0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-
 # Inverse normal CDF (Acklam): relative error < 1.15e-9.
 ACKLAM_A = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
             1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
@@ -32,12 +34,16 @@ ACKLAM_D = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00,
             3.754408661907416e+00]
 ACKLAM_LOW = 0.02425
 
-# Stirling series for ln Gamma(z), z >= 8: 1/12, -1/360, 1/1260, -1/1680, 1/1188, -691/360360.
-STIRLING = [1.0 / 12, -1.0 / 360, 1.0 / 1260, -1.0 / 1680, 1.0 / 1188, -691.0 / 360360]
-LGAMMA_SHIFT = 8
+# Stirling series for ln Gamma(z): 1/12, -1/360, 1/1260, -1/1680, 1/1188, -691/360360, 1/156.
+STIRLING = [1.0 / 12, -1.0 / 360, 1.0 / 1260, -1.0 / 1680, 1.0 / 1188, -691.0 / 360360, 1.0 / 156]
+STIRLING_FROM = 10  # smaller arguments are shifted up by this
 
-# The continued fraction has converged when one more step moves it by less than this.
-CF_TOLERANCE = 1e-10
+# Quadrature: panels of a Gauss-Legendre rule over the span in which the integrand falls to exp(-SPAN_DROP).
+PANELS, PANEL_NODES, SPAN_DROP = 32, 16, 45.0
+SPAN_START, SPAN_DOUBLINGS = 2.0 ** -28, 64
+_X, _W = np.polynomial.legendre.leggauss(PANEL_NODES)
+NODES = np.concatenate([(k + (_X + 1) / 2) / PANELS for k in range(PANELS)])
+WEIGHTS = np.tile(_W / 2 / PANELS, PANELS)
 
 
 def _c(x) -> Column:
@@ -61,18 +67,40 @@ def _horner(x: Column, coeffs: list[float]) -> Column:
     return acc
 
 
+def _fall(exponent) -> Column:
+    """Integral over u >= 0 of exp(exponent(u)), for a concave exponent that is 0 at 0 and never rises."""
+    span = F.aggregate(F.sequence(F.lit(1), F.lit(SPAN_DOUBLINGS)), F.lit(SPAN_START),
+                       lambda s, _: F.when(exponent(s) > -SPAN_DROP, s * 2).otherwise(s))
+    return _let(span, lambda s: s * F.aggregate(
+        F.zip_with(F.lit(NODES), F.lit(WEIGHTS), lambda t, w: w * F.exp(exponent(s * t))), F.lit(0.0), lambda a, v: a + v))
+
+
+def _expm1_rest(z: Column) -> Column:
+    """exp(z) - 1 - z."""
+    series = z * z * _horner(z, [1.0 / math.factorial(k + 2) for k in range(15)])
+    return F.when(F.abs(z) < 0.5, series).otherwise(F.expm1(z) - z)
+
+
+def _log1p_rest(w: Column) -> Column:
+    """w - ln(1 + w)."""
+    r = w / (w + 2)
+    series = w * r - r * r * r * _horner(r * r, [2.0 / (2 * j + 3) for j in range(10)])
+    return F.when(F.abs(w) < 0.2, series).otherwise(w - F.log1p(w))
+
+
 def erfc(x) -> Column:
-    def body(x):
-        z = F.abs(x)
-        t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
-        ans = t * F.exp(-z * z + _horner(t, ERFC_COEFFS))
-        return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)
-    return _let(_c(x).cast("double"), body)
+    return F.lit(2.0) * norm_sf(_c(x).cast("double") * F.lit(math.sqrt(2.0)))
 
 
 def norm_sf(z) -> Column:
-    """Upper tail of the standard normal."""
-    return F.lit(0.5) * erfc(_c(z) / F.lit(math.sqrt(2.0)))
+    """Upper tail of the standard normal; the square of z is split, so that small tails keep their digits."""
+    def body(z):
+        m = F.abs(z)
+        short = F.floor(m * 16) / 16  # its square is exact
+        density = F.exp(-short * short / 2) * F.exp((short - m) * (short + m) / 2) / F.lit(math.sqrt(2 * math.pi))
+        upper = F.when(m > 40, F.lit(0.0)).otherwise(density * _fall(lambda u: -u * (m + u / 2)))
+        return F.when(F.isnan(z), z).when(z >= 0, upper).otherwise(F.lit(1.0) - upper)
+    return _let(_c(z).cast("double"), body)
 
 
 def norm_ppf(p) -> Column:
@@ -92,57 +120,37 @@ def _norm_ppf(p: Column) -> Column:
 
 
 def lgamma(x) -> Column:
-    """ln Gamma(x) for x > 0: Stirling series after shifting x up by 8.
+    """ln Gamma(x) for x > 0."""
+    return _let(_c(x).cast("double"), lambda x: (x - 0.5) * F.log(x) - x + F.lit(0.5 * math.log(2 * math.pi)) + _gamma_error(x))
 
-    Not let-bound: callers pass plain column arithmetic, and keeping the
-    expression first-order lets whole-stage codegen compile it (Fisher
-    evaluates it on every row of the exploded support).
-    """
-    return _lgamma(_c(x).cast("double"))
 
-
-def _lgamma(x: Column) -> Column:
-    z = x + F.lit(float(LGAMMA_SHIFT))
-    inv = F.lit(1.0) / z
-    inv2 = inv * inv
-    series = inv * _horner(inv2, STIRLING)
-    st = (z - F.lit(0.5)) * F.log(z) - z + F.lit(0.5 * math.log(2 * math.pi)) + series
-    shift = F.lit(0.0)
-    for k in range(LGAMMA_SHIFT):
-        shift = shift + F.log(x + F.lit(float(k)))
-    return st - shift
+def _gamma_error(a: Column) -> Column:
+    """ln Gamma(a) minus Stirling's formula, a > 0."""
+    def series(z):
+        inv = F.lit(1.0) / z
+        return inv * _horner(inv * inv, STIRLING)
+    shifted = F.aggregate(F.sequence(F.lit(0), F.lit(STIRLING_FROM - 1)), series(a + F.lit(float(STIRLING_FROM))),
+                          lambda s, k: s + (a + k + 0.5) * F.log1p(F.lit(1.0) / (a + k)) - 1)
+    return F.when(a >= STIRLING_FROM, series(a)).otherwise(shifted)
 
 
 def chi2_sf(x, df) -> Column:
-    """Upper tail of chi-square with integer df >= 1 (finite series)."""
-    return _let(F.struct(_c(x).cast("double").alias("x"), _c(df).cast("int").alias("df")),
-                lambda v: _chi2_sf(v["x"], v["df"]))
-
-
-def _chi2_sf(x: Column, df: Column) -> Column:
-    half = x / F.lit(2.0)
-    # even df: exp(-x/2) * sum_{j<df/2} (x/2)^j / j!
-    even = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), df / 2).cast("int")),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("lt")),
-        lambda acc, j: F.struct(
-            (acc["s"] + F.exp(acc["lt"] - half)).alias("s"),
-            (acc["lt"] + F.log(half) - F.log(j.cast("double"))).alias("lt")),
-        lambda acc: acc["s"])
-    # odd df: erfc(sqrt(x/2)) + sqrt(2x/pi) exp(-x/2) * sum_{j=1}^{(df-1)/2} x^(j-1)/(1*3*...*(2j-1))
-    odd_terms = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), ((df - 1) / 2).cast("int"))),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("lt")),
-        lambda acc, j: F.struct(
-            (acc["s"] + F.exp(acc["lt"] - F.log(F.lit(2.0) * j - 1))).alias("s"),
-            (acc["lt"] - F.log(F.lit(2.0) * j - 1) + F.log(x)).alias("lt")),
-        lambda acc: acc["s"])
-    odd = erfc(F.sqrt(half)) + F.when(df > 1, F.sqrt(F.lit(2.0) * x / F.lit(math.pi)) * F.exp(-half) * odd_terms) \
-        .otherwise(F.lit(0.0))
-    return (F.when(x.isNull() | df.isNull(), F.lit(None).cast("double"))
-            .when(x <= 0, F.lit(1.0))
-            .when(df % 2 == 0, F.least(F.lit(1.0), even))
-            .otherwise(F.least(F.lit(1.0), odd)))
+    """Upper tail of chi-square, any df > 0: the regularised upper incomplete gamma at (df / 2, x / 2)."""
+    args = F.struct((_c(x).cast("double") / 2).alias("x"), (_c(df).cast("double") / 2).alias("a"))
+    return _let(args, lambda v: _gamma_sf(v["x"], v["a"]))
+
+
+def _gamma_sf(x: Column, a: Column) -> Column:
+    way = F.when(x >= a, F.lit(1.0)).otherwise(F.lit(-1.0))  # away from the mode of ln t
+
+    def exponent(u):
+        s = way * u
+        return (a - x) * s - x * _expm1_rest(s)
+
+    density = F.sqrt(a / F.lit(2 * math.pi)) * F.exp(-_gamma_error(a) - _deviance(a, x, a - x))
+    tail = _let(density * _fall(exponent), lambda t: F.when(x >= a, t).otherwise(F.lit(1.0) - t))
+    return (F.when(x.isNull() | a.isNull() | ~(a > 0), F.lit(None).cast("double")).when(F.isnan(x), x)
+            .when(x <= 0, F.lit(1.0)).when(x == float("inf"), F.lit(0.0)).otherwise(tail))
 
 
 def t_sf2(t, df) -> Column:
@@ -154,68 +162,11 @@ def t_sf2(t, df) -> Column:
 
     def body(v):
         t, df = v["t"], v["df"]
-        return F.when(df > 0, inc_beta(df / (df + t * t), df / F.lit(2.0), F.lit(0.5), t * t / (df + t * t)))
+        under = df + t * t
+        return F.when(df > 0, inc_beta(df / under, df / 2, F.lit(0.5), t * t / under, df * (t * t - 1) / (under * 2)))
     return _let(args, body)
 
 
-def inc_beta(x, a, b, rest=None) -> Column:
-    """Regularised incomplete beta I_x(a, b) by Lentz's continued fraction.
-
-    ``rest`` is 1 - x where the caller knows it more exactly. The fraction is
-    evaluated on the side where it converges fast (x < (a+1)/(a+b+2), else the
-    symmetry 1 - I_{1-x}(b, a)). The number of steps grows with
-    sqrt(max(a, b)), as the convergence does; a fraction that has not settled
-    by then raises instead of returning a wrong tail.
-    """
-    x = _c(x).cast("double")
-    args = F.struct(x.alias("x"), (F.lit(1.0) - x if rest is None else _c(rest).cast("double")).alias("y"),
-                    _c(a).cast("double").alias("a"), _c(b).cast("double").alias("b"))
-    return _let(args, lambda v: _inc_beta(v["x"], v["y"], v["a"], v["b"]))
-
-
-def _inc_beta(x: Column, y: Column, a: Column, b: Column) -> Column:
-    swap = x >= (a + 1) / (a + b + 2)
-    side = F.struct(F.when(swap, y).otherwise(x).alias("x"), F.when(swap, x).otherwise(y).alias("y"),
-                    F.when(swap, b).otherwise(a).alias("a"), F.when(swap, a).otherwise(b).alias("b"),
-                    swap.alias("swap"))
-    res = _let(side, _beta_cf)
-    return (F.when(x.isNull() | a.isNull() | b.isNull(), F.lit(None).cast("double"))
-            .when(x <= 0, F.lit(0.0)).when(y <= 0, F.lit(1.0)).otherwise(res))
-
-
-def _beta_cf(w: Column) -> Column:
-    xx, aa, bb = w["x"], w["a"], w["b"]
-    n_it = (F.lit(60) + F.lit(10) * F.sqrt(F.greatest(aa, bb))).cast("int")
-    tiny = F.lit(1e-300)
-
-    def guard(v):
-        return F.when(F.abs(v) < 1e-300, tiny).otherwise(v)
-
-    d0 = F.lit(1.0) / guard(F.lit(1.0) - (aa + bb) * xx / (aa + F.lit(1.0)))
-    init = F.struct(F.lit(1.0).alias("c"), d0.alias("d"), d0.alias("h"), F.lit(1.0).alias("step"))
-
-    def step(acc, m):
-        m = m.cast("double")
-        m2 = F.lit(2.0) * m
-        num_e = m * (bb - m) * xx / ((aa + m2 - 1) * (aa + m2))
-        d1 = F.lit(1.0) / guard(F.lit(1.0) + num_e * acc["d"])
-        c1 = guard(F.lit(1.0) + num_e / acc["c"])
-        num_o = -(aa + m) * (aa + bb + m) * xx / ((aa + m2) * (aa + m2 + 1))
-        return _let(F.struct(d1.alias("d1"), c1.alias("c1"), num_o.alias("no"), (acc["h"] * d1 * c1).alias("h1")),
-                    lambda u: _let(F.struct(guard(F.lit(1.0) + u["no"] / u["c1"]).alias("c"),
-                                            (F.lit(1.0) / guard(F.lit(1.0) + u["no"] * u["d1"])).alias("d"),
-                                            u["h1"].alias("h1")),
-                                   lambda z: F.struct(z["c"].alias("c"), z["d"].alias("d"),
-                                                      (z["h1"] * z["d"] * z["c"]).alias("h"),
-                                                      (z["d"] * z["c"]).alias("step"))))
-
-    cf = F.aggregate(F.sequence(F.lit(1), n_it), init, step)
-    front = F.exp(lgamma(aa + bb) - lgamma(aa) - lgamma(bb) + aa * F.log(xx) + bb * F.log(w["y"])) / aa
-    settled = _let(cf, lambda r: F.when(F.abs(r["step"] - 1) <= CF_TOLERANCE, front * r["h"]).otherwise(
-        F.raise_error(F.lit("incomplete beta fraction has not converged")).cast("double")))
-    return _let(settled, lambda v: F.when(w["swap"], F.lit(1.0) - v).otherwise(v))
-
-
 def f_sf(f, d1, d2) -> Column:
     """Upper tail of the F distribution: I_{d2/(d2+d1 f)}(d2/2, d1/2)."""
     args = F.struct(_c(f).cast("double").alias("f"), _c(d1).cast("double").alias("d1"),
@@ -223,11 +174,50 @@ def f_sf(f, d1, d2) -> Column:
 
     def body(v):
         f, d1, d2 = v["f"], v["d1"], v["d2"]
+        under = d2 + d1 * f
         return F.when(f <= 0, F.lit(1.0)).otherwise(
-            inc_beta(d2 / (d2 + d1 * f), d2 / F.lit(2.0), d1 / F.lit(2.0), d1 * f / (d2 + d1 * f)))
+            inc_beta(d2 / under, d2 / 2, d1 / 2, d1 * f / under, d1 * (f - 1) / under * d2 / 2))
     return _let(args, body)
 
 
+def inc_beta(x, a, b, rest=None, tilt=None) -> Column:
+    """Regularised incomplete beta I_x(a, b) for a, b > 0.
+
+    ``rest`` is 1 - x and ``tilt`` is a (1 - x) - b x where the caller knows
+    them more exactly than their differences give.
+    """
+    x, a, b = (_c(c).cast("double") for c in (x, a, b))
+    rest = F.lit(1.0) - x if rest is None else _c(rest).cast("double")
+    tilt = a * rest - b * x if tilt is None else _c(tilt).cast("double")
+    args = F.struct(x.alias("x"), rest.alias("y"), a.alias("a"), b.alias("b"), tilt.alias("tilt"))
+    return _let(args, lambda v: _inc_beta(*(v[c] for c in ("x", "y", "a", "b", "tilt"))))
+
+
+def _inc_beta(x: Column, y: Column, a: Column, b: Column, tilt: Column) -> Column:
+    n = a + b
+    by_y = y < x  # the exponent is written in the smaller of the two shares
+    lower = tilt >= 0  # x lies below the mode of the logit: the left tail is the small one
+    small = F.struct(F.when(by_y, y).otherwise(x).alias("p"), F.when(by_y, b).otherwise(a).alias("c"),
+                     F.when(by_y, -tilt).otherwise(tilt).alias("d"),
+                     F.when(by_y == lower, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("way"))
+
+    def fall(v):
+        p, c, d, way = v["p"], v["c"], v["d"], v["way"]
+
+        def exponent(u):
+            z = way * u
+            w = p * F.expm1(z)
+            return F.when(u < 0.3, d * z - n * p * _expm1_rest(z) + n * _log1p_rest(w)).otherwise(c * z - n * F.log1p(w))
+        return _fall(exponent)
+
+    density = F.sqrt(a / n * b / F.lit(2 * math.pi)) * F.exp(
+        _gamma_error(n) - _gamma_error(a) - _gamma_error(b) - _deviance(a, n * x, tilt) - _deviance(b, n * y, -tilt))
+    tail = _let(density * _let(small, fall), lambda t: F.when(lower, t).otherwise(F.lit(1.0) - t))
+    return (F.when(x.isNull() | ~(a > 0) | ~(b > 0) | tilt.isNull(), F.lit(None).cast("double"))
+            .when(F.isnan(x) | F.isnan(tilt), F.lit(float("nan")))
+            .when(x <= 0, F.lit(0.0)).when(y <= 0, F.lit(1.0)).otherwise(tail))
+
+
 # ln n! minus Stirling's formula for n = 0 .. 15 (0 stands for itself: its terms cancel).
 STIRLING_ERROR = [0.0] + [math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi)
                           for n in range(1, 16)]
@@ -240,13 +230,14 @@ def _stirling_error(n: Column) -> Column:
     return F.when(n >= 16, inv * _horner(inv * inv, STIRLING)).otherwise(F.get(table, n.cast("int")))
 
 
-def _deviance(x: Column, mean: Column) -> Column:
-    """x ln(x / mean) + mean - x, by its series where x is near the mean."""
+def _deviance(x: Column, mean: Column, off: Column | None = None) -> Column:
+    """x ln(x / mean) + mean - x, by its series where x is near the mean. ``off`` is x - mean if known more exactly."""
     def body(d):
-        x, mean, v = d["x"], d["mean"], d["v"]
-        series = (x - mean) * v + F.lit(2.0) * x * v * v * v * _horner(v * v, [1.0 / (2 * j + 3) for j in range(9)])
-        return F.when(x <= 0, mean).when(F.abs(v) < 0.1, series).otherwise(x * F.log(x / mean) + mean - x)
-    return _let(F.struct(x.alias("x"), mean.alias("mean"), ((x - mean) / (x + mean)).alias("v")), body)
+        x, mean, off, v = d["x"], d["mean"], d["off"], d["v"]
+        series = off * v + F.lit(2.0) * x * v * v * v * _horner(v * v, [1.0 / (2 * j + 3) for j in range(9)])
+        return F.when(x <= 0, mean).when(F.abs(v) < 0.1, series).otherwise(x * F.log(x / mean) - off)
+    off = x - mean if off is None else off
+    return _let(F.struct(x.alias("x"), mean.alias("mean"), off.alias("off"), (off / (x + mean)).alias("v")), body)
 
 
 def _log_binomial(k: Column, n: Column, p: Column, q: Column) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pitchline.functions.tails import ACKLAM_A, ACKLAM_B, ACKLAM_C, ACKLAM_D, ACKLAM_LOW, ERFC_COEFFS
+from pitchline.functions.tails import ACKLAM_A, ACKLAM_B, ACKLAM_C, ACKLAM_D, ACKLAM_LOW
 from pitchline.operators.stats import (SW_AN, SW_AN1, SW_LARGE_MEAN, SW_LARGE_SD, SW_SMALL_GAMMA, SW_SMALL_MEAN,
                                        SW_SMALL_SD)
 
@@ -25,9 +25,11 @@ def horner(x: str, coeffs: list[float]) -> str:
 
 
 def erfc(x: str) -> str:
+    """Midpoint sum of the integral 2x/pi exp(-x^2) * int exp(-t^2) / (t^2 + x^2) dt with step 1/2, and the pole's part."""
     z = f"abs({x})"
-    t = f"(1.0 / (1.0 + 0.5 * {z}))"
-    ans = f"({t} * exp(-{z} * {z} + {horner(t, ERFC_COEFFS)}))"
+    terms = f"list_sum(list_transform(range(0, 16), lambda k: exp(-pow((k + 0.5) / 2, 2)) / (pow((k + 0.5) / 2, 2) + {z} * {z})))"
+    pole = f"(CASE WHEN {z} < 6 THEN 2.0 / (1.0 + exp(4.0 * pi() * {z})) ELSE 0.0 END)"
+    ans = f"(exp(-{z} * {z}) * {z} / pi() * {terms} + {pole})"
     return f"(CASE WHEN ({x}) >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
 
 
@@ -51,8 +53,8 @@ def chi2_sf(x: str, df: str) -> str:
     even = (f"coalesce(list_sum(list_transform(range(0, CAST(({df}) / 2 AS BIGINT)), "
             f"lambda j: exp(j * ln({half}) - lgamma(j + 1) - {half}))), 0.0)")
     odd_terms = (f"coalesce(list_sum(list_transform(range(1, CAST((({df}) - 1) / 2 AS BIGINT) + 1), "
-                 f"lambda j: exp((j - 1) * ln({x}) - (j * ln(2.0) + lgamma(j + 0.5) - lgamma(0.5))))), 0.0)")
-    odd = f"({erfc(f'sqrt({half})')} + sqrt(2.0 * ({x}) / pi()) * exp(-{half}) * {odd_terms})"
+                 f"lambda j: exp((j - 1) * ln({x}) - {half} - (j * ln(2.0) + lgamma(j + 0.5) - lgamma(0.5))))), 0.0)")
+    odd = f"({erfc(f'sqrt({half})')} + sqrt(2.0 * ({x}) / pi()) * {odd_terms})"
     return (f"(CASE WHEN ({x}) <= 0 THEN 1.0 WHEN CAST({df} AS BIGINT) % 2 = 0 THEN least(1.0, {even}) "
             f"ELSE least(1.0, {odd}) END)")
 

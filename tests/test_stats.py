@@ -1,6 +1,7 @@
 """Statistics against published constants and closed-form checks (FIXTURES section 4, case 9)."""
 
 import math
+from decimal import Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +47,111 @@ def test_t_tail_equals_its_closed_forms(spark, t):
     assert _one(spark, T.t_sf2(F.lit(t), F.lit(2))) == pytest.approx(two, rel=1e-8)
 
 
+def _normal_tail(z):
+    """Upper normal tail in decimals: the error series below 6, the continued fraction beyond."""
+    x = z / Decimal(2).sqrt()
+    pi = Decimal("3.14159265358979323846264338327950288419716939937510582097494459")
+    if x < 6:
+        term, total, k = x, x, 0
+        while abs(term) > Decimal(10) ** -75:
+            k += 1
+            term = -term * x * x / k
+            total += term / (2 * k + 1)
+        return (1 - 2 / pi.sqrt() * total) / 2
+    f = Decimal(0)
+    for k in range(400, 0, -1):
+        f = Decimal(k) / 2 / (x + f)
+    return (-x * x).exp() / pi.sqrt() / (x + f) / 2
+
+
+def _chi2_tail(x, df):
+    x = Decimal(x)
+    pi = Decimal("3.14159265358979323846264338327950288419716939937510582097494459")
+    if df % 2 == 0:
+        term = total = Decimal(1)
+        for j in range(1, df // 2):
+            term = term * x / 2 / j
+            total += term
+        return total * (-x / 2).exp()
+    term, total = 1 / x, Decimal(0)
+    for j in range(1, (df - 1) // 2 + 1):
+        term = term * x / (2 * j - 1)
+        total += term
+    return 2 * _normal_tail(x.sqrt()) + (2 * x / pi).sqrt() * (-x / 2).exp() * total
+
+
+def _f_tail(f, d1, d2):
+    """Even d1 only."""
+    x = Decimal(d2) / (Decimal(d2) + d1 * Decimal(f))
+    term = total = Decimal(1)
+    for j in range(1, d1 // 2):
+        term = term * (Decimal(d2) / 2 + j - 1) / j * (1 - x)
+        total += term
+    return total * (x.ln() * d2 / 2).exp()
+
+
+@pytest.fixture
+def many_digits():
+    with localcontext() as c:
+        c.prec = 90
+        yield
+
+
+def _rel(got, exact):
+    return abs(Decimal(got) / exact - 1)
+
+
+@pytest.mark.parametrize("z", [0.0, 0.1, 1.0, 1.959963984540054, 2.5, 5.5, 8.3, 20.0, 37.5])
+def test_normal_tail_to_the_last_digits(spark, many_digits, z):
+    assert _rel(_one(spark, T.norm_sf(F.lit(z))), _normal_tail(Decimal(z))) < 3e-15
+    assert _one(spark, T.norm_sf(F.lit(-z))) == pytest.approx(1 - float(_normal_tail(Decimal(z))), rel=1e-15)
+
+
+@pytest.mark.parametrize("x,df", [(1700.0, 1001), (1700.0, 1000), (3000.0, 2501), (0.001, 1), (40.0, 1), (5.0, 3), (900.0, 1001),
+                                  (600.0, 999), (3.0, 2), (100_000.0, 100_001), (104_000.0, 100_000)])
+def test_chi_square_tail_for_odd_and_even_df(spark, many_digits, x, df):
+    assert _rel(_one(spark, T.chi2_sf(F.lit(x), F.lit(df))), _chi2_tail(x, df)) < 1e-12
+
+
+@pytest.mark.parametrize("f,d1,d2", [(1.0, 2, 10 ** 12), (3.0, 2, 7), (1.334856, 4, 203), (2.5, 10, 10 ** 6), (1.01, 20_000, 30_001),
+                                     (1.2, 1000, 5), (30.0, 2, 1), (0.2, 4, 3), (1.0, 1000, 10 ** 12)])
+def test_f_tail_from_small_to_huge_df(spark, many_digits, f, d1, d2):
+    assert _rel(_one(spark, T.f_sf(F.lit(f), F.lit(d1), F.lit(d2))), _f_tail(f, d1, d2)) < 1e-12
+
+
+def test_tails_of_huge_df_go_to_their_limits(spark, many_digits):
+    one = 10 ** 12
+    # F(5, inf) is chi-square(5) / 5, T(inf) is the normal; the distances fall like 1 / df
+    limit = _one(spark, T.chi2_sf(F.lit(5.0), F.lit(5)))
+    assert _one(spark, T.f_sf(F.lit(1.0), F.lit(5), F.lit(one))) == pytest.approx(limit, rel=1e-11)
+    assert _rel(_one(spark, T.t_sf2(F.lit(2.5), F.lit(one))), 2 * _normal_tail(Decimal(2.5))) < 5e-11
+    # Wilson-Hilferty at df = 1e12, three deviations out
+    x = one * (1 - 2 / (9 * one) + 3 * math.sqrt(2 / (9 * one))) ** 3
+    assert _one(spark, T.chi2_sf(F.lit(x), F.lit(one))) == pytest.approx(float(_normal_tail(Decimal(3))), rel=1e-5)
+    assert _one(spark, T.f_sf(F.lit(1.0), F.lit(one), F.lit(one))) == pytest.approx(0.5, rel=1e-12)
+
+
+def test_tails_outside_their_range(spark):
+    nan, inf = float("nan"), float("inf")
+    assert math.isnan(_one(spark, T.chi2_sf(F.lit(nan), F.lit(5)))) and _one(spark, T.chi2_sf(F.lit(inf), F.lit(5))) == 0
+    assert _one(spark, T.chi2_sf(F.lit(-1.0), F.lit(5))) == 1 and _one(spark, T.chi2_sf(F.lit(1.0), F.lit(0))) is None
+    assert _one(spark, T.chi2_sf(F.lit(None).cast("double"), F.lit(5))) is None
+    assert _one(spark, T.f_sf(F.lit(0.0), F.lit(3), F.lit(4))) == 1 and math.isnan(_one(spark, T.norm_sf(F.lit(nan))))
+    assert _one(spark, T.norm_sf(F.lit(60.0))) == 0 and _one(spark, T.t_sf2(F.lit(0.0), F.lit(9))) == 1
+
+
+def test_kruskal_over_two_thousand_groups(spark):
+    """Groups that differ strongly have a tiny p, whether their number is odd or even; equal ones have p near 1."""
+    for k in (2000, 2001):
+        far = spark.range(3 * k).select((F.col("id") % k).alias("g"), (F.col("id") % k + F.col("id") / (10.0 * k)).alias("v"))
+        r = R.kruskal(far, "g", "v").first()
+        assert r.k == k and r.p_value < 1e-200
+        mild = spark.range(3 * k).select((F.col("id") % k).alias("g"), (F.pmod(F.xxhash64("id"), F.lit(1000)) + F.col("id") % k * 1000 / k).alias("v"))
+        assert 0 < R.kruskal(mild, "g", "v").first().p_value < 1e-3
+        near = spark.range(3 * k).select((F.col("id") % k).alias("g"), F.floor(F.col("id") / k).cast("double").alias("v"))
+        assert R.kruskal(near, "g", "v").first().p_value == pytest.approx(1.0)
+
+
 def test_t_tail_goes_to_the_normal_tail_without_a_step(spark):
     for df in (99_999, 100_000, 100_001, 10_000_000_000):
         assert _one(spark, T.t_sf2(F.lit(2.5), F.lit(df))) == pytest.approx(math.erfc(2.5 / math.sqrt(2)), rel=1e-3)
