@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,17 +79,32 @@ def significance_phrase(p: str | Column, alpha: float = 0.05) -> Column:
             .otherwise(F.concat(F.lit(f"not statistically significant at alpha={alpha} (p="), shown, F.lit(")"))))
 
 
+#: An estimate from here on means that Spark knows nothing of the size (frames of Python rows or of an RDD).
+UNKNOWN_BYTES = 1 << 62
+#: Rows up to which a frame of unknown size is counted.
+COUNT_ROWS = 10_000
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df``.
+
+    Where it has none, the rows are counted up to ``COUNT_ROWS`` and sized by
+    their types; a longer frame stays of unknown size.
+    """
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size < UNKNOWN_BYTES:
+        return size
+    rows = df.limit(COUNT_ROWS + 1).count()
+    return size if rows > COUNT_ROWS else rows * (8 + df._jdf.schema().defaultSize())
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
-    """Broadcast hint only when the optimizer's size estimate is under ``max_bytes``.
+    """Broadcast hint only when the size of ``df`` is known to be ``max_bytes`` at most.
 
     Beyond the bound the frame is returned unhinted, so the join stays a
     shuffle join (and AQE may still switch it at run time).
     """
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # no JVM handle (e.g. Spark Connect): leave it to AQE
-        return df
-    return F.broadcast(df) if size <= max_bytes else df
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
@@ -101,7 +114,3 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     with the data (fixed lists, one row per partition, per nation/region).
     """
     return F.broadcast(df)
-
-
-
-LOG_SQRT_2PI = 0.5 * math.log(2 * math.pi)

@@ -10,38 +10,59 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.functions.columns import broadcast_if_small
 from pitchline.operators.keys import append_keys
+from pitchline.session import cut_lineage, default_partitions
 
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
 
 
-def _same(cols: Sequence[str], a: str, b: str) -> Column:
-    eq = None
-    for c in cols:
-        t = F.col(f"{a}{c}").eqNullSafe(F.col(f"{b}{c}"))
-        eq = t if eq is None else (eq & t)
-    return eq if eq is not None else F.lit(True)
+def _on(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of ``keys`` with the ``prefix``-ed keys of ``right``."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[prefix + k])
+    return cond
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Net changes from ``old`` to ``new`` on ``keys`` (null-safe compare of ``cols``).
+    """Net changes from ``old`` to ``new`` on ``keys`` (null-safe in keys and ``cols``).
 
     Output: keys, cols (new values; old values for a DELETE), change_type.
-    Unchanged rows produce nothing.
+    Unchanged rows produce nothing. First only keys and a 120-bit digest of
+    ``cols`` are shuffled, both sides in one aggregation; the columns then
+    come from the snapshots for the changed keys alone, by a broadcast where
+    those are few. NULL is a key like others. A key held by several rows of a
+    snapshot is compared as a multiset; if it changed, all its old rows are
+    DELETEs and all its new rows INSERTs.
     """
     keys, cols = list(keys), list(cols)
-    o = old.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in cols], F.lit(True).alias("_in_old"))
-    n = new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_in_new"))
-    j = o.join(n, keys, "full_outer")
-    kind = (F.when(F.col("_in_old").isNull(), F.lit(INSERT))
-            .when(F.col("_in_new").isNull(), F.lit(DELETE))
-            .when(~_same(cols, "_o_", "_n_"), F.lit(UPDATE)))
-    vals = [F.when(F.col("_in_new").isNull(), F.col(f"_o_{c}")).otherwise(F.col(f"_n_{c}")).alias(c) for c in cols]
-    return j.select(*keys, *vals, kind.alias("change_type")).where(F.col("change_type").isNotNull())
+
+    def narrow(df: DataFrame, side: str) -> DataFrame:
+        digest = F.md5(row_text(df, cols).cast("binary"))
+        return df.select(*keys, F.lit(side).alias("_side"), *[_hex_number(digest, 15 * k + 1).alias(f"_d{k}") for k in range(2)])
+
+    def of(side: str, c: Column | None = None) -> Column:
+        return F.sum(F.when(F.col("_side") == side, F.lit(1) if c is None else c).otherwise(F.lit(0)))
+
+    both = narrow(old, "old").unionByName(narrow(new, "new")).groupBy(*keys).agg(
+        of("old").alias("_old"), of("new").alias("_new"),
+        *[(of("old", F.col(f"_d{k}")) == of("new", F.col(f"_d{k}"))).alias(f"_e{k}") for k in range(2)])
+    same = (F.col("_old") == F.col("_new")) & F.col("_e0") & F.col("_e1")
+    single = (F.col("_old") <= 1) & (F.col("_new") <= 1)
+    changed = cut_lineage(both.where(~same).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.when(F.col("_new") > 0, F.when((F.col("_old") == 0) | ~single, F.lit(INSERT)).otherwise(F.lit(UPDATE))).alias("_new_kind"),
+        F.when((F.col("_old") > 0) & ((F.col("_new") == 0) | ~single), F.lit(DELETE)).alias("_old_kind")))
+
+    def rows(df: DataFrame, kind: str) -> DataFrame:
+        wanted = broadcast_if_small(changed.where(F.col(kind).isNotNull()))
+        return df.join(wanted, _on(df, wanted, keys, "_k_")).select(*[df[c] for c in (*keys, *cols)], F.col(kind).alias("change_type"))
+    return rows(new, "_new_kind").unionByName(rows(old, "_old_kind"))
 
 
 def net_changes(changes: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
@@ -50,14 +71,19 @@ def net_changes(changes: DataFrame, keys: Sequence[str], sequence: str) -> DataF
     The last change gives the values; a key that was inserted within the set
     stays an INSERT (updates of it are folded in) and disappears if the set
     also deletes it; a key that existed before is an UPDATE, also when it was
-    deleted and inserted again. Aggregation only: no key's changes are held in
-    one task beyond its first and last. The output has no sequence column.
+    deleted and inserted again. Changes of one key with equal sequence numbers
+    follow each other as INSERT, UPDATE, DELETE, then in order of their
+    values, so the result never depends on the order of rows. Aggregation
+    only: no key's changes are held in one task beyond its first and last. The
+    output has no sequence column.
     """
     keys = list(keys)
     rest = [c for c in changes.columns if c not in (*keys, "change_type", sequence)]
+    life = F.when(F.col("change_type") == INSERT, 0).when(F.col("change_type") == UPDATE, 1).otherwise(2)
+    order = F.struct(F.col(sequence).alias("_at"), life.alias("_life"), F.struct(F.lit(0).alias("_none"), *rest).alias("_values"))
     g = changes.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest, "change_type"), sequence).alias("_last"),
-        F.min_by("change_type", sequence).alias("_first"))
+        F.max_by(F.struct(*rest, "change_type"), order).alias("_last"),
+        F.min_by("change_type", order).alias("_first"))
     new = F.col("_first") == INSERT
     gone = F.col("_last.change_type") == DELETE
     kind = F.when(gone, F.lit(DELETE)).when(new, F.lit(INSERT)).otherwise(F.lit(UPDATE))
@@ -138,50 +164,152 @@ def reject_changes(fact: DataFrame, changes: DataFrame, keys: Sequence[str], unr
     return deletes.unionByName(lost).unionByName(again).unionByName(unk)
 
 
-def content_hash(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Order-insensitive, duplicate-aware content fingerprint: one row.
+def canonical_text(c: Column, kind: T.DataType) -> Column:
+    """A text that differs for values that differ; NULL for NULL.
 
-    Every row's values (as text, NULL told apart from any text) go through
-    SHA-256; the fingerprint is the row count and the sums of the four 60-bit
-    quarters of the leading 240 bits. Any engine with SHA-256 computes the
-    same; no sort and no collect.
+    Timestamps have microseconds, doubles their shortest digits that give the
+    value back (both zeros are one value, as they are to a comparison), bytes
+    are hexadecimal, and nested values are made of the fields of ``field_text``.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), canonical_text(F.col(c), dict(df.dtypes)[c])), F.lit("~"))
-                              for c in cols])
-    digest = F.sha2(text, 256)
-    quarter = lambda k: F.conv(F.substring("_d", 15 * k + 1, 15), 16, 10).cast("decimal(38,0)")
-    return df.select(digest.alias("_d")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.coalesce(F.sum(quarter(k)), F.lit(0)).cast("decimal(38,0)").alias(f"h{k}") for k in range(4)])
-
-
-def canonical_text(c: Column, kind: str) -> Column:
-    """One text per value in every engine: timestamps in microseconds, doubles with fifteen significant digits."""
-    if kind.startswith("timestamp"):
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    if kind in ("double", "float"):
-        return F.when(c.isNotNull(), F.format_string("%.14e", c.cast("double")))
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (c + F.lit(0.0).cast(kind)).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, T.ArrayType):
+        return F.array_join(F.transform(c, lambda e: field_text(e, kind.elementType)), "")
+    if isinstance(kind, T.StructType):
+        return F.when(c.isNotNull(), F.concat(*[field_text(c[f.name], f.dataType) for f in kind.fields]))
+    if isinstance(kind, T.MapType):
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        return F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: field_text(e, entry))), "")
     return c.cast("string")
 
 
-def assert_same(a: DataFrame, b: DataFrame, cols: Sequence[str], label: str) -> DataFrame:
+def field_text(c: Column, kind: T.DataType) -> Column:
+    """Length and text of a value, ``~`` for NULL: fields side by side can be read in one way only."""
+    text = canonical_text(c, kind)
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+
+def row_text(df: DataFrame, cols: Sequence[str]) -> Column:
+    """One text per row, different for rows that differ in ``cols``."""
+    return F.concat(F.lit(""), *[field_text(df[c], df.schema[c].dataType) for c in cols])
+
+
+def _hex_number(digest: Column, start: int) -> Column:
+    """The 15 hexadecimal digits (60 bits) from ``start``."""
+    return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")
+
+
+#: Columns of a fingerprint: the row count and four sums of 60 bits of the rows' SHA-256.
+FINGERPRINT = ("rows", "h0", "h1", "h2", "h3")
+
+
+def _fingerprint(digest: str) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), *[F.coalesce(F.sum(_hex_number(F.col(digest), 15 * k + 1)), F.lit(0)).cast("decimal(38,0)")
+                                               .alias(f"h{k}") for k in range(4)]]
+
+
+def content_hash(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Order-insensitive, duplicate-aware content fingerprint: one row.
+
+    Every row's ``row_text`` goes through SHA-256; the fingerprint is the row
+    count and the sums of the four 60-bit quarters of the leading 240 bits.
+    Any engine with SHA-256 computes the same; no sort and no collect.
+    """
+    return df.select(F.sha2(row_text(df, cols), 256).alias("_d")).agg(*_fingerprint("_d"))
+
+
+# Digest tree ---------------------------------------------------------------------------
+
+def leaf_of(df: DataFrame, keys: Sequence[str], leaves: int) -> Column:
+    """The leaf (0 to ``leaves`` - 1) of a row, from the SHA-256 of its keys' text."""
+    return (_hex_number(F.sha2(row_text(df, keys), 256), 1) % leaves).cast("int")
+
+
+def digest_tree(df: DataFrame, keys: Sequence[str], cols: Sequence[str], fanout: int = 16, depth: int = 2) -> DataFrame:
+    """I7 as a tree: (level, node, rows, h0..h3) for level 0 (one node: the table) to ``depth`` (fanout^depth leaves).
+
+    A row belongs to the leaf of its keys; node n of a level holds the nodes
+    n * fanout to n * fanout + fanout - 1 of the next. The rows are read once
+    and aggregated to leaves; the levels above are sums of leaf rows. Empty
+    nodes have no row.
+    """
+    leaves = df.select(leaf_of(df, keys, fanout ** depth).alias("node"), F.sha2(row_text(df, cols), 256).alias("_d")).groupBy(
+        "node").agg(*_fingerprint("_d"))
+    up = F.explode(F.array(*[F.struct(F.lit(level).alias("level"), F.floor(F.col("node") / fanout ** (depth - level)).cast("int").alias("at"))
+                             for level in range(depth + 1)]))
+    return (leaves.select(up.alias("_up"), *FINGERPRINT).groupBy(F.col("_up.level").alias("level"), F.col("_up.at").alias("node"))
+            .agg(*[F.sum(c).cast("long" if c == "rows" else "decimal(38,0)").alias(c) for c in FINGERPRINT]))
+
+
+def differing_leaves(a: DataFrame, b: DataFrame, fanout: int = 16, depth: int = 2) -> list[int]:
+    """Leaves whose digests differ between two trees, found from the root down: only children of differing nodes are read."""
+    nodes = [0]
+    for level in range(depth + 1):
+        x, y = (t.where((F.col("level") == level) & F.col("node").isin(nodes)) for t in (a, b))
+        y = y.select(F.col("node").alias("_node"), *[F.col(c).alias(f"_{c}") for c in FINGERPRINT])
+        same = F.lit(True)
+        for c in FINGERPRINT:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        off = x.join(y, F.col("node") == F.col("_node"), "full_outer").where(~same).select(F.coalesce("node", "_node").alias("n"))
+        nodes = sorted(r["n"] for r in off.collect())  # fanout^level at most
+        if not nodes or level == depth:
+            return nodes
+        nodes = [n * fanout + k for n in nodes for k in range(fanout)]
+    return nodes
+
+
+def write_digested(df: DataFrame, path: str, keys: Sequence[str], cols: Sequence[str], fanout: int = 16, depth: int = 2) -> None:
+    """Write ``df`` laid out by leaf (``path``/rows) with its digest tree beside it (``path``/tree)."""
+    spark, leaves = df.sparkSession, fanout ** depth
+    placed = df.withColumn("_leaf", leaf_of(df, keys, leaves))
+    placed.repartition(min(leaves, default_partitions(spark)), "_leaf").write.partitionBy("_leaf").parquet(f"{path}/rows")
+    digest_tree(df, keys, cols, fanout, depth).coalesce(1).write.parquet(f"{path}/tree")
+
+
+def _leaf_rows(spark: SparkSession, path: str, leaves: Sequence[int]) -> DataFrame:
+    """Rows of the given leaves of a digested table; only their folders are read."""
+    return spark.read.parquet(f"{path}/rows").where(F.col("_leaf").isin(list(leaves))).drop("_leaf")
+
+
+def changed_rows(spark: SparkSession, a: str, b: str, cols: Sequence[str], fanout: int = 16, depth: int = 2) -> DataFrame:
+    """Rows of ``cols`` in one of two digested tables and not the other (side 'a' or 'b'), as multisets.
+
+    The trees name the differing leaves; equal ones are never read.
+    """
+    leaves = differing_leaves(*(spark.read.parquet(f"{p}/tree") for p in (a, b)), fanout, depth)
+    x, y = (_leaf_rows(spark, p, leaves).select(*cols) for p in (a, b))
+    return x.exceptAll(y).withColumn("side", F.lit("a")).unionByName(y.exceptAll(x).withColumn("side", F.lit("b")))
+
+
+def assert_same(a: DataFrame, b: DataFrame, cols: Sequence[str], label: str, keys: Sequence[str] | None = None,
+                fanout: int = 16, depth: int = 2) -> DataFrame:
     """I8: one row: are ``a`` and ``b`` equal as multisets of ``cols``?
 
-    Fingerprints decide. Only if they differ are the differing rows counted
-    (two multiset differences); equal tables are read once each.
+    Digest trees decide, each from one pass over its table. Only rows of
+    differing leaves are then compared and counted. ``keys`` name the leaf of
+    a row (all of ``cols`` if absent).
     """
     cols = list(cols)
-    parts = ("rows", "h0", "h1", "h2", "h3")
-    ha, hb = content_hash(a, cols).first(), content_hash(b, cols).first()  # two one-row fingerprints
-    same = all(ha[p] == hb[p] for p in parts)
-    head = [F.lit(label).alias("scenario"), F.lit(ha["rows"]).cast("long").alias("rows_incremental"),
-            F.lit(hb["rows"]).cast("long").alias("rows_rebuild"), F.lit(same).alias("equal")]
-    if same:
-        one = a.sparkSession.range(1)
-        return one.select(*head, F.lit(0).cast("long").alias("only_a"), F.lit(0).cast("long").alias("only_b"))
-    only_a = a.select(*cols).exceptAll(b.select(*cols)).agg(F.count(F.lit(1)).alias("only_a"))
-    only_b = b.select(*cols).exceptAll(a.select(*cols)).agg(F.count(F.lit(1)).alias("only_b"))
-    return only_a.crossJoin(only_b).select(*head, "only_a", "only_b")
+    keys = list(keys or cols)
+    leaves = fanout ** depth
+    ta, tb = (cut_lineage(digest_tree(t, keys, cols, fanout, depth)) for t in (a, b))
+    off = differing_leaves(ta, tb, fanout, depth)
+    rows = [t.where("level = 0").agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long")).first()[0] for t in (ta, tb)]
+    head = [F.lit(label).alias("scenario"), F.lit(rows[0]).cast("long").alias("rows_incremental"),
+            F.lit(rows[1]).cast("long").alias("rows_rebuild"), F.lit(not off).alias("equal")]
+    if not off:
+        return a.sparkSession.range(1).select(*head, F.lit(0).cast("long").alias("only_a"), F.lit(0).cast("long").alias("only_b"))
+    both = None
+    for t, sign in ((a, 1), (b, -1)):
+        part = t.where(leaf_of(t, keys, leaves).isin(off)).select(row_text(t, cols).alias("_text"), F.lit(sign).alias("_sign"))
+        both = part if both is None else both.unionByName(part)
+    left = both.groupBy("_text").agg(F.sum("_sign").alias("_n"))
+    count = lambda n: F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)).cast("long")
+    return left.agg(count(F.col("_n")).alias("only_a"), count(-F.col("_n")).alias("only_b")).select(*head, "only_a", "only_b")
 
 
 def assert_clean(pending: DataFrame, raw: DataFrame, marker: Column) -> DataFrame:

@@ -3,7 +3,7 @@
 The events table plays the landing table; the events fact carries a
 surrogate key, the event-type key (D2) and the measures. A second snapshot is
 derived from the whole table: values changed where event_id % 7 = 0, rows
-removed where event_id % 10 = 0, and new rows (the highest event_id +
+removed where event_id % 10 = 0, and new rows (the first free event_id +
 event_id, so no key is used twice at any size) where event_id % 13 = 0, a few
 with an event type the dimension does not know.
 """
@@ -37,9 +37,9 @@ def raw_events(spark, sf_dir) -> DataFrame:
     return C.table(spark, sf_dir, "events").select("event_id", *TRACKED)
 
 
-def top_key(raw: DataFrame):
-    """The highest event_id, as a scalar subquery column."""
-    return raw.select(F.max("event_id")).scalar()
+def free_key(raw: DataFrame):
+    """The first event_id above all given ones, as a scalar subquery column."""
+    return raw.select(F.max("event_id") + 1).scalar()
 
 
 def new_snapshot(raw: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def new_snapshot(raw: DataFrame) -> DataFrame:
     kept = raw.where(e % DELETE_MOD != 0).withColumn(
         "value", F.when(e % UPDATE_MOD == 0, F.col("value") + 1).otherwise(F.col("value")))
     added = raw.where(e % INSERT_MOD == 0).select(
-        (e + top_key(raw)).alias("event_id"), "ts", "user_id",
+        (e + free_key(raw)).alias("event_id"), "ts", "user_id",
         F.when(e % UNKNOWN_MOD == 0, F.lit("unknown")).otherwise(F.col("event_type")).alias("event_type"), "value")
     return kept.unionByName(added)
 
@@ -87,7 +87,7 @@ new AS (
          CASE WHEN event_id % {UPDATE_MOD} = 0 THEN value + 1 ELSE value END AS value
   FROM events WHERE event_id % {DELETE_MOD} <> 0
   UNION ALL
-  SELECT event_id + (SELECT MAX(event_id) FROM events), ts, user_id,
+  SELECT event_id + (SELECT MAX(event_id) + 1 FROM events), ts, user_id,
          CASE WHEN event_id % {UNKNOWN_MOD} = 0 THEN 'unknown' ELSE event_type END, value
   FROM events WHERE event_id % {INSERT_MOD} = 0
 ),
@@ -167,7 +167,7 @@ def change_log(raw: DataFrame) -> DataFrame:
         return raw.where(where).select(key.alias("event_id"), *cols, value.alias("value"),
                                        F.lit(kind).alias("change_type"), F.lit(seq).cast("long").alias("seq"))
 
-    v, new = F.col("value"), e + top_key(raw)
+    v, new = F.col("value"), e + free_key(raw)
     parts = [changes(e % 7 == 0, "UPDATE", 1, value=v + 1), changes(e % 14 == 0, "UPDATE", 2, value=v + 2),
              changes(e % 21 == 0, "DELETE", 3), changes(e % 13 == 0, "INSERT", 1, new),
              changes(e % 26 == 0, "UPDATE", 2, new, v + 3), changes(e % 39 == 0, "DELETE", 3, new)]
@@ -178,7 +178,7 @@ def change_log(raw: DataFrame) -> DataFrame:
 
 
 LOG_SQL = """
-tops AS (SELECT MAX(event_id) AS top FROM events),
+tops AS (SELECT MAX(event_id) + 1 AS top FROM events),
 log AS (
   SELECT event_id, ts, user_id, event_type, value + 1 AS value, 'UPDATE' AS change_type, 1 AS seq FROM events WHERE event_id % 7 = 0
   UNION ALL SELECT event_id, ts, user_id, event_type, value + 2, 'UPDATE', 2 FROM events WHERE event_id % 14 = 0
@@ -273,20 +273,59 @@ def stream_drain(spark, sf_dir):
 
 # I7-I9 ----------------------------------------------------------------------------------
 
-_ROW_TEXT = "|| '|' ||".join(f"coalesce('=' || {t}, '~')" for t in (
-    "CAST(event_id AS VARCHAR)", "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')", "CAST(user_id AS VARCHAR)",
-    "CAST(type_id AS VARCHAR)", "printf('%.14e', value)"))
+def _text_sql(*values: str) -> str:
+    """Length-prefixed fields of a row; the given doubles print alike in both engines."""
+    return " || ".join(f"coalesce(length({v}) || ':' || {v}, '~')" for v in values)
+
+
+_KEY_TEXT = "CAST(event_id AS VARCHAR)"
+_ROW_TEXT = _text_sql(_KEY_TEXT, "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')", "CAST(user_id AS VARCHAR)",
+                      "CAST(type_id AS VARCHAR)", "CAST(value + 0.0 AS VARCHAR)")
+
+
+def _hex_sql(digest: str, k: int) -> str:
+    return f"CAST('0x' || substr({digest}, {15 * k + 1}, 15) AS HUGEINT)"
+
+
+_SUMS = ", ".join(f"CAST(SUM({_hex_sql('d', k)}) AS DECIMAL(38,0)) AS h{k}" for k in range(4))
+#: Digest tree of the registered case: 4 x 4 leaves.
+TREE = {"fanout": 4, "depth": 2}
 
 
 @query("content_hash", "WITH " + NEW_SQL + f"""
 , d AS (SELECT sha256({_ROW_TEXT}) AS d FROM fact)
-SELECT COUNT(*) AS rows, """ + ", ".join(
-    f"CAST(SUM(CAST('0x' || substr(d, {15 * k + 1}, 15) AS HUGEINT)) AS DECIMAL(38,0)) AS h{k}" for k in range(4)) + " FROM d")
+SELECT COUNT(*) AS rows, {_SUMS} FROM d""")
 def q_content_hash(spark, sf_dir):
     _, _, fact, _ = _setup(spark, sf_dir)
     return I.content_hash(fact, BUSINESS)
 
 
+_LEAF = f"CAST({_hex_sql(f'sha256({_text_sql(_KEY_TEXT)})', 0)} % 16 AS INTEGER)"
+
+
+@query("digest_tree", "WITH " + NEW_SQL + f"""
+, d AS (SELECT {_LEAF} AS leaf, sha256({_ROW_TEXT}) AS d FROM fact),
+up AS (SELECT 0 AS level, 0 AS node, d FROM d UNION ALL SELECT 1, leaf // 4, d FROM d UNION ALL SELECT 2, leaf, d FROM d)
+SELECT level, CAST(node AS INTEGER) AS node, COUNT(*) AS rows, {_SUMS} FROM up GROUP BY level, node""")
+def q_digest_tree(spark, sf_dir):
+    _, _, fact, _ = _setup(spark, sf_dir)
+    return I.digest_tree(fact, KEYS, BUSINESS, **TREE)
+
+
+@query("changed_rows", "WITH " + NEW_SQL + """
+, one AS (SELECT event_id, ts, user_id, type_id, value FROM fact WHERE event_id = (SELECT MAX(event_id) FROM fact))
+SELECT 'a' AS side, * FROM one UNION ALL SELECT 'b', event_id, ts, user_id, type_id, value + 0.001953125 FROM one""")
+def q_changed_rows(spark, sf_dir):
+    """One value of the fact is off by 1/512: the trees name its leaf, and only that leaf is read and compared."""
+    _, _, fact, _ = _setup(spark, sf_dir)
+    a, b = (scratch_path(spark, f"digested-{k}") for k in "ab")
+    I.write_digested(fact, a, KEYS, BUSINESS, **TREE)
+    fact = spark.read.parquet(f"{a}/rows").drop("_leaf")
+    off = F.when(F.col("event_id") == fact.select(F.max("event_id")).scalar(), F.lit(0.001953125)).otherwise(F.lit(0.0))
+    I.write_digested(fact.withColumn("value", F.col("value") + off), b, KEYS, BUSINESS, **TREE)
+    return I.changed_rows(spark, a, b, BUSINESS, **TREE).select("side", *BUSINESS)
+
+
 def _marker_row(raw: DataFrame) -> DataFrame:
     """A synthetic new event: a copy of the latest event under a fresh key."""
     top = raw.agg(F.max_by(F.struct(*raw.columns), F.struct("ts", "event_id")).alias("r"),
@@ -313,7 +352,7 @@ def incremental_equals_rebuild(spark, sf_dir):
         return apply_changes(state, I.diff_snapshots(old_raw, new_raw, KEYS, TRACKED), types)[0]
 
     def same(label, incremental, new_raw):
-        return I.assert_same(incremental, build_events_fact(new_raw, types), BUSINESS, label)
+        return I.assert_same(incremental, build_events_fact(new_raw, types), BUSINESS, label, KEYS)
 
     with_new = raw.unionByName(_marker_row(raw))
     corrected = raw.withColumn("value", F.when(F.col("event_id") % UPDATE_MOD == 0, F.col("value") * 2 + 1)
@@ -327,7 +366,7 @@ def incremental_equals_rebuild(spark, sf_dir):
     # cleanup: the corrections are taken back, and the synthetic row is deleted by its key
     added = run(run(fact, raw, with_new), raw, corrected)
     back = run(added, corrected, raw)
-    cleaned = I.delete_where(back, F.col("event_id") > top_key(raw))
+    cleaned = I.delete_where(back, F.col("event_id") >= free_key(raw))
     checks = [same("new row", run(fact, raw, with_new), with_new), same("correction", fixed, corrected),
               same("rerun over the applied state", run(fixed, corrected, corrected), corrected),
               same("cleanup restores the baseline", cleaned, raw),

@@ -55,6 +55,60 @@ def test_content_hash_order_insensitive_duplicate_aware(spark):
     assert same.equal and not diff.equal and (diff.only_a, diff.only_b) == (1, 1)
 
 
+def test_rows_that_print_alike_have_different_digests(spark):
+    text = spark.createDataFrame([("a|=b", "c")], "x string, y string")
+    moved = spark.createDataFrame([("a", "b|=c")], "x string, y string")
+    pairs = [(text, moved, ["x", "y"])]
+    for x, y, kind in ((1.0, 1.0000000000000002, "double"), ("", None, "string"), ("~", None, "string"), (bytearray(b"\x0a"), bytearray(b"\x0b"), "binary"),
+                       (["a", "b"], ["a,b"], "array<string>"), ([None], ["~"], "array<string>"), ([], None, "array<string>"),
+                       ((1, "2"), (12, ""), "struct<p:int,q:string>"), ({"a": "b"}, {"a": None}, "map<string,string>")):
+        pairs.append((spark.createDataFrame([(x,)], f"v {kind}"), spark.createDataFrame([(y,)], f"v {kind}"), ["v"]))
+    for a, b, cols in pairs:
+        assert I.content_hash(a, cols).first() != I.content_hash(b, cols).first()
+        r = I.assert_same(a, b, cols, "x").first()
+        assert not r.equal and (r.only_a, r.only_b) == (1, 1)
+    zero, minus = (spark.createDataFrame([(v,)], "v double") for v in (0.0, -0.0))
+    assert I.assert_same(zero, minus, ["v"], "zeros").first().equal
+
+
+def test_one_changed_row_reads_one_leaf(spark):
+    cols = ["k", "v"]
+    a = spark.range(500).select(F.col("id").alias("k"), (F.col("id") / 3).alias("v"))
+    b = a.withColumn("v", F.when(F.col("k") == 77, F.col("v") + 1e-12).otherwise(F.col("v")))
+    ta, tb = (I.digest_tree(t, ["k"], cols, fanout=4, depth=3) for t in (a, b))
+    leaf = a.where("k = 77").select(I.leaf_of(a, ["k"], 64)).first()[0]
+    assert I.differing_leaves(ta, tb, 4, 3) == [leaf] and I.differing_leaves(ta, ta, 4, 3) == []
+    levels = {r.level: r for r in ta.groupBy("level").agg(F.sum("rows").alias("n"), F.sum("h2").alias("h")).collect()}
+    assert {x.n for x in levels.values()} == {500} and len({x.h for x in levels.values()}) == 1 and set(levels) == {0, 1, 2, 3}
+    pa, pb = (scratch_path(spark, "digested") for _ in "ab")
+    I.write_digested(a, pa, ["k"], cols, 4, 3)
+    I.write_digested(b, pb, ["k"], cols, 4, 3)
+    diff = I.changed_rows(spark, pa, pb, cols, 4, 3)
+    assert sorted((r.side, r.k) for r in diff.collect()) == [("a", 77), ("b", 77)]
+    scans = diff._jdf.queryExecution().executedPlan().toString()
+    assert "_leaf#" in scans and f"= {leaf})" in scans.split("PartitionFilters:", 1)[1].split("]", 1)[0]
+    assert I.changed_rows(spark, pa, pa, cols, 4, 3).collect() == []
+    empty = a.limit(0)
+    assert I.assert_same(empty, empty, cols, "x").first().equal and not I.assert_same(a, empty, cols, "x").first().equal
+
+
+def test_diff_takes_null_keys_and_repeated_keys(spark):
+    schema = "k string, j int, v double"
+    old = spark.createDataFrame([(None, 1, 1.0), ("a", None, 2.0), ("b", 1, None), ("r", 1, 1.0), ("r", 1, 2.0), ("s", 1, 1.0), ("s", 1, 1.0)], schema)
+    new = spark.createDataFrame([(None, 1, 1.0), ("a", None, 3.0), ("b", 1, None), ("r", 1, 2.0), ("r", 1, 1.0), ("s", 1, 1.0), (None, None, 4.0)], schema)
+    got = sorted((tuple(r) for r in I.diff_snapshots(old, new, ["k", "j"], ["v"]).collect()), key=repr)
+    assert got == sorted([("a", None, 3.0, "UPDATE"), (None, None, 4.0, "INSERT"), ("s", 1, 1.0, "DELETE"), ("s", 1, 1.0, "DELETE"),
+                          ("s", 1, 1.0, "INSERT")], key=repr)
+    assert I.diff_snapshots(new, new, ["k", "j"], ["v"]).collect() == []
+
+
+def test_net_changes_do_not_depend_on_the_order_of_equal_sequence_numbers(spark):
+    rows = [(1, 1.0, "UPDATE", 5), (1, 2.0, "UPDATE", 5), (2, 1.0, "UPDATE", 1), (2, 1.0, "INSERT", 1), (3, 1.0, "DELETE", 1), (3, 1.0, "INSERT", 1)]
+    for order in (rows, rows[::-1]):
+        net = I.net_changes(spark.createDataFrame(order, STREAM).coalesce(1), ["k"], "seq")
+        assert sorted(tuple(r) for r in net.collect()) == [(1, 2.0, "UPDATE"), (2, 1.0, "INSERT")]
+
+
 def test_point_mutations_and_first_without_match(spark):
     o = spark.createDataFrame([(1, dt.date(2026, 1, 2)), (2, dt.date(2026, 1, 1)), (3, dt.date(2026, 1, 1))],
                               "k long, d date")
