@@ -1,10 +1,10 @@
 """Ordered numbering without a single-partition window.
 
 Global ``ROW_NUMBER() OVER (ORDER BY ...)`` makes Spark move every row into
-one partition. Here the data is range-partitioned on the order columns,
-each partition is sorted locally, the per-partition row counts (one row per
-partition, a bounded broadcast) become offsets, and every row's number is
-offset + its position inside the partition. Only one shuffle of the data.
+one partition. Here the order is cut into buckets by fixed splitters
+(``operators.ordering``): rows are numbered inside their bucket, and the
+counts of the lower buckets (one row per bucket, a bounded broadcast) become
+offsets. The rows are shuffled once, by bucket, and not checkpointed.
 
 The same idea gives running sums over a value histogram (mid-ranks, R0).
 """
@@ -17,56 +17,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import bounded_broadcast, broadcast_if_small
-from pitchline.session import default_partitions, shared_root
+from pitchline.operators.ordering import before_bucket, ranges, sort_columns
+from pitchline.session import cut_lineage
 
-_POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
 
-
-def _cols(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
-
-
-def range_sorted(df: DataFrame, order_cols: Sequence[str | Column], num_partitions: int) -> DataFrame:
-    """Range-partition and sort each partition, materialised once in the shared folder.
-
-    Range bounds come from a sample of the input; two evaluations of the same
-    plan can sample differently (upstream shuffle order varies), so every
-    consumer must read one materialisation. A reliable checkpoint also
-    survives executor loss, unlike a cache.
-    """
-    order = _cols(order_cols)
-    shared_root(df.sparkSession)
-    return df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-
-
-def assign_keys(df: DataFrame, order_cols: Sequence[str | Column], key_col: str = "id",
+def assign_keys(df: DataFrame, order_cols: Sequence[str], key_col: str = "id",
                 start: int | Column = 1, num_partitions: int | None = None, bounded: bool = False) -> DataFrame:
-    """K1: dense 1-based row numbers in the given (total) order.
+    """K1: dense 1-based row numbers in the given (total) order; ``-name`` descends.
 
     ``start`` may be a literal or a column (K2 passes max+1 as a column of a
     one-row frame already joined in). ``bounded=True`` is for inputs whose
     size cannot grow with the data (days of a calendar span, years): a plain
-    ``row_number`` window, no range partitioning and no checkpoint.
+    ``row_number`` window and no sample.
     """
+    start_c = start if isinstance(start, Column) else F.lit(start)
+    order = list(order_cols)
     if bounded:
-        start_c = start if isinstance(start, Column) else F.lit(start)
-        w = Window.orderBy(*_cols(order_cols))
+        w = Window.orderBy(*sort_columns(order))
         return df.withColumn(key_col, (F.row_number().over(w) - 1 + start_c).cast("long"))
-    n = num_partitions or default_partitions(df.sparkSession)
-    ranged = range_sorted(df, order_cols, n).withColumn("_mid", F.monotonically_increasing_id())
-    ranged = ranged.withColumn("_pid", F.shiftright("_mid", _POS_BITS))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: bounded by the partition count
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    start_c = start if isinstance(start, Column) else F.lit(start)
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    return (ranged.join(bounded_broadcast(offsets), "_pid")
-            .withColumn(key_col, (F.col("_off") + pos + start_c).cast("long"))
-            .drop("_mid", "_pid", "_off"))
-
-
-def append_keys(df: DataFrame, existing: DataFrame, order_cols: Sequence[str | Column],
+    cut = ranges(df, order, num_partitions)
+    within = Window.partitionBy("_bucket").orderBy(*sort_columns(order))
+    rows = df.withColumn("_bucket", cut.bucket(df)).withColumn("_place", F.row_number().over(within))
+    if not cut.splitters:
+        return rows.withColumn(key_col, (F.col("_place") - 1 + start_c).cast("long")).drop("_bucket", "_place")
+    offsets = before_bucket(cut.narrow.select(cut.bucket(cut.narrow).alias("_bucket")), F.count(F.lit(1)))
+    return (rows.join(bounded_broadcast(offsets), "_bucket")
+            .withColumn(key_col, (F.col("_before") + F.col("_place") - 1 + start_c).cast("long"))
+            .drop("_bucket", "_place", "_before").select(*df.columns, key_col))
+
+
+def append_keys(df: DataFrame, existing: DataFrame, order_cols: Sequence[str],
                 key_col: str = "id", existing_key: str | None = None,
                 num_partitions: int | None = None) -> DataFrame:
     """K2: continue numbering after ``max(existing_key)`` (0 when empty)."""
@@ -82,23 +62,24 @@ def running_total(hist: DataFrame, value_col: str, weight_col: str, by: Sequence
                   out_col: str = "cum", num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sum of ``weight_col`` in ``value_col`` order, per ``by`` group.
 
-    Range-partitioned: a histogram with many distinct values (or one huge
-    group) is split across partitions, and per-partition totals are carried
-    as offsets.
+    A histogram with many distinct values (or one huge group) is split across
+    buckets, and the sums of the lower buckets are carried as offsets. The
+    histogram is an aggregate of the rows, so it is written once for its steps.
     """
-    n = num_partitions or default_partitions(hist.sparkSession)
     by = list(by)
-    ranged = range_sorted(hist, [*by, value_col], n).withColumn("_pid", F.spark_partition_id())
-    local_w = (Window.partitionBy("_pid", *by).orderBy(value_col)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_local", F.sum(weight_col).over(local_w))
-    parts = ranged.groupBy("_pid", *by).agg(F.sum(weight_col).alias("_tot"))
-    before = (Window.partitionBy(*by).orderBy("_pid")
-              .rowsBetween(Window.unboundedPreceding, -1)) if by else \
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select("_pid", *by, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    # without groups: one row per partition (bounded); with groups: size-checked
+    hist = cut_lineage(hist)
+    cut = ranges(hist, [*by, value_col], num_partitions)
+    bucketed = hist.withColumn("_bucket", cut.bucket(hist))
+    within = (Window.partitionBy("_bucket", *by).orderBy(*sort_columns([value_col]))
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = bucketed.withColumn("_local", F.sum(weight_col).over(within))
+    if not cut.splitters:
+        return local.withColumn(out_col, F.col("_local")).drop("_bucket", "_local")
+    offsets = before_bucket(bucketed, F.sum(weight_col), by)
+    # without groups: one row per bucket (bounded); with groups: size-checked
     offsets = bounded_broadcast(offsets) if not by else broadcast_if_small(offsets)
-    return (local.join(offsets, ["_pid", *by])
-            .withColumn(out_col, F.col("_off") + F.col("_local"))
-            .drop("_pid", "_local", "_off"))
+    same = local["_bucket"] == offsets["_bucket"]
+    for c in by:  # NULL is a group like others
+        same = same & local[c].eqNullSafe(offsets[c])
+    return local.join(offsets, same).select(*[local[c] for c in hist.columns],
+                                            (offsets["_before"] + local["_local"]).alias(out_col))

@@ -2,48 +2,50 @@
 
 ``lag(...) OVER (PARTITION BY team, cohort ORDER BY date, id)`` sends every
 row of one team to one task. If one team holds a third of the data, that task
-holds a third of the data. Here the window runs on (key, bucket), where the
-bucket is a fixed monotone function of the first order column (the month of a
-date), so a hot key spans many tasks. The last row of each bucket is carried
-into the key's next bucket as one extra row that sorts first and is dropped
-afterwards. The rows are shuffled once, without sampling or a checkpoint; the
-carried rows come from a map-side combined maximum, one per (key, bucket).
+holds a third of the data. Here the order (key, then order columns) is cut
+into buckets by fixed splitters (``operators.ordering``), so a hot key spans
+as many buckets as its rows need, for order columns of any type and direction.
+The rows are shuffled once, by bucket; only the last row of every bucket is
+carried into the next one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-
-def monotone_bucket(df: DataFrame, col: str) -> Column:
-    """Fixed buckets that never reorder ``col``: months, 1,024 whole numbers, or two leading characters."""
-    kind = df.schema[col].dataType
-    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.trunc(F.col(col).cast("date"), "month")
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(col).cast("double") / 1024)
-    return F.substring(F.col(col).cast("string"), 1, 2)
+from pitchline.functions.columns import bounded_broadcast
+from pitchline.operators.ordering import ranges, sort_columns
 
 
 def lag_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-               value_cols: Sequence[str], prefix: str = "previous_", bucket: Column | None = None) -> DataFrame:
+               value_cols: Sequence[str], prefix: str = "previous_", num_partitions: int | None = None) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same key.
 
-    NULL keys are a key of their own, NULL order values come first. ``bucket``
-    replaces the default ``monotone_bucket`` of the first order column.
+    NULL keys are a key of their own. Order columns may descend (``-name``);
+    NULL comes first in ascending columns and last in descending ones, NaN
+    counts above all numbers, as in Spark's own sort.
     """
     part, order, values = list(partition_cols), list(order_cols), list(value_cols)
-    bucket = bucket if bucket is not None else monotone_bucket(df, order[0])
-    rows = df.withColumn("_bucket", bucket).withColumn("_vals", F.struct(*values))
-    last = rows.groupBy(*part, "_bucket").agg(F.max_by("_vals", F.struct(*order)).alias("_vals"))
-    before = F.lag("_vals").over(Window.partitionBy(*part).orderBy("_bucket"))
-    carried = (last.select(*part, "_bucket", before.alias("_vals")).where(F.col("_vals").isNotNull())
-               .withColumn("_carried", F.lit(True)))
-    both = rows.withColumn("_carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
-    w = Window.partitionBy(*part, "_bucket").orderBy(F.desc("_carried"), *order)
-    return (both.withColumn("_prev", F.lag("_vals").over(w)).where(~F.col("_carried"))
-            .select(*df.columns, *[F.col(f"_prev.{v}").alias(prefix + v) for v in values]))
+    whole = [*part, *order]
+    cut = ranges(df, whole, num_partitions, keep=values)
+    if not cut.splitters:
+        w = Window.partitionBy(*part).orderBy(*sort_columns(order))
+        return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
+    rows = df.withColumn("_bucket", cut.bucket(df))
+    carried = F.struct(F.struct(*part).alias("key"), F.struct(*values).alias("values"))
+    # the last row per bucket, cut down to one a task before its small shuffle
+    back = Window.partitionBy("_bucket").orderBy(*sort_columns(whole, reverse=True))
+    last = (cut.narrow.withColumn("_bucket", cut.bucket(cut.narrow)).withColumn("_back", F.row_number().over(back))
+            .where(F.col("_back") == 1).groupBy("_bucket").agg(F.first(carried).alias("_last")))  # one row each
+    edges = last.select("_bucket", F.lag("_last").over(Window.partitionBy(F.lit(0)).orderBy("_bucket")).alias("_edge"))
+    w = Window.partitionBy("_bucket").orderBy(*sort_columns(whole))
+    out = (rows.withColumn("_before", F.lag(carried).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+           .join(bounded_broadcast(edges), "_bucket", "left")  # one row per bucket
+           .withColumn("_before", F.when(F.col("_first"), F.col("_edge")).otherwise(F.col("_before"))))
+    same = F.lit(True)
+    for c in part:
+        same = same & F.col(f"_before.key.{c}").eqNullSafe(F.col(c))
+    return out.select(*df.columns, *[F.when(same, F.col(f"_before.values.{v}")).alias(prefix + v) for v in values])

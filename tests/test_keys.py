@@ -1,8 +1,13 @@
 """Ordered numbering and skew-safe LAG: equal to the single-partition window, without one."""
 
+import datetime as dt
+from decimal import Decimal
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from pitchline.operators import ordering
 from pitchline.operators.keys import append_keys, assign_keys, running_total
 from pitchline.operators.sequence import lag_within
 
@@ -15,13 +20,41 @@ def test_assign_keys_dense_and_ordered(spark):
     assert j.where(F.col("sk") != F.col("rn")).count() == 0 and k.count() == 2000
 
 
-def test_assign_keys_no_single_partition_exchange_over_data(spark):
-    df = spark.range(0, 100).select(F.col("id").alias("v"))
-    plan = assign_keys(df, ["v"], num_partitions=4)._jdf.queryExecution().executedPlan().toString()
-    lines = plan.splitlines()
-    for i, line in enumerate(lines):
-        if "Exchange SinglePartition" in line:
-            assert "HashAggregate" in lines[i + 1]  # only the per-partition counts move to one task
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.rpartition("== Initial Plan ==")[2].splitlines() if "Exchange" in line]
+
+
+@pytest.fixture
+def many_buckets(monkeypatch):
+    monkeypatch.setattr(ordering, "SMALL_ROWS", 10)
+
+
+def test_keys_from_splitters_shuffle_the_rows_once(spark, many_buckets):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("v"), F.lit("payload").alias("p"))
+    keyed = assign_keys(df, ["v"], "sk", num_partitions=4)
+    assert sorted((r.v, r.sk) for r in keyed.collect()) == [(v, v + 1) for v in range(3000)]
+    assert keyed.collect() is not None and sorted(r.sk for r in keyed.collect()) == list(range(1, 3001))  # equal on rerun
+    wide = [x for x in exchanges(keyed) if "Broadcast" not in x]
+    # rows by bucket; then the bucket counts and their running sum
+    assert len(wide) == 3 and not any("rangepartitioning" in x for x in wide) and sum("SinglePartition" in x for x in wide) == 1
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("double", [float("nan"), None, -0.0, 5.5, 2.0, 5000.0, float("inf"), -7.25]), ("string", [None, "", "a", "ab", "é", "prefix-1", "prefix-2"]),
+    ("timestamp_ntz", [None, dt.datetime(1, 1, 1), dt.datetime(2024, 2, 29, 1, 2, 3, 4), dt.datetime(9999, 1, 1)]),
+    ("decimal(20,3)", [None, Decimal("1.5"), Decimal("-3.125")]), ("boolean", [None, True, False]), ("binary", [None, b"", b"\xff", b"a"])])
+@pytest.mark.parametrize("sign", ["", "-"])
+def test_keys_and_lag_in_any_order(spark, many_buckets, kind, values, sign):
+    rows = [(k % 3 if k % 7 else None, values[k * 5 % len(values)], k) for k in range(120)]
+    df = spark.createDataFrame(rows, f"g int, v {kind}, n int")
+    order = [sign + "v", "n"]
+    sort = [F.desc("v") if sign else F.asc("v"), F.asc("n")]
+    want = df.withColumn("sk", F.row_number().over(Window.orderBy(*sort))).withColumn("before", F.lag("n").over(Window.partitionBy("g").orderBy(*sort)))
+    expect = {r.n: (r.sk, r.before) for r in want.collect()}
+    keyed = {r.n: r.sk for r in assign_keys(df, order, "sk", num_partitions=4).collect()}
+    lagged = {r.n: r.previous_n for r in lag_within(df, ["g"], order, ["n"], num_partitions=4).collect()}
+    assert {n: (keyed[n], lagged[n]) for n in expect} == expect and len(keyed) == len(lagged) == 120
 
 
 def test_append_keys_continue(spark):
@@ -47,17 +80,27 @@ def test_lag_within_hot_key_spans_partitions(spark):
     assert j.where(~F.col("previous_t").eqNullSafe(F.col("rt")) | ~F.col("previous_val").eqNullSafe(F.col("rv"))).count() == 0
 
 
-def test_lag_within_shuffles_the_rows_once(spark):
-    df = spark.range(5000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.lit("payload").alias("p"))
-    plan = lag_within(df, ["k"], ["t"], ["t"])._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in plan.splitlines() if "Exchange" in line and "Reused" not in line]
-    assert len(wide) == 3 and "rangepartitioning" not in plan  # rows and carried rows; bucket maxima; their lag
-    nulls = spark.createDataFrame([(None, 5, 1), (None, 2000, 2), (1, None, 3), (1, 4, 4)], "k int, t int, v int")
-    got = {r.v: r.previous_v for r in lag_within(nulls, ["k"], ["t"], ["v"]).collect()}
-    assert got == {1: None, 2: 1, 3: None, 4: 3}
+def test_lag_splits_a_hot_key_and_shuffles_the_rows_once(spark, many_buckets):
+    df = spark.range(5000).select(F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id") % 5).alias("k"), F.col("id").alias("t"), F.lit("payload").alias("p"))
+    cut = ordering.ranges(df, ["k", "t"], 4)
+    loads = [r["count"] for r in df.where("k = 1").groupBy(cut.bucket(df)).count().collect()]
+    assert len(loads) >= 12 and max(loads) < 800  # 4,500 rows of one key
+    out = lag_within(df, ["k"], ["t"], ["t"], num_partitions=4)
+    ref = df.withColumn("r", F.lag("t").over(Window.partitionBy("k").orderBy("t"))).select("t", "r")
+    assert out.join(ref, "t").where(~F.col("previous_t").eqNullSafe(F.col("r"))).count() == 0 and out.count() == 5000
+    wide = [x for x in exchanges(out) if "Broadcast" not in x]
+    assert len(wide) == 3 and not any("rangepartitioning" in x for x in wide)  # rows; last rows and their lag
 
 
 def test_running_total_groups(spark):
     h = spark.createDataFrame([(g, v, 1) for g in ("a", "b") for v in range(50)], "g string, v int, w int")
     out = running_total(h, "v", "w", ["g"], num_partitions=4)
     assert out.where(F.col("cum") != F.col("v") + 1).count() == 0
+
+
+def test_running_total_over_many_buckets_and_null_groups(spark, many_buckets):
+    h = spark.createDataFrame([(g, v, 1) for g in ("a", None) for v in range(50)], "g string, v int, w int")
+    out = running_total(h, "v", "w", ["g"], num_partitions=4)
+    assert out.count() == 100 and out.where(F.col("cum") != F.col("v") + 1).count() == 0
+    alone = running_total(h.where("g = 'a'").drop("g"), "v", "w", num_partitions=3)
+    assert sorted((r.v, r.cum) for r in alone.collect()) == [(v, v + 1) for v in range(50)]
