@@ -2,19 +2,23 @@
 
 Row-level checks return the failing rows as ``(key columns..., detail)``.
 Checks that compare whole tables return one row per finding. No check pulls
-rows to the driver; counts come from aggregates.
+rows to the driver; counts come from aggregates. Any number of checks of one
+table can run in one scan of it (``run_checks``).
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import broadcast_if_small, count_if
+from pitchline.operators.cdc import row_text
+from pitchline.session import cut_lineage
 from pitchline.sources.files import utc_now
 
 
@@ -40,6 +44,54 @@ def find_duplicates(df: DataFrame, keys: Sequence[str], detail: str | None = Non
     return df.join(dup, keys, "left_semi").select(*keys, F.lit(det).alias("detail"))
 
 
+@dataclass(frozen=True)
+class Check:
+    """A check of the rows of one table.
+
+    ``attach`` joins what the check looks up; ``failing`` and ``detail`` are
+    columns of the frame it returns. With ``repeated`` the row fails if its
+    keys occur again (V1), whatever ``failing`` says.
+    """
+
+    name: str
+    keys: tuple[str, ...]
+    failing: Column
+    detail: Column
+    attach: Callable[[DataFrame], DataFrame] = lambda df: df
+    repeated: bool = False
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """The failing rows: keys and detail."""
+        return self.attach(df).where(self.failing).select(*self.keys, self.detail.alias("detail"))
+
+    def record_key(self) -> Column:
+        return F.concat_ws("|", *[_txt(F.col(k)) for k in self.keys])
+
+
+def duplicate_check(name: str, keys: Sequence[str], detail: str | None = None) -> Check:
+    """V1 for ``run_checks``: keys that occur more than once (all copies)."""
+    det = detail or f"duplicate key ({'+'.join(keys)})"
+    return Check(name, tuple(keys), F.lit(True), F.lit(det), repeated=True)
+
+
+def mismatch_check(name: str, lookup: DataFrame, k1: str, k2: str, lookup_key: str, attr: str, row_attr: str,
+                   keys: Sequence[str], cond: Column | None = None, null_safe: bool = True, label: str = "group") -> Check:
+    """V2: see ``find_mismatches``."""
+    def attach(df: DataFrame) -> DataFrame:
+        lk = broadcast_if_small(lookup.select(F.col(lookup_key).alias("_lk"), F.col(attr).alias("_la")))
+        h = lk.select(F.col("_lk").alias(f"_{name}_hk"), F.col("_la").alias(f"_{name}_ha"))
+        a = lk.select(F.col("_lk").alias(f"_{name}_ak"), F.col("_la").alias(f"_{name}_aa"))
+        return (df.join(h, df[k1] == F.col(f"_{name}_hk"), "left")
+                .join(a, df[k2] == F.col(f"_{name}_ak"), "left"))
+
+    ha, aa, ra = F.col(f"_{name}_ha"), F.col(f"_{name}_aa"), F.col(row_attr)
+    same = (ha.eqNullSafe(aa) & aa.eqNullSafe(ra)) if null_safe else ((ha == aa) & (aa == ra))
+    bad = ~same if cond is None else (cond & ~same)
+    shown = lambda c: F.coalesce(c, F.lit("none"))
+    detail = F.concat(F.lit(f"{label}: expected "), shown(ra), F.lit(", found "), shown(ha), F.lit(" / "), shown(aa))
+    return Check(name, tuple(keys), bad, detail, attach)
+
+
 def find_mismatches(df: DataFrame, lookup: DataFrame, k1: str, k2: str, lookup_key: str, attr: str,
                     row_attr: str, keys: Sequence[str], cond: Column | None = None,
                     null_safe: bool = True, label: str = "group") -> DataFrame:
@@ -49,16 +101,31 @@ def find_mismatches(df: DataFrame, lookup: DataFrame, k1: str, k2: str, lookup_k
     predicate NULL and the row is *not* reported); ``null_safe=True`` uses
     null-safe equality and reports it.
     """
-    lk = broadcast_if_small(lookup.select(F.col(lookup_key).alias("_lk"), F.col(attr).alias("_la")))
-    h = lk.select(F.col("_lk").alias("_hk"), F.col("_la").alias("_ha"))
-    a = lk.select(F.col("_lk").alias("_ak"), F.col("_la").alias("_aa"))
-    j = df.join(h, df[k1] == F.col("_hk"), "left").join(a, df[k2] == F.col("_ak"), "left")
-    ha, aa, ra = F.col("_ha"), F.col("_aa"), F.col(row_attr)
-    same = (ha.eqNullSafe(aa) & aa.eqNullSafe(ra)) if null_safe else ((ha == aa) & (aa == ra))
-    bad = ~same if cond is None else (cond & ~same)
-    shown = lambda c: F.coalesce(c, F.lit("none"))
-    detail = F.concat(F.lit(f"{label}: expected "), shown(ra), F.lit(", found "), shown(ha), F.lit(" / "), shown(aa))
-    return j.where(bad).select(*keys, detail.alias("detail"))
+    return mismatch_check("mismatch", lookup, k1, k2, lookup_key, attr, row_attr, keys, cond, null_safe, label).rows(df)
+
+
+def missing_check(name: str, cols: Sequence[str], roster: DataFrame, roster_col: str, keys: Sequence[str],
+                  null_aware: bool = False, detail: str = "value not found in roster") -> Check:
+    """V3: see ``find_missing``."""
+    cols = list(cols)
+
+    def attach(df: DataFrame) -> DataFrame:
+        members = roster.select(F.col(roster_col).alias("_m")).where(F.col("_m").isNotNull()).distinct()
+        for i, c in enumerate(cols):
+            m = broadcast_if_small(members.select(F.col("_m").alias(f"_{name}_m{i}"), F.lit(True).alias(f"_{name}_hit{i}")))
+            df = df.join(m, df[c] == F.col(f"_{name}_m{i}"), "left")
+        if null_aware:
+            has_null = roster.agg(F.max(F.col(roster_col).isNull().cast("int")).alias(f"_{name}_null"))
+            df = df.crossJoin(F.broadcast(has_null))  # one row
+        return df
+
+    miss = F.lit(False)
+    for i, c in enumerate(cols):
+        this = F.col(f"_{name}_hit{i}").isNull()
+        miss = miss | (this & F.col(c).isNotNull() if null_aware else this)
+    if null_aware:
+        miss = miss & (F.coalesce(F.col(f"_{name}_null"), F.lit(0)) == 0)
+    return Check(name, tuple(keys), miss, F.lit(detail), attach)
 
 
 def find_missing(df: DataFrame, cols: Sequence[str], roster: DataFrame, roster_col: str,
@@ -70,44 +137,70 @@ def find_missing(df: DataFrame, cols: Sequence[str], roster: DataFrame, roster_c
     ``null_aware`` it follows SQL ``NOT IN``: a NULL anywhere in the roster
     suppresses every failure, and a NULL value is never reported.
     """
-    cols = list(cols)
-    members = roster.select(F.col(roster_col).alias("_m")).where(F.col("_m").isNotNull()).distinct()
-    j = df
-    miss = None
-    for i, c in enumerate(cols):
-        m = broadcast_if_small(members.select(F.col("_m").alias(f"_m{i}"), F.lit(True).alias(f"_hit{i}")))
-        j = j.join(m, j[c] == F.col(f"_m{i}"), "left")
-        this = F.col(f"_hit{i}").isNull()
-        if null_aware:
-            this = this & F.col(c).isNotNull()
-        miss = this if miss is None else (miss | this)
-    if null_aware:
-        has_null = roster.agg(F.max(F.col(roster_col).isNull().cast("int")).alias("_rn"))
-        j = j.crossJoin(F.broadcast(has_null))  # one row
-        miss = miss & (F.coalesce(F.col("_rn"), F.lit(0)) == 0)
-    return j.where(miss).select(*keys, F.lit(detail).alias("detail"))
+    return missing_check("missing", cols, roster, roster_col, keys, null_aware, detail).rows(df)
 
 
-def find_out_of_range(df: DataFrame, cols: Sequence[str], lo, hi, keys: Sequence[str],
-                      label: str = "invalid value") -> DataFrame:
-    """V4: any column < lo or > hi; the detail names every column (NULL shown as 'NULL')."""
-    cols = list(cols)
+def range_check(name: str, cols: Sequence[str], lo, hi, keys: Sequence[str], label: str = "invalid value") -> Check:
+    """V4: see ``find_out_of_range``."""
     bad = None
+    parts = [F.lit(f"{label}:")]
     for c in cols:
         t = (F.col(c) < lo) | (F.col(c) > hi)
         bad = t if bad is None else (bad | t)
-    parts = [F.lit(f"{label}:")]
-    for c in cols:
         parts += [F.lit(f" {c}="), _txt(F.col(c))]
-    return df.where(bad).select(*keys, F.concat(*parts).alias("detail"))
+    return Check(name, tuple(keys), bad, F.concat(*parts))
+
+
+def find_out_of_range(df: DataFrame, cols: Sequence[str], lo, hi, keys: Sequence[str],
+                      label: str = "invalid value") -> DataFrame:
+    """V4: any column < lo or > hi; the detail names every column (NULL shown as 'NULL')."""
+    return range_check("range", cols, lo, hi, keys, label).rows(df)
+
+
+def window_check(name: str, col: str, lo: str, hi: str, keys: Sequence[str]) -> Check:
+    """V5: see ``find_outside_window``."""
+    outside = ~F.to_date(F.col(col)).between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
+    return Check(name, tuple(keys), outside, F.lit(f"{col} outside the window {lo} to {hi}"))
 
 
 def find_outside_window(df: DataFrame, col: str, lo: str, hi: str, keys: Sequence[str]) -> DataFrame:
     """V5: date (of a date or timestamp) outside the inclusive [lo, hi] window."""
-    d = F.to_date(F.col(col))
-    det = f"{col} outside the window {lo} to {hi}"
-    return (df.where(~d.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
-            .select(*keys, F.lit(det).alias("detail")))
+    return window_check("window", col, lo, hi, keys).rows(df)
+
+
+def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """V8/V9: all ``checks`` of one table in one scan of it.
+
+    Each row yields an array with an entry per check that it fails (and one
+    per duplicate check, whose keys must be counted); one ``inline`` and one
+    map-side combined aggregation turn them into findings: check_name,
+    table_name, record_key, detail, copies. The row without a check_name
+    counts the table's rows. The findings are written once, as rejects and
+    summary both read them.
+    """
+    kind = "struct<check:string,table:string,key:string,same:string,detail:string>"
+
+    def entry(check: Check | None) -> Column:
+        if check is None:
+            return F.struct(F.lit(None).cast("string"), F.lit(table), F.lit(None).cast("string"), F.lit(None).cast("string"),
+                            F.lit(None).cast("string")).cast(kind)
+        # only copies of one key may be counted together, whatever the key prints as
+        same = row_text(df, check.keys) if check.repeated else F.lit(None).cast("string")
+        found = F.struct(F.lit(check.name), F.lit(table), check.record_key(), same, check.detail).cast(kind)
+        return F.when(check.failing, found)
+
+    rows = df
+    for check in checks:
+        rows = check.attach(rows)
+    entries = F.array(entry(None), *[entry(c) for c in checks])
+    found = (rows.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("e.*")
+             .groupBy("check", "table", "key", "same", "detail").agg(F.count(F.lit(1)).alias("copies")))
+    counted = [c.name for c in checks if c.repeated]
+    kept = found.where(F.col("check").isNull() | ~F.col("check").isin(counted) | (F.col("copies") > 1)) if counted else found
+    none = df.sparkSession.range(1).select(entry(None).alias("e"), F.lit(0).cast("long").alias("copies")).select("e.*", "copies")
+    kept = kept.unionByName(none)  # the row count of an empty table
+    return cut_lineage(kept.select(F.col("check").alias("check_name"), F.col("table").alias("table_name"),
+                                   F.col("key").alias("record_key"), "detail", "copies"))
 
 
 def compare_counts(df: DataFrame, col: str, expected: DataFrame, exp_col: str = "category",
@@ -157,6 +250,48 @@ def collect_rejects(checks: Sequence[tuple[str, str, DataFrame, Sequence[str]]],
     return _appended(out, sink, run_id) if sink else out
 
 
+def rejects_of(runs: Sequence[DataFrame], run_id: str | None = None, stamp: bool = True, at: datetime | None = None,
+               sink: str | None = None) -> DataFrame:
+    """V8 of ``run_checks`` findings: one row per failing row; ``at`` and ``sink`` as in ``collect_rejects``."""
+    out = None
+    for run in runs:
+        part = (run.where(F.col("check_name").isNotNull())
+                .select("check_name", "table_name", "record_key", "detail", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_copy"))
+                .drop("_copy"))
+        out = part if out is None else out.unionByName(part)
+    if stamp:
+        run_id = run_id or uuid.uuid4().hex
+        out = _stamped(out, run_id, "rejected_at", at)
+    return _appended(out, sink, run_id) if sink else out
+
+
+def summary_of(runs: Sequence[tuple[DataFrame, Sequence[Check]]], extra: DataFrame | None = None, run_id: str | None = None,
+               stamp: bool = True, at: datetime | None = None, sink: str | None = None) -> DataFrame:
+    """V9 of ``run_checks`` findings: one row per check, failed or not.
+
+    ``runs``: (findings, their checks). ``extra``: rows (check_name,
+    table_name, rows_failed) of checks that read no rows, such as V7's.
+    """
+    out = None
+    for run, checks in runs:
+        total = run.where(F.col("check_name").isNull()).agg(F.first("table_name").alias("table_name"),
+                                                            F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("rows_checked"))
+        failed = run.groupBy("check_name").agg(F.sum("copies").alias("_failed"))
+        names = F.explode(F.array(*[F.lit(c.name) for c in checks])).alias("check_name")
+        part = total.select("table_name", "rows_checked", names).join(failed, "check_name", "left").select(
+            "check_name", "table_name", "rows_checked", F.coalesce("_failed", F.lit(0)).cast("long").alias("rows_failed"))
+        out = part if out is None else out.unionByName(part)
+    if extra is not None:
+        sizes = out.groupBy("table_name").agg(F.max("rows_checked").alias("rows_checked"))
+        out = out.unionByName(extra.join(sizes, "table_name").select("check_name", "table_name", "rows_checked", "rows_failed"))
+    out = out.select("*", (F.col("rows_failed") == 0).alias("passed"),
+                     F.when(F.col("rows_failed") > 0, F.concat(F.col("rows_failed").cast("string"), F.lit(" failing rows"))).alias("notes"))
+    if stamp:
+        run_id = run_id or uuid.uuid4().hex
+        out = _stamped(out, run_id, "checked_at", at)
+    return _appended(out, sink, run_id) if sink else out
+
+
 def _stamped(df: DataFrame, run_id: str, time_col: str, at: datetime | None) -> DataFrame:
     return df.withColumn("run_id", F.lit(run_id)).withColumn(
         time_col, F.lit(at or utc_now()).cast("timestamp_ntz"))

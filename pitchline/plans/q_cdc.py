@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pitchline.functions.columns import broadcast_if_small
 from pitchline.operators import cdc as I
 from pitchline.operators.dimensions import distinct_dimension
-from pitchline.operators.keys import assign_keys
+from pitchline.operators.keys import append_keys, assign_keys
 from pitchline.plans import contests as C
 from pitchline.plans.registry import query
-from pitchline.session import scratch_path
+from pitchline.session import cut_lineage, scratch_path
 from pitchline.sources.files import load_table
 from pitchline.streaming import changes as ST
 
@@ -63,12 +63,11 @@ def build_events_fact(raw: DataFrame, types: DataFrame) -> DataFrame:
     return assign_keys(f, ["ts", "event_id"], "event_sk").select(*FACT_COLS)
 
 
-def apply_changes(fact: DataFrame, changes: DataFrame, types: DataFrame,
-                  numbered: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def apply_changes(fact: DataFrame, changes: DataFrame, types: DataFrame) -> tuple[DataFrame, DataFrame]:
     """I2 + I3 with rejects: the body of one incremental run over net changes."""
     updated = I.apply_updates(fact, changes, KEYS, ["value"])
     resolved, unresolved = I.resolve_inserts(changes, [(types, "event_type", "event_type", "type_id")])
-    out = I.apply_inserts(updated, resolved, "event_sk", ["ts", "event_id"], KEYS, numbered)
+    out = I.apply_inserts(updated, resolved, "event_sk", ["ts", "event_id"], KEYS)
     rejects = I.reject_changes(fact, changes, KEYS, unresolved)
     return out, rejects
 
@@ -221,6 +220,20 @@ def _net(batch: DataFrame) -> DataFrame:
     return I.net_changes(batch, KEYS, "seq")
 
 
+def _accept(types: DataFrame):
+    """One micro-batch: updates of known keys, and inserts of new keys with their type and next ids."""
+    def accept(state: DataFrame, net: DataFrame) -> tuple[DataFrame, DataFrame]:
+        net = cut_lineage(net)
+        resolved, unresolved = I.resolve_inserts(net, [(types, "event_type", "event_type", "type_id")])
+        known = state.select(*KEYS).join(broadcast_if_small(net.select(*KEYS)), KEYS, "left_semi")
+        fresh = append_keys(resolved.join(known, KEYS, "left_anti"), state, ["ts", "event_id"], "event_sk")
+        blank = [F.lit(None).cast(state.schema[c].dataType).alias(c) for c in FACT_COLS if c not in ("event_id", "value")]
+        fixed = net.where(F.col("change_type") == I.UPDATE).join(known, KEYS, "left_semi").select("event_id", "value", *blank, "change_type")
+        accepted = fresh.select(*FACT_COLS, "change_type").unionByName(fixed)
+        return accepted, I.reject_changes(known, net, KEYS, unresolved)
+    return accept
+
+
 def _stream(spark, sf_dir, drain: bool = False):
     _, types, fact, changes = _setup(spark, sf_dir)
     src, root, ckpt = (scratch_path(spark, n) for n in ("changes", "events-fact", "stream-ckpt"))
@@ -230,25 +243,29 @@ def _stream(spark, sf_dir, drain: bool = False):
         ST.drain_changes(spark, src, CHANGE_SCHEMA, ckpt)
 
     def run(checkpoint: str = ckpt) -> None:
-        ST.run_incremental(spark, src, CHANGE_SCHEMA, checkpoint, root,
-                           lambda part, whole, net: apply_changes(part, net, types, whole), KEYS, _net,
-                           max_files_per_trigger=1)
+        ST.consume_changes(spark, src, CHANGE_SCHEMA, checkpoint, root, _accept(types), KEYS, ["value"], _net, max_files_per_trigger=1)
     run()
     return root, run
 
 
+def _state(spark, root) -> DataFrame:
+    return ST.state(spark, root, KEYS, ["value"]).select(*BUSINESS)
+
+
 @query("stream_apply", "WITH " + NEW_SQL + "\nSELECT event_id, ts, user_id, type_id, value FROM applied")
 def stream_apply(spark, sf_dir):
     root, _ = _stream(spark, sf_dir)
-    return ST.read_current(spark, root).select(*BUSINESS)
+    return _state(spark, root)
 
 
 @query("stream_replay", "WITH " + NEW_SQL + "\nSELECT event_id, ts, user_id, type_id, value FROM applied")
 def stream_replay(spark, sf_dir):
-    """The stream loses its checkpoint after both batches: every batch comes again and changes nothing."""
+    """The stream loses its checkpoint after both batches, then once more after a fold: batches that come again change nothing."""
     root, run = _stream(spark, sf_dir)
     run(scratch_path(spark, "stream-ckpt"))
-    return ST.read_current(spark, root).select(*BUSINESS)
+    ST.fold(spark, root, KEYS, ["value"])
+    run(scratch_path(spark, "stream-ckpt"))  # and once more over the folded base
+    return _state(spark, root)
 
 
 @query("stream_counts", "WITH " + NEW_SQL + """
@@ -261,14 +278,14 @@ SELECT CAST(version AS BIGINT) AS version, COUNT(*) AS changes,
 FROM c GROUP BY version""")
 def stream_counts(spark, sf_dir):
     root, _ = _stream(spark, sf_dir)
-    return ST.commits(spark, root).where("version >= 0").select("version", "changes", "corrected", "inserted", "rejected")
+    return ST.counts(spark, root).select("version", "changes", "corrected", "inserted", "rejected")
 
 
 @query("stream_drain", "WITH " + NEW_SQL + "\nSELECT event_id, ts, user_id, type_id, value FROM fact")
 def stream_drain(spark, sf_dir):
     # same checkpoint: the drained backlog is not applied again
     root, _ = _stream(spark, sf_dir, drain=True)
-    return ST.read_current(spark, root).select(*BUSINESS)
+    return _state(spark, root)
 
 
 # I7-I9 ----------------------------------------------------------------------------------

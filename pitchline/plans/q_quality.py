@@ -151,24 +151,21 @@ FROM per WHERE expected_count <> actual_count""")(expected_counts)
 
 # V7-V9 ------------------------------------------------------------------------
 
-def _checks(spark, sf_dir):
-    return [
-        ("dup_keys", "lineitem", C.table(spark, sf_dir, "lineitem"), dup_keys(spark, sf_dir),
-         ["l_orderkey", "l_linenumber"]),
-        ("missing_members", "orders", C.table(spark, sf_dir, "orders"), missing_members(spark, sf_dir),
-         ["o_orderkey"]),
-        ("out_of_range", "lineitem", C.table(spark, sf_dir, "lineitem"), out_of_range(spark, sf_dir),
-         ["l_orderkey", "l_partkey", "l_suppkey"]),
-        ("outside_window", "events", C.table(spark, sf_dir, "events"), outside_window(spark, sf_dir),
-         ["event_id"]),
-    ]
+def _runs(spark, sf_dir):
+    """(findings, checks) per table; each table is scanned once for all its checks."""
+    lineitem, orders, events = (C.table(spark, sf_dir, t) for t in ("lineitem", "orders", "events"))
+    plans = [("lineitem", lineitem, [
+                 Q.duplicate_check("dup_keys", ["l_orderkey", "l_linenumber"]),
+                 Q.range_check("out_of_range", ["l_quantity", "l_linenumber"], *QTY_RANGE, ["l_orderkey", "l_partkey", "l_suppkey"])]),
+             ("orders", orders, [Q.missing_check("missing_members", ["o_orderkey"], lineitem, "l_orderkey", ["o_orderkey"])]),
+             ("events", events, [Q.window_check("outside_window", "ts", *EVENT_WINDOW, ["event_id"])])]
+    return [(Q.run_checks(df, table, checks), checks) for table, df, checks in plans]
 
 
 def rejects_union(spark, sf_dir):
     """Read back from the table that the run appended its rejects to."""
-    checks = [(n, t, rows, keys) for n, t, _, rows, keys in _checks(spark, sf_dir)]
-    out = Q.collect_rejects(checks, sink=scratch_path(spark, "rejects"))
-    return out.drop("run_id", "rejected_at")
+    runs = [found for found, _ in _runs(spark, sf_dir)]
+    return Q.rejects_of(runs, sink=scratch_path(spark, "rejects")).drop("run_id", "rejected_at")
 
 
 _CHECK_META = [("dup_keys", "lineitem", ["l_orderkey", "l_linenumber"]),
@@ -190,11 +187,13 @@ query("rejects_union", _rejects_sql())(rejects_union)
 
 
 def quality_summary(spark, sf_dir):
-    checks = [(n, t, src, rows) for n, t, src, rows, _ in _checks(spark, sf_dir)]
     orders = C.table(spark, sf_dir, "orders")
+    guards = None
     for name, columns in (("column_guard", ["o_comment", "o_clerk"]), ("column_guard_hit", ["O_ORDERSTATUS"])):
-        checks.append((name, "orders", orders, Q.assert_absent(spark, orders, columns, "orders")))
-    return Q.summarize_checks(checks, sink=scratch_path(spark, "check-summary")).drop("run_id", "checked_at")
+        part = Q.assert_absent(spark, orders, columns, "orders").agg(F.count(F.lit(1)).alias("rows_failed")).select(
+            F.lit(name).alias("check_name"), F.lit("orders").alias("table_name"), "rows_failed")
+        guards = part if guards is None else guards.unionByName(part)
+    return Q.summary_of(_runs(spark, sf_dir), guards, sink=scratch_path(spark, "check-summary")).drop("run_id", "checked_at")
 
 
 def _summary_sql():

@@ -1,103 +1,83 @@
 """Incremental consumption of change files with Structured Streaming.
 
-A file stream of change rows feeds ``foreachBatch``. The target is a set of
-Parquet folders, one per slice of the key space, and a commit row per batch
-that names the folder of every slice and the batch's folder of rejects:
-
-* a batch starts from the newest commit *below* its own id, so a replay after
-  a crash never reads what it wrote itself;
-* a batch whose commit exists is skipped, so committed state is never
-  overwritten or applied twice;
-* slices and rejects are written to fresh folders that nothing names until the
-  commit row is there, so a failed attempt leaves nothing visible;
-* only the slices that hold a changed key are rewritten.
+A file stream of change rows feeds ``foreachBatch``. The target is Parquet
+that is only added to: the initial rows (``base``), and per micro-batch N the
+changes it accepted and those it refused, in folders named batch_id=N. Batch N
+is judged by the state that the batches before it left, and writing it means
+overwriting its own two folders, so a batch that comes again after a crash
+changes nothing, and one that failed has left nothing. The state is derived:
+base and accepted inserts, with each key's latest accepted update. ``fold``
+writes it as the next base once the changes have grown.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-COMMITS = "_commits"
-COMMIT_SCHEMA = ("version long, slices map<int,string>, rejects string, changes long, corrected long, inserted long, "
-                 "rejected long")
+from pitchline.operators.cdc import DELETE, INSERT, UPDATE, apply_updates
 
-#: (state of the touched slices, whole state, net changes) -> (new state of those slices, rejects)
-ApplyFn = Callable[[DataFrame, DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
+#: (state, net changes) -> (accepted changes: the state's columns and change_type, rejects: keys, change_type, reason)
+AcceptFn = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def slice_of(keys: Sequence[str], slices: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int")
+def bootstrap(root: str, initial: DataFrame, keys: Sequence[str]) -> None:
+    """Write the initial state."""
+    initial.write.parquet(f"{root}/base/upto=-1")
+    tagged = initial.limit(0).withColumn("change_type", F.lit(UPDATE))
+    tagged.write.parquet(f"{root}/accepted/batch_id=-1")
+    tagged.select(*keys, "change_type", F.lit("").alias("reason")).write.parquet(f"{root}/rejects/batch_id=-1")
 
 
-def _write_slices(root: str, state: DataFrame, keys: Sequence[str], slices: int) -> str:
-    """Write ``state`` by slice into a fresh folder; returns the folder."""
-    folder = f"{root}/data/{uuid.uuid4().hex}"
-    state.withColumn("_slice", slice_of(keys, slices)).write.partitionBy("_slice").parquet(folder)
-    return folder
+def _folded(spark: SparkSession, root: str) -> int:
+    return spark.read.parquet(f"{root}/base").select(F.max("upto")).first()[0]  # folder names only decide
 
 
-def _commit(spark: SparkSession, root: str, row: tuple) -> None:
-    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/{COMMITS}")
+def state(spark: SparkSession, root: str, keys: Sequence[str], update_cols: Sequence[str], below: int | None = None) -> DataFrame:
+    """Current rows, or those that the batches below ``below`` left."""
+    upto = _folded(spark, root)
+    base = spark.read.parquet(f"{root}/base").where(F.col("upto") == upto).drop("upto")
+    changes = spark.read.parquet(f"{root}/accepted").where(F.col("batch_id") > upto)
+    changes = changes if below is None else changes.where(F.col("batch_id") < below)
+    rows = base.unionByName(changes.where(F.col("change_type") == INSERT).select(*base.columns))
+    latest = (changes.where(F.col("change_type") == UPDATE).groupBy(*keys)
+              .agg(F.max_by(F.struct(*update_cols), "batch_id").alias("_last"))
+              .select(*keys, *[F.col(f"_last.{c}").alias(c) for c in update_cols], F.lit(UPDATE).alias("change_type")))
+    return apply_updates(rows, latest, keys, update_cols)
 
 
-def bootstrap(target_root: str, initial: DataFrame, keys: Sequence[str], slices: int = 16) -> None:
-    """Write the initial state and commit it as version -1."""
-    folder = _write_slices(target_root, initial, keys, slices)
-    _commit(initial.sparkSession, target_root, (-1, {k: folder for k in range(slices)}, None, 0, 0, 0, 0))
+def fold(spark: SparkSession, root: str, keys: Sequence[str], update_cols: Sequence[str]) -> None:
+    """Write the current state as the next base. Readers take it once it is complete; run it between batches."""
+    newest = spark.read.parquet(f"{root}/accepted").select(F.max("batch_id")).first()[0]
+    if newest > _folded(spark, root):
+        state(spark, root, keys, update_cols).write.parquet(f"{root}/base/upto={newest}")
 
 
-def commits(spark: SparkSession, root: str) -> DataFrame:
-    """One row per committed batch: version, changes, corrected, inserted, rejected (I4's result counts)."""
-    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/{COMMITS}")
+def rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Refused changes of every batch, with its id."""
+    return spark.read.parquet(f"{root}/rejects")
 
 
-def _newest(spark: SparkSession, root: str, below: int | None = None):
-    rows = commits(spark, root)
-    rows = rows if below is None else rows.where(F.col("version") < below)
-    return rows.orderBy(F.desc("version")).limit(1).collect()[0]  # one commit row
+def counts(spark: SparkSession, root: str) -> DataFrame:
+    """I4's result: per batch the number of net changes, rows corrected, inserted and rejected."""
+    done = spark.read.parquet(f"{root}/accepted").select("batch_id", F.col("change_type").alias("what"))
+    both = done.unionByName(rejects(spark, root).select("batch_id", F.lit(DELETE).alias("what")))
+    number = lambda kind: F.count_if(F.col("what") == kind)
+    return both.groupBy(F.col("batch_id").cast("long").alias("version")).agg(
+        F.count(F.lit(1)).alias("changes"), number(UPDATE).alias("corrected"), number(INSERT).alias("inserted"),
+        number(DELETE).alias("rejected"))
 
 
-def _read_slices(spark: SparkSession, slices: dict[int, str]) -> DataFrame:
-    """State of the given slices: one scan per distinct folder, pruned to the slices it still owns."""
-    owned: dict[str, list[int]] = {}
-    for k, folder in slices.items():
-        owned.setdefault(folder, []).append(k)
-    parts = [spark.read.parquet(folder).where(F.col("_slice").isin(ks)) for folder, ks in sorted(owned.items())]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.drop("_slice")
+def consume_changes(spark: SparkSession, source_dir: str, schema: StructType | str, checkpoint: str, root: str, accept: AcceptFn,
+                    keys: Sequence[str], update_cols: Sequence[str], net: Callable[[DataFrame], DataFrame],
+                    every: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Judge every new change file once, on demand (what is there, then stop) or on a schedule such as "60 minutes".
 
-
-def current_version(spark: SparkSession, root: str) -> int:
-    return int(_newest(spark, root)["version"])
-
-
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    return _read_slices(spark, _newest(spark, root)["slices"])
-
-
-def read_rejects(spark: SparkSession, root: str) -> DataFrame | None:
-    """Rejects of every committed batch, with its id; None before the first batch."""
-    folders = [r["rejects"] for r in commits(spark, root).where("rejects IS NOT NULL").select("rejects").collect()]
-    return spark.read.parquet(*folders) if folders else None
-
-
-def consume_changes(spark: SparkSession, source_dir: str, schema: StructType | str, checkpoint: str,
-                    target_root: str, apply: ApplyFn, keys: Sequence[str],
-                    net: Callable[[DataFrame], DataFrame], trigger: str = "availableNow",
-                    max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
-    """Apply every new change file once; ``apply(touched state, whole state, net changes)``.
-
-    ``net`` reduces a batch to one change per key. ``trigger``: "availableNow"
-    (drain what is there, then stop) or a processing-time interval such as
-    "60 minutes".
+    ``net`` reduces a batch to one change per key.
     """
     description = spark.sparkContext.getLocalProperty("spark.job.description")
 
@@ -105,36 +85,18 @@ def consume_changes(spark: SparkSession, source_dir: str, schema: StructType | s
         session = batch.sparkSession
         if description:  # the batch's jobs belong to the job that started the stream
             session.sparkContext.setJobDescription(description)
-        if commits(session, target_root).where(F.col("version") == batch_id).limit(1).count():
-            return  # replayed after its commit
-        base = _newest(session, target_root, below=batch_id)
-        slices = len(base["slices"])
-        landed = f"{target_root}/changes/{uuid.uuid4().hex}"  # net changes, computed once
-        net(batch).withColumn("_slice", slice_of(keys, slices)).write.parquet(landed)
-        changes = session.read.parquet(landed)
-        touched = [r["_slice"] for r in changes.select("_slice").distinct().collect()]  # at most one per slice
-        if not touched:
-            return
-        state = _read_slices(session, {k: base["slices"][k] for k in touched})
-        new_state, rejects = apply(state, _read_slices(session, base["slices"]), changes.drop("_slice"))
-        folder = _write_slices(target_root, new_state, keys, slices)
-        refused = f"{target_root}/rejects/{uuid.uuid4().hex}"
-        rejects.withColumn("batch_id", F.lit(batch_id).cast("long")).write.parquet(refused)
-        lost = {r["change_type"]: r["n"] for r in session.read.parquet(refused).groupBy("change_type")
-                .agg(F.count(F.lit(1)).alias("n")).collect()}
-        seen = {r["change_type"]: r["n"] for r in changes.groupBy("change_type")
-                .agg(F.count(F.lit(1)).alias("n")).collect()}
-        done = {k: seen.get(k, 0) - lost.get(k, 0) for k in ("UPDATE", "INSERT")}
-        _commit(session, target_root, (batch_id, {**base["slices"], **{k: folder for k in touched}}, refused,
-                                       sum(seen.values()), done["UPDATE"], done["INSERT"], sum(lost.values())))
+        if batch_id <= _folded(session, root):
+            return  # already part of the base
+        parts = accept(state(session, root, keys, update_cols, below=batch_id), net(batch))
+        for part, name in zip(parts, ("accepted", "rejects")):
+            part.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     writer = reader.parquet(source_dir).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if trigger == "availableNow" else writer.trigger(processingTime=trigger)
-    q = writer.start()
-    if wait and trigger == "availableNow":
+    q = (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    if not every:
         q.awaitTermination()
     return q
 
@@ -146,11 +108,3 @@ def drain_changes(spark: SparkSession, source_dir: str, schema: StructType | str
          .foreachBatch(lambda batch, batch_id: None)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-
-
-def run_incremental(spark: SparkSession, source_dir: str, schema: StructType | str, checkpoint: str,
-                    target_root: str, apply: ApplyFn, keys: Sequence[str], net: Callable[[DataFrame], DataFrame],
-                    every: str | None = None, **options) -> StreamingQuery:
-    """On demand (availableNow) by default, or on a schedule such as "60 minutes"."""
-    return consume_changes(spark, source_dir, schema, checkpoint, target_root, apply, keys, net,
-                           trigger=every or "availableNow", **options)

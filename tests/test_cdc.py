@@ -124,67 +124,76 @@ def test_point_mutations_and_first_without_match(spark):
 STREAM = "k long, v double, change_type string, seq long"
 
 
-def _apply(part, whole, net):
-    return I.apply_updates(part, net, ["k"], ["v"]), I.reject_changes(part, net, ["k"], net.limit(0).withColumn(
-        "reason", F.lit("")))
+def _accept(state, net):
+    known = state.select("k")
+    good = net.where("change_type = 'UPDATE'").join(known, "k", "left_semi").unionByName(
+        net.where("change_type = 'INSERT'").join(known, "k", "left_anti"))
+    return good.select("k", "v", "change_type"), I.reject_changes(state, net, ["k"], net.limit(0).withColumn("reason", F.lit("")))
 
 
-def _consume(spark, src, ckpt, root, **kw):
-    return ST.run_incremental(spark, src, STREAM, ckpt, root, _apply, ["k"],
-                              lambda b: I.net_changes(b, ["k"], "seq"), **kw)
+def _consume(spark, src, ckpt, root, accept=_accept, **kw):
+    return ST.consume_changes(spark, src, STREAM, ckpt, root, accept, ["k"], ["v"], lambda b: I.net_changes(b, ["k"], "seq"), **kw)
 
 
 def _state(spark, root):
-    return sorted(tuple(r) for r in ST.read_current(spark, root).collect())
+    return sorted(tuple(r) for r in ST.state(spark, root, ["k"], ["v"]).collect())
 
 
 def test_stream_replay_after_a_lost_stream_commit(spark):
     import os
     import shutil
-    src, root, ckpt, again = (scratch_path(spark, n) for n in ("src", "root", "ckpt", "ckpt"))
-    ST.bootstrap(root, spark.createDataFrame([(k, 1.0) for k in range(40)], "k long, v double"), ["k"], slices=8)
-    for rows in ([(1, 5.0, "UPDATE", 1), (1, 6.0, "UPDATE", 2), (99, 0.0, "UPDATE", 1)], [(2, 7.0, "UPDATE", 1), (3, 0.0, "DELETE", 1)]):
+    src, root, ckpt, again, anew = (scratch_path(spark, n) for n in ("src", "root", "ckpt", "ckpt", "ckpt"))
+    ST.bootstrap(root, spark.createDataFrame([(k, 1.0) for k in range(40)], "k long, v double"), ["k"])
+    for rows in ([(1, 5.0, "UPDATE", 1), (1, 6.0, "UPDATE", 2), (99, 0.0, "UPDATE", 1), (50, 2.0, "INSERT", 1)],
+                 [(2, 7.0, "UPDATE", 1), (3, 0.0, "DELETE", 1), (50, 4.0, "UPDATE", 1), (50, 5.0, "UPDATE", 2), (1, 9.0, "INSERT", 1)]):
         spark.createDataFrame(rows, STREAM).coalesce(1).write.mode("append").parquet(src)
     _consume(spark, src, ckpt, root, max_files_per_trigger=1)
-    expect = sorted((k, {1: 6.0, 2: 7.0}.get(k, 1.0)) for k in range(40))
-    assert _state(spark, root) == expect
-    rows = {r.version: r for r in ST.commits(spark, root).collect()}
-    assert [(rows[v].changes, rows[v].corrected, rows[v].inserted, rows[v].rejected) for v in (0, 1)] == [(2, 1, 0, 1), (2, 1, 0, 1)]
-    untouched = sum(rows[1].slices[k] == rows[-1].slices[k] for k in range(8))
-    assert untouched >= 4  # only the slices of the changed keys were rewritten
-    # the state after a crash between the target's commit and the stream's own: offsets there, its commits gone
+    expect = sorted([(k, {1: 6.0, 2: 7.0}.get(k, 1.0)) for k in range(40)] + [(50, 5.0)])
+    numbers = [(0, 3, 1, 1, 1), (1, 4, 2, 0, 2)]
+
+    def check():
+        assert _state(spark, root) == expect
+        assert sorted(tuple(r) for r in ST.counts(spark, root).collect()) == numbers
+        assert sorted((r.k, r.reason) for r in ST.rejects(spark, root).collect()) == [
+            (1, "insert key already there"), (3, "delete not applied"), (99, "update key not found")]
+
+    check()
+    # the state after a crash between the target's writes and the stream's own commits: offsets there, commits gone
     shutil.copytree(ckpt, again, ignore=shutil.ignore_patterns("commits"))
     os.makedirs(os.path.join(again, "commits"))
     _consume(spark, src, again, root, max_files_per_trigger=1)
-    assert _state(spark, root) == expect and ST.commits(spark, root).count() == 3
-    assert sorted((r.k, r.reason) for r in ST.read_rejects(spark, root).collect()) == [
-        (3, "delete not applied"), (99, "update key not found")]
+    check()
+    ST.fold(spark, root, ["k"], ["v"])
+    ST.fold(spark, root, ["k"], ["v"])  # nothing left to fold
+    check()
+    _consume(spark, src, anew, root, max_files_per_trigger=1)  # all checkpoints lost, after the fold
+    check()
+    spark.createDataFrame([(4, 8.0, "UPDATE", 1)], STREAM).coalesce(1).write.mode("append").parquet(src)
+    _consume(spark, src, anew, root, max_files_per_trigger=1)
+    assert dict(_state(spark, root))[4] == 8.0 and len(_state(spark, root)) == 41
 
 
 def test_stream_attempt_that_failed_leaves_nothing_visible(spark):
     src, root, ckpt = (scratch_path(spark, n) for n in ("src", "root", "ckpt"))
-    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"], slices=2)
+    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"])
     spark.createDataFrame([(1, 5.0, "UPDATE", 1)], STREAM).write.mode("append").parquet(src)
 
-    def failing(part, whole, net):
-        state, rejects = _apply(part, whole, net)
-        return state, rejects.withColumn("reason", F.raise_error(F.lit("late failure")).cast("string")).unionByName(
-            net.select("k", "change_type", F.raise_error(F.lit("late failure")).cast("string").alias("reason")))
+    def failing(state, net):
+        accepted, rejects = _accept(state, net)
+        return accepted.withColumn("v", F.raise_error(F.lit("late failure")).cast("double")), rejects
 
-    q = None
     try:
-        q = ST.consume_changes(spark, src, STREAM, ckpt, root, failing, ["k"], lambda b: I.net_changes(b, ["k"], "seq"))
-        failed = q.exception() is not None
+        failed = _consume(spark, src, ckpt, root, failing).exception() is not None
     except Exception:  # noqa: BLE001  awaitTermination raises what the batch raised
         failed = True
-    assert failed and _state(spark, root) == [(1, 1.0)] and ST.read_rejects(spark, root) is None
+    assert failed and _state(spark, root) == [(1, 1.0)] and ST.rejects(spark, root).count() == 0
     _consume(spark, src, ckpt, root)
     assert _state(spark, root) == [(1, 5.0)]
 
 
 def test_drained_backlog_is_not_applied_again(spark):
     src, root, ckpt = (scratch_path(spark, n) for n in ("src", "root", "ckpt"))
-    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"], slices=2)
+    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"])
     spark.createDataFrame([(1, 9.0, "UPDATE", 1)], STREAM).write.mode("append").parquet(src)
     ST.drain_changes(spark, src, STREAM, ckpt)
     _consume(spark, src, ckpt, root)
@@ -224,7 +233,7 @@ def test_clean_start_guard(spark):
 
 def test_scheduled_trigger_runs_and_stops(spark):
     src, root, ckpt = (scratch_path(spark, n) for n in ("src", "root", "ckpt"))
-    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"], slices=2)
+    ST.bootstrap(root, spark.createDataFrame([(1, 1.0)], "k long, v double"), ["k"])
     spark.createDataFrame([(1, 3.0, "UPDATE", 1)], STREAM).write.mode("append").parquet(src)
     # a short interval: processAllAvailable returns after a trigger finds no new data
     q = _consume(spark, src, ckpt, root, every="1 second")

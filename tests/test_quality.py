@@ -112,3 +112,35 @@ def test_profile_and_cross_check(spark):
     b = spark.createDataFrame([(1, "x"), (2, "y"), (4, "z")], "k int, v string")
     st = {r.k: r.status for r in Q.cross_check(df, b, ["k"], ["v"]).collect()}
     assert st == {1: "MATCH", 2: "DIFFER", 3: "ONLY_A", 4: "ONLY_B"}
+
+
+def test_many_checks_read_their_table_once(spark, monkeypatch):
+    from pitchline.operators import quality
+    from pitchline.session import scratch_path
+    path = scratch_path(spark, "matches")
+    rows = [(D, "A", "B", 1, 0, "G1", False)] * 3 + [(D, "A|B", "C", 1, 99, "G1", False), (D, "A", "B|C", 50, 99, None, False),
+                                                  (dt.date(2020, 1, 1), None, "C", None, 1, "G1", True)]
+    _matches(spark, rows).write.parquet(path)
+    m = spark.read.parquet(path)
+    roster = spark.createDataFrame([("A", "G1"), ("B", "G1"), ("C", "G2")], "team string, letter string")
+    pair = ["home_team", "away_team"]
+    checks = [Q.duplicate_check("twice", pair), Q.range_check("scores", ["home_score", "away_score"], 0, 20, pair),
+              Q.window_check("dates", "match_date", "2026-01-01", "2026-12-31", pair),
+              Q.missing_check("known", pair, roster, "team", pair),
+              Q.missing_check("known_sql", pair, roster, "team", pair, null_aware=True),
+              Q.mismatch_check("groups", roster, *pair, "team", "letter", "group_letter", pair, cond=~F.col("is_knockout"))]
+    plans = []
+    monkeypatch.setattr(quality, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df)
+    quality.run_checks(m, "matches", checks)
+    assert plans[0].count("parquet") == 1  # the other leaves are the rosters
+    monkeypatch.undo()
+    found = Q.run_checks(m, "matches", checks)
+    got = sorted((r.check_name, r.record_key, r.detail) for r in Q.rejects_of([found], stamp=False).collect())
+    alone = [(c.name, c.record_key(), Q.find_duplicates(m, pair) if c.repeated else c.rows(m)) for c in checks]
+    want = sorted((name, r.record_key, r.detail) for name, key, rows in alone for r in rows.select(key.alias("record_key"), "detail").collect())
+    assert got == want and len([g for g in got if g[0] == "twice"]) == 3  # keys that only print alike are no copies
+    s = {r.check_name: (r.rows_checked, r.rows_failed, r.passed) for r in Q.summary_of([(found, checks)], stamp=False).collect()}
+    assert s == {c.name: (6, sum(w[0] == c.name for w in want), not any(w[0] == c.name for w in want)) for c in checks}
+    empty = Q.run_checks(m.limit(0), "matches", checks)
+    assert Q.rejects_of([empty], stamp=False).collect() == []
+    assert {(r.check_name, r.rows_failed, r.passed) for r in Q.summary_of([(empty, checks)], stamp=False).collect()} == {(c.name, 0, True) for c in checks}
