@@ -130,7 +130,7 @@ covered AS (SELECT doc_id, COUNT(DISTINCT p) AS repeated FROM (SELECT doc_id, un
 spoken AS (SELECT doc_id, lang, unnest(words) AS w FROM c),
 sizes AS (SELECT lang, SUM(n) AS total FROM c GROUP BY lang HAVING SUM(n) >= 1000),
 ref AS (SELECT s.lang, s.w, COUNT(*) / CAST(any_value(z.total) AS DOUBLE) AS q FROM spoken s JOIN sizes z ON z.lang = s.lang
-        WHERE length(s.w) <= 6 GROUP BY s.lang, s.w HAVING COUNT(*) >= 0.002 * any_value(z.total)),
+        GROUP BY s.lang, s.w HAVING COUNT(*) >= 0.002 * any_value(z.total)),
 own AS (SELECT s.doc_id, s.w, COUNT(*) AS k FROM spoken s JOIN ref r ON r.lang = s.lang AND r.w = s.w GROUP BY s.doc_id, s.w),
 pairs AS (SELECT c.doc_id, c.n, coalesce(o.k, 0) AS k, coalesce(o.k, 0) / CAST(c.n AS DOUBLE) AS p, r.q
           FROM c JOIN ref r ON r.lang = c.lang LEFT JOIN own o ON o.doc_id = c.doc_id AND o.w = r.w WHERE c.n >= 50),
