@@ -218,45 +218,43 @@ def _inc_beta(x: Column, y: Column, a: Column, b: Column, tilt: Column) -> Colum
             .when(x <= 0, F.lit(0.0)).when(y <= 0, F.lit(1.0)).otherwise(tail))
 
 
-# ln n! minus Stirling's formula for n = 0 .. 15 (0 stands for itself: its terms cancel).
-STIRLING_ERROR = [0.0] + [math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi)
-                          for n in range(1, 16)]
+# ln n! - n ln n + n for n = 0 .. 15.
+FACTORIAL_REST = np.array([0.0] + [math.lgamma(n + 1) - n * math.log(n) + n for n in range(1, 16)])
 
 
-def _stirling_error(n: Column) -> Column:
-    """ln n! minus Stirling's formula for whole n >= 0 (no difference of large numbers)."""
+def _factorial_rest(n: Column) -> Column:
+    """ln n! - n ln n + n for whole n >= 0 (half the logarithm of 2 pi n, and Stirling's error)."""
     inv = F.lit(1.0) / F.greatest(n, F.lit(1.0))
-    table = F.array(*[F.lit(v) for v in STIRLING_ERROR])
-    return F.when(n >= 16, inv * _horner(inv * inv, STIRLING)).otherwise(F.get(table, n.cast("int")))
+    large = F.log(n * F.lit(2 * math.pi)) / 2 + inv * _horner(inv * inv, STIRLING)
+    return F.when(n >= 16, large).otherwise(F.get(F.lit(FACTORIAL_REST), F.least(n, F.lit(15.0)).cast("int")))
 
 
-def _deviance(x: Column, mean: Column, off: Column | None = None) -> Column:
-    """x ln(x / mean) + mean - x, by its series where x is near the mean. ``off`` is x - mean if known more exactly."""
-    def body(d):
-        x, mean, off, v = d["x"], d["mean"], d["off"], d["v"]
+def _deviance(x: Column, mean: Column, off: Column) -> Column:
+    """x ln(x / mean) + mean - x, by its series where x is near the mean; ``off`` is x - mean."""
+    def body(v):
         series = off * v + F.lit(2.0) * x * v * v * v * _horner(v * v, [1.0 / (2 * j + 3) for j in range(9)])
         return F.when(x <= 0, mean).when(F.abs(v) < 0.1, series).otherwise(x * F.log(x / mean) - off)
-    off = x - mean if off is None else off
-    return _let(F.struct(x.alias("x"), mean.alias("mean"), off.alias("off"), (off / (x + mean)).alias("v")), body)
-
-
-def _log_binomial(k: Column, n: Column, p: Column, q: Column) -> Column:
-    """ln of the binomial probability of k in n (saddle-point form; 0 < p < 1, q = 1 - p)."""
-    inner = (_stirling_error(n) - _stirling_error(k) - _stirling_error(n - k) - _deviance(k, n * p)
-             - _deviance(n - k, n * q) + F.lit(0.5) * F.log(n / (F.lit(2 * math.pi) * k * (n - k))))
-    return F.when(k == 0, n * F.log(q)).when(k == n, n * F.log(p)).otherwise(inner)
+    return _let(F.try_divide(off, x + mean), body)
 
 
 def log_hypergeometric(k, good, bad, drawn) -> Column:
-    """ln P(k of ``good`` in ``drawn`` draws without replacement from good + bad), any size of the counts."""
-    k, good, bad, drawn = (_c(c).cast("double") for c in (k, good, bad, drawn))
-    total = good + bad
+    """ln P(k of ``good`` in ``drawn`` draws without replacement from good + bad), any size of the counts.
 
-    def body(d):
-        k, good, bad, drawn, p, q = (d[c] for c in ("k", "good", "bad", "drawn", "p", "q"))
-        return F.when((p <= 0) | (q <= 0), F.lit(0.0)).otherwise(
-            F.when(good > 0, _log_binomial(k, good, p, q)).otherwise(0.0)
-            + F.when(bad > 0, _log_binomial(drawn - k, bad, p, q)).otherwise(0.0)
-            - _log_binomial(drawn, good + bad, p, q))
-    return _let(F.struct(k.alias("k"), good.alias("good"), bad.alias("bad"), drawn.alias("drawn"),
-                         (drawn / total).alias("p"), ((total - drawn) / total).alias("q")), body)
+    The four cells of the table differ from their expected counts by one
+    number, up to its sign. Their deviances carry the large part, and what is
+    left of the factorials is small, so no large numbers are subtracted.
+    """
+    k, good, bad, drawn = (_c(c).cast("long") for c in (k, good, bad, drawn))
+    total = good + bad
+    rest = total - drawn
+    wide = lambda c: c.cast("decimal(19,0)")
+    n = total.cast("double")
+    off = (wide(k) * wide(total) - wide(good) * wide(drawn)).cast("double") / n
+    cell = lambda x, r, c, d: F.struct(x.cast("double").alias("x"), (r.cast("double") * (c / n)).alias("mean"), d.alias("off"))
+    cells = F.array(cell(k, good, drawn, off), cell(good - k, good, rest, -off),
+                    cell(drawn - k, bad, drawn, -off), cell(bad - drawn + k, bad, rest, off))
+    rests = F.array(*[F.struct(F.lit(sign).alias("sign"), c.cast("double").alias("n")) for sign, c in (
+        (1.0, good), (1.0, bad), (1.0, drawn), (1.0, rest), (-1.0, total), (-1.0, k), (-1.0, good - k), (-1.0, drawn - k),
+        (-1.0, bad - drawn + k))])
+    small = F.aggregate(rests, F.lit(0.0), lambda s, r: s + r["sign"] * _factorial_rest(r["n"]))
+    return F.aggregate(cells, small, lambda s, c: s - _deviance(c["x"], c["mean"], c["off"]))

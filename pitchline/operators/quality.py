@@ -15,6 +15,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitchline.functions.columns import broadcast_if_small, count_if
 from pitchline.operators.cdc import row_text
@@ -381,29 +382,30 @@ def fact_loss(raw: DataFrame, fact: DataFrame, label: str = "star join") -> Data
 
 
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Per column: type, null count, distinct count, an example (the minimum).
+    """Per column: type, null count, distinct count, an example (the minimum), whether its values are unique.
 
-    Exact distinct counts come from one map-side combined group per column
-    (value, rows), so no row is multiplied; ``exact=False`` uses
-    HyperLogLog counts.
+    One scan and one aggregation, whatever the number of columns; the single
+    row of results is turned into a row per column. With ``exact=False``
+    distinct counts are HyperLogLog sketches and numbers, dates and timestamps
+    get their quartiles from a quantile sketch; both merge map-side in bounded
+    memory. The exact form counts distinct values by (column, value) groups.
     """
-    out = None
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if exact:
-            groups = df.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-            part = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("_rows"),
-                              F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
-                              F.count("v").alias("distinct_count"), F.min("v").cast("string").alias("example"))
-        else:
-            part = df.agg(F.count(F.lit(1)).alias("_rows"), F.count_if(c.isNull()).alias("null_count"),
-                          F.approx_count_distinct(c).alias("distinct_count"), F.min(c).cast("string").alias("example"))
-        part = part.select(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                           F.col("null_count").cast("long").alias("null_count"),
-                           F.col("distinct_count").cast("long").alias("distinct_count"), "example",
-                           (F.col("distinct_count") == F.col("_rows")).alias("is_unique"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    fields = df.schema.fields
+    aggs, entries = [F.count(F.lit(1)).alias("_rows")], []
+    for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count_if(c.isNull()).alias(f"_null{i}"), F.min(c).cast("string").alias(f"_min{i}"),
+                 (F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias(f"_distinct{i}")]
+        shown = [F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                 F.col(f"_null{i}").cast("long").alias("null_count"), F.col(f"_distinct{i}").cast("long").alias("distinct_count"),
+                 F.col(f"_min{i}").alias("example"), (F.col(f"_distinct{i}") == F.col("_rows")).alias("is_unique")]
+        if not exact:
+            measured = isinstance(f.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+            if measured:
+                aggs.append(F.percentile_approx(c, [0.25, 0.5, 0.75]).cast("array<string>").alias(f"_quart{i}"))
+            shown.append((F.col(f"_quart{i}") if measured else F.lit(None).cast("array<string>")).alias("quartiles"))
+        entries.append(F.struct(*shown))
+    return df.agg(*aggs).select(F.inline(F.array(*entries)))
 
 
 def cross_check(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:

@@ -35,7 +35,8 @@ SW_SMALL_SD = [1.3822, -0.77857, 0.062767, -0.0020322]
 SW_LARGE_MEAN = [-1.5861, -0.31082, -0.083751, 0.0038915]
 SW_LARGE_SD = [-0.4803, -0.082676, 0.0030302]
 SW_MIN_N, SW_MAX_N = 3, 5000  # W needs SW_MIN_N values; the p transform is published up to SW_MAX_N
-FISHER_CHUNK = 1 << 16  # support values per task slice
+FISHER_CHUNK = 1 << 12  # support values per row of a tail
+FISHER_DROP = 1e-18  # a tail's terms below this share of its first one are not summed
 ORDER_CHUNK = 1 << 16  # order indices of one value per task slice
 
 
@@ -194,35 +195,67 @@ def with_expected(t: DataFrame) -> DataFrame:
 
 
 def fisher_exact(table: DataFrame) -> DataFrame:
-    """Two-sided Fisher exact test on one 2x2 row (a, b, c, d).
-
-    The hypergeometric support is exploded into rows (distributed) and every
-    pmf is a saddle-point form in log space (exact to ~1e-13 for counts of any
-    size); p sums pmf <= pmf(observed)*(1+1e-7).
+    """Two-sided Fisher exact test per 2x2 row (a, b, c, d).
+
+    p sums the probabilities pmf <= pmf(observed)*(1+1e-7). The support is
+    unimodal, so those are two tails: one starts at the observed cell, the
+    other where bisection finds the first value across the mode that is as
+    unlikely. Each tail is summed outwards from there until its terms fall
+    below ``FISHER_DROP`` of its first one, so the work follows the spread of
+    the distribution and never the size of the support. A tail is cut into
+    chunks that are spread over the tasks; each starts from a saddle-point
+    form in log space.
     """
     a, b, c, d = (F.col(k) for k in "abcd")
     base = table.select("a", "b", "c", "d", (a + b).alias("r1"), (a + c).alias("c1"), (a + b + c + d).alias("nn"))
+    r1, c1, nn = F.col("r1"), F.col("c1"), F.col("nn")
+    low, high = F.greatest(F.lit(0), r1 + c1 - nn).cast("long"), F.least(r1, c1).cast("long")
+    mode = F.floor((r1 + 1).cast("double") * ((c1 + 1).cast("double") / (nn + 2).cast("double"))).cast("long")
+    # one row per tail: its j-th value is mode + j to the right, mode - 1 - j to the left, 0 <= j < room
+    base = base.withColumn("mode", F.least(high, F.greatest(low, mode)))
+    mode = F.col("mode")
+    sides = F.explode(F.array(F.struct(F.lit(1).alias("way"), mode.alias("first"), (high - mode + 1).alias("room")),
+                              F.struct(F.lit(-1).alias("way"), (mode - 1).alias("first"), (mode - low).alias("room")))).alias("s")
 
     def log_pmf(k):
-        return tails.log_hypergeometric(k, F.col("r1"), F.col("nn") - F.col("r1"), F.col("c1"))
-
-    base = base.withColumn("lobs", log_pmf(a))  # once, not per support value
-    lo = F.greatest(F.lit(0), F.col("r1") + F.col("c1") - F.col("nn"))
-    hi = F.least(F.col("r1"), F.col("c1"))
-    # the support grows with the counts: explode chunk starts first and spread
-    # the chunks over tasks, so no task enumerates the whole support
-    starts = (base.withColumn("_hi", hi)
-              .select("*", F.explode(F.sequence(lo, hi, F.lit(FISHER_CHUNK).cast("long")))
-                      .alias("_k0"))
+        return tails.log_hypergeometric(k, r1, nn - r1, c1)
+
+    def search(start, room, bound):
+        """Smallest j from ``start`` on whose log pmf is at most ``bound``; ``room`` if none (it falls with j)."""
+        half = lambda s: F.floor((s["x"] + s["y"]) / 2).cast("long")
+        pair = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(64)), pair(start, room), lambda s, _: F.when(s["x"] >= s["y"], s).otherwise(
+            F.when(log_pmf(F.col("first") + F.col("way") * half(s)) <= bound, pair(s["x"], half(s))).otherwise(pair(half(s) + 1, s["y"]))),
+            lambda s: s["y"])
+
+    base = cut_lineage(base.select("a", "b", "c", "d", "r1", "c1", "nn", (log_pmf(a) + F.log1p(F.lit(1e-7))).alias("bound"), sides)
+                       .select("a", "b", "c", "d", "r1", "c1", "nn", "bound", "s.*"))
+    # where each tail gets unlikely enough, and where its terms end
+    base = cut_lineage(base.withColumn("from", search(F.lit(0).cast("long"), F.col("room"), F.col("bound")))
+                       .where(F.col("from") < F.col("room")))
+    drop = F.log(F.lit(FISHER_DROP))
+    first_term = cut_lineage(base.withColumn("end", log_pmf(F.col("first") + F.col("way") * F.col("from")) + drop))
+    ends = cut_lineage(first_term.withColumn("to", search(F.col("from"), F.col("room"), F.col("end"))))
+    at = lambda j: F.col("first") + F.col("way") * j
+    last = F.least(F.col("to"), F.col("room") - 1)
+    ends = ends.select("a", "b", "c", "d", "r1", "c1", "nn", F.least(at(F.col("from")), at(last)).alias("x"),
+                       F.greatest(at(F.col("from")), at(last)).alias("y"))
+    starts = (ends.select("*", F.explode(F.sequence(F.col("x"), F.col("y"), F.lit(FISHER_CHUNK).cast("long"))).alias("_k0"))
               .repartition("_k0"))
-    sup = starts.select(*base.columns, F.explode(F.sequence(
-        F.col("_k0"), F.least(F.col("_k0") + FISHER_CHUNK - 1, F.col("_hi")))).alias("k"))
-
-    sup = sup.withColumn("lp", log_pmf(F.col("k")))
-    p = F.sum(F.when(F.col("lp") <= F.col("lobs") + F.log1p(F.lit(1e-7)), F.exp("lp")).otherwise(0.0))
-    res = sup.groupBy("a", "b", "c", "d").agg(F.least(F.lit(1.0), p).alias("p_value"))
-    odds = F.try_divide((F.col("a") * F.col("d")).cast("double"), (F.col("b") * F.col("c")).cast("double"))
-    return res.select("a", "b", "c", "d", odds.alias("odds_ratio"), "p_value")
+    # inside a chunk each term is the one before times the ratio of neighbours, from an exact first term
+    top = F.least(F.col("_k0") + FISHER_CHUNK - 1, F.col("y"))
+    steps = F.when(top > F.col("_k0"), F.sequence(F.col("_k0"), top - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def ratio(k):
+        k = k.cast("double")
+        return (r1 - k) / (k + 1) * ((c1 - k) / (nn - r1 - c1 + k + 1))
+
+    total = F.aggregate(steps, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum")), lambda s, k: F.struct(
+        (s["term"] * ratio(k)).alias("term"), (s["sum"] + s["term"] * ratio(k)).alias("sum")), lambda s: s["sum"])
+    res = starts.groupBy("a", "b", "c", "d").agg(F.sum(F.exp(log_pmf(F.col("_k0"))) * total).alias("_p"))
+    exact = lambda x, y: (F.col(x).cast("decimal(19,0)") * F.col(y).cast("decimal(19,0)")).cast("double")
+    odds = F.try_divide(exact("a", "d"), exact("b", "c"))
+    return res.select("a", "b", "c", "d", odds.alias("odds_ratio"), F.when(F.col("_p") > 1, F.lit(1.0)).otherwise(F.col("_p")).alias("p_value"))
 
 
 def cohens_h(p1, p2) -> Column:

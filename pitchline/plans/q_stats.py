@@ -295,6 +295,18 @@ def _shown(c: str) -> Column:
     return F.when(F.col(c).isNull(), "none").otherwise(_fmt4(c))
 
 
+# Texts of the direction of an effect where no two values are compared.
+NO_DIRECTION, SAME_WAY, OTHER_WAY = "no direction", "finish rises with the ranking number", "finish falls with the ranking number"
+
+
+def _direction(what: str, now: Column, before: Column) -> Column:
+    """Which of two means or shares is larger, with both."""
+    shown = lambda c: F.format_string("%.4f", round_half_up(c, 4))
+    where = F.when(now > before, "higher in the current cohort").when(now < before, "lower in the current cohort").otherwise("equal")
+    return F.when(now.isNull() | before.isNull(), NO_DIRECTION).otherwise(
+        F.concat(F.lit(f"{what} "), where, F.lit(" ("), shown(now), F.lit(" against "), shown(before), F.lit(")")))
+
+
 def _validation_results(spark, sf_dir) -> DataFrame:
     cur = current_cohort(spark, sf_dir)
     normal = R.shapiro_wilk(_abs_diff(spark, sf_dir).withColumn("g", F.col("cohort") == cur), "abs_diff", ["g"])
@@ -305,8 +317,10 @@ def _validation_results(spark, sf_dir) -> DataFrame:
         F.lit("Shapiro-Wilk W "), _shown("w_cur"), F.lit(" and "), _shown("w_old"), F.lit(", p "), _shown("p_value_cur"),
         F.lit(" and "), _shown("p_value_old"), F.lit("; moment test p "), _shown("jb_p_value_cur"), F.lit(" and "),
         _shown("jb_p_value_old"), F.when(rejected, F.lit("; not normal")).otherwise(F.lit("; normality not rejected")))
-    mw = mann_whitney_frame(spark, sf_dir).crossJoin(normal.agg(*pick)).select(
-        F.lit(1).alias("row_id"), mw_check.alias("assumption_check"), *_names("balance"),
+    side = F.when(F.col("cohort") == cur, F.col("abs_diff"))
+    means = _abs_diff(spark, sf_dir).agg(F.avg(side).alias("m_cur"), F.avg(F.when(side.isNull(), F.col("abs_diff"))).alias("m_old"))
+    mw = mann_whitney_frame(spark, sf_dir).crossJoin(normal.agg(*pick)).crossJoin(means).select(
+        _direction("mean gap", F.col("m_cur"), F.col("m_old")).alias("direction"), F.lit(1).alias("row_id"), mw_check.alias("assumption_check"), *_names("balance"),
         F.concat(F.lit("n_current="), F.col("n1").cast("string"), F.lit(", n_earlier="),
                  F.col("n2").cast("string")).alias("sample_sizes"),
         F.col("u").alias("statistic"), "p_value", F.col("rank_biserial").alias("effect_size"))
@@ -317,7 +331,7 @@ def _validation_results(spark, sf_dir) -> DataFrame:
                         F.when(F.col("min_expected") < 5, F.lit("; too small for chi-square"))
                         .otherwise(F.lit("; large enough for chi-square")))
     fi = fe.select(
-        F.lit(2).alias("row_id"), fi_check.alias("assumption_check"), *_names("upsets"),
+        _direction("upset share", p1, p2).alias("direction"), F.lit(2).alias("row_id"), fi_check.alias("assumption_check"), *_names("upsets"),
         F.concat(F.lit("decisive_current="), (F.col("a") + F.col("b")).cast("string"), F.lit(", decisive_earlier="),
                  (F.col("c") + F.col("d")).cast("string")).alias("sample_sizes"),
         F.col("odds_ratio").alias("statistic"), "p_value", R.cohens_h(p1, p2).alias("effect_size"))
@@ -325,7 +339,8 @@ def _validation_results(spark, sf_dir) -> DataFrame:
     hist = R.value_histogram(diffs, "confederation_name", "goal_diff")  # one histogram for both tests
     lev = R.levene(diffs, "confederation_name", "goal_diff", hist=hist).select(F.col("p_value").alias("levene_p"))
     kw = R.kruskal(diffs, "confederation_name", "goal_diff", hist=hist).crossJoin(lev).select(
-        F.lit(3).alias("row_id"), F.concat(F.lit("equal spread: Levene p "), _shown("levene_p")).alias("assumption_check"),
+        F.lit(NO_DIRECTION).alias("direction"), F.lit(3).alias("row_id"),
+        F.concat(F.lit("equal spread: Levene p "), _shown("levene_p")).alias("assumption_check"),
         *_names("regions"),
         F.concat(F.lit("k="), F.col("k").cast("string"), F.lit(", n="), F.col("n").cast("string")).alias("sample_sizes"),
         F.col("h").alias("statistic"), "p_value", F.col("epsilon_squared").alias("effect_size"))
@@ -333,6 +348,7 @@ def _validation_results(spark, sf_dir) -> DataFrame:
     # one row per year: a window over results, not over data
     sp = spearman_frame(spark, sf_dir).select(
         (F.lit(3) + F.row_number().over(Window.orderBy("tournament_year"))).cast("int").alias("row_id"),
+        F.when(F.col("rho") > 0, SAME_WAY).when(F.col("rho") < 0, OTHER_WAY).otherwise(NO_DIRECTION).alias("direction"),
         F.lit("ranks only, nothing assumed").alias("assumption_check"), *_names("finish", year),
         F.concat(F.lit("n="), F.col("n").cast("string")).alias("sample_sizes"),
         F.col("rho").alias("statistic"), "p_value", F.col("rho").alias("effect_size"))
@@ -350,7 +366,8 @@ def _validation_results(spark, sf_dir) -> DataFrame:
         rs("statistic", 6).alias("statistic"), rs("p_value", 6).alias("p_value"),
         rs("effect_size", 6).alias("effect_size"), "effect_size_metric", mag.alias("magnitude"),
         (F.col("p_value") < R.SIGNIFICANCE_ALPHA).alias("significant"), phrase.alias("significance"),
-        F.concat(F.coalesce(effect, F.lit("effect undefined, ")), phrase).alias("interpretation"))
+        "direction",
+        F.concat(F.coalesce(effect, F.lit("effect undefined, ")), phrase, F.lit("; "), F.col("direction")).alias("interpretation"))
     return S.write_results(out, scratch_path(spark, "statistical-validation"))
 
 
@@ -411,6 +428,12 @@ def _sig(p: str) -> str:
             f"ELSE 'not statistically significant at alpha={a} (p=' || {shown} || ')' END")
 
 
+def _direction_sql(what: str, now: str, before: str) -> str:
+    return (f"CASE WHEN ({now}) IS NULL OR ({before}) IS NULL THEN '{NO_DIRECTION}' ELSE '{what} ' || CASE WHEN ({now}) > ({before}) "
+            f"THEN 'higher in the current cohort' WHEN ({now}) < ({before}) THEN 'lower in the current cohort' ELSE 'equal' END "
+            f"|| ' (' || {_f(now)} || ' against ' || {_f(before)} || ')' END")
+
+
 def _validation_sql() -> str:
     """The five tests as (row_id, texts, raw numbers); labels and phrases are then built once, over all rows."""
     shown = lambda c: f"coalesce({_f(c)}, 'none')"
@@ -421,24 +444,27 @@ def _validation_sql() -> str:
        'Shapiro-Wilk W ' || {shown('w_cur')} || ' and ' || {shown('w_old')} || ', p ' || {shown('p_cur')} || ' and '
        || {shown('p_old')} || '; moment test p ' || {shown('jb_cur')} || ' and ' || {shown('jb_old')}
        || CASE WHEN least(coalesce(p_cur, jb_cur), coalesce(p_old, jb_old)) < {R.SIGNIFICANCE_ALPHA}
-               THEN '; not normal' ELSE '; normality not rejected' END AS assumption_check
-FROM ({MWU_SQL} SELECT * FROM z) mwq CROSS JOIN ({GAP_NORMALITY_SQL}) nq""",
+               THEN '; not normal' ELSE '; normality not rejected' END AS assumption_check,
+       {_direction_sql('mean gap', 'm_cur', 'm_old')} AS direction
+FROM ({MWU_SQL} SELECT * FROM z) mwq CROSS JOIN ({GAP_NORMALITY_SQL}) nq
+CROSS JOIN ({MWU_SQL} SELECT AVG(v) FILTER (WHERE g1) AS m_cur, AVG(v) FILTER (WHERE NOT g1) AS m_old FROM d) gq""",
         f"""SELECT 2, {_names_sql('upsets')},
        'decisive_current=' || CAST(a + b AS VARCHAR) || ', decisive_earlier=' || CAST(c + d AS VARCHAR),
        odds_ratio, p_value,
        2.0 * asin(sqrt(CAST(a AS DOUBLE) / (a + b))) - 2.0 * asin(sqrt(CAST(c AS DOUBLE) / (c + d))),
        'smallest expected cell ' || {_f('least(a + b, c + d) * CAST(least(a + c, b + d) AS DOUBLE) / (a + b + c + d)', 1)}
        || CASE WHEN least(a + b, c + d) * CAST(least(a + c, b + d) AS DOUBLE) / (a + b + c + d) < 5
-               THEN '; too small for chi-square' ELSE '; large enough for chi-square' END
+               THEN '; too small for chi-square' ELSE '; large enough for chi-square' END,
+       {_direction_sql('upset share', 'CAST(a AS DOUBLE) / (a + b)', 'CAST(c AS DOUBLE) / (c + d)')}
 FROM ({_FISHER_RAW}) fq""",
         f"""SELECT 3, {_names_sql('regions')}, 'k=' || CAST(k AS VARCHAR) || ', n=' || CAST(n AS VARCHAR), h,
-       {OS.chi2_sf('h', 'k - 1')}, (h - k + 1) / (CAST(n AS DOUBLE) - k), 'equal spread: Levene p ' || {shown('levene_p')}
+       {OS.chi2_sf('h', 'k - 1')}, (h - k + 1) / (CAST(n AS DOUBLE) - k), 'equal spread: Levene p ' || {shown('levene_p')}, '{NO_DIRECTION}'
 FROM ({KRUSKAL_SQL} SELECT k, n, h FROM hh) kq
 CROSS JOIN ({LEVENE_SQL} SELECT {OS.f_sf_even_d1('f', 'k - 1', 'n - k')} AS levene_p FROM f) lq""",
         f"""SELECT CAST(3 + ROW_NUMBER() OVER (ORDER BY y) AS INTEGER), {_names_sql('finish', 'CAST(y AS VARCHAR)')},
        'n=' || CAST(n AS VARCHAR), rho,
        CASE WHEN n <= 2 THEN NULL WHEN abs(rho) >= 1 THEN 0.0 ELSE {OS.t_sf2('tt', 'n - 2')} END, rho,
-       'ranks only, nothing assumed'
+       'ranks only, nothing assumed', CASE WHEN rho > 0 THEN '{SAME_WAY}' WHEN rho < 0 THEN '{OTHER_WAY}' ELSE '{NO_DIRECTION}' END
 FROM ({SPEARMAN_SQL} SELECT y, n, rho, tt FROM t) sq"""]
     bounds = " ".join(f"WHEN effect_size_metric = '{t['metric'].replace(chr(39), chr(39) * 2)}' THEN "
                       f"[{', '.join(map(str, t['thresholds']))}]" for t in TESTS.values())
@@ -450,9 +476,9 @@ labelled AS (SELECT *, CASE WHEN e IS NULL THEN NULL
                        END AS label, {_sig('p')} AS phrase FROM results)
 SELECT row_id, metric_name, hypothesis, comparison, test_used, assumption_check, sample_sizes, {q('st', 6)} AS statistic,
        {q('p', 6)} AS p_value, {q('e', 6)} AS effect_size, effect_size_metric, label AS magnitude,
-       p < {R.SIGNIFICANCE_ALPHA} AS significant, phrase AS significance,
+       p < {R.SIGNIFICANCE_ALPHA} AS significant, phrase AS significance, direction,
        coalesce(label || ' effect (' || effect_size_metric || ' ' || {_f('e', 3)} || '), ', 'effect undefined, ')
-       || phrase AS interpretation
+       || phrase || '; ' || direction AS interpretation
 FROM labelled"""
 
 

@@ -144,3 +144,52 @@ def test_many_checks_read_their_table_once(spark, monkeypatch):
     empty = Q.run_checks(m.limit(0), "matches", checks)
     assert Q.rejects_of([empty], stamp=False).collect() == []
     assert {(r.check_name, r.rows_failed, r.passed) for r in Q.summary_of([(empty, checks)], stamp=False).collect()} == {(c.name, 0, True) for c in checks}
+
+
+def test_profile_is_one_scan(spark):
+    from pitchline.session import scratch_path
+    path = scratch_path(spark, "wide")
+    spark.range(400).select("id", (F.col("id") % 7).cast("double").alias("x.y"), F.when(F.col("id") % 2 == 0, "even").alias("t"),
+                            F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 100).cast("int")).alias("d")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for exact in (True, False):
+        out = Q.profile(df, exact)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+        p = {r.column_name: r for r in out.collect()}
+        assert {n: (r.null_count, r.example) for n, r in p.items()} == {
+            "id": (0, "0"), "x.y": (0, "0.0"), "t": (200, "even"), "d": (0, "2024-01-01")}
+        if exact:
+            assert {n: (r.distinct_count, r.is_unique) for n, r in p.items()} == {
+                "id": (400, True), "x.y": (7, False), "t": (1, False), "d": (100, False)}
+        else:
+            assert p["x.y"].distinct_count == 7 and abs(p["id"].distinct_count - 400) < 40
+            assert p["x.y"].quartiles == ["1.0", "3.0", "5.0"] and p["t"].quartiles is None and p["d"].quartiles[1] == "2024-02-19"
+
+
+def test_windows_over_timestamps_and_numbers(spark):
+    import random
+    rng = random.Random(2)
+    edges = sorted(rng.sample(range(10 ** 7), 20_000))
+    wins = [(f"w{k}", a, b - 1) for k, (a, b) in enumerate(zip(edges[::2], edges[1::2])) if b > a]
+    wins += [("huge", 2 * 10 ** 7, 10 ** 9), ("point", 1.5 * 10 ** 7, 1.5 * 10 ** 7), ("none", None, 5), ("backwards", 9 * 10 ** 9, 8 * 10 ** 9)]
+    values = [rng.randrange(10 ** 7) for _ in range(3000)] + [2 * 10 ** 7, 10 ** 9, 10 ** 9 + 1, 15 * 10 ** 6, 5, None, 85 * 10 ** 8]
+    import bisect
+    low = sorted((a, b, n) for n, a, b in wins if a is not None and a <= b)
+    firsts = [w[0] for w in low]
+
+    def expect(v):
+        k = bisect.bisect_right(firsts, v) - 1 if v is not None else -1
+        return low[k][2] if k >= 0 and v <= low[k][1] else None
+
+    want = {k: expect(v) for k, v in enumerate(values)}
+    numbers = spark.createDataFrame([(k, None if v is None else float(v)) for k, v in enumerate(values)], "k int, v double")
+    table = spark.createDataFrame([(n, None if a is None else float(a), float(b)) for n, a, b in wins], "window_name string, window_start double, window_end double")
+    out = T.interval_lookup(numbers, "v", table, strict=False)
+    assert {r.k: r.window_name for r in out.collect()} == want and out.columns == ["k", "v", "window_name"]
+    for kind in ("timestamp_ntz", "timestamp"):
+        moment = lambda c, kind=kind: F.timestamp_micros(F.col(c).cast("long")).cast(kind)
+        times = T.interval_lookup(numbers.withColumn("v", moment("v")), "v", table.select(
+            "window_name", moment("window_start").alias("window_start"), moment("window_end").alias("window_end")), strict=False)
+        assert {r.k: r.window_name for r in times.select("k", "window_name").collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan

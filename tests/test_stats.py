@@ -274,6 +274,28 @@ def test_labels_and_phrases(spark):
 def test_fisher_support_split_across_chunks(spark, monkeypatch):
     t = spark.createDataFrame([(90000, 70000, 60000, 40000)], "a long, b long, c long, d long")
     chunked = R.fisher_exact(t).first()
-    monkeypatch.setattr(R, "FISHER_CHUNK", 1 << 22)
+    monkeypatch.setattr(R, "FISHER_CHUNK", 1 << 18)
     whole = R.fisher_exact(t).first()
     assert abs(chunked.p_value - whole.p_value) < 1e-12 and chunked.odds_ratio == whole.odds_ratio
+
+
+def test_fisher_equals_the_whole_support_in_exact_arithmetic(spark):
+    from fractions import Fraction
+    tables = [(13, 67, 24, 66), (0, 5, 7, 3), (5, 0, 0, 5), (1, 0, 0, 1), (0, 0, 3, 4), (40, 3, 2, 50), (3, 3, 3, 3), (100, 200, 210, 90), (0, 9, 0, 4), (2, 8, 9, 1)]
+    df = spark.createDataFrame(tables, "a long, b long, c long, d long")
+    got = {(r.a, r.b, r.c, r.d): r.p_value for r in R.fisher_exact(df).collect()}
+    for a, b, c, d in tables:
+        n, r1, c1 = a + b + c + d, a + b, a + c
+        pmf = {k: Fraction(math.comb(r1, k) * math.comb(n - r1, c1 - k), math.comb(n, c1)) for k in range(max(0, r1 + c1 - n), min(r1, c1) + 1)}
+        p = sum(v for v in pmf.values() if v <= pmf[a] * (1 + Fraction(1, 10 ** 7)))
+        assert got[a, b, c, d] == pytest.approx(float(p), rel=1e-11), (a, b, c, d)
+
+
+def test_fisher_of_huge_cells_does_not_walk_the_support(spark):
+    """Cells of 1e10: near the normal tail of the standardised difference; a symmetric table has p = 1."""
+    n = 10 ** 10
+    shift = 2 * 10 ** 5
+    df = spark.createDataFrame([(n, n, n, n), (n + shift, n - shift, n - shift, n + shift)], "a long, b long, c long, d long")
+    got = {r.a: r.p_value for r in R.fisher_exact(df).collect()}
+    z = (shift - 0.5) / math.sqrt((2 * n) ** 4 / ((4 * n) ** 2 * (4 * n - 1)))
+    assert got[n] == pytest.approx(1.0, abs=1e-6) and got[n + shift] == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-3)
