@@ -141,7 +141,7 @@ def build_fact(raw: DataFrame, *, date_dim: DataFrame, team_dim: DataFrame, tour
         f = f.withColumn("venue_id", F.lit(None).cast("long"))
     neutral = F.col("neutral_site") if "neutral_site" in raw.columns else F.lit(None).cast("boolean")
     f = f.withColumn("neutral_site", neutral)
-    # keys first: they need the input twice (range bounds are sampled), and the shootout join, which shuffles,
+    # keys first: their splitters read the order columns beforehand, and the shootout join, which shuffles,
     # neither drops nor adds rows, so it runs once and after them
     if existing is None:
         f = assign_keys(f, list(order_cols), key_col)

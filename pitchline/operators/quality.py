@@ -373,6 +373,18 @@ def assert_zero(invariants: Sequence[tuple[str, DataFrame, Column]]) -> DataFram
     return out
 
 
+def range_report(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """V12 beside its zero checks: per measure the smallest and largest value, missing and negative ones; one pass."""
+    aggs, rows = [], []
+    for c in cols:
+        v = F.col(c).cast("double")
+        aggs += [F.min(v).alias(f"_{c}_low"), F.max(v).alias(f"_{c}_high"), F.count_if(v.isNull()).alias(f"_{c}_none"),
+                 F.count_if(v < 0).alias(f"_{c}_below")]
+        rows.append(F.struct(F.lit(c).alias("measure"), F.col(f"_{c}_low").alias("smallest"), F.col(f"_{c}_high").alias("largest"),
+                             F.col(f"_{c}_none").alias("missing"), F.col(f"_{c}_below").alias("negative")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 def fact_loss(raw: DataFrame, fact: DataFrame, label: str = "star join") -> DataFrame:
     """V12 extension: rows in vs rows out of a star join (loss or fan-out)."""
     return (raw.agg(F.count(F.lit(1)).alias("rows_in"))

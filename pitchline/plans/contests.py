@@ -19,6 +19,7 @@ check of their size.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitchline.functions.columns import broadcast_if_small
-from pitchline.session import cut_lineage
+from pitchline.session import cut_lineage, default_partitions, scratch_path
+from pitchline.sources.files import load_bucketed
 
 # Fixed values of the adapter.
 GROUP_COUNT = 6
@@ -129,12 +131,15 @@ def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contest fact with natural keys. Keeps repeated lineitem keys."""
     l = table(spark, sf_dir, "lineitem")
+    oc = orders_customers(spark, sf_dir)
+    return _with_suppliers_and_parts(spark, sf_dir, l.join(oc, l.l_orderkey == oc.o_orderkey))
+
+
+def _with_suppliers_and_parts(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     p = table(spark, sf_dir, "part")
-    oc = orders_customers(spark, sf_dir)
-    m = (l.join(oc, l.l_orderkey == oc.o_orderkey)
-         .join(s, l.l_suppkey == s.s_suppkey)
-         .join(p, l.l_partkey == p.p_partkey))
+    m = (lines.join(broadcast_if_small(s), F.col("l_suppkey") == s.s_suppkey)
+         .join(broadcast_if_small(p), F.col("l_partkey") == p.p_partkey))
     return m.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.year("o_orderdate").alias("cohort"),
@@ -149,6 +154,23 @@ def _contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bucketed_partners(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(orders, lineitem), loaded bucketed and sorted by the order key: the layout for tables that are joined often."""
+    n = buckets or default_partitions(spark)
+    tag = uuid.uuid4().hex
+    return tuple(load_bucketed(table(spark, sf_dir, name), f"{name}_{tag}", [key], n, scratch_path(spark, f"bucketed-{name}"))
+                 for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")))
+
+
+def bucketed_contests(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
+    """The contest fact over co-bucketed lineitem and orders: neither is shuffled for the order key."""
+    o, l = bucketed_partners(spark, sf_dir, buckets)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    partners = (l.join(o, l.l_orderkey == o.o_orderkey)
+                .join(broadcast_if_small(c), F.col("o_custkey") == c.c_custkey))
+    return _with_suppliers_and_parts(spark, sf_dir, partners)
+
+
 def contests_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contests with ``stage_order`` resolved through the stage dimension."""
     return contests(spark, sf_dir).join(stages(spark), "stage_name", "left")

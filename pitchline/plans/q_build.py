@@ -304,7 +304,8 @@ def _fact_current(spark, sf_dir, core):
 def _fact_full(spark, sf_dir, core):
     raw, dates, tours, _ = core
     cur = raw.select(F.max("tournament_year")).scalar()
-    current = _fact_current(spark, sf_dir, core)
+    # written once: the keys of the older rows continue after its largest, and the result reads it again
+    current = S.load_table(_fact_current(spark, sf_dir, core), scratch_path(spark, "fact-current"))
     hist = D.build_fact(raw.where(F.col("tournament_year") < cur).drop("went_to_so", "stage", "venue_city",
                                                                          "venue_country"),
                         date_dim=dates, team_dim=C.teams(spark, sf_dir), tournament_dim=tours,
@@ -314,6 +315,16 @@ def _fact_full(spark, sf_dir, core):
     return current.unionByName(hist)
 
 
+CONTEST_COLUMNS = ("l_orderkey, l_linenumber, l_partkey, l_suppkey, cohort, match_date, home_team_id, away_team_id, home_score, "
+                   "away_score, stage_name, venue_id, went_to_so")
+
+
+@query("bucketed_contests", O.with_(O.CONTESTS) + f"\nSELECT {CONTEST_COLUMNS} FROM contests")
+def bucketed_contests(spark, sf_dir):
+    """S2's layout in use: lineitem and orders meet without an exchange of either."""
+    return C.bucketed_contests(spark, sf_dir).select(*CONTEST_COLUMNS.split(", "))
+
+
 FACT_SQL = O.with_(O.CONTESTS, O.TEAMS, O.VENUES, O.STAGES, O.COHORTS) + """
 , raw AS (
   SELECT m.*, m.cohort AS tournament_year, ht.team_name AS home_team, awt.team_name AS away_team,

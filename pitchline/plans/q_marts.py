@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pitchline.operators import marts
+from pitchline.operators.quality import range_report
 from pitchline.plans import contests as C
 from pitchline.plans import oracle as O
-from pitchline.plans.registry import cohorts, current_cohort, query
+from pitchline.plans.registry import ORACLE, cohorts, current_cohort, query
 
 
 
@@ -149,3 +150,12 @@ def q_post_build_invariants(spark, sf_dir):
         ("previous venue without distance", t, F.col("previous_venue_id").isNotNull() & F.col("distance_km").isNull()),
         ("venue without coordinates", v, F.col("latitude").isNull() | F.col("longitude").isNull()),
     ])
+
+
+# V12's report over A8-A10 -----------------------------------------------------------------
+
+@query("travel_ranges", "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS measure, MIN(CAST({c} AS DOUBLE)) AS smallest, MAX(CAST({c} AS DOUBLE)) AS largest,
+       COUNT(*) - COUNT({c}) AS missing, COUNT(*) FILTER (WHERE {c} < 0) AS negative FROM ({ORACLE['travel_rest']}) t""" for c in ("distance_km", "rest_days")))
+def q_travel_ranges(spark, sf_dir):
+    return range_report(q_travel_rest(spark, sf_dir), ["distance_km", "rest_days"])

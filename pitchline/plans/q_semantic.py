@@ -209,6 +209,20 @@ def publish_allowlist(spark, sf_dir):
     return P.publish_report(spark, root, PUBLISHED)
 
 
+#: Raw tables and an unlisted mart: none may be readable under the publish root.
+WITHHELD = ["lineitem", "orders", "customer", "supplier", "events", "unpivot_roles"]
+
+
+@query("publish_access", "SELECT * FROM (VALUES ('upset_rate', TRUE), " + ", ".join(f"('{n}', FALSE)" for n in WITHHELD)
+       + ") t(name, reachable) WHERE (SELECT COUNT(*) FROM lineitem) > 0")
+def q_publish_access(spark, sf_dir):
+    """The consumer's side: the published mart is there, nothing raw and nothing unlisted is."""
+    root = scratch_path(spark, "published")
+    marts = {"upset_rate": lambda: M.q_upset_rate(spark, sf_dir), "unpivot_roles": lambda: M.q_unpivot_roles(spark, sf_dir)}
+    P.publish(marts, ["upset_rate"], root)
+    return P.access_report(spark, root, ["upset_rate", *WITHHELD])
+
+
 @query("consumer_query", f"""
 SELECT tournament_year, eligible_match_count, upset_count, upset_rate_pct FROM {_mart_sql('upset_rate')} m""")
 def q_consumer_query(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +51,16 @@ def publish_report(spark: SparkSession, root: str, allowlist: Sequence[str]) ->
             F.lit(n).alias("view_name"), "row_count")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def access_report(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """One row per name: can a consumer of the publish root read it? (Raw and unlisted tables must come out false.)"""
+    def reachable(name: str) -> bool:
+        try:
+            read_published(spark, root, name)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
+    return spark.createDataFrame([(n, reachable(n)) for n in names], "name string, reachable boolean")

@@ -159,3 +159,27 @@ def test_rejects_and_summaries_are_appended_with_one_time_per_run(spark, tmp_pat
             ("c", 10, 3, False), ("d", 10, 0, True)]
     assert spark.read.parquet(str(tmp_path / "rejects")).count() == 6
     assert spark.read.parquet(str(tmp_path / "summary")).count() == 4
+
+
+def test_contests_over_bucketed_tables_need_no_exchange_on_the_order_key(spark, sf_dir):
+    from pitchline.plans import contests as C
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the plan shape at scale
+    try:
+        o, li = C.bucketed_partners(spark, sf_dir, 4)
+        plan = li.join(o, li.l_orderkey == o.o_orderkey)._jdf.queryExecution().executedPlan().toString()
+        whole = C.bucketed_contests(spark, sf_dir, 4)
+        shuffled = [x for x in whole._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert not any("orderkey" in x for x in shuffled)
+    assert whole.count() == C.table(spark, sf_dir, "lineitem").count()
+
+
+def test_raw_tables_are_not_reachable_under_the_publish_root(spark):
+    from pitchline.sources import publish as P
+    root = scratch_path(spark, "published")
+    P.publish({"mart": lambda: spark.range(3), "secret": lambda: spark.range(5)}, ["mart"], root)
+    got = {r.name: r.reachable for r in P.access_report(spark, root, ["mart", "secret", "lineitem"]).collect()}
+    assert got == {"mart": True, "secret": False, "lineitem": False}
