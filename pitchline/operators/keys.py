@@ -36,6 +36,7 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], key_col: str = "id",
         w = Window.orderBy(*sort_columns(order))
         return df.withColumn(key_col, (F.row_number().over(w) - 1 + start_c).cast("long"))
     cut = ranges(df, order, num_partitions)
+    df = cut.rows_of(df)
     within = Window.partitionBy("_bucket").orderBy(*sort_columns(order))
     rows = df.withColumn("_bucket", cut.bucket(df)).withColumn("_place", F.row_number().over(within))
     if not cut.splitters:
@@ -68,7 +69,7 @@ def running_total(hist: DataFrame, value_col: str, weight_col: str, by: Sequence
     """
     by = list(by)
     hist = cut_lineage(hist)
-    cut = ranges(hist, [*by, value_col], num_partitions)
+    cut = ranges(hist, [*by, value_col], num_partitions, written=True)
     bucketed = hist.withColumn("_bucket", cut.bucket(hist))
     within = (Window.partitionBy("_bucket", *by).orderBy(*sort_columns([value_col]))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))

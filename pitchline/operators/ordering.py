@@ -11,10 +11,11 @@ by bucket, and never checkpointed.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchline.session import cut_lineage, default_partitions
@@ -42,7 +43,7 @@ class Ranges:
     """Splitters of a total order, and the written order columns they were drawn from."""
 
     order: tuple[str, ...]
-    splitters: tuple[Row, ...]
+    splitters: tuple[tuple, ...]
     narrow: DataFrame
 
     def bucket(self, df: DataFrame) -> Column:
@@ -76,14 +77,23 @@ class Ranges:
         return out
 
 
-def ranges(df: DataFrame, order: Sequence[str], num_partitions: int | None = None, keep: Sequence[str] = ()) -> Ranges:
+    def rows_of(self, df: DataFrame) -> DataFrame:
+        """``df``, read from the written frame where that has all its columns."""
+        return self.narrow.select(*df.columns) if set(df.columns) <= set(self.narrow.columns) else df
+
+
+def ranges(df: DataFrame, order: Sequence[str], num_partitions: int | None = None, keep: Sequence[str] = (),
+           written: bool = False) -> Ranges:
     """Cut the order of ``df`` into some ``BUCKETS_PER_PARTITION`` buckets per partition.
 
-    ``keep`` names further columns of the written narrow frame. The sample is
-    ``SAMPLE_PER_BUCKET`` rows a bucket, whatever the number of rows.
+    ``keep`` names further columns of the written narrow frame; ``written``
+    says that ``df`` is a table already. The sample is ``SAMPLE_PER_BUCKET``
+    rows a bucket, whatever the number of rows. Splitters hold the shortest
+    run of leading order columns of which no value fills half a bucket.
     """
     names = [ascending(c)[0] for c in order]
-    narrow = cut_lineage(df.select(*dict.fromkeys([*names, *keep])))
+    narrow = df.select(*dict.fromkeys([*names, *keep]))
+    narrow = narrow if written else cut_lineage(narrow)
     rows = narrow.count()
     buckets = BUCKETS_PER_PARTITION * (num_partitions or default_partitions(df.sparkSession))
     if rows <= SMALL_ROWS or buckets < 2:
@@ -91,8 +101,13 @@ def ranges(df: DataFrame, order: Sequence[str], num_partitions: int | None = Non
     wanted = SAMPLE_PER_BUCKET * buckets
     sample = narrow.select(*names).sample(min(1.0, wanted / rows), seed=7)
     drawn = sample.coalesce(1).orderBy(*sort_columns(order)).collect()  # about ``wanted`` rows
-    cuts = [drawn[len(drawn) * k // buckets] for k in range(1, buckets)] if drawn else []
-    return Ranges(tuple(order), tuple(dict.fromkeys(cuts)), narrow)
+    if not drawn:
+        return Ranges(tuple(order), (), narrow)
+    columns = 1
+    while columns < len(names) and max(Counter(tuple(map(repr, r[:columns])) for r in drawn).values()) * buckets * 2 > len(drawn):
+        columns += 1
+    cuts = [tuple(drawn[len(drawn) * k // buckets][:columns]) for k in range(1, buckets)]
+    return Ranges(tuple(order[:columns]), tuple(c for k, c in enumerate(cuts) if not k or repr(c) != repr(cuts[k - 1])), narrow)
 
 
 def before_bucket(df: DataFrame, total: Column, by: Sequence[str] = ()) -> DataFrame:

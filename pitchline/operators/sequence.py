@@ -31,6 +31,7 @@ def lag_within(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequenc
     part, order, values = list(partition_cols), list(order_cols), list(value_cols)
     whole = [*part, *order]
     cut = ranges(df, whole, num_partitions, keep=values)
+    df = cut.rows_of(df)
     if not cut.splitters:
         w = Window.partitionBy(*part).orderBy(*sort_columns(order))
         return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
