@@ -179,29 +179,36 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     counts the table's rows. The findings are written once, as rejects and
     summary both read them.
     """
-    kind = "struct<check:string,table:string,key:string,same:string,detail:string>"
+    kind = "struct<check:int,key:string,same:string,detail:string>"
+    none = F.lit(None).cast("string")
 
-    def entry(check: Check | None) -> Column:
-        if check is None:
-            return F.struct(F.lit(None).cast("string"), F.lit(table), F.lit(None).cast("string"), F.lit(None).cast("string"),
-                            F.lit(None).cast("string")).cast(kind)
-        # only copies of one key may be counted together, whatever the key prints as
-        same = row_text(df, check.keys) if check.repeated else F.lit(None).cast("string")
-        found = F.struct(F.lit(check.name), F.lit(table), check.record_key(), same, check.detail).cast(kind)
-        return F.when(check.failing, found)
+    def entry(number: int) -> Column:
+        check = checks[number]
+        if not check.repeated:
+            return F.when(check.failing, F.struct(F.lit(number), check.record_key(), none, check.detail).cast(kind))
+        # only copies of one key may be counted together; keys of numbers and dates never print alike
+        plain = all(isinstance(df.schema[k].dataType, (T.NumericType, T.DateType, T.BooleanType)) for k in check.keys)
+        return F.struct(F.lit(number), check.record_key(), none if plain else row_text(df, check.keys), none).cast(kind)
 
     rows = df
     for check in checks:
         rows = check.attach(rows)
-    entries = F.array(entry(None), *[entry(c) for c in checks])
+    every = F.struct(F.lit(-1), none, none, none).cast(kind)
+    entries = F.array(every, *[entry(k) for k in range(len(checks))])
     found = (rows.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e")).select("e.*")
-             .groupBy("check", "table", "key", "same", "detail").agg(F.count(F.lit(1)).alias("copies")))
-    counted = [c.name for c in checks if c.repeated]
-    kept = found.where(F.col("check").isNull() | ~F.col("check").isin(counted) | (F.col("copies") > 1)) if counted else found
-    none = df.sparkSession.range(1).select(entry(None).alias("e"), F.lit(0).cast("long").alias("copies")).select("e.*", "copies")
-    kept = kept.unionByName(none)  # the row count of an empty table
-    return cut_lineage(kept.select(F.col("check").alias("check_name"), F.col("table").alias("table_name"),
-                                   F.col("key").alias("record_key"), "detail", "copies"))
+             .groupBy("check", "key", "same", "detail").agg(F.count(F.lit(1)).alias("copies")))
+    # the row count of an empty table
+    found = found.unionByName(df.sparkSession.range(1).select(every.alias("e"), F.lit(0).cast("long").alias("copies")).select("e.*", "copies"))
+    counted = [k for k, c in enumerate(checks) if c.repeated]
+    if counted:
+        found = found.where(~F.col("check").isin(counted) | (F.col("copies") > 1))
+    name, detail = none, F.col("detail")
+    for k, check in enumerate(checks):
+        name = F.when(F.col("check") == k, F.lit(check.name)).otherwise(name)
+        if check.repeated:
+            detail = F.when(F.col("check") == k, check.detail).otherwise(detail)
+    return cut_lineage(found.select(name.alias("check_name"), F.lit(table).alias("table_name"), F.col("key").alias("record_key"),
+                                    detail.alias("detail"), "copies"))
 
 
 def compare_counts(df: DataFrame, col: str, expected: DataFrame, exp_col: str = "category",
