@@ -60,15 +60,16 @@ def append_keys(df: DataFrame, existing: DataFrame, order_cols: Sequence[str],
 
 
 def running_total(hist: DataFrame, value_col: str, weight_col: str, by: Sequence[str] = (),
-                  out_col: str = "cum", num_partitions: int | None = None) -> DataFrame:
+                  out_col: str = "cum", num_partitions: int | None = None, written: bool = False) -> DataFrame:
     """Inclusive running sum of ``weight_col`` in ``value_col`` order, per ``by`` group.
 
     A histogram with many distinct values (or one huge group) is split across
     buckets, and the sums of the lower buckets are carried as offsets. The
-    histogram is an aggregate of the rows, so it is written once for its steps.
+    histogram is an aggregate of the rows, so it is written once for its steps,
+    unless it comes ``written``.
     """
     by = list(by)
-    hist = cut_lineage(hist)
+    hist = hist if written else cut_lineage(hist)
     cut = ranges(hist, [*by, value_col], num_partitions, written=True)
     bucketed = hist.withColumn("_bucket", cut.bucket(hist))
     within = (Window.partitionBy("_bucket", *by).orderBy(*sort_columns([value_col]))

@@ -277,8 +277,8 @@ def group_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def group_medians(hist: DataFrame, group: str, value: str, count: str = "c") -> DataFrame:
-    """Exact median per group from a (group, value, count) histogram (no group held in one task)."""
-    cum = running_total(hist.select(group, value, F.col(count).alias("t")), value, "t", [group], out_col="cum")
+    """Exact median per group from a written (group, value, count) histogram (no group held in one task)."""
+    cum = running_total(hist.select(group, value, F.col(count).alias("t")), value, "t", [group], out_col="cum", written=True)
     n = cum.groupBy(group).agg(F.sum("t").alias("n"))
     lo_pos = F.floor((F.col("n") + 1) / 2)
     hi_pos = F.ceil((F.col("n") + 1) / 2)
