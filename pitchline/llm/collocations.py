@@ -174,13 +174,26 @@ def bloom(phrases: DataFrame, max_bytes: int) -> Bloom:
     return Bloom(words)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], max_bytes: int = 3 << 20) -> Iterator[pa.RecordBatch]:
+    """Small batches joined up to some ``max_bytes``: equal words and phrases meet before the shuffle more often."""
+    held, size = [], 0
+    for batch in row_slices(batches, max_bytes):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= max_bytes:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def counted(parsed: DataFrame, length: int, parts: Bloom | None = None) -> DataFrame:
     """(lang, phrase, n) of the phrases of ``length`` words whose two longest parts ``parts`` may hold."""
     sent = parsed.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = sent.value
-        for batch in row_slices(batches, 4 << 20):
+        for batch in gathered(batches):
             words, row, _ = scan(batch.column(1))
             own, freq = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             codes, h = coded(words)
