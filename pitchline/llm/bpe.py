@@ -30,8 +30,10 @@ from pitchline.llm.common import bounded_batches, row_slices, text_or_empty
 
 #: Pre-tokenizer pattern of byte-level BPE vocabularies. Fixed value.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Pieces kept encoded per worker before the store starts anew.
-STORE_PIECES = 400_000
+#: Bytes of encoded chunks kept per worker before the store starts anew; it grows past them by one slice at most.
+STORE_BYTES = 100 << 20
+#: What a chunk takes in the store beside its characters and ids.
+CHUNK_BYTES = 200
 #: Bytes of text encoded at a time and ids decoded at a time: what a worker needs beside its store grows with them.
 SLICE_BYTES, DECODE_BLOCK = 1 << 21, 1 << 16
 #: Pairs ranked before this are merged by array steps; the rest, whose lists are short, position by position.
@@ -196,10 +198,12 @@ class _Rows(dict):
     def __init__(self):
         super().__init__()
         self.waiting: list[str] = []
+        self.characters = 0
 
     def __missing__(self, chunk: str) -> int:
         self[chunk] = row = len(self)
         self.waiting.append(chunk)
+        self.characters += len(chunk)
         return row
 
 
@@ -216,6 +220,10 @@ class Encoder:
         self.start = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
+    def held(self) -> int:
+        """Bytes of the store, four a character."""
+        return 4 * self.rows.characters + CHUNK_BYTES * len(self.rows) + self.ids.nbytes
+
     def chunks(self, text: str) -> list[str]:
         """``text`` cut where a space comes before something visible: always a border between pieces."""
         if not text:
@@ -234,7 +242,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts side by side, offsets of the texts in them)."""
-        if len(self.rows) > STORE_PIECES:
+        if self.held() > STORE_BYTES:
             self.clear()
         special, split = self.vocab.special, self.vocab.special_split
         per_text, row_parts = [], []

@@ -6,20 +6,23 @@ corpus as it is. With class prior p and logistic loss l, training minimises
     p * E_P[l(f)] + max(0, E_U[l(-f)] - p * E_P[l(-f)])
 
 (the non-negative unbiased risk); the bias then moves to the cut with the least
-unbiased error. The prior is estimated from the same two
-samples: a plain positive-versus-unlabelled model ranks texts, and p is the
-smallest ratio of the unlabelled to the positive share above any threshold,
-with a confidence margin on both shares. Labels of bad documents are not used.
+unbiased error. For the prior, plain positive-versus-unlabelled models rank
+texts, and p is the smallest ratio of the unlabelled to the positive share
+above any threshold, with a confidence margin on both shares. Labels of bad
+documents are not used.
 
 f is additive over quantile bins of text statistics (character classes,
-repetition, lengths). Both samples are bounded (``sample`` rows each, the
-smallest hashes of the id); only their statistics come to the driver.
-Scoring covers every whole text.
+repetition, lengths). Weights are fitted on two bounded samples (``sample``
+rows each, the smallest hashes of the id), of which only statistics come to
+the driver, one row an id. Prior and cut are taken from all documents: their
+bin numbers are written once (a byte a statistic), and a histogram of scores
+on a fixed grid, combined map-side, comes to the driver. Scoring covers every
+whole text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -96,56 +99,102 @@ def _descend(pos: np.ndarray, unl: np.ndarray, shape: tuple[int, int], gradient,
 
 
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, confidence: float = 0.5) -> float:
-    """Smallest U(score >= t) / P(score >= t), each share moved by its DKW margin against a too small value."""
-    cuts = np.unique(pos)
-    p = 1 - np.searchsorted(np.sort(pos), cuts, "left") / len(pos)
-    u = 1 - np.searchsorted(np.sort(unl), cuts, "left") / len(unl)
-    margin = [np.sqrt(np.log(2 / confidence) / (2 * len(s))) for s in (pos, unl)]
-    bound = (u + margin[1]) / np.maximum(p - margin[0], 1e-9)
+    """Smallest U(score >= t) / P(score >= t), each share moved by its DKW margin against a too small value.
+
+    Both samples are counts per cell of one score grid.
+    """
+    (p, u), sizes = _shares_above(pos, unl)
+    margin = [np.sqrt(np.log(2 / confidence) / (2 * size)) for size in sizes]
+    bound = np.where(pos > 0, (u + margin[1]) / np.maximum(p - margin[0], 1e-9), np.inf)
     best = int(np.argmin(bound))
     return float(np.clip(u[best] / max(p[best], 1e-9), 0.02, 0.98))
 
 
-def best_cut(pos: np.ndarray, unl: np.ndarray, prior: float, slack: float = 0.3) -> float:
-    """The cut with the least unbiased error: p * P(below) + U(above) - p * P(above).
+def best_cut(pos: np.ndarray, unl: np.ndarray, prior: float, slack: float = 0.3) -> int:
+    """The grid cell with the least unbiased error: p * P(below) + U(above) - p * P(above).
 
     It lies where the densities cross, so it hardly moves with the prior. Of
-    cuts whose error is within the noise of the positive sample (``slack`` /
+    cells whose error is within the noise of the positive sample (``slack`` /
     sqrt of its size) of the least, the lowest is taken: in doubt a document
     stays.
     """
-    cuts = np.unique(np.concatenate([pos, unl]))
-    above = [1 - np.searchsorted(np.sort(s), cuts, "left") / len(s) for s in (pos, unl)]
-    error = above[1] - 2 * prior * above[0]
-    return float(cuts[error <= error.min() + slack / np.sqrt(len(pos))][0])
+    (p, u), sizes = _shares_above(pos, unl)
+    error = np.where(pos + unl > 0, u - 2 * prior * p, np.inf)
+    return int(np.flatnonzero(error <= error.min() + slack / np.sqrt(sizes[0]))[0])
+
+
+def _shares_above(*counts: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+    """(share of each sample in a cell or above it, sizes of the samples)."""
+    return [np.cumsum(c[::-1])[::-1] / c.sum() for c in counts], [int(c.sum()) for c in counts]
+
+
+#: Scores before the sigmoid are counted in this many cells an integer step, from -GRID_END to GRID_END.
+GRID_STEPS, GRID_END = 64, 32
+#: Random halvings of the documents; each text is ranked by models of the other half.
+SPLITS = 5
+
+
+def to_grid(raw: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor((raw + GRID_END) * GRID_STEPS), 0, 2 * GRID_END * GRID_STEPS - 1).astype(np.int64)
+
+
+def place(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Bin number of every statistic."""
+    return np.stack([np.searchsorted(edges[j], x[:, j], "right") for j in range(len(edges))], axis=1).astype(np.uint8)
+
+
+def score_counts(placed: np.ndarray, split: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(splits, cells): how many rows fall into each cell of the score grid.
+
+    ``weights[s, h]`` scores the rows whose bit s of ``split`` is h.
+    """
+    k = np.arange(placed.shape[1])
+    out = np.zeros((len(weights), 2 * GRID_END * GRID_STEPS), np.int64)
+    for s, by_half in enumerate(weights):
+        half = (split >> s) & 1
+        for h in (0, 1):
+            raw = by_half[h][k, placed[half == h]].sum(axis=1)
+            out[s] += np.bincount(to_grid(raw), minlength=out.shape[1])
+    return out
 
 
-def fit(pos: np.ndarray, unl: np.ndarray, bins: int = 12, rounds: int = 400, step: float = 0.05,
-        l2: float = 1e-3, prior: float | None = None) -> AdditiveModel:
-    """Fewer than two positives or unlabelled rows give the constant score 0.5."""
+def fit(pos: np.ndarray, unl: np.ndarray, split_pos: np.ndarray | None = None, split_unl: np.ndarray | None = None,
+        count_all: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None, bins: int = 12, rounds: int = 400,
+        step: float = 0.05, l2: float = 1e-3, prior: float | None = None) -> AdditiveModel:
+    """Weights from the samples ``pos`` and ``unl``, prior and cut from ``count_all(edges, weights)``.
+
+    ``count_all`` gives ``score_counts`` of all documents (default: of
+    ``unl``); ``split_*`` are the halvings of the rows as bits (default:
+    drawn). Fewer than two positives or unlabelled rows give the constant
+    score 0.5.
+    """
     k = N_FEATURES
     if len(pos) < 2 or len(unl) < 2:
         return AdditiveModel(np.zeros((k, bins - 1)), np.zeros((k, bins)), 0.0, 0.5)
     edges = np.quantile(np.concatenate([pos, unl]), np.linspace(0, 1, bins + 1)[1:-1], axis=0).T
-    place = lambda x: np.stack([np.searchsorted(edges[j], x[:, j], "right") for j in range(k)], axis=1)
-    p, u = place(pos), place(unl)
+    p, u = place(pos, edges), place(unl, edges)
     n, m = len(p), len(u)
+    drawn = np.random.default_rng(0).integers(0, 1 << SPLITS, n + m)
+    split_pos = drawn[:n] if split_pos is None else split_pos
+    split_unl = drawn[n:] if split_unl is None else split_unl
+    if count_all is None:
+        def count_all(_, weights):
+            return score_counts(u, split_unl, weights)
 
     def plain(fp, fu):
         return -_sigmoid(-fp) / len(fp), _sigmoid(fu) / len(fu)
 
+    def with_bias(w, b):  # each row takes one weight of the first statistic
+        return np.concatenate([w[:1] + b, w[1:]])
+
     if prior is None:  # every text is ranked by a model that has not seen it, for several splits
-        found = []
-        for split in range(5):
-            rng = np.random.default_rng(split)
-            half_p, half_u = rng.permutation(n) % 2, rng.permutation(m) % 2
-            ranked_p, ranked_u = np.zeros(n), np.zeros(m)
+        crossed = np.zeros((SPLITS, 2, k, bins))
+        for s in range(SPLITS):
             for half in (0, 1):
-                w, b = _descend(p[half_p == half], u[half_u == half], (k, bins), plain, rounds, step, l2)
-                ranked_p[half_p != half] = w[np.arange(k), p[half_p != half]].sum(axis=1) + b
-                ranked_u[half_u != half] = w[np.arange(k), u[half_u != half]].sum(axis=1) + b
-            found.append(estimate_prior(ranked_p, ranked_u))
-        prior = float(np.median(found))
+                in_p, in_u = (split_pos >> s) & 1 != half, (split_unl >> s) & 1 != half
+                crossed[s, half] = with_bias(*_descend(p[in_p], u[in_u], (k, bins), plain, rounds, step, l2))
+        prior = float(np.median([estimate_prior(*both) for both in zip(
+            score_counts(p, split_pos, crossed), count_all(edges, crossed))]))
 
     def non_negative(fp, fu):
         loss = lambda z: np.logaddexp(0, -z)
@@ -157,25 +206,56 @@ def fit(pos: np.ndarray, unl: np.ndarray, bins: int = 12, rounds: int = 400, ste
         return on_p - sign * prior * _sigmoid(fp) / n, on_u + sign * _sigmoid(fu) / m
 
     w, b = _descend(p, u, (k, bins), non_negative, rounds, step, l2)
-    rank = lambda x: w[np.arange(k), x].sum(axis=1) + b
-    return AdditiveModel(edges, w, b - best_cut(rank(p), rank(u), prior), prior)
+    final = np.broadcast_to(with_bias(w, b), (1, 2, k, bins))
+    cut = best_cut(score_counts(p, split_pos, final)[0], count_all(edges, final)[0], prior)
+    return AdditiveModel(edges, w, b - (cut / GRID_STEPS - GRID_END), prior)
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """rows(trusted, unlabelled, text) -> the same with their statistics."""
+    """rows(id, trusted, unlabelled, split, text) -> the same with the statistics of the text."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in row_slices(batches):
+            x = [statistics(t) for t in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(x, pa.list_(pa.float64()))],
+                                             ["id", "trusted", "unlabelled", "split", "x"])
+    return bounded_batches(rows).mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, trusted boolean, "
+                                                 "unlabelled boolean, split int, x array<double>")
+
+
+def _placed(rows: DataFrame, edges: np.ndarray) -> DataFrame:
+    """rows(split, text) -> (split, bin numbers of the text's statistics, a byte each)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches):
-            x = [statistics(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))],
-                                             ["trusted", "unlabelled", "x"])
-    return bounded_batches(rows).mapInArrow(run, "trusted boolean, unlabelled boolean, x array<double>")
+            x = np.array([statistics(t) for t in batch.column(1).to_pylist()]).reshape(-1, N_FEATURES)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in place(x, edges)], pa.binary())],
+                                             ["split", "placed"])
+    return bounded_batches(rows).mapInArrow(run, "split int, placed binary")
+
+
+def _count_scores(placed: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """``score_counts`` of a table (split, placed): at most one row a split and cell comes to the driver."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(weights), 2 * GRID_END * GRID_STEPS), np.int64)
+        for batch in batches:
+            bins = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, N_FEATURES)
+            total += score_counts(bins, batch.column(0).to_numpy(), weights)
+        s, cell = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(cell, pa.int64()), pa.array(total[s, cell])],
+                                         ["s", "cell", "n"])
+    out = np.zeros((len(weights), 2 * GRID_END * GRID_STEPS), np.int64)
+    for r in placed.mapInArrow(run, "s long, cell long, n long").groupBy("s", "cell").agg(F.sum("n").alias("n")).collect():
+        out[r.s, r.cell] = r.n
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
           text_col: str = "text", folds: int = 3, held_out: int = 1, sample: int = 6000, **options) -> AdditiveModel:
-    """Fit on at most ``sample`` trusted positives outside the held-out fold and ``sample`` corpus texts.
+    """Weights from at most ``sample`` trusted positives outside the held-out fold and ``sample`` corpus texts;
+    class prior and cut from all rows of ``docs``.
 
-    Labels other than 1, NULL ids and repeated label rows are left out.
+    Labels other than 1, NULL ids and repeated label rows are left out of the
+    samples, and of rows that share an id one stands for it there. NULL texts
+    count as empty. An empty table gives the constant score 0.5.
     """
     trusted = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
                .where((F.col("label") == 1) & F.col("id").isNotNull() & (crc32_fold(F.col("id"), folds) != held_out))
@@ -187,15 +267,24 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     chosen = (trusted.unionByName(corpus).groupBy("id")
               .agg(F.bool_or("trusted").alias("trusted"), F.bool_or("unlabelled").alias("unlabelled")))
     chosen = broadcast_if_small(land(chosen, "quality-sample"))  # 2 * sample rows at most
-    texts = (docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-             .join(chosen, "id").select("trusted", "unlabelled", "text"))
-    rows = _described(texts).toArrow()
+    split = (F.xxhash64(F.col("id"), F.lit("split")).bitwiseAND((1 << SPLITS) - 1)).cast("int").alias("split")
+    every = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    texts = every.join(chosen, "id").select("id", "trusted", "unlabelled", split, "text")
+    # repeated ids: one row each, so that 2 * sample rows at most come to the driver
+    rows = (_described(texts).groupBy("id").agg(F.min(F.struct("x", "trusted", "unlabelled", "split")).alias("r"))
+            .select("r.*").toArrow())
     x = np.array(rows["x"].to_pylist(), float).reshape(-1, N_FEATURES)
-    order = np.lexsort(x.T)  # rows arrive in any order
-    x = x[order]
-    trusted_rows = rows["trusted"].to_numpy(zero_copy_only=False).astype(bool)[order] if len(x) else np.zeros(0, bool)
-    other_rows = rows["unlabelled"].to_numpy(zero_copy_only=False).astype(bool)[order] if len(x) else np.zeros(0, bool)
-    return fit(x[trusted_rows], x[other_rows], **options)
+    order = np.lexsort([rows["split"].to_numpy(), *x.T])  # rows arrive in any order
+    x, split_of = x[order], rows["split"].to_numpy()[order]
+    trusted_rows, other_rows = (np.array(rows[c].to_pylist(), bool)[order] for c in ("trusted", "unlabelled"))
+    tables: list[DataFrame] = []
+
+    def count_all(edges: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        if not tables:
+            tables.append(land(_placed(every.select(split, "text"), edges), "quality-bins"))
+        return _count_scores(tables[0], weights)
+
+    return fit(x[trusted_rows], x[other_rows], split_of[trusted_rows], split_of[other_rows], count_all, **options)
 
 
 def score_column(docs: DataFrame, model: AdditiveModel, text_col: str = "text") -> Column:
@@ -223,5 +312,10 @@ def score(docs: DataFrame, model: AdditiveModel, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, model: AdditiveModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the model accepts, with their columns unchanged."""
+    """The rows of ``docs`` that the model accepts, with their columns unchanged, whatever their names.
+
+    NULL texts count as empty; each row is judged by itself, so repeated rows
+    and ties go or stay together; texts of any length are read whole; an
+    empty table gives an empty result.
+    """
     return docs.where(score_column(docs, model, text_col) >= 0.5)

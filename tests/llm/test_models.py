@@ -102,6 +102,58 @@ def test_pu_odd_rows(spark):
         assert pu_quality.keep_good(data, model).columns == docs.columns
 
 
+def test_prior_and_cut_come_from_all_documents(spark, monkeypatch):
+    docs, labels = common.table(spark, SMALL, "documents"), common.table(spark, SMALL, "labels")
+    docs = docs.unionByName(docs.limit(20))  # repeated ids count as rows, and stand once in the sample
+    split = "cast(xxhash64(doc_id, 'split') & 31 as int) AS split"
+    rows = docs.selectExpr("coalesce(text, '') AS text", split).collect()
+    counted, seen = pu_quality._count_scores, []
+
+    def held_against_brute_force(placed, weights):
+        got = counted(placed, weights)
+        expect = np.zeros_like(got)
+        for r in rows:
+            x = pu_quality.statistics(r.text)
+            for s in range(len(weights)):
+                w = weights[s][r.split >> s & 1]
+                raw = sum(w[j][sum(e <= x[j] for e in edges[-1][j])] for j in range(len(x)))
+                expect[s, int((raw + pu_quality.GRID_END) // (1 / pu_quality.GRID_STEPS))] += 1
+        assert got.sum(axis=1).tolist() == [len(rows)] * len(weights)
+        assert np.abs(got - expect).sum() <= 4  # sums on a cell's border may fall to either side
+        seen.append(len(weights))
+        return got
+
+    edges, placed_by = [], pu_quality._placed
+    monkeypatch.setattr(pu_quality, "_placed", lambda r, e: edges.append(e) or placed_by(r, e))
+    monkeypatch.setattr(pu_quality, "_count_scores", held_against_brute_force)
+    model = pu_quality.train(docs, labels, sample=60)
+    assert seen == [pu_quality.SPLITS, 1] and 0.02 <= model.prior <= 0.98
+
+
+def naive_risk(w, pos, unl, prior):
+    """The non-negative unbiased risk of additive weights, row by row."""
+    loss = lambda z: float(np.log1p(np.exp(-z)))
+    f = lambda row: sum(w[j][b] for j, b in enumerate(row))
+    mean = lambda xs: sum(xs) / len(xs)
+    return (prior * mean([loss(f(r)) for r in pos])
+            + max(0.0, mean([loss(-f(r)) for r in unl]) - prior * mean([loss(-f(r)) for r in pos])))
+
+
+def test_fit_lowers_the_naive_risk_below_its_neighbours():
+    rng = np.random.default_rng(5)
+    pos = rng.normal(size=(60, pu_quality.N_FEATURES))
+    unl = np.concatenate([rng.normal(size=(40, pu_quality.N_FEATURES)), rng.normal(2, 1, (40, pu_quality.N_FEATURES))])
+    model = pu_quality.fit(pos, unl, bins=4, rounds=1500, step=0.02, l2=0.02, prior=0.5)
+    p, u = pu_quality.place(pos, model.edges), pu_quality.place(unl, model.edges)
+    objective = lambda w: naive_risk(w, p, u, 0.5) + 0.01 * float((w ** 2).sum())
+    # the bias of the risk's minimum is not kept (the cut moves it): find it again
+    biased = lambda b: np.concatenate([model.weight[:1] + b, model.weight[1:]])
+    bias = min(np.linspace(-6, 6, 241), key=lambda b: naive_risk(biased(b), p, u, 0.5))
+    least = objective(biased(bias))
+    assert least < 0.5 * objective(np.zeros_like(model.weight))
+    assert np.mean([objective(biased(bias) + rng.normal(0, 0.3, model.weight.shape)) > least for _ in range(40)]) == 1
+
+
 def test_op10_held_out(spark):
     rows = held_out_rows(spark, "op10_pu_quality", "quality", 3, 1)
     assert (rows.predicted == rows.quality).mean() > 0.98

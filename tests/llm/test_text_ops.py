@@ -228,7 +228,7 @@ def test_bpe_bulk_and_single_steps_agree_and_a_full_store_starts_anew(encoder, m
     texts = ["aaaaaaa" * 50, "the thing in the theatre " * 9, "x"]
     expect = encoder.encode(texts)[0].tolist()
     monkeypatch.setattr(bpe, "BULK_RANKS", 0)
-    monkeypatch.setattr(bpe, "STORE_PIECES", 1)
+    monkeypatch.setattr(bpe, "STORE_BYTES", 1)
     assert encoder.encode(texts)[0].tolist() == expect
 
 
