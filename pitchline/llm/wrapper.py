@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -62,8 +63,12 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising sponsor spons
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}, "option": {"option"}}
 _LISTS = frozenset("ul ol dl table menu".split())
-#: Blocks nested deeper become siblings, as in browsers; no text is lost.
+#: Blocks nested deeper become siblings in the tree, as in browsers; no text is lost, and marks of open blocks hold on.
 MAX_DEPTH = 200
+#: Parts of a class that make it speak about the layout ("l-no-sidebar") and mark nothing. Fixed values.
+LAYOUT = frozenset("no not without has with layout l".split())
+#: Elements that head a page's article; a page's only one tells which block must not be set apart by its classes.
+HEADS = ("article", "main", "h1")
 
 
 @dataclass
@@ -91,7 +96,8 @@ def _marked(attributes: str, inside_article: bool, tag: str) -> tuple[str, bool]
         return "", False
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
     name = f"{found.get('class', '')} {found.get('id', '')}".strip().lower()
-    words = set(re.split(r"[^a-z]+", f"{name} {found.get('role', '').lower()}"))
+    tokens = [set(re.split(r"[^a-z]+", t)) for t in f"{name} {found.get('role', '').lower()}".split()]
+    words = set().union(*(t for t in tokens if not t & LAYOUT))
     hidden = "hidden" in found or "display:none" in found.get("style", "").replace(" ", "").lower()
     marked = bool(words & MARKS) or ("header" in words and not inside_article) or hidden
     return name, marked and tag not in ("html", "body", "article", "main")
@@ -103,6 +109,11 @@ def parse(text: str) -> Page:
     parent, tags, labels, apart = page.parent, page.tag, page.label, page.apart
     parent.append(-1), tags.append(""), labels.append(0), apart.append(False)
     stack, buffer, links, link_depth, pos, end = [0], [], 0, 0, 0, len(text)
+    outer, marks, inside, opened = [-1], [0], [False], Counter()  # marks: 1 by class or role, 2 by the element
+
+    def shut(k: int) -> None:
+        opened.subtract(tags[b] for b in stack[k:])
+        del stack[k:]
 
     def border():
         nonlocal links
@@ -139,34 +150,61 @@ def parse(text: str) -> Page:
         border()
         link_depth = 0
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if tags[stack[k]] == tag:
-                    del stack[k:]
+                    shut(k)
                     break
             continue
         if tag != "option" and "p" in (tags[b] for b in stack[-2:]):  # a block ends an open paragraph
             while tags[stack[-1]] == "p" or (len(stack) > 1 and tags[stack[-2]] == "p"):
-                stack.pop()
+                shut(len(stack) - 1)
         if tag in _ENDS:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened[t] for t in _ENDS[tag]) else ():
                 if tags[stack[k]] in _ENDS[tag]:
-                    del stack[k:]
+                    shut(k)
                     break
                 if tags[stack[k]] in _LISTS:
                     break
         up = stack[-1]
-        inside = any(tags[b] in ("article", "main") for b in stack)
-        name, marked = _marked(m[3] or m[6] or "", inside, tag)
-        parent.append(up)
+        name, marked = _marked(m[3] or m[6] or "", inside[up], tag)
+        outer.append(up)
+        parent.append(stack[min(len(stack), MAX_DEPTH) - 1])
         tags.append(tag)
         labels.append(xxhash.xxh32_intdigest(f"{tag} {name}" if name else tag))
-        apart.append(apart[up] or tag in APART or marked or (tag == "header" and not inside))
-        if len(stack) < MAX_DEPTH:
-            stack.append(len(tags) - 1)
+        marks.append(2 if tag in APART or (tag == "header" and not inside[up]) else 1 if marked else 0)
+        inside.append(inside[up] or tag in ("article", "main"))
+        stack.append(len(tags) - 1)
+        opened[tag] += 1
     border()
+    _unmark_main(page, outer, marks)
+    for k in range(1, len(tags)):
+        apart.append(apart[outer[k]] or marks[k] > 0)
     return page
 
 
+def _unmark_main(page: Page, outer: list[int], marks: list[int]) -> None:
+    """Take the marks off blocks whose classes would set the page's main mass apart.
+
+    Such a block holds the page's only article, main or h1 element, and at
+    least half of the text that no element sets apart.
+    """
+    n = len(outer)
+    by_element, size = [False] * n, [0] * n
+    for k in range(1, n):
+        by_element[k] = by_element[outer[k]] or marks[k] == 2
+    for block, raw, _ in page.runs:
+        if not by_element[block]:
+            size[block] += len(raw) - raw.count(" ") - raw.count("\n")
+    for k in range(n - 1, 0, -1):
+        size[outer[k]] += size[k]
+    heads = {tag: [k for k in range(1, n) if page.tag[k] == tag and not by_element[k]] for tag in HEADS}
+    for head in (found[0] for found in heads.values() if len(found) == 1):
+        while head > 0:
+            if marks[head] == 1 and size[head] * 2 >= size[0]:
+                marks[head] = 0
+            head = outer[head]
+
+
 def skeleton(page: Page) -> np.ndarray:
     """int64 rows, one per block: parent, label, hash of own text, text length, link length, kind.
 

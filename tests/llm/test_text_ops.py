@@ -111,6 +111,28 @@ def test_odd_pages(spark):
     assert wrapper.extract_main_text(df.limit(0)).collect() == []
 
 
+def alone(html):
+    return wrapper.extract(wrapper.parse(html), None, None)
+
+
+def test_marks_hold_at_any_depth():
+    for depth in (10, 150, 250, 3000):
+        page = "<p>The story goes on.</p>" + "<div>" * depth + "<nav><ul><li>Home</li><li>News</li></ul></nav>" + "</div>" * depth
+        assert alone(page) == "The story goes on."
+        assert "Home" not in alone(f"<nav>{'<div>' * depth}Home{'</div>' * depth}</nav><p>The story goes on.</p>")
+        assert alone("<div>" * depth + "<p>One.</p>" + "</div>" * depth + "<p>Two.</p>") == "One.\nTwo."
+
+
+def test_class_words_do_not_empty_a_page():
+    body = "<h1>Title</h1><p>The story goes on for a while.</p><div class='share'>Tell friends</div>"
+    for name in ("l-no-sidebar", "post social-story", "content related-search-notice"):
+        assert alone(f"<nav>Home</nav><div class='{name}'>{body}</div><div class='comments'><p>Me first</p></div>") == (
+            "Title\nThe story goes on for a while.")
+    # a short marked block keeps its mark even around the only heading, and so do several articles
+    assert alone("<div class='banner'><h1>Buy</h1></div><p>The story goes on for a while.</p>") == "The story goes on for a while."
+    assert alone("<p>Short.</p><div class='comments'><article>Long reply a</article><article>Long reply b</article></div>") == "Short."
+
+
 def test_simple_tree_matching_equals_plain_recursion():
     rng = np.random.default_rng(5)
 
