@@ -12,7 +12,7 @@ from pitchline.operators.keys import append_keys, assign_keys
 from pitchline.plans import contests as C
 from pitchline.plans import oracle as O
 from pitchline.plans.registry import query
-from pitchline.session import cut_lineage, scratch_path
+from pitchline.session import scratch_path, written
 from pitchline.sources import files as S
 
 # Fixed parameters of the registered queries.
@@ -272,7 +272,7 @@ FACT_HIST_ORDER = ["tournament_year", *FACT_ORDER]
 def _core_dims(spark, sf_dir):
     """The landing table (contests with names, written once to the shared folder)
     and the dimensions built from it; every fact query builds them once."""
-    raw = cut_lineage(_raw_matches(spark, sf_dir))
+    raw = written(_raw_matches(spark, sf_dir), "matches")
     # dimensions are written as tables: their file sizes give the optimizer
     # real statistics, so the fact joins broadcast them (size-checked)
     # instead of shuffling the fact once per dimension

@@ -104,3 +104,20 @@ def test_running_total_over_many_buckets_and_null_groups(spark, many_buckets):
     assert out.count() == 100 and out.where(F.col("cum") != F.col("v") + 1).count() == 0
     alone = running_total(h.where("g = 'a'").drop("g"), "v", "w", num_partitions=3)
     assert sorted((r.v, r.cum) for r in alone.collect()) == [(v, v + 1) for v in range(50)]
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("double", [float("nan"), None, -0.0, 5.5, 2.0, 5000.0, float("inf"), -7.25]), ("string", [None, "", "a", "ab", "é"]), ("int", [None, 3, -2, 8])])
+@pytest.mark.parametrize("sign", ["", "-"])
+def test_bucket_search_compares_plain_columns(spark, many_buckets, kind, values, sign):
+    df = spark.createDataFrame([(values[k * 5 % len(values)], k % 11 if k % 7 else None) for k in range(400)], f"v {kind}, n int")
+    cut = ordering.ranges(df, [sign + "v", "n"], 4)
+    splitters = cut.splitters
+    assert len(splitters) > 3
+    rows = df.select("v", "n", cut.bucket(df).alias("b"))
+    # a splitter comes first among its bucket's rows, and no row of a bucket comes before one of a lower bucket
+    sort = [F.desc("v") if sign else F.asc("v"), F.asc("n")]
+    got = [r.b for r in rows.coalesce(1).orderBy(*sort).collect()]
+    assert got == sorted(got) and set(got) <= set(range(len(splitters) + 1)) and len(set(got)) >= len(splitters)
+    # interpreted for every row and step: no struct is built or cast there
+    assert "struct" not in rows._jdf.queryExecution().optimizedPlan().toString()
