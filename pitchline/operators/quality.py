@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from pitchline.functions.columns import broadcast_if_small, count_if
 from pitchline.operators.cdc import row_text
-from pitchline.session import cut_lineage
+from pitchline.session import cut_lineage, default_partitions
 from pitchline.sources.files import utc_now
 
 
@@ -403,30 +403,61 @@ def fact_loss(raw: DataFrame, fact: DataFrame, label: str = "star join") -> Data
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column: type, null count, distinct count, an example (the minimum), whether its values are unique.
 
-    One scan and one aggregation, whatever the number of columns; the single
-    row of results is turned into a row per column. With ``exact=False``
-    distinct counts are HyperLogLog sketches and numbers, dates and timestamps
-    get their quartiles from a quantile sketch; both merge map-side in bounded
-    memory. The exact form counts distinct values by (column, value) groups.
+    One scan, whatever the number of columns; the single row of results is
+    turned into a row per column. With ``exact=False`` distinct counts are
+    HyperLogLog sketches and numbers, dates and timestamps get their quartiles
+    from a quantile sketch; both merge map-side in bounded memory. The exact
+    form reads all its figures from (column, value) groups with their counts.
     """
     fields = df.schema.fields
+    if exact:
+        return _exact_profile(df)
     aggs, entries = [F.count(F.lit(1)).alias("_rows")], []
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
         aggs += [F.count_if(c.isNull()).alias(f"_null{i}"), F.min(c).cast("string").alias(f"_min{i}"),
-                 (F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias(f"_distinct{i}")]
+                 F.approx_count_distinct(c).alias(f"_distinct{i}")]
         shown = [F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
                  F.col(f"_null{i}").cast("long").alias("null_count"), F.col(f"_distinct{i}").cast("long").alias("distinct_count"),
                  F.col(f"_min{i}").alias("example"), (F.col(f"_distinct{i}") == F.col("_rows")).alias("is_unique")]
-        if not exact:
-            measured = isinstance(f.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
-            if measured:
-                aggs.append(F.percentile_approx(c, [0.25, 0.5, 0.75]).cast("array<string>").alias(f"_quart{i}"))
-            shown.append((F.col(f"_quart{i}") if measured else F.lit(None).cast("array<string>")).alias("quartiles"))
+        measured = isinstance(f.dataType, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+        if measured:
+            aggs.append(F.percentile_approx(c, [0.25, 0.5, 0.75]).cast("array<string>").alias(f"_quart{i}"))
+        shown.append((F.col(f"_quart{i}") if measured else F.lit(None).cast("array<string>")).alias("quartiles"))
         entries.append(F.struct(*shown))
     return df.agg(*aggs).select(F.inline(F.array(*entries)))
 
 
+def _exact_profile(df: DataFrame) -> DataFrame:
+    """``profile`` from (column, value, rows) groups.
+
+    The rows are dealt evenly over a fixed number of tasks first, however the
+    table's files are cut, and become one narrow row per column that is
+    grouped by hash: no task holds or sorts the values of the whole table, and
+    a column of few values is counted where its rows lie. Grouping takes -0.0
+    for 0.0, so the minimum of floating columns is kept beside the key.
+    """
+    fields = df.schema.fields
+    plain = df.select(*[F.col(f"`{f.name}`").alias(f"_v{i}") for i, f in enumerate(fields)])
+    cells = [F.struct(F.lit(i).alias("_column"), *[(F.col(f"_v{k}") if k == i else F.lit(None).cast(f.dataType)).alias(f"_v{k}")
+                                                   for k, f in enumerate(fields)]) for i in range(len(fields))]
+    floating = [i for i, f in enumerate(fields) if isinstance(f.dataType, T.FractionalType)]
+    groups = (plain.repartition(default_partitions(df.sparkSession)).select(F.inline(F.array(*cells)))
+              .groupBy("_column", *plain.columns)
+              .agg(F.count(F.lit(1)).alias("_n"), *[F.min(f"_v{i}").alias(f"_low{i}") for i in floating]))
+    aggs, entries = [], []
+    for i, f in enumerate(fields):
+        here, null = F.col("_column") == i, F.col(f"_v{i}").isNull()
+        low = F.min(f"_low{i}" if i in floating else f"_v{i}")
+        count = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0))
+        aggs += [count(here & null).alias(f"_null{i}"), count(here).alias(f"_rows{i}"),
+                 low.cast("string").alias(f"_min{i}"), F.count_if(here & ~null).alias(f"_distinct{i}")]
+        entries.append(F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                                F.col(f"_null{i}").alias("null_count"), F.col(f"_distinct{i}").alias("distinct_count"),
+                                F.col(f"_min{i}").alias("example"), (F.col(f"_distinct{i}") == F.col(f"_rows{i}")).alias("is_unique")))
+    return groups.agg(*aggs).select(F.inline(F.array(*entries)))
+
+
 def cross_check(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Per key: MATCH / DIFFER / ONLY_A / ONLY_B with both values."""
     keys, cols = list(keys), list(cols)

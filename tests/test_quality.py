@@ -193,3 +193,18 @@ def test_windows_over_timestamps_and_numbers(spark):
         assert {r.k: r.window_name for r in times.select("k", "window_name").collect()} == want
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
+
+
+def test_profile_groups_narrow_rows_by_hash(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, "b", -0.0, None), (1, "a", 0.0, None), (2, None, nan, None), (None, "a", nan, None), (3, "", None, None)],
+                               "k long, `s.t` string, x double, gone date")
+    out = Q.profile(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "SortAggregate(key=[_" not in plan and "Expand" not in plan
+    assert [tuple(r) for r in out.orderBy("column_name").collect()] == [
+        ("gone", "date", 5, 0, None, False), ("k", "bigint", 1, 3, "1", False),
+        ("s.t", "string", 1, 3, "", False), ("x", "double", 1, 2, out.where("column_name = 'x'").first().example, False)]
+    assert out.where("column_name = 'x'").first().example in ("0.0", "-0.0")
+    assert [r.example for r in Q.profile(df.where("x = 0 and `s.t` = 'b'")).collect()] == ["1", "b", "-0.0", None]
+    assert [tuple(r)[2:] for r in Q.profile(df.limit(0)).collect()] == [(0, 0, None, True)] * 4
