@@ -104,3 +104,41 @@ def test_unpivot_single_scan(spark):
     assert r == [("away", 2, 1, 3), ("home", 1, 3, 1)]
     plan = A.unpivot_roles(m)._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in plan and "Generate" in plan
+
+
+def test_landed_block_builds_ranking_cohorts_and_year_once(spark):
+    import datetime as dt
+
+    from pitchline.operators import marts
+    from pitchline.plans import contests as C
+    from pitchline.plans.registry import cohorts, current_cohort
+    from pitchline.session import scratch_path
+    root = scratch_path(spark, "small-tables")
+    day = lambda y: dt.datetime(y, 5, 1)
+    tables = {
+        "customer": ("c_custkey long, c_nationkey int", [(1, 0), (2, 1), (3, None), (4, 2)]),
+        "supplier": ("s_suppkey long, s_nationkey int", [(1, 0), (2, 1), (3, 2)]),
+        "part": ("p_partkey long, p_size int", [(1, 5), (2, 9)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string, o_totalprice double",
+                   [(1, 1, day(1994), "5-LOW", 10.0), (2, 2, day(1994), "5-LOW", 10.0), (3, 3, day(1995), "2-HIGH", 7.0),
+                    (4, 4, day(1995), "2-HIGH", None), (5, 1, day(1995), "2-HIGH", 3.0), (5, 2, day(1995), "2-HIGH", 4.0),
+                    (6, 1, None, "2-HIGH", 4.0)]),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string",
+                     [(o, n, 1 + n % 2, 1 + (o + n) % 3, float(o + n), "R" if n else None) for o in range(1, 7) for n in range(3)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{root}/{name}.parquet")
+
+    def results():
+        return [sorted(map(str, f.collect())) for f in (
+            C.ranking_bridge(spark, root), cohorts(spark, root), spark.range(1).select(current_cohort(spark, root)),
+            marts.upset_rate(C.contests(spark, root), C.ranking_bridge(spark, root)))]
+
+    plain = results()
+    with C.landed_contests(spark, root):
+        assert results() == plain
+        for frame, name in ((C.ranking_bridge(spark, root), "ranking"), (cohorts(spark, root), "cohorts")):
+            files = frame.inputFiles()
+            assert files and all(f"/{name}-" in f for f in files)
+        upsets = marts.classify_upsets(C.contests(spark, root), C.ranking_bridge(spark, root))
+        assert upsets._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") == 2
