@@ -299,3 +299,23 @@ def test_fisher_of_huge_cells_does_not_walk_the_support(spark):
     got = {r.a: r.p_value for r in R.fisher_exact(df).collect()}
     z = (shift - 0.5) / math.sqrt((2 * n) ** 4 / ((4 * n) ** 2 * (4 * n - 1)))
     assert got[n] == pytest.approx(1.0, abs=1e-6) and got[n + shift] == pytest.approx(math.erfc(z / math.sqrt(2)), rel=1e-3)
+
+
+def test_shapiro_scores_are_spread_over_tasks(spark, monkeypatch):
+    df = spark.range(900).select(F.lit("a").alias("g"), (F.col("id") % 3 + F.col("id") % 7).cast("double").alias("v"))
+    whole = R.shapiro_wilk(df, "v", ["g"]).collect()[0]
+    monkeypatch.setattr(R, "ORDER_CHUNK", 16)
+    cut = R.shapiro_wilk(df, "v", ["g"])
+    # a fixed number of tasks: adaptive plans join small partitions of any other shuffle
+    assert "REPARTITION_BY_NUM" in cut._jdf.queryExecution().executedPlan().toString()
+    cut = cut.collect()[0]
+    assert cut.n == whole.n == 900 and abs(cut.w - whole.w) < 1e-12 and abs(cut.p_value - whole.p_value) < 1e-9
+
+
+def test_validation_builds_the_upset_table_once(spark, sf_dir, monkeypatch):
+    from pitchline.plans import q_stats as QS
+    names = []
+    kept = QS.written
+    monkeypatch.setattr(QS, "written", lambda df, name: names.append(name) or kept(df, name))
+    rows = QS.validation_results(spark, sf_dir).collect()
+    assert names == ["upset-table"] and [r.row_id for r in sorted(rows)][:3] == [1, 2, 3]
