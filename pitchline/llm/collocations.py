@@ -34,6 +34,9 @@ TRIGGER = LONGEST - 1
 #: The language of rows without one.
 NO_LANGUAGE = "und"
 
+#: Bytes of a word up to which words are hashed together.
+SHORT = 64
+
 WORD, BLANK, STOP = 0, 1, 2
 KIND = np.zeros(256, np.uint8)
 KIND[list(b" \t")] = BLANK
@@ -70,14 +73,31 @@ def mixed(h: np.ndarray, more: np.ndarray) -> np.ndarray:
 
 
 def hashes(values: pa.Array) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(v) for v in values.to_pylist()], np.uint64)
-
-
-def coded(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(code per word, hash per word)."""
+    """64-bit hash per value: eight bytes a step for all short values at once, XXH3 for the few longer ones."""
+    offsets = np.frombuffer(values.buffers()[1], np.int32, len(values) + values.offset + 1)[values.offset:].astype(np.int64)
+    data = np.concatenate([np.frombuffer(values.buffers()[2] or b"", np.uint8)[:offsets[-1]], np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+    size = np.diff(offsets)
+    out = mixed(np.zeros(len(size), np.uint64), size.astype(np.uint64))
+    short = np.flatnonzero((size > 0) & (size <= SHORT))
+    for start in range(0, SHORT, 8):
+        short = short[size[short] > start]
+        if not len(short):
+            break
+        block = np.ascontiguousarray(eight[offsets[short] + start]).view("<u8").ravel()
+        left = np.minimum(size[short] - start, 8).astype(np.uint64)
+        out[short] = mixed(out[short], block & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left)))
+    for i in np.flatnonzero(size > SHORT):
+        out[i] = xxhash.xxh3_64_intdigest(data[offsets[i]:offsets[i + 1]].tobytes())
+    out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(31))
+
+
+def coded(words: pa.Array, hashed: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+    """(code per word, hash per word or None)."""
     e = words.dictionary_encode()
     codes = e.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return codes, hashes(e.dictionary)[codes]
+    return codes, hashes(e.dictionary)[codes] if hashed else None
 
 
 def join_words(words: pa.Array, begin: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -196,18 +216,21 @@ def counted(parsed: DataFrame, length: int, parts: Bloom | None = None) -> DataF
         for batch in gathered(batches):
             words, row, _ = scan(batch.column(1))
             own, freq = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            codes, h = coded(words)
-            lang_code, lang = coded(batch.column(0).cast(pa.binary()))
+            codes, h = coded(words, filled is not None)
+            lang_code, lang = coded(batch.column(0).cast(pa.binary()), filled is not None)
             count = np.bincount(row, minlength=batch.num_rows)
             place = np.arange(len(words)) - (np.cumsum(count) - count)[row]
             at = np.flatnonzero((place < own[row]) & (place + length <= count[row]))
             if filled is not None:
                 for shift in (0, 1):
                     at = at[filled.may_hold(phrase_hash(lang[row[at]], [h[at + shift + k] for k in range(length - 1)]))]
-            key, width = lang_code[row[at]], len(words) + 1
-            for k in range(length):  # dense numbers, so that the next product stays small
-                _, key = np.unique(key * width + codes[at + k], return_inverse=True)
-            order = np.argsort(key, kind="stable")
+            key, width, top = lang_code[row[at]], int(codes.max(initial=0)) + 1, int(lang_code.max(initial=0)) + 1
+            for k in range(length):
+                if top * width >= 1 << 63:  # dense numbers, where the next product would pass 64 bits
+                    _, key = np.unique(key, return_inverse=True)
+                    top = len(key)
+                key, top = key * width + codes[at + k], top * width
+            order = np.argsort(key)
             heads = np.flatnonzero(np.diff(key[order], prepend=-1))
             n = np.add.reduceat(freq[row[at]][order], heads) if len(heads) else np.zeros(0, np.int64)
             one = at[order[heads]]

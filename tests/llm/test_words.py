@@ -253,3 +253,18 @@ def test_chunks_own_every_word_once_and_hold_its_phrases(texts, every):
 def test_scores_are_exact(spark, a, l, r):  # noqa: E741
     got = spark.range(1).select(collocations.ratio_floor(F.lit(a), F.lit(l), F.lit(r))).first()[0]
     assert got == 2000000 * a // (l + r)
+
+
+def test_short_words_are_hashed_together(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    words = [b"", b"a", b"a\0", b"abcdefgh", b"abcdefgh\0", b"abcdefghi", b"x" * 64, b"\xff" * 9]
+    with monkeypatch.context() as m:
+        m.setattr(collocations, "xxhash", None)  # only longer ones are hashed one by one
+        h = collocations.hashes(pa.array(words, pa.binary()))
+        many = collocations.hashes(pa.array([f"w{i}".encode() for i in range(20_000)], pa.binary()))
+    assert len(set(h.tolist())) == len(words) and len(set(many.tolist())) == 20_000
+    assert np.bincount((many % np.uint64(16)).astype(int)).min() > 1000
+    mixed = pa.array([b"y" * 65, *words, b"y" * 300], pa.binary())
+    assert (collocations.hashes(mixed)[1:-1] == h).all() and (collocations.hashes(mixed.slice(1, len(words))) == h).all()
+    assert len(set(collocations.hashes(mixed).tolist())) == len(words) + 2 and len(collocations.hashes(pa.array([], pa.binary()))) == 0
