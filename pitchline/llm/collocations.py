@@ -16,7 +16,7 @@ only ever passes too much, which costs rows and changes no count.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,12 @@ TRIGGER = LONGEST - 1
 #: The language of rows without one.
 NO_LANGUAGE = "und"
 
+#: Most bytes of text for each bucket that chunks and phrases are dealt over; up to ``BUCKETS`` of them may hold less.
+BUCKET_BYTES, BUCKETS = 16 << 20, 256
+
+#: Bytes of text cut into words at a time; arrays of larger slices leave the caches.
+SLICE_BYTES = 1 << 19
+
 #: Bytes of a word up to which words are hashed together.
 SHORT = 64
 
@@ -41,8 +47,18 @@ WORD, BLANK, STOP = 0, 1, 2
 KIND = np.zeros(256, np.uint8)
 KIND[list(b" \t")] = BLANK
 KIND[list(b".,;:!?\n\x0b\x0c\r")] = STOP
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[ord("A"):ord("Z") + 1] += 32
+KIND = KIND.tobytes()
+LOWER = bytes(range(256)).lower()
+
+#: A row holds some megabytes of chunks: the distinct ``words`` joined by blanks, the word number of every position
+#: (``code``, int32), and for each chunk the place of its language in ``langs``, its words, its own words (int32) and
+#: its frequency (int64). ``positions`` is their number, ``totals`` holds the own words of each language, weighted.
+BLOCK = "positions long, langs array<string>, totals array<long>, words binary, code binary, lang binary, size binary, own binary, freq binary"
+
+
+def numbered(begins: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The part each of the sorted places ``at`` lies in, by the sorted ``begins`` of the parts."""
+    return np.repeat(np.arange(len(begins)), np.diff(np.searchsorted(at, begins), append=len(at)))
 
 
 def scan(texts: pa.Array) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
@@ -51,7 +67,7 @@ def scan(texts: pa.Array) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
     offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1)
     data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
     offsets = offsets - offsets[0]
-    kind = KIND[data]
+    kind = np.frombuffer(data.tobytes().translate(KIND), np.uint8)
     word = kind == WORD
     first = np.zeros(len(data) + 1, bool)  # first byte of a row; one more, so that a row of no bytes at the end fits
     first[offsets[:-1]] = True
@@ -61,9 +77,8 @@ def scan(texts: pa.Array) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
     after = np.concatenate([word[1:] & ~first[1:], [False]])
     ends = np.flatnonzero(word & ~after) + 1
     bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
-    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(LOWER[data[word]])])
-    row = np.searchsorted(offsets, starts, "right") - 1
-    return words, row, np.cumsum(first | (kind == STOP))[starts]
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[word].tobytes().translate(LOWER))])
+    return words, numbered(offsets[:-1], starts), numbered(np.flatnonzero(first | (kind == STOP)), starts)
 
 
 def mixed(h: np.ndarray, more: np.ndarray) -> np.ndarray:
@@ -93,11 +108,10 @@ def hashes(values: pa.Array) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
-def coded(words: pa.Array, hashed: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
-    """(code per word, hash per word or None)."""
+def coded(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(code per word, distinct words)."""
     e = words.dictionary_encode()
-    codes = e.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return codes, hashes(e.dictionary)[codes] if hashed else None
+    return e.indices.to_numpy(zero_copy_only=False), e.dictionary
 
 
 def join_words(words: pa.Array, begin: np.ndarray, size: np.ndarray) -> pa.Array:
@@ -108,11 +122,17 @@ def join_words(words: pa.Array, begin: np.ndarray, size: np.ndarray) -> pa.Array
     return pc.binary_join(lists, b" ")
 
 
+def phrases_at(words: pa.Array, code: np.ndarray, begin: np.ndarray, length: int) -> pa.Array:
+    """The ``length`` words numbered by ``code`` from each ``begin``, joined by spaces."""
+    parts = [words.take(pa.array(code[begin + k])) for k in range(length)]
+    return pc.binary_join_element_wise(*parts, b" ") if length > 1 else parts[0]
+
+
 def chunks(texts: pa.Array, every: int) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(row, words, number of own words) of every chunk of ``texts``; one window in ``every`` is a trigger."""
     words, row, piece = scan(texts)
     n = len(words)
-    _, h = coded(words)
+    h = hashes(words)
     window = np.full(n, False)
     if n >= TRIGGER:
         seen = h[:n - TRIGGER + 1]
@@ -128,18 +148,94 @@ def chunks(texts: pa.Array, every: int) -> tuple[np.ndarray, pa.Array, np.ndarra
 
 
 def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", every: int = 12) -> DataFrame:
-    """The dictionary: (lang, chunk, own, freq), chunks as UTF-8 bytes. NULL texts are empty, NULL languages ``und``."""
+    """The dictionary of distinct (lang, chunk, own) with their frequencies as rows of ``BLOCK``, chunks as UTF-8 bytes.
+
+    NULL texts are empty, NULL languages ``und``.
+    """
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
+    buckets = dealt_over(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in row_slices(batches, 4 << 20):
-            row, words, own = chunks(batch.column(1), every)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), words, pa.array(own, pa.int32())],
-                                             ["lang", "chunk", "own"])
+            lang, langs = coded(batch.column(0))
+            parts, start = [], 0
+            for part in row_slices([batch], SLICE_BYTES):
+                row, words, own = chunks(part.column(1), every)
+                parts.append((lang[start + row], words, own.astype(np.int32)))
+                start += part.num_rows
+            of, words, own = zip(*parts)
+            own = np.concatenate(own)
+            found = added_up(np.concatenate(of), pa.concat_arrays(words), own, np.ones(len(own), np.int64))
+            yield packed(langs, found["lang"], hashes(found["text"]), buckets, found["text"].take, [found["own"], found["n"]])
+
+    return (bounded_batches(rows).mapInArrow(run, "bucket long, lang string, texts binary, own binary, n binary")
+            .groupBy("bucket").applyInArrow(blocks, BLOCK))
 
-    found = bounded_batches(rows).mapInArrow(run, "lang string, chunk binary, own int")
-    return found.groupBy("lang", "chunk", "own").agg(F.count(F.lit(1)).alias("freq"))
+
+def dealt_over(size: int) -> int:
+    """Number of buckets for ``size`` bytes of text."""
+    return max(min(BUCKETS, 1 + size // (BUCKET_BYTES // 64)), size // BUCKET_BYTES)
+
+
+def added_up(lang: np.ndarray, texts: pa.Array, own: np.ndarray, n: np.ndarray) -> dict:
+    """The distinct (lang, text, own) with the sums of ``n``."""
+    t = pa.table({"lang": lang, "text": texts, "own": own, "n": n}).group_by(["lang", "text", "own"], use_threads=False)
+    t = t.aggregate([("n", "sum")]).combine_chunks()
+    return {"lang": t["lang"].to_numpy(), "text": pa.concat_arrays(t["text"].chunks) if t.num_rows else pa.array([], pa.binary()),
+            "own": t["own"].to_numpy(), "n": t["n_sum"].to_numpy()}
+
+
+def packed(langs: pa.Array, lang: np.ndarray, h: np.ndarray, buckets: int, texts: Callable[[pa.Array], pa.Array],
+           numbers: list[np.ndarray]) -> pa.RecordBatch:
+    """(bucket, lang, texts, one column for each of ``numbers``): a row for each bucket and language.
+
+    ``texts`` gives the texts at some places; they are joined by \\n, which no word holds.
+    """
+    group = lang * np.int64(buckets) + (h % np.uint64(buckets)).view(np.int64)
+    order = np.argsort(group)
+    group = group[order]
+    heads = np.flatnonzero(np.diff(group, prepend=-1))
+    bounds = np.append(heads, len(group)).astype(np.int32)
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), texts(pa.array(order))), b"\n")
+    cut = [pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(bounds * np.int32(a.itemsize)), pa.py_buffer(a[order])])
+           for a in numbers]
+    bucket, of = group[heads] % buckets, langs.take(pa.array(group[heads] // buckets))
+    return pa.RecordBatch.from_arrays([pa.array(bucket), of, joined, *cut], ["bucket", "lang", "texts", *("own", "n")[-len(cut):]])
+
+
+def unpacked(bucket: pa.Table) -> tuple[pa.Array, dict]:
+    """(languages, distinct (lang, text, own) with the sums of n) of a bucket's rows; texts end with \\n."""
+    data = b"\n".join(bucket["texts"].to_pylist()) + b"\n"
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == ord("\n")) + 1
+    bounds = np.concatenate([[0], ends]).astype(np.int32)
+    texts = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    counts = bucket["n"].to_pylist()
+    n = np.frombuffer(b"".join(counts), np.int64)
+    own = np.frombuffer(b"".join(bucket["own"].to_pylist()), np.int32) if "own" in bucket.column_names else np.zeros(len(n), np.int32)
+    code, langs = coded(bucket["lang"].combine_chunks())
+    return langs, added_up(np.repeat(code, [len(c) // 8 for c in counts]), texts, own, n)
+
+
+def blocks(bucket: pa.Table) -> pa.Table:
+    """The distinct chunks of a bucket as rows of ``BLOCK``: texts are cut into words and these numbered only once."""
+    langs, found = unpacked(bucket)
+    rows = pa.RecordBatch.from_arrays([pa.array(found["lang"]), found["text"], pa.array(found["own"]), pa.array(found["n"])],
+                                      ["lang", "text", "own", "n"])
+    out = []
+    for part in row_slices([rows], 4 << 20):
+        words, row, _ = scan(part.column(1))
+        code, distinct = coded(words)
+        lang, own, freq = (part.column(k).to_numpy() for k in (0, 2, 3))
+        totals = np.zeros(len(langs), np.int64)
+        np.add.at(totals, lang, own * freq)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct), b" ")
+        numbers = [a.tobytes() for a in (code, lang, np.bincount(row, minlength=part.num_rows).astype(np.int32), own, freq)]
+        out.append([len(code), langs.to_pylist(), totals, joined[0].as_py(), *numbers])
+    schema = pa.schema([("positions", pa.int64()), ("langs", pa.list_(pa.string())), ("totals", pa.list_(pa.int64())),
+                        *((c, pa.binary()) for c in ("words", "code", "lang", "size", "own", "freq"))])
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
 
 class Bloom:
@@ -150,13 +246,14 @@ class Bloom:
 
     @staticmethod
     def places(h: np.ndarray, size: int) -> np.ndarray:
+        """Three bit numbers per hash; ``size`` is a power of two."""
         step = (h >> np.uint64(17)) | np.uint64(1)
-        return np.stack([(h + np.uint64(k) * step) % np.uint64(64 * size) for k in range(3)])
+        return np.stack([(h + np.uint64(k) * step) & np.uint64(64 * size - 1) for k in range(3)])
 
     def may_hold(self, h: np.ndarray) -> np.ndarray:
         out = np.ones(len(h), bool)
         for p in self.places(h, len(self.words)):
-            out &= (self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+            out &= (self.words[(p >> np.uint64(6)).view(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
         return out
 
 
@@ -175,8 +272,9 @@ def bloom(phrases: DataFrame, max_bytes: int) -> Bloom:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, row, _ = scan(batch.column(1).cast(pa.binary()))
-            _, h = coded(words)
-            _, lang = coded(batch.column(0).cast(pa.binary()))
+            h = hashes(words)
+            code, langs = coded(batch.column(0).cast(pa.binary()))
+            lang = hashes(langs)[code]
             count = np.bincount(row, minlength=batch.num_rows)
             begin = np.cumsum(count) - count
             for length in np.unique(count):  # all phrases of a call have one length
@@ -194,59 +292,59 @@ def bloom(phrases: DataFrame, max_bytes: int) -> Bloom:
     return Bloom(words)
 
 
-def gathered(batches: Iterable[pa.RecordBatch], max_bytes: int = 3 << 20) -> Iterator[pa.RecordBatch]:
-    """Small batches joined up to some ``max_bytes``: equal words and phrases meet before the shuffle more often."""
-    held, size = [], 0
-    for batch in row_slices(batches, max_bytes):
-        held.append(batch)
-        size += batch.nbytes
-        if size >= max_bytes:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, size = [], 0
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-
-
-def counted(parsed: DataFrame, length: int, parts: Bloom | None = None) -> DataFrame:
-    """(lang, phrase, n) of the phrases of ``length`` words whose two longest parts ``parts`` may hold."""
+def counted(parsed: DataFrame, length: int, min_count: int, buckets: int, parts: Bloom | None = None) -> DataFrame:
+    """(lang, phrase, n) of the phrases of ``length`` words found ``min_count`` times whose two longest parts ``parts`` may hold."""
     sent = parsed.sparkSession.sparkContext.broadcast(parts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filled = sent.value
-        for batch in gathered(batches):
-            words, row, _ = scan(batch.column(1))
-            own, freq = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            codes, h = coded(words, filled is not None)
-            lang_code, lang = coded(batch.column(0).cast(pa.binary()), filled is not None)
-            count = np.bincount(row, minlength=batch.num_rows)
-            place = np.arange(len(words)) - (np.cumsum(count) - count)[row]
-            at = np.flatnonzero((place < own[row]) & (place + length <= count[row]))
+        for block in (b.slice(i, 1).to_pydict() for b in batches for i in range(b.num_rows)):
+            langs = pa.array(block["langs"][0], pa.string())
+            words, _, _ = scan(pa.array(block["words"], pa.binary()))
+            code, lang, size, own = (np.frombuffer(block[c][0], np.int32) for c in ("code", "lang", "size", "own"))
+            freq = np.frombuffer(block["freq"][0], np.int64)
+            ends = np.cumsum(size)
+            row = np.repeat(np.arange(len(size), dtype=np.int32), size)
+            left = np.repeat(ends, size) - np.arange(len(code))  # words from here to the chunk's end
+            mine = left >= length
+            mine &= left > np.repeat(size - own, size)
+            h, lang_hash = hashes(words), hashes(langs.cast(pa.binary()))
             if filled is not None:
-                for shift in (0, 1):
-                    at = at[filled.may_hold(phrase_hash(lang[row[at]], [h[at + shift + k] for k in range(length - 1)]))]
-            key, width, top = lang_code[row[at]], int(codes.max(initial=0)) + 1, int(lang_code.max(initial=0)) + 1
+                part = np.flatnonzero(left >= length - 1)
+                held = np.zeros(len(code) + 1, bool)
+                held[part] = filled.may_hold(phrase_hash(lang_hash[lang[row[part]]], [h[code[part + k]] for k in range(length - 1)]))
+                mine &= held[:-1] & held[1:]
+            at = np.flatnonzero(mine)
+            key, width, top = lang[row[at]].astype(np.int64), len(words), len(langs)
             for k in range(length):
                 if top * width >= 1 << 63:  # dense numbers, where the next product would pass 64 bits
                     _, key = np.unique(key, return_inverse=True)
                     top = len(key)
-                key, top = key * width + codes[at + k], top * width
+                key, top = key * width + code[at + k], top * width
             order = np.argsort(key)
             heads = np.flatnonzero(np.diff(key[order], prepend=-1))
-            n = np.add.reduceat(freq[row[at]][order], heads) if len(heads) else np.zeros(0, np.int64)
+            n = np.add.reduceat(freq[row[at[order]]], heads) if len(heads) else np.zeros(0, np.int64)
             one = at[order[heads]]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[one])),
-                                              join_words(words, one, np.full(len(one), length)), pa.array(n, pa.int64())],
-                                             ["lang", "phrase", "n"])
+            of = lang[row[one]]
+            yield packed(langs, of, phrase_hash(lang_hash[of], [h[code[one + k]] for k in range(length)]), buckets,
+                         lambda order: phrases_at(words, code, one[order.to_numpy()], length), [n])
+
+    def add(bucket: pa.Table) -> pa.Table:
+        langs, found = unpacked(bucket)
+        kept = np.flatnonzero(found["n"] >= min_count)
+        phrases = pc.binary_replace_slice(found["text"].take(pa.array(kept)), -1, 1 << 30, b"")
+        return pa.table({"lang": langs.take(pa.array(found["lang"][kept])), "phrase": phrases, "n": found["n"][kept]})
 
-    return (parsed.mapInArrow(run, "lang string, phrase binary, n long")
-            .groupBy("lang", "phrase").agg(F.sum("n").alias("n")))
+    return (parsed.mapInArrow(run, "bucket long, lang string, texts binary, n binary")
+            .groupBy("bucket").applyInArrow(add, "lang string, phrase binary, n long"))
 
 
 def frequent(parsed: DataFrame, min_count: int, max_filter_bytes: int = 16 << 20) -> list[DataFrame]:
     """Per length 1 to 4 the phrases found ``min_count`` times or more, as written tables (lang, phrase, n)."""
     found, parts = [], None
+    buckets = dealt_over(4 * (parsed.agg(F.sum("positions")).first()[0] or 0))
     for length in range(1, LONGEST + 1):
-        found.append(land(counted(parsed, length, parts).where(F.col("n") >= min_count), f"phrases-{length}"))
+        found.append(land(counted(parsed, length, min_count, buckets, parts), f"phrases-{length}"))
         if length < LONGEST:
             parts = bloom(found[-1], max_filter_bytes)
     return found
@@ -273,7 +371,8 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_co
     its own row.
     """
     parsed = land(parse(docs, text_col, lang_col, every), "phrase-chunks")
-    total = parsed.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("total"))
+    total = (parsed.select(F.explode(F.arrays_zip("langs", "totals")).alias("of")).groupBy(F.col("of.langs").alias("lang"))
+             .agg(F.sum("of.totals").alias("total")))
     levels = [f.withColumn("phrase", F.col("phrase").cast("string")) for f in frequent(parsed, min_count)]
     known = levels[0]
     for f in levels[1:]:

@@ -268,3 +268,30 @@ def test_short_words_are_hashed_together(monkeypatch):
     mixed = pa.array([b"y" * 65, *words, b"y" * 300], pa.binary())
     assert (collocations.hashes(mixed)[1:-1] == h).all() and (collocations.hashes(mixed.slice(1, len(words))) == h).all()
     assert len(set(collocations.hashes(mixed).tolist())) == len(words) + 2 and len(collocations.hashes(pa.array([], pa.binary()))) == 0
+
+
+def test_chunks_and_phrases_travel_in_packs(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(rng.choice(["en", "d\ne", None]), " ".join(rng.choice("a b c dd ee ff. gg hh ii jj".split()) for _ in range(30))) for _ in range(400)]
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string").repartition(3)
+    parsed = common.land(collocations.parse(docs), "t")
+    assert parsed.count() == 1  # one block of numbered words, not a row a chunk
+    assert {r.lang: r.n for r in collocations.mine(docs).collect()} == {lang: n for lang, *_, n, _ in brute_collocations(rows)}
+    monkeypatch.setattr(collocations, "BUCKET_BYTES", 6400)  # many buckets: equal phrases of all blocks still meet
+    assert common.land(collocations.parse(docs), "t").count() > 50
+    assert {tuple(r) for r in collocations.mine(docs).collect()} == brute_collocations(rows)
+
+
+def test_packs_keep_texts_and_sums_and_grow_in_proportion():
+    import numpy as np
+    import pyarrow as pa
+    langs, texts = pa.array(["x", "y"]), pa.array([b"a b", b"c", b"d", b"e"], pa.binary())
+    lang, h = np.array([1, 0, 1, 1]), np.array([3, 7, 1, 5], np.uint64)
+    pack = collocations.packed(langs, lang, h, 2, texts.take, [np.array([5, 6, 7, 8], np.int64)])
+    assert pack.select(["bucket", "lang"]).to_pylist() == [{"bucket": 1, "lang": "x"}, {"bucket": 1, "lang": "y"}]
+    of, found = collocations.unpacked(pa.Table.from_batches([pack, pack]))
+    got = {(of[int(i)].as_py(), t, n) for i, t, n in zip(found["lang"], found["text"].to_pylist(), found["n"].tolist())}
+    assert got == {("y", b"a b\n", 10), ("x", b"c\n", 12), ("y", b"d\n", 14), ("y", b"e\n", 16)}
+    small, large = collocations.dealt_over(150 << 20), collocations.dealt_over(900 << 20)
+    assert small == large == collocations.BUCKETS  # rows a block stay the same, so packs grow with the blocks
+    assert collocations.dealt_over(0) == 1 and collocations.dealt_over(64 << 30) == 4096
